@@ -218,13 +218,12 @@ def run_incremental(spark: SparkSession, sf_dir: str, split: str, name: str,
 
 
 def q_silver_incremental(spark, sf_dir):
-    layout, _, _ = run_incremental(spark, sf_dir, "hash", "silver_incremental", block_size=2000)
+    layout, _, _ = run_incremental(spark, sf_dir, "hash", "silver_incremental")
     return st.read_silver(spark, layout)
 
 
 def q_gold_incremental(spark, sf_dir):
-    layout, _, _ = run_incremental(spark, sf_dir, "redelivered_first", "gold_incremental",
-                                   block_size=2000)
+    layout, _, _ = run_incremental(spark, sf_dir, "redelivered_first", "gold_incremental")
     return st.read_gold(spark, layout)
 
 

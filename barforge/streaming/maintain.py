@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,11 +45,19 @@ _ONE_MINUTE = _dt.timedelta(minutes=1)
 
 
 def _stage(df: DataFrame, path: str, partition_by: tuple[str, ...] | None = None) -> DataFrame:
+    """Durably write ``df`` (overwriting an earlier attempt) and read it back.
+
+    Partitioned stages are clustered by their partition columns first, so
+    each partition is one file rather than one file per task.
+    """
     spark = df.sparkSession
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = df
+    if partition_by:
+        w = w.repartition(*partition_by)
+    writer = w.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -66,6 +75,16 @@ def _distinct_keys(df: DataFrame, cols: tuple[str, ...]) -> list[tuple]:
     return [tuple(r) for r in df.select(*cols).distinct().collect()]
 
 
+def _staged_partitions(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Partition directories of a two-level staged write, as (first, second) texts."""
+    out = []
+    for d1 in st.list_dirs(spark, path):
+        a = d1.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1]
+        for d2 in st.list_dirs(spark, d1):
+            out.append((a, d2.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1]))
+    return out
+
+
 def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
                  mode: str = "permissive") -> tuple[str, str] | None:
     """Steps 1-3: stage the new content of touched silver blocks and the
@@ -76,22 +95,26 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
     if st.complete(spark, blocks_path):
         return blocks_path, intents_root                # replay: publish what was staged
 
+    # Cached, not staged: a lost cache block is recomputed from the batch's
+    # source files, which stay in place until the batch commits.
     incoming = st.with_block(silver_projection(dedup_latest(valid_trades(parse_trades(batch, mode)))),
-                             layout.id_block_size)
-    incoming = _stage(incoming, layout.staging(tag, batch_id, "incoming"))
-    blocks = _distinct_keys(incoming, st.SILVER_PARTS)
-    if not blocks:
-        return None
-
-    current = st.read_silver_stored(spark, layout).filter(st.partition_filter(st.SILVER_PARTS, blocks))
-    keys = incoming.select(*KEY, "id_block")
-    previous = current.join(keys, [*KEY, "id_block"], "left_semi")
-    winners = dedup_latest(incoming.unionByName(previous))
-    untouched = current.join(keys, [*KEY, "id_block"], "left_anti")
-
-    touched = _touched_bars(previous).unionByName(_touched_bars(winners)).distinct()
-    _stage(touched, f"{intents_root}/attempt={_attempt(spark, intents_root)}")
-    _stage(untouched.unionByName(winners), blocks_path, st.SILVER_PARTS)
+                             layout.id_block_size).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        blocks = _distinct_keys(incoming, st.SILVER_PARTS)
+        if not blocks:
+            return None
+        current = st.read_silver_stored(spark, layout).filter(
+            st.partition_filter(st.SILVER_PARTS, blocks))
+        keys = incoming.select(*KEY, "id_block")
+        previous = current.join(keys, [*KEY, "id_block"], "left_semi")
+        winners = dedup_latest(incoming.unionByName(previous))
+        untouched = current.join(keys, [*KEY, "id_block"], "left_anti")
+
+        touched = _touched_bars(previous).unionByName(_touched_bars(winners)).distinct()
+        _stage(touched, f"{intents_root}/attempt={_attempt(spark, intents_root)}")
+        _stage(untouched.unionByName(winners), blocks_path, st.SILVER_PARTS)
+    finally:
+        incoming.unpersist()
     return blocks_path, intents_root
 
 
@@ -111,36 +134,34 @@ def refresh_gold(spark: SparkSession, touched: DataFrame, batch_id: int, layout:
                  tag: str) -> None:
     """Step 5: recompute touched bars from silver and replace them in gold."""
     gold_stage = layout.staging(tag, batch_id, "gold_parts")
+    touched = st.with_minute_date(touched)
+    # One small aggregate: time range, symbols and symbol-days touched
+    # (bounded by distinct symbol-days, not by rows).
+    info = touched.agg(F.min("minute_bucket").alias("lo"), F.max("minute_bucket").alias("hi"),
+                       F.collect_set("symbol").alias("symbols"),
+                       F.collect_set(F.struct(*st.GOLD_PARTS)).alias("parts")).first()
+    if info.lo is None:
+        return
+    parts = [tuple(p) for p in info.parts]
     if not st.complete(spark, gold_stage):
-        touched = _stage(touched, layout.staging(tag, batch_id, "touched"))
-        bounds = touched.agg(F.min("minute_bucket").alias("lo"), F.max("minute_bucket").alias("hi")).first()
-        if bounds.lo is None:
-            return
-        symbols = [r.symbol for r in touched.select("symbol").distinct().collect()]
         silver = (st.read_silver_stored(spark, layout)
-                  .filter(F.col("symbol").isin(symbols)
-                          & (F.col("trade_time") >= ntz_literal(bounds.lo))
-                          & (F.col("trade_time") < ntz_literal(bounds.hi + _ONE_MINUTE))))
+                  .filter(F.col("symbol").isin(list(info.symbols))
+                          & (F.col("trade_time") >= ntz_literal(info.lo))
+                          & (F.col("trade_time") < ntz_literal(info.hi + _ONE_MINUTE))))
         rows = silver.withColumn("minute_bucket", minute_bucket(F.col("trade_time")))
-        rows = rows.join(touched, list(TOUCHED), "left_semi").drop("minute_bucket")
+        rows = rows.join(touched.select(*TOUCHED), list(TOUCHED), "left_semi").drop("minute_bucket")
         bars = st.with_minute_date(gold_trades_1m(rows))
-
-        parts = _distinct_keys(st.with_minute_date(touched), st.GOLD_PARTS)
         current = st.read_gold_stored(spark, layout).filter(st.partition_filter(st.GOLD_PARTS, parts))
-        kept = current.join(touched, list(TOUCHED), "left_anti")
+        kept = current.join(touched.select(*TOUCHED), list(TOUCHED), "left_anti")
         _stage(kept.unionByName(bars.select(*GOLD_COLUMNS, "minute_date")), gold_stage, st.GOLD_PARTS)
-        _stage(st.with_minute_date(touched).select(*st.GOLD_PARTS).distinct(),
-               layout.staging(tag, batch_id, "gold_touched_parts"))
 
-    staged = spark.read.parquet(gold_stage)
-    _publish(staged, layout.gold, st.GOLD_PARTS)
+    _publish(spark.read.parquet(gold_stage), layout.gold, st.GOLD_PARTS)
     # A symbol-day whose bars all moved away has no output row, so dynamic
     # overwrite would leave it in place: remove such partitions explicitly.
-    wanted = set(_distinct_keys(spark.read.parquet(layout.staging(tag, batch_id, "gold_touched_parts")),
-                                st.GOLD_PARTS))
-    present = set(_distinct_keys(staged, st.GOLD_PARTS))
-    for day, symbol in sorted(wanted - present):
-        st.delete(spark, layout.path("gold", f"minute_date={day}", f"symbol={symbol}"))
+    present = set(_staged_partitions(spark, gold_stage))
+    for day, symbol in sorted(parts):
+        if (str(day), symbol) not in present:
+            st.delete(spark, layout.path("gold", f"minute_date={day}", f"symbol={symbol}"))
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "default",
@@ -155,9 +176,10 @@ def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "de
     touched = _read_intents(spark, intents_root)
     if touched is not None:
         refresh_gold(spark, touched, batch_id, layout, tag)
-    # Older staging of this stream is no longer needed once a later batch ran.
+    # Staging of earlier batches of this stream is no longer needed.
     for d in st.list_dirs(spark, layout.path("_staging", tag)):
-        if d.rstrip("/").rsplit("/", 1)[-1].isdigit() and int(d.rstrip("/").rsplit("/", 1)[-1]) < batch_id:
+        name = d.rstrip("/").rsplit("/", 1)[-1]
+        if name.isdigit() and int(name) < batch_id:
             st.delete(spark, d)
 
 
