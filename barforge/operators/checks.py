@@ -242,6 +242,17 @@ def failures(results: DataFrame, run_id: str) -> DataFrame:
         F.col("detail").alias("error"))
 
 
+def record_failures(failed: DataFrame, path: str) -> None:
+    """Append failure records to the alerts table (the chat post, re-aimed)."""
+    failed.write.mode("append").parquet(path)
+
+
+def count_where(df: DataFrame, predicate: Column, name: str = "n") -> DataFrame:
+    """One-row count of the rows matching ``predicate`` (filter first, so
+    the predicate can reach the scan)."""
+    return df.filter(predicate).agg(F.count(F.lit(1)).alias(name))
+
+
 def layer_lag(bronze: DataFrame, silver: DataFrame, gold: DataFrame, as_of=None) -> DataFrame:
     """Newest time of each layer and its distance to ``as_of`` in seconds."""
     now = as_of_col(as_of)

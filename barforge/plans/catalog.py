@@ -18,6 +18,7 @@ from barforge.session import fresh_dir
 from barforge.sources import fixtures
 from barforge.sources.topic import RAW_SCHEMA, read_bronze, read_trades_stream, write_bronze
 from barforge.streaming import bars as stream_bars_mod
+from barforge.streaming import lifecycle
 from barforge.streaming import maintain as mt
 from barforge.streaming import storage as st
 
@@ -237,17 +238,27 @@ def q_backfill_gold(spark, sf_dir):
 
 
 def q_recover_gold(spark, sf_dir):
-    """The stream stops after its first part; a new query restarts from
-    the same checkpoint, catches up on the rest, then health checks run."""
+    """The stream stops after its first part; more raw files arrive while
+    it is down; ``recover`` restarts it from the same checkpoint, it catches
+    up, and the health checks must pass."""
     layout, src, chk = run_incremental(spark, sf_dir, "copies", "recover", stop_after=1)
     tagged = fixtures.bronze_parts(table(spark, sf_dir, "events"), "copies")
     for p in range(1, fixtures.part_count("copies")):
         tagged.filter(F.col("part") == p).drop("part").write.mode("append").parquet(src)
-    stream = spark.readStream.schema(RAW_SCHEMA).parquet(src)
-    mt.maintain(stream, layout, chk, trigger={"availableNow": True}).awaitTermination()
-    checks.enforce(checks.health_suite(status(spark, sf_dir).filter("doc_id = 1"),
+    name = f"maintain-{mt.stream_tag(chk)}"
+
+    def start():
+        stream = spark.readStream.schema(RAW_SCHEMA).parquet(src)
+        return mt.maintain(stream, layout, chk, trigger={"availableNow": True}, query_name=name)
+
+    def validate(query):
+        query.awaitTermination()
+        return lifecycle.health_checks(status(spark, sf_dir).filter("doc_id = 1"),
                                        read_bronze(spark, src), st.read_silver(spark, layout),
-                                       TRADES_AS_OF))
+                                       TRADES_AS_OF)
+
+    _, results = lifecycle.recover(spark, name, start, validate)
+    checks.enforce(results)
     return st.read_gold(spark, layout)
 
 

@@ -23,7 +23,9 @@ state store, so it is not bounded by executor memory.
 
 from __future__ import annotations
 
+import datetime as _dt
 import hashlib
+import uuid
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -31,8 +33,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-import datetime as _dt
-
 from barforge.functions.timefn import minute_bucket, ntz_literal
 from barforge.operators.gold import GOLD_COLUMNS, gold_trades_1m
 from barforge.operators.silver import (KEY, dedup_latest, parse_trades, silver_projection,
@@ -207,14 +207,29 @@ def maintain(stream: DataFrame, layout: Layout, checkpoint: str, trigger: dict |
     return writer.trigger(**(trigger or {"processingTime": "60 seconds"})).start()
 
 
-def rebuild(bronze: DataFrame, layout: Layout, mode: str = "strict") -> None:
-    """Recompute silver and gold from all raw rows (no date range) and
-    replace both tables."""
+def rebuild(bronze: DataFrame, layout: Layout, mode: str = "strict") -> str:
+    """Recompute silver and gold from all raw rows (no date range) into a
+    new version folder, then swap it in.
+
+    Readers never see a half-written table: the new version is complete
+    (``_SUCCESS``) before the live folder is renamed away and the new one
+    renamed in.  Run it with the maintenance stream stopped.  Returns the
+    version id; the replaced tables stay under ``_retired/<version>``.
+    """
     from barforge.operators.silver import silver_trades
     spark = bronze.sparkSession
+    version = uuid.uuid4().hex[:12]
+    fresh = Layout(layout.path("_rebuild", version), layout.id_block_size)
+    # De-dup first (map-side limited), then cluster by block: one file per
+    # block, and no block can be skewed (it holds at most N trade ids).
     silver = st.with_block(silver_trades(bronze, mode), layout.id_block_size)
-    (silver.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(*st.SILVER_PARTS).parquet(layout.silver))
-    gold = st.with_minute_date(gold_trades_1m(st.read_silver(spark, layout)))
-    (gold.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(*st.GOLD_PARTS).parquet(layout.gold))
+    (silver.repartition(*st.SILVER_PARTS).write.partitionBy(*st.SILVER_PARTS)
+     .parquet(fresh.silver))
+    gold = st.with_minute_date(gold_trades_1m(st.read_silver(spark, fresh)))
+    gold.repartition(*st.GOLD_PARTS).write.partitionBy(*st.GOLD_PARTS).parquet(fresh.gold)
+    for name in ("silver", "gold"):
+        live, new = layout.path(name), fresh.path(name)
+        if st.exists(spark, live):
+            st.rename(spark, live, layout.path("_retired", version, name))
+        st.rename(spark, new, live)
+    return version

@@ -42,6 +42,10 @@ class Layout:
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
 
+    @property
+    def bronze(self) -> str:
+        return self.path("bronze")
+
     @property
     def silver(self) -> str:
         return self.path("silver")
@@ -94,12 +98,47 @@ def with_minute_date(df: DataFrame) -> DataFrame:
     return df.withColumn("minute_date", F.col("minute_bucket").cast("date"))
 
 
-def bootstrap_layers(spark: SparkSession, layout: Layout) -> None:
-    """Create the derived tables when absent (empty, with schema); idempotent."""
-    for path, ddl, parts in ((layout.silver, SILVER_DDL, SILVER_PARTS),
-                             (layout.gold, GOLD_DDL, GOLD_PARTS)):
+BRONZE_DDL = "record_metadata variant, record_content variant, ingest_date date"
+# Schema and table names of the three layers.
+TABLE_NAMES = {"bronze": "bronze.trades_raw", "silver": "silver.trades_clean",
+               "gold": "gold.trades_1m"}
+
+
+def _layers(layout: Layout):
+    return (("bronze", layout.bronze, BRONZE_DDL, ("ingest_date",)),
+            ("silver", layout.silver, SILVER_DDL, SILVER_PARTS),
+            ("gold", layout.gold, GOLD_DDL, GOLD_PARTS))
+
+
+def bootstrap_layers(spark: SparkSession, layout: Layout, register: bool = False) -> None:
+    """Create the raw and derived tables when absent (empty, typed);
+    idempotent.  With ``register=True`` also ``CREATE SCHEMA/TABLE IF NOT
+    EXISTS`` them in the session catalog (external Parquet tables)."""
+    for _, path, ddl, parts in _layers(layout):
         if not exists(spark, path):
             spark.createDataFrame([], ddl).write.partitionBy(*parts).mode("overwrite").parquet(path)
+    if register:
+        for layer, path, ddl, parts in _layers(layout):
+            name = TABLE_NAMES[layer]
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.split('.')[0]}")
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet"
+                      f" PARTITIONED BY ({', '.join(parts)}) LOCATION '{path}'")
+        refresh_tables(spark)
+
+
+def refresh_tables(spark: SparkSession) -> None:
+    """Make registered tables see partitions written since the last call."""
+    for name in TABLE_NAMES.values():
+        if spark.catalog.tableExists(name):
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    fs, s = _fs(spark, src)
+    _, d = _fs(spark, dst)
+    fs.mkdirs(d.getParent())
+    if not fs.rename(s, d):
+        raise RuntimeError(f"rename {src} -> {dst} failed")
 
 
 def read_silver_stored(spark: SparkSession, layout: Layout) -> DataFrame:

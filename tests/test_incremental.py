@@ -117,3 +117,46 @@ def test_rebuild_equals_batch(spark):
     s_exp, g_exp = expected(spark)
     assert rows(stg.read_silver(spark, layout)) == s_exp
     assert rows(stg.read_gold(spark, layout)) == g_exp
+
+
+def test_rebuild_swaps_in_a_new_version(spark):
+    layout = new_layout(spark)
+    b = fixtures.bronze_from_events(events(spark))
+    v1 = mt.rebuild(b, layout)
+    v2 = mt.rebuild(b, layout)
+    assert v1 != v2 and stg.exists(spark, layout.path("_retired", v2, "silver"))
+    s_exp, g_exp = expected(spark)
+    assert rows(stg.read_silver(spark, layout)) == s_exp
+    assert rows(stg.read_gold(spark, layout)) == g_exp
+
+
+def test_registered_tables_follow_the_files(spark):
+    layout = new_layout(spark)
+    stg.bootstrap_layers(spark, layout, register=True)
+    mt.rebuild(fixtures.bronze_from_events(events(spark)), layout)
+    stg.refresh_tables(spark)
+    assert spark.table("gold.trades_1m").count() == len(expected(spark)[1])
+    for name in stg.TABLE_NAMES.values():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_status_document_from_live_queries(spark):
+    import json
+
+    from barforge.operators import checks
+    from barforge.streaming import lifecycle
+    src = os.path.join(fresh_dir(spark, "status"), "in")
+    spark.range(3).write.parquet(src)
+    q = (spark.readStream.schema("id long").parquet(src).writeStream.format("noop")
+         .queryName("status_probe").option("checkpointLocation", src + "_chk")
+         .trigger(processingTime="1 second").start())
+    try:
+        doc = json.loads(lifecycle.status_document("p", [q]))
+        assert doc["connector"]["state"] == "RUNNING" and doc["tasks"][0]["state"] == "RUNNING"
+        r = checks.check_pipeline_status(lifecycle.status_from_queries(spark, "p", [q])).first()
+        assert r.passed
+    finally:
+        assert lifecycle.stop_query(spark, "status_probe") is True
+    doc = json.loads(lifecycle.status_document("p", [q]))
+    assert doc["connector"]["state"] == "STOPPED"
+    assert lifecycle.stop_query(spark, "no-such-query") is False
