@@ -101,3 +101,22 @@ def test_properties_on_fixture(spark):
     assert tot.n == s.count() == 971
     assert tot.bad == 0
     assert g.count() == 843
+
+
+def test_cast_modes_hold_on_a_parquet_scan(spark, raw):
+    import os
+
+    import pytest
+
+    from barforge.session import fresh_dir
+    from barforge.sources.topic import read_bronze
+    path = os.path.join(fresh_dir(spark, "scan"), "bronze")
+    raw([(meta(T0), trade(t=1)), (meta(T0), trade(t="abc")), (meta(T0), trade(t="12", p="x"))]) \
+        .write.parquet(path)
+    b = read_bronze(spark, path)
+    got = sorted((r.trade_id, r.price) for r in parse_trades(b, "permissive").collect()
+                 if r.trade_id is not None)
+    assert got == [(1, Decimal("1.5")), (12, None)]
+    assert silver_trades(b, "permissive").count() == 1
+    with pytest.raises(Exception):
+        parse_trades(b, "strict").collect()
