@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from barforge.operators import admission, checks
 from barforge.operators.gold import gold_trades_1m
-from barforge.operators.silver import PARSED_COLUMNS, parse_trades, silver_trades, valid_trades
+from barforge.operators.silver import parse_trades, silver_trades, valid_trades
 from barforge.session import fresh_dir
 from barforge.sources import fixtures
 from barforge.sources.topic import RAW_SCHEMA, read_bronze, read_trades_stream, write_bronze

@@ -43,10 +43,19 @@ def stream_bars(raw_stream: DataFrame, delay: str = "10 minutes", mode: str = "p
                        *GOLD_COLUMNS[2:])
 
 
+def write_bars_final(bars: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Append-mode sink: a bar is written once, when the watermark passes its
+    minute (exactly-once file sink).  Bars still inside the watermark delay
+    are not written yet."""
+    return (bars.writeStream.outputMode("append").format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "60 seconds"})).start())
+
+
 def write_bars_log(bars: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """Update-mode sink: each micro-batch's changed bars go to ``batch=<id>``
     (overwritten on replay, so idempotent); :func:`read_bars` keeps the
-    latest version of each bar."""
+    latest version of each bar, so open minutes are visible too."""
     def run(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))

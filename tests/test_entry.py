@@ -28,3 +28,17 @@ def test_batch_plans_match_oracle(spark):
     names = sorted(set(E.queries()) - STREAMING)
     res = compare(spark, SF_SMALL, names, verbose=True)
     assert {k: v for k, v in res.items() if v != "match"} == {}
+
+
+def test_results_do_not_depend_on_the_session_zone(spark):
+    """Run the time-sensitive plans in a DST zone; they must still match."""
+    from oracle_compare import compare
+    names = ["silver_trades", "gold_trades_1m", "recent_activity", "bronze_recency",
+             "silver_lag", "layer_lag", "daily_summary", "daily_credits", "admit_trades"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        res = compare(spark, SF_SMALL, names, verbose=True)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert {k: v for k, v in res.items() if v != "match"} == {}
