@@ -16,7 +16,8 @@ from barforge.operators.gold import gold_trades_1m
 from barforge.operators.silver import parse_trades, silver_trades, valid_trades
 from barforge.session import fresh_dir
 from barforge.sources import fixtures
-from barforge.sources.topic import RAW_SCHEMA, read_bronze, read_trades_stream, write_bronze
+from barforge.sources.arrivals import Arrivals
+from barforge.sources.topic import read_bronze, read_trades_stream, write_bronze
 from barforge.streaming import bars as stream_bars_mod
 from barforge.streaming import lifecycle
 from barforge.streaming import maintain as mt
@@ -200,22 +201,29 @@ def q_check_failures(spark, sf_dir):
 
 # --- streaming ----------------------------------------------------------------
 
+# Poll interval while catching up (a zero interval busy-lists the folder).
+CATCH_UP = {"processingTime": "200 milliseconds"}
+
+
 def run_incremental(spark: SparkSession, sf_dir: str, split: str, name: str,
                     block_size: int = st.DEFAULT_BLOCK, stop_after: int | None = None,
-                    ) -> tuple[st.Layout, str, str]:
-    """Feed the raw layer to ``maintain`` part by part: each part is appended
-    to the source folder and the query catches up (``availableNow``), as new
-    files arriving between triggers would."""
+                    ) -> tuple[st.Layout, Arrivals, str]:
+    """Feed the raw layer to one ``maintain`` query part by part: each part
+    arrives in the watched folder and the query catches up before the next."""
     root = fresh_dir(spark, name)
     layout = st.Layout(os.path.join(root, "tables"), block_size)
-    src, chk = os.path.join(root, "bronze"), os.path.join(root, "checkpoint")
-    tagged = fixtures.bronze_parts(table(spark, sf_dir, "events"), split)
+    chk = os.path.join(root, "checkpoint")
+    arrivals = Arrivals(spark, fixtures.bronze_parts(table(spark, sf_dir, "events"), split), root)
     n = fixtures.part_count(split)
-    for p in range(n if stop_after is None else min(stop_after, n)):
-        tagged.filter(F.col("part") == p).drop("part").write.mode("append").parquet(src)
-        stream = spark.readStream.schema(RAW_SCHEMA).parquet(src)
-        mt.maintain(stream, layout, chk, trigger={"availableNow": True}).awaitTermination()
-    return layout, src, chk
+    q = mt.maintain(arrivals.stream(), layout, chk, trigger=CATCH_UP,
+                    query_name=f"maintain-{mt.stream_tag(chk)}")
+    try:
+        for p in range(n if stop_after is None else min(stop_after, n)):
+            arrivals.deliver(p)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    return layout, arrivals, chk
 
 
 def q_silver_incremental(spark, sf_dir):
@@ -241,24 +249,24 @@ def q_recover_gold(spark, sf_dir):
     """The stream stops after its first part; more raw files arrive while
     it is down; ``recover`` restarts it from the same checkpoint, it catches
     up, and the health checks must pass."""
-    layout, src, chk = run_incremental(spark, sf_dir, "copies", "recover", stop_after=1)
-    tagged = fixtures.bronze_parts(table(spark, sf_dir, "events"), "copies")
+    layout, arrivals, chk = run_incremental(spark, sf_dir, "copies", "recover", stop_after=1)
     for p in range(1, fixtures.part_count("copies")):
-        tagged.filter(F.col("part") == p).drop("part").write.mode("append").parquet(src)
+        arrivals.deliver(p)
     name = f"maintain-{mt.stream_tag(chk)}"
 
     def start():
-        stream = spark.readStream.schema(RAW_SCHEMA).parquet(src)
-        return mt.maintain(stream, layout, chk, trigger={"availableNow": True}, query_name=name)
+        return mt.maintain(arrivals.stream(), layout, chk, trigger=CATCH_UP, query_name=name)
 
     def validate(query):
-        query.awaitTermination()
+        query.processAllAvailable()
         return lifecycle.health_checks(status(spark, sf_dir).filter("doc_id = 1"),
-                                       read_bronze(spark, src), st.read_silver(spark, layout),
-                                       TRADES_AS_OF)
+                                       arrivals.read(), st.read_silver(spark, layout), TRADES_AS_OF)
 
-    _, results = lifecycle.recover(spark, name, start, validate)
-    checks.enforce(results)
+    query, results = lifecycle.recover(spark, name, start, validate)
+    try:
+        checks.enforce(results)
+    finally:
+        query.stop()
     return st.read_gold(spark, layout)
 
 

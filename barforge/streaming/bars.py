@@ -18,7 +18,6 @@ from barforge.functions.timefn import epoch_ntz, ntz_epoch_micros
 from barforge.operators.gold import GOLD_COLUMNS, bar_aggregates
 from barforge.operators.silver import dedup_latest, parse_trades, valid_trades
 from barforge.sources import fixtures
-from barforge.sources.topic import RAW_SCHEMA
 
 
 def to_instant(t):
@@ -74,12 +73,16 @@ def read_bars(spark: SparkSession, path: str) -> DataFrame:
 def run_stream_bars(spark: SparkSession, events: DataFrame, root: str,
                     delay: str = "10 minutes") -> DataFrame:
     """Feed originals in trade-time order, then the redelivered and stale
-    copies, one part per trigger; return the final bars."""
-    src, out, chk = (os.path.join(root, x) for x in ("raw", "bars", "checkpoint"))
-    tagged = fixtures.bronze_parts(events, "time_then_copies")
-    for p in range(fixtures.part_count("time_then_copies")):
-        tagged.filter(F.col("part") == p).drop("part").write.mode("append").parquet(src)
-        stream = spark.readStream.schema(RAW_SCHEMA).parquet(src)
-        write_bars_log(stream_bars(stream, delay), out, chk,
-                       trigger={"availableNow": True}).awaitTermination()
+    copies, one part per catch-up of a single query; return the final bars."""
+    from barforge.sources.arrivals import Arrivals
+    out, chk = os.path.join(root, "bars"), os.path.join(root, "checkpoint")
+    arrivals = Arrivals(spark, fixtures.bronze_parts(events, "time_then_copies"), root)
+    q = write_bars_log(stream_bars(arrivals.stream(), delay), out, chk,
+                       trigger={"processingTime": "200 milliseconds"})
+    try:
+        for p in range(fixtures.part_count("time_then_copies")):
+            arrivals.deliver(p)
+            q.processAllAvailable()
+    finally:
+        q.stop()
     return read_bars(spark, out)

@@ -106,13 +106,16 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
         current = st.read_silver_stored(spark, layout).filter(
             st.partition_filter(st.SILVER_PARTS, blocks))
         keys = incoming.select(*KEY, "id_block")
-        previous = current.join(keys, [*KEY, "id_block"], "left_semi")
+        # Stored rows of the batch's keys: at most one per incoming key.
+        previous = current.join(keys, [*KEY, "id_block"], "left_semi") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
         winners = dedup_latest(incoming.unionByName(previous))
         untouched = current.join(keys, [*KEY, "id_block"], "left_anti")
 
         touched = _touched_bars(previous).unionByName(_touched_bars(winners)).distinct()
         _stage(touched, f"{intents_root}/attempt={_attempt(spark, intents_root)}")
         _stage(untouched.unionByName(winners), blocks_path, st.SILVER_PARTS)
+        previous.unpersist()
     finally:
         incoming.unpersist()
     return blocks_path, intents_root
