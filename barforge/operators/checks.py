@@ -101,13 +101,29 @@ def bronze_trade_time(bronze: DataFrame, content: str = "record_content") -> Col
     return json_time_ntz(F.col(content), "T")
 
 
+def recent_raw(bronze: DataFrame, start: Column, ingest_days: int | None = None) -> DataFrame:
+    """Raw rows whose trade time is ``>= start``, as one column ``t``.
+
+    The trade time sits inside the payload, so this reads every raw row.
+    ``ingest_days`` (opt-in) also bounds the typed ``ingest_date`` partition
+    column to the last ``k`` days, pruning old raw partitions; it drops rows
+    whose trade time is recent but were ingested earlier (e.g. future-dated
+    trades), which the exact default counts.
+    """
+    df = bronze
+    if ingest_days is not None and "ingest_date" in bronze.columns:
+        df = df.filter(F.col("ingest_date") >= F.date_sub(start.cast("date"), int(ingest_days)))
+    return df.select(bronze_trade_time(df).alias("t")).filter(F.col("t") >= start)
+
+
 def check_bronze_recent(bronze: DataFrame, as_of=None,
-                        window_minutes: int = BRONZE_WINDOW_MINUTES) -> DataFrame:
+                        window_minutes: int = BRONZE_WINDOW_MINUTES,
+                        ingest_days: int | None = None) -> DataFrame:
     """M4: count and latest trade time of raw rows in the last ``max(w,1)`` minutes;
-    fail when there are none."""
+    fail when there are none.  See :func:`recent_raw` for ``ingest_days``."""
     w = clamp_window(window_minutes)
     start = minus_minutes(as_of_col(as_of), w)
-    t = bronze.select(bronze_trade_time(bronze).alias("t")).filter(F.col("t") >= start)
+    t = recent_raw(bronze, start, ingest_days)
     agg = t.agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("latest"))
     n = F.col("n")
     return _check(agg, "bronze_recent_rows", n, 0.0, n > 0,
@@ -135,12 +151,13 @@ def _tagged_counts(parts: list[tuple[str, DataFrame]]) -> DataFrame:
                        for tag, _ in parts])
 
 
-def daily_summary(bronze: DataFrame, silver: DataFrame, gold: DataFrame, as_of=None) -> DataFrame:
+def daily_summary(bronze: DataFrame, silver: DataFrame, gold: DataFrame, as_of=None,
+                  ingest_days: int | None = None) -> DataFrame:
     """M6: rows of each layer in the last day (bronze by trade time, silver by
     trade time, gold by minute bucket) and the report text."""
     start = minus_days(as_of_col(as_of), 1)
     parts = [
-        ("bronze_rows", bronze.select(bronze_trade_time(bronze).alias("t")).filter(F.col("t") >= start)),
+        ("bronze_rows", recent_raw(bronze, start, ingest_days)),
         ("silver_rows", silver.filter(F.col("trade_time") >= start)),
         ("gold_buckets", gold.filter(F.col("minute_bucket") >= start)),
     ]

@@ -54,6 +54,10 @@ def _stage(df: DataFrame, path: str, partition_by: tuple[str, ...] | None = None
     w = df
     if partition_by:
         w = w.repartition(*partition_by)
+        if "trade_time" in df.columns:
+            # Time-ordered files: row-group min/max on trade_time then prune
+            # the bar recompute and the time-window checks.
+            w = w.sortWithinPartitions(*partition_by, "trade_time")
     writer = w.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -142,6 +146,7 @@ def refresh_gold(spark: SparkSession, touched: DataFrame, batch_id: int, layout:
     # (bounded by distinct symbol-days, not by rows).
     info = touched.agg(F.min("minute_bucket").alias("lo"), F.max("minute_bucket").alias("hi"),
                        F.collect_set("symbol").alias("symbols"),
+                       F.collect_set("minute_date").alias("days"),
                        F.collect_set(F.struct(*st.GOLD_PARTS)).alias("parts")).first()
     if info.lo is None:
         return
@@ -149,6 +154,7 @@ def refresh_gold(spark: SparkSession, touched: DataFrame, batch_id: int, layout:
     if not st.complete(spark, gold_stage):
         silver = (st.read_silver_stored(spark, layout)
                   .filter(F.col("symbol").isin(list(info.symbols))
+                          & F.col("trade_date").isin(sorted(info.days))
                           & (F.col("trade_time") >= ntz_literal(info.lo))
                           & (F.col("trade_time") < ntz_literal(info.hi + _ONE_MINUTE))))
         rows = silver.withColumn("minute_bucket", minute_bucket(F.col("trade_time")))
@@ -226,8 +232,8 @@ def rebuild(bronze: DataFrame, layout: Layout, mode: str = "strict") -> str:
     # De-dup first (map-side limited), then cluster by block: one file per
     # block, and no block can be skewed (it holds at most N trade ids).
     silver = st.with_block(silver_trades(bronze, mode), layout.id_block_size)
-    (silver.repartition(*st.SILVER_PARTS).write.partitionBy(*st.SILVER_PARTS)
-     .parquet(fresh.silver))
+    (silver.repartition(*st.SILVER_PARTS).sortWithinPartitions(*st.SILVER_PARTS, "trade_time")
+     .write.partitionBy(*st.SILVER_PARTS).parquet(fresh.silver))
     gold = st.with_minute_date(gold_trades_1m(st.read_silver(spark, fresh)))
     gold.repartition(*st.GOLD_PARTS).write.partitionBy(*st.GOLD_PARTS).parquet(fresh.gold)
     for name in ("silver", "gold"):

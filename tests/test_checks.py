@@ -129,3 +129,24 @@ def test_daily_summary_and_layer_lag(spark, raw):
     assert (r["bronze_rows"], r["silver_rows"], r["gold_buckets"]) == (1, 1, 1)
     lag = first(checks.layer_lag(b, s, g, AS_OF))
     assert (lag["bronze_lag_seconds"], lag["silver_lag_seconds"], lag["gold_lag_seconds"]) == (2, 1, 60)
+
+
+def test_ingest_date_bound_prunes_raw_partitions(spark, raw):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from barforge.session import fresh_dir
+    from barforge.sources.topic import read_bronze
+    path = os.path.join(fresh_dir(spark, "ingest"), "bronze")
+    today = raw([(meta(T_AS_OF), trade(t=1, T=T_AS_OF - 1000))])
+    long_ago = raw([(meta(T_AS_OF), trade(t=2, T=T_AS_OF + 3600000))])   # future-dated trade
+    for df, day in ((today, "2024-01-01"), (long_ago, "2023-12-01")):
+        df.withColumn("ingest_date", F.lit(day).cast("date")).write.mode("append") \
+            .partitionBy("ingest_date").parquet(path)
+    b = read_bronze(spark, path)
+    assert first(checks.check_bronze_recent(b, AS_OF))["observed"] == 2.0      # exact default
+    pruned = checks.check_bronze_recent(b, AS_OF, ingest_days=1)
+    assert first(pruned)["observed"] == 1.0
+    p = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in p
