@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from barforge.operators import admission, checks
 from barforge.operators.gold import gold_trades_1m
 from barforge.operators.silver import parse_trades, silver_trades, valid_trades
-from barforge.session import fresh_dir
+from barforge.session import fresh_dir, written_table
 from barforge.sources import fixtures
 from barforge.sources.arrivals import Arrivals
 from barforge.sources.topic import read_bronze, read_trades_stream, write_bronze
@@ -162,16 +162,19 @@ def q_silver_lag(spark, sf_dir):
     return checks.check_silver_lag(silver(spark, sf_dir), TRADES_AS_OF)
 
 
+def layers(spark, sf_dir):
+    """Raw, silver and gold as stored tables (each computed once)."""
+    b = written_table(bronze(spark, sf_dir), "bronze")
+    s = written_table(silver_trades(b), "silver")
+    return b, s, written_table(gold_trades_1m(s), "gold")
+
+
 def q_layer_lag(spark, sf_dir):
-    b = bronze(spark, sf_dir)
-    s = silver_trades(b)
-    return checks.layer_lag(b, s, gold_trades_1m(s), TRADES_AS_OF)
+    return checks.layer_lag(*layers(spark, sf_dir), TRADES_AS_OF)
 
 
 def q_daily_summary(spark, sf_dir):
-    b = bronze(spark, sf_dir)
-    s = silver_trades(b)
-    return checks.daily_summary(b, s, gold_trades_1m(s), TRADES_AS_OF)
+    return checks.daily_summary(*layers(spark, sf_dir), TRADES_AS_OF)
 
 
 def q_daily_credits(spark, sf_dir):
@@ -183,17 +186,17 @@ def q_pipeline_status(spark, sf_dir):
 
 
 def q_quality_suite(spark, sf_dir):
-    return checks.quality_suite(silver(spark, sf_dir), TRADES_AS_OF)
+    return checks.quality_suite(written_table(silver(spark, sf_dir), "silver"), TRADES_AS_OF)
 
 
 def q_health_suite(spark, sf_dir):
-    b = bronze(spark, sf_dir)
+    b = written_table(bronze(spark, sf_dir), "bronze")
     return checks.health_suite(status(spark, sf_dir), b, silver_trades(b), TRADES_AS_OF)
 
 
 def q_check_failures(spark, sf_dir):
-    b = bronze(spark, sf_dir)
-    s = silver_trades(b)
+    b = written_table(bronze(spark, sf_dir), "bronze")
+    s = written_table(silver_trades(b), "silver")
     results = checks.quality_suite(s, TRADES_AS_OF, min_rows=100).unionByName(
         checks.health_suite(status(spark, sf_dir), b, s, TRADES_AS_OF))
     return checks.failures(results, RUN_ID)

@@ -77,3 +77,15 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
         return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
     import uuid
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def written_table(df, name: str):
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    Cuts lineage the way a stored table does: later plans scan the files
+    (with pruning and pushdown) instead of recomputing ``df``, and an
+    executor loss cannot lose it.
+    """
+    path = os.path.join(fresh_dir(df.sparkSession, name), "data")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
