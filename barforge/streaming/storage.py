@@ -110,11 +110,16 @@ def _layers(layout: Layout):
             ("gold", layout.gold, GOLD_DDL, GOLD_PARTS))
 
 
-def bootstrap_layers(spark: SparkSession, layout: Layout, register: bool = False) -> None:
+def bootstrap_layers(spark: SparkSession, layout: Layout, register: bool = False,
+                     raw: bool = True) -> None:
     """Create the raw and derived tables when absent (empty, typed);
     idempotent.  With ``register=True`` also ``CREATE SCHEMA/TABLE IF NOT
-    EXISTS`` them in the session catalog (external Parquet tables)."""
-    for _, path, ddl, parts in _layers(layout):
+    EXISTS`` them in the session catalog (external Parquet tables).
+    ``raw=False`` leaves the raw folder to a streaming sink, which creates
+    it with its own commit log."""
+    for layer, path, ddl, parts in _layers(layout):
+        if layer == "bronze" and not raw:
+            continue
         if not exists(spark, path):
             spark.createDataFrame([], ddl).write.partitionBy(*parts).mode("overwrite").parquet(path)
     if register:
