@@ -185,11 +185,12 @@ def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "de
     touched = _read_intents(spark, intents_root)
     if touched is not None:
         refresh_gold(spark, touched, batch_id, layout, tag)
-    # Staging of earlier batches of this stream is no longer needed.
-    for d in st.list_dirs(spark, layout.path("_staging", tag)):
-        name = d.rstrip("/").rsplit("/", 1)[-1]
-        if name.isdigit() and int(name) < batch_id:
-            st.delete(spark, d)
+    # Staging and intents of earlier batches of this stream are no longer needed.
+    for folder in (layout.path("_staging", tag), layout.path("_touched", tag)):
+        for d in st.list_dirs(spark, folder):
+            name = d.rstrip("/").rsplit("/", 1)[-1]
+            if name.isdigit() and int(name) < batch_id:
+                st.delete(spark, d)
 
 
 def stream_tag(checkpoint: str) -> str:

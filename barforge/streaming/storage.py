@@ -117,6 +117,7 @@ def bootstrap_layers(spark: SparkSession, layout: Layout, register: bool = False
     EXISTS`` them in the session catalog (external Parquet tables).
     ``raw=False`` leaves the raw folder to a streaming sink, which creates
     it with its own commit log."""
+    check_layout(spark, layout)
     for layer, path, ddl, parts in _layers(layout):
         if layer == "bronze" and not raw:
             continue
@@ -131,6 +132,19 @@ def bootstrap_layers(spark: SparkSession, layout: Layout, register: bool = False
         refresh_tables(spark)
 
 
+def check_layout(spark: SparkSession, layout: Layout) -> None:
+    """Record the block size on first use and refuse a different one later:
+    the key -> block mapping must never change for stored rows."""
+    marker = layout.path("_layout", f"id_block_size={layout.id_block_size}")
+    found = [d.rstrip("/").rsplit("/", 1)[-1] for d in list_dirs(spark, layout.path("_layout"))]
+    if not found:
+        fs, p = _fs(spark, marker)
+        fs.mkdirs(p)
+    elif found != [f"id_block_size={layout.id_block_size}"]:
+        raise ValueError(f"layout {layout.root} was created with {found[0]}, "
+                         f"not id_block_size={layout.id_block_size}")
+
+
 def refresh_tables(spark: SparkSession) -> None:
     """Make registered tables see partitions written since the last call."""
     for name in TABLE_NAMES.values():

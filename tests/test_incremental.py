@@ -160,3 +160,11 @@ def test_status_document_from_live_queries(spark):
     doc = json.loads(lifecycle.status_document("p", [q]))
     assert doc["connector"]["state"] == "STOPPED"
     assert lifecycle.stop_query(spark, "no-such-query") is False
+
+
+def test_block_size_is_fixed_per_layout(spark):
+    import pytest
+    layout = new_layout(spark, block=300)
+    stg.bootstrap_layers(spark, layout)
+    with pytest.raises(ValueError, match="id_block_size=300"):
+        stg.bootstrap_layers(spark, stg.Layout(layout.root, 500))
