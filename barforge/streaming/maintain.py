@@ -8,9 +8,10 @@ Per batch:
 2. the stored rows of the same keys are read from the touched
    ``(symbol, id_block)`` partitions only, merged with the same total order
    as the batch rebuild, and the touched blocks are staged;
-3. the touched bars -- minutes of replaced rows *and* of winning rows, so a
-   copy that moved to another minute shrinks the old bar -- are written as
-   an intent record before anything is published;
+3. the rows being replaced are staged with them (tagged by role), so the
+   touched bars -- minutes of replaced rows *and* of winning rows, so a copy
+   that moved to another minute shrinks the old bar -- stay known after the
+   blocks are published;
 4. staged blocks replace their partitions (dynamic overwrite);
 5. touched bars are recomputed from silver (MIN/MAX cannot be retracted)
    and replace their keys in gold; bars that became empty disappear.
@@ -26,7 +27,6 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import uuid
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -89,15 +89,21 @@ def _staged_partitions(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     return out
 
 
+# Role of a staged silver row: kept as is, the batch's winner for its key, or
+# the stored version it replaces (staged only to know which bars it left).
+KEPT, WINNER, REPLACED = "kept", "winner", "replaced"
+STAGED_DDL = st.SILVER_DDL + ", role string"
+
+
 def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
-                 mode: str = "permissive") -> tuple[str, str] | None:
-    """Steps 1-3: stage the new content of touched silver blocks and the
-    touched bars.  Returns (blocks path, intents path) or None for an empty batch."""
+                 mode: str = "permissive") -> str | None:
+    """Steps 1-3: stage the new content of the touched silver blocks, plus the
+    rows it replaces, in one durable write.  Returns the staged path, or None
+    for a batch without valid rows."""
     spark = batch.sparkSession
     blocks_path = layout.staging(tag, batch_id, "silver_blocks")
-    intents_root = layout.intents(tag, batch_id)
     if st.complete(spark, blocks_path):
-        return blocks_path, intents_root                # replay: publish what was staged
+        return blocks_path                              # replay: publish what was staged
 
     # Cached, not staged: a lost cache block is recomputed from the batch's
     # source files, which stay in place until the batch commits.
@@ -107,41 +113,33 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
         blocks = _distinct_keys(incoming, st.SILVER_PARTS)
         if not blocks:
             return None
-        current = st.read_silver_stored(spark, layout).filter(
-            st.partition_filter(st.SILVER_PARTS, blocks))
-        keys = incoming.select(*KEY, "id_block")
-        # Stored rows of the batch's keys: at most one per incoming key.
-        previous = current.join(keys, [*KEY, "id_block"], "left_semi") \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        current = st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS, blocks)
+        on = [*KEY, "id_block"]
+        keys = incoming.select(*on)
+        previous = current.join(keys, on, "left_semi")           # at most one per incoming key
         winners = dedup_latest(incoming.unionByName(previous))
-        untouched = current.join(keys, [*KEY, "id_block"], "left_anti")
-
-        touched = _touched_bars(previous).unionByName(_touched_bars(winners)).distinct()
-        _stage(touched, f"{intents_root}/attempt={_attempt(spark, intents_root)}")
-        _stage(untouched.unionByName(winners), blocks_path, st.SILVER_PARTS)
-        previous.unpersist()
+        untouched = current.join(keys, on, "left_anti")
+        staged = (untouched.withColumn("role", F.lit(KEPT))
+                  .unionByName(winners.withColumn("role", F.lit(WINNER)))
+                  .unionByName(previous.withColumn("role", F.lit(REPLACED))))
+        _stage(staged, blocks_path, st.SILVER_PARTS)
     finally:
         incoming.unpersist()
-    return blocks_path, intents_root
-
-
-def _attempt(spark: SparkSession, intents_root: str) -> int:
-    return len(st.list_dirs(spark, intents_root))
+    return blocks_path
 
 
-def _read_intents(spark: SparkSession, intents_root: str) -> DataFrame | None:
-    done = [d for d in st.list_dirs(spark, intents_root) if st.complete(spark, d)]
-    if not done:
-        return None
-    frames = [spark.read.schema("symbol string, minute_bucket timestamp_ntz").parquet(d) for d in done]
-    return reduce(DataFrame.unionByName, frames).distinct()
+def touched_bars(spark: SparkSession, blocks_path: str) -> DataFrame:
+    """Bars a staged batch touches: minutes of its winners and of the rows
+    they replace (a copy that moved minute shrinks its old bar)."""
+    staged = spark.read.schema(STAGED_DDL).parquet(blocks_path)
+    return _touched_bars(staged.filter(F.col("role") != KEPT)).distinct()
 
 
 def refresh_gold(spark: SparkSession, touched: DataFrame, batch_id: int, layout: Layout,
                  tag: str) -> None:
     """Step 5: recompute touched bars from silver and replace them in gold."""
     gold_stage = layout.staging(tag, batch_id, "gold_parts")
-    touched = st.with_minute_date(touched)
+    touched = st.with_minute_date(touched).persist(StorageLevel.MEMORY_AND_DISK)
     # One small aggregate: time range, symbols and symbol-days touched
     # (bounded by distinct symbol-days, not by rows).
     info = touched.agg(F.min("minute_bucket").alias("lo"), F.max("minute_bucket").alias("hi"),
@@ -152,19 +150,22 @@ def refresh_gold(spark: SparkSession, touched: DataFrame, batch_id: int, layout:
         return
     parts = [tuple(p) for p in info.parts]
     if not st.complete(spark, gold_stage):
-        silver = (st.read_silver_stored(spark, layout)
-                  .filter(F.col("symbol").isin(list(info.symbols))
-                          & F.col("trade_date").isin(sorted(info.days))
+        # The gold stage completes before anything in gold is replaced, so a
+        # replay either re-publishes it or recomputes it from scratch.
+        symbols = [(sym,) for sym in info.symbols]
+        silver = (st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS, symbols)
+                  .filter(F.col("trade_date").isin(sorted(info.days))
                           & (F.col("trade_time") >= ntz_literal(info.lo))
                           & (F.col("trade_time") < ntz_literal(info.hi + _ONE_MINUTE))))
         rows = silver.withColumn("minute_bucket", minute_bucket(F.col("trade_time")))
         rows = rows.join(touched.select(*TOUCHED), list(TOUCHED), "left_semi").drop("minute_bucket")
         bars = st.with_minute_date(gold_trades_1m(rows))
-        current = st.read_gold_stored(spark, layout).filter(st.partition_filter(st.GOLD_PARTS, parts))
+        current = st.read_partitions(spark, layout.gold, st.GOLD_DDL, st.GOLD_PARTS, parts)
         kept = current.join(touched.select(*TOUCHED), list(TOUCHED), "left_anti")
         _stage(kept.unionByName(bars.select(*GOLD_COLUMNS, "minute_date")), gold_stage, st.GOLD_PARTS)
+    touched.unpersist()
 
-    _publish(spark.read.parquet(gold_stage), layout.gold, st.GOLD_PARTS)
+    _publish(spark.read.schema(st.GOLD_DDL).parquet(gold_stage), layout.gold, st.GOLD_PARTS)
     # A symbol-day whose bars all moved away has no output row, so dynamic
     # overwrite would leave it in place: remove such partitions explicitly.
     present = set(_staged_partitions(spark, gold_stage))
@@ -177,20 +178,17 @@ def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "de
                  mode: str = "permissive") -> None:
     """One micro-batch of T1 + T2 (see module doc)."""
     spark = batch.sparkSession
-    staged = stage_silver(batch, batch_id, layout, tag, mode)
-    if staged is None:
+    blocks_path = stage_silver(batch, batch_id, layout, tag, mode)
+    if blocks_path is None:
         return
-    blocks_path, intents_root = staged
-    _publish(spark.read.parquet(blocks_path), layout.silver, st.SILVER_PARTS)
-    touched = _read_intents(spark, intents_root)
-    if touched is not None:
-        refresh_gold(spark, touched, batch_id, layout, tag)
-    # Staging and intents of earlier batches of this stream are no longer needed.
-    for folder in (layout.path("_staging", tag), layout.path("_touched", tag)):
-        for d in st.list_dirs(spark, folder):
-            name = d.rstrip("/").rsplit("/", 1)[-1]
-            if name.isdigit() and int(name) < batch_id:
-                st.delete(spark, d)
+    staged = spark.read.schema(STAGED_DDL).parquet(blocks_path)
+    _publish(staged.filter(F.col("role") != REPLACED).drop("role"), layout.silver, st.SILVER_PARTS)
+    refresh_gold(spark, touched_bars(spark, blocks_path), batch_id, layout, tag)
+    # Staging of earlier batches of this stream is no longer needed.
+    for d in st.list_dirs(spark, layout.path("_staging", tag)):
+        name = d.rstrip("/").rsplit("/", 1)[-1]
+        if name.isdigit() and int(name) < batch_id:
+            st.delete(spark, d)
 
 
 def stream_tag(checkpoint: str) -> str:

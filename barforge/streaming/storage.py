@@ -57,8 +57,6 @@ class Layout:
     def staging(self, tag: str, batch_id: int, name: str) -> str:
         return self.path("_staging", tag, str(batch_id), name)
 
-    def intents(self, tag: str, batch_id: int) -> str:
-        return self.path("_touched", tag, str(batch_id))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -178,6 +176,26 @@ def read_gold(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_gold_stored(spark, layout).select(*GOLD_COLUMNS)
 
 
+def partition_path(table: str, names: tuple[str, ...], values: tuple) -> str:
+    return os.path.join(table, *[f"{n}={v}" for n, v in zip(names, values)])
+
+
+def read_partitions(spark: SparkSession, table: str, ddl: str, names: tuple[str, ...],
+                    values: list[tuple]) -> DataFrame:
+    """Read only the listed partitions of a path-based table.
+
+    A path-based table lists every partition folder on each read before any
+    filter applies; naming the touched folders keeps listing proportional to
+    the partitions a batch touches, not to the table.  Missing folders (new
+    partitions) are skipped; ``values`` may name a prefix of ``names``.
+    """
+    paths = [p for p in (partition_path(table, names, v) for v in sorted(set(values)))
+             if exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).option("basePath", table).parquet(*paths)
+
+
 def partition_filter(names: tuple[str, ...], values: list[tuple]) -> Column:
     """Literal predicate over partition columns, so the scan prunes directories.
 

@@ -80,8 +80,9 @@ def test_crash_after_silver_publish_is_repaired_by_replay(spark):
     layout = new_layout(spark)
     mt.upsert_batch(tagged.filter("part = 0").drop("part"), 0, layout, "t")
     batch = tagged.filter("part = 1").drop("part")
-    staged = mt.stage_silver(batch, 1, layout, "t")
-    mt._publish(spark.read.parquet(staged[0]), layout.silver, stg.SILVER_PARTS)
+    staged = spark.read.schema(mt.STAGED_DDL).parquet(mt.stage_silver(batch, 1, layout, "t"))
+    mt._publish(staged.filter(F.col("role") != mt.REPLACED).drop("role"), layout.silver,
+                stg.SILVER_PARTS)
     # ... the job dies here, before gold; the stream re-runs batch 1
     mt.upsert_batch(batch, 1, layout, "t")
     mt.upsert_batch(tagged.filter("part = 2").drop("part"), 2, layout, "t")
