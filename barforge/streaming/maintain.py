@@ -13,8 +13,10 @@ Per batch:
    that moved to another minute shrinks the old bar -- stay known after the
    blocks are published;
 4. staged blocks replace their partitions (dynamic overwrite);
-5. touched bars are recomputed from silver (MIN/MAX cannot be retracted)
-   and replace their keys in gold; bars that became empty disappear.
+5. touched bars are updated from the batch delta: counts and exact decimal
+   sums (including the price sum behind the mean) are retractable; MIN/MAX
+   are not, so only bars where a replaced row held an extreme are
+   recomputed from their silver rows.  Bars that became empty disappear.
 
 Keep-latest is a per-key maximum under a total order, so applying a batch
 twice, or after a partial publish, gives the same tables: a replayed batch
@@ -33,8 +35,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from functools import reduce
+
+from barforge.functions.decimal import exact_product
 from barforge.functions.timefn import minute_bucket, ntz_literal
-from barforge.operators.gold import GOLD_COLUMNS, gold_trades_1m
 from barforge.operators.silver import (KEY, dedup_latest, parse_trades, silver_projection,
                                        valid_trades)
 from barforge.streaming import storage as st
@@ -65,10 +69,6 @@ def _stage(df: DataFrame, path: str, partition_by: tuple[str, ...] | None = None
     return spark.read.parquet(path)
 
 
-def _touched_bars(rows: DataFrame) -> DataFrame:
-    return rows.select("symbol", minute_bucket(F.col("trade_time")).alias("minute_bucket"))
-
-
 def _publish(df: DataFrame, path: str, parts: tuple[str, ...]) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
@@ -128,42 +128,107 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
     return blocks_path
 
 
-def touched_bars(spark: SparkSession, blocks_path: str) -> DataFrame:
-    """Bars a staged batch touches: minutes of its winners and of the rows
-    they replace (a copy that moved minute shrinks its old bar)."""
-    staged = spark.read.schema(STAGED_DDL).parquet(blocks_path)
-    return _touched_bars(staged.filter(F.col("role") != KEPT)).distinct()
-
-
-def refresh_gold(spark: SparkSession, touched: DataFrame, batch_id: int, layout: Layout,
+BAR_SUMS = ("trade_count", "total_quantity", "total_notional", "sum_price")
+BAR_EXTREMES = (("min_price", F.min), ("max_price", F.max),
+                ("first_trade_time", F.min), ("last_trade_time", F.max))
+
+
+def bar_changes(staged: DataFrame) -> DataFrame:
+    """Per touched bar: signed sums of the batch's winners (+) and of the rows
+    they replace (-), extremes of the winners, and extremes of the replaced
+    rows (``gone_*``).  Batch-sized."""
+    win = F.col("role") == WINNER
+    c = staged.filter(F.col("role") != KEPT).select(
+        "symbol", minute_bucket(F.col("trade_time")).alias("minute_bucket"), "role", "price",
+        "quantity", "trade_time", exact_product(F.col("price"), F.col("quantity")).alias("notional"))
+
+    def signed(x):
+        return F.when(win, x).otherwise(-x)
+
+    return c.groupBy(*TOUCHED).agg(
+        F.sum(F.when(win, 1).otherwise(-1)).cast("bigint").alias("trade_count"),
+        F.sum(signed(F.col("quantity"))).alias("total_quantity"),
+        F.sum(signed(F.col("notional"))).alias("total_notional"),
+        F.sum(signed(F.col("price"))).alias("sum_price"),
+        *[fn(F.when(win, F.col(src))).alias(name)
+          for name, fn, src in (("min_price", F.min, "price"), ("max_price", F.max, "price"),
+                                ("first_trade_time", F.min, "trade_time"),
+                                ("last_trade_time", F.max, "trade_time"))],
+        *[fn(F.when(~win, F.col(src))).alias(f"gone_{name}")
+          for name, fn, src in (("min_price", F.min, "price"), ("max_price", F.max, "price"),
+                                ("first_trade_time", F.min, "trade_time"),
+                                ("last_trade_time", F.max, "trade_time"))],
+    )
+
+
+def merge_bars(current: DataFrame, changes: DataFrame) -> DataFrame:
+    """Stored bars + batch changes -> new bars, flagged ``stale`` where a
+    replaced row held an extreme (MIN/MAX cannot be retracted) or the stored
+    state does not cover what is being removed.  Sums are exact decimals."""
+    gone = [f"gone_{n}" for n, _ in BAR_EXTREMES]
+    stored = current.select(*TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
+                            *[F.lit(None).alias(g) for g in gone], F.lit(True).alias("_stored"))
+    delta = changes.select(*TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES], *gone,
+                           F.lit(False).alias("_stored"))
+    u = stored.unionByName(delta)
+    s = F.col("_stored")
+    m = u.groupBy(*TOUCHED).agg(
+        *[F.sum(n).alias(n) for n in BAR_SUMS],
+        *[fn(n).alias(n) for n, fn in BAR_EXTREMES],
+        *[fn(F.when(s, F.col(n))).alias(f"old_{n}") for n, fn in BAR_EXTREMES],
+        *[fn(F.when(~s, F.col(n))).alias(f"win_{n}") for n, fn in BAR_EXTREMES],
+        *[fn(F.col(f"gone_{n}")).alias(f"gone_{n}") for n, fn in BAR_EXTREMES],
+        F.max(s.cast("int")).alias("_had_row"))
+
+    def lost(n, fn):
+        # The stored extreme may be gone when a replaced row reached it, unless
+        # a winner of the same bar reaches it too (then the new extreme is
+        # exactly the merged one).
+        reaches = (lambda a, b: a <= b) if fn is F.min else (lambda a, b: a >= b)
+        gone_hit = F.coalesce(reaches(F.col(f"gone_{n}"), F.col(f"old_{n}")), F.lit(False))
+        win_hit = F.coalesce(reaches(F.col(f"win_{n}"), F.col(f"old_{n}")), F.lit(False))
+        return gone_hit & ~win_hit
+
+    lost_extreme = reduce(lambda a, b: a | b, [lost(n, fn) for n, fn in BAR_EXTREMES])
+    inconsistent = (F.col("trade_count") < 0) | (
+        F.col("gone_min_price").isNotNull() & F.coalesce(F.col("_had_row") == 0, F.lit(True)))
+    return m.select(
+        *TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
+        (lost_extreme | inconsistent).alias("stale"))
+
+
+def refresh_gold(spark: SparkSession, blocks_path: str, batch_id: int, layout: Layout,
                  tag: str) -> None:
-    """Step 5: recompute touched bars from silver and replace them in gold."""
+    """Step 5: merge the batch's bar changes into the touched gold partitions.
+
+    Only bars flagged stale are recomputed from silver (their rows only);
+    all others come from stored bars plus the batch delta, so the common
+    case reads no silver at all.  Bars whose count drops to zero disappear.
+    """
     gold_stage = layout.staging(tag, batch_id, "gold_parts")
-    touched = st.with_minute_date(touched).persist(StorageLevel.MEMORY_AND_DISK)
-    # One small aggregate: time range, symbols and symbol-days touched
-    # (bounded by distinct symbol-days, not by rows).
-    info = touched.agg(F.min("minute_bucket").alias("lo"), F.max("minute_bucket").alias("hi"),
-                       F.collect_set("symbol").alias("symbols"),
-                       F.collect_set("minute_date").alias("days"),
-                       F.collect_set(F.struct(*st.GOLD_PARTS)).alias("parts")).first()
-    if info.lo is None:
-        return
-    parts = [tuple(p) for p in info.parts]
-    if not st.complete(spark, gold_stage):
-        # The gold stage completes before anything in gold is replaced, so a
-        # replay either re-publishes it or recomputes it from scratch.
-        symbols = [(sym,) for sym in info.symbols]
-        silver = (st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS, symbols)
-                  .filter(F.col("trade_date").isin(sorted(info.days))
-                          & (F.col("trade_time") >= ntz_literal(info.lo))
-                          & (F.col("trade_time") < ntz_literal(info.hi + _ONE_MINUTE))))
-        rows = silver.withColumn("minute_bucket", minute_bucket(F.col("trade_time")))
-        rows = rows.join(touched.select(*TOUCHED), list(TOUCHED), "left_semi").drop("minute_bucket")
-        bars = st.with_minute_date(gold_trades_1m(rows))
-        current = st.read_partitions(spark, layout.gold, st.GOLD_DDL, st.GOLD_PARTS, parts)
-        kept = current.join(touched.select(*TOUCHED), list(TOUCHED), "left_anti")
-        _stage(kept.unionByName(bars.select(*GOLD_COLUMNS, "minute_date")), gold_stage, st.GOLD_PARTS)
-    touched.unpersist()
+    changes = st.with_minute_date(
+        bar_changes(spark.read.schema(STAGED_DDL).parquet(blocks_path))
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        parts = _distinct_keys(changes, st.GOLD_PARTS)
+        if not parts:
+            return
+        if not st.complete(spark, gold_stage):
+            # The gold stage completes before anything in gold is replaced,
+            # so a replay either re-publishes it or recomputes it from scratch.
+            current = st.read_partitions(spark, layout.gold, st.GOLD_DDL, st.GOLD_PARTS, parts)
+            merged = merge_bars(current, changes).persist(StorageLevel.MEMORY_AND_DISK)
+            stale = st.with_minute_date(merged.filter(F.col("stale") & (F.col("trade_count") > 0))
+                                        .select(*TOUCHED))
+            fresh = merged.filter(~F.col("stale") & (F.col("trade_count") > 0)).select(
+                *TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
+                (F.col("sum_price") / F.col("trade_count")).cast("decimal(38,18)").alias("avg_price"))
+            out = st.with_minute_date(fresh).select(*st.GOLD_STORED)
+            out = out.unionByName(_recompute(spark, layout, stale))
+            _stage(out, gold_stage, st.GOLD_PARTS)
+            merged.unpersist()
+    finally:
+        changes.unpersist()
 
     _publish(spark.read.schema(st.GOLD_DDL).parquet(gold_stage), layout.gold, st.GOLD_PARTS)
     # A symbol-day whose bars all moved away has no output row, so dynamic
@@ -174,6 +239,24 @@ def refresh_gold(spark: SparkSession, touched: DataFrame, batch_id: int, layout:
             st.delete(spark, layout.path("gold", f"minute_date={day}", f"symbol={symbol}"))
 
 
+def _recompute(spark: SparkSession, layout: Layout, stale: DataFrame) -> DataFrame:
+    """Full bars for the stale keys, from the silver rows of those bars only
+    (symbol folders, touched days and time range prune the scan)."""
+    info = stale.agg(F.min("minute_bucket").alias("lo"), F.max("minute_bucket").alias("hi"),
+                     F.collect_set("symbol").alias("symbols"),
+                     F.collect_set("minute_date").alias("days")).first()
+    if info.lo is None:
+        return spark.createDataFrame([], st.GOLD_DDL)
+    silver = (st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS,
+                                 [(sym,) for sym in info.symbols])
+              .filter(F.col("trade_date").isin(sorted(info.days))
+                      & (F.col("trade_time") >= ntz_literal(info.lo))
+                      & (F.col("trade_time") < ntz_literal(info.hi + _ONE_MINUTE))))
+    rows = silver.withColumn("minute_bucket", minute_bucket(F.col("trade_time")))
+    rows = rows.join(stale.select(*TOUCHED), list(TOUCHED), "left_semi").drop("minute_bucket")
+    return st.stored_bars(rows).select(*st.GOLD_STORED)
+
+
 def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "default",
                  mode: str = "permissive") -> None:
     """One micro-batch of T1 + T2 (see module doc)."""
@@ -183,7 +266,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "de
         return
     staged = spark.read.schema(STAGED_DDL).parquet(blocks_path)
     _publish(staged.filter(F.col("role") != REPLACED).drop("role"), layout.silver, st.SILVER_PARTS)
-    refresh_gold(spark, touched_bars(spark, blocks_path), batch_id, layout, tag)
+    refresh_gold(spark, blocks_path, batch_id, layout, tag)
     # Staging of earlier batches of this stream is no longer needed.
     for d in st.list_dirs(spark, layout.path("_staging", tag)):
         name = d.rstrip("/").rsplit("/", 1)[-1]
@@ -233,7 +316,7 @@ def rebuild(bronze: DataFrame, layout: Layout, mode: str = "strict") -> str:
     silver = st.with_block(silver_trades(bronze, mode), layout.id_block_size)
     (silver.repartition(*st.SILVER_PARTS).sortWithinPartitions(*st.SILVER_PARTS, "trade_time")
      .write.partitionBy(*st.SILVER_PARTS).parquet(fresh.silver))
-    gold = st.with_minute_date(gold_trades_1m(st.read_silver(spark, fresh)))
+    gold = st.stored_bars(st.read_silver(spark, fresh))
     gold.repartition(*st.GOLD_PARTS).write.partitionBy(*st.GOLD_PARTS).parquet(fresh.gold)
     for name in ("silver", "gold"):
         live, new = layout.path(name), fresh.path(name)

@@ -23,10 +23,14 @@ SILVER_DDL = ("event_type string, event_time timestamp_ntz, symbol string, trade
               " price decimal(38,18), quantity decimal(38,18), buyer_order_id bigint,"
               " seller_order_id bigint, trade_time timestamp_ntz, is_maker boolean,"
               " ingested_at timestamp_ntz, trade_date date, id_block bigint")
+# Stored gold keeps the exact price sum next to the public columns, so the
+# mean can be maintained from deltas.
 GOLD_DDL = ("symbol string, minute_bucket timestamp_ntz, trade_count bigint,"
             " total_quantity decimal(38,18), total_notional decimal(38,18),"
             " avg_price decimal(38,18), min_price decimal(38,18), max_price decimal(38,18),"
-            " first_trade_time timestamp_ntz, last_trade_time timestamp_ntz, minute_date date")
+            " first_trade_time timestamp_ntz, last_trade_time timestamp_ntz,"
+            " sum_price decimal(38,18), minute_date date")
+GOLD_STORED = GOLD_COLUMNS + ("sum_price", "minute_date")
 SILVER_PARTS = ("symbol", "id_block")
 GOLD_PARTS = ("minute_date", "symbol")
 DEFAULT_BLOCK = 1_000_000
@@ -96,6 +100,14 @@ def with_minute_date(df: DataFrame) -> DataFrame:
     return df.withColumn("minute_date", F.col("minute_bucket").cast("date"))
 
 
+def stored_bars(silver: DataFrame) -> DataFrame:
+    """Gold bars in their stored form (public columns + ``sum_price`` + ``minute_date``)."""
+    from barforge.operators.gold import GOLD_KEY, bar_aggregates, with_minute
+    rows = with_minute(silver)
+    bars = rows.groupBy(*GOLD_KEY).agg(*bar_aggregates(), F.sum("price").alias("sum_price"))
+    return with_minute_date(bars)
+
+
 BRONZE_DDL = "record_metadata variant, record_content variant, ingest_date date"
 # Schema and table names of the three layers.
 TABLE_NAMES = {"bronze": "bronze.trades_raw", "silver": "silver.trades_clean",

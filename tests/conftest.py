@@ -17,16 +17,17 @@ def spark():
     s.stop()
 
 
-@pytest.fixture
-def raw(spark):
-    """Build a raw-layer frame from (metadata_json, content_json) text pairs."""
+def make_raw(spark, rows):
+    """A raw-layer frame from (metadata_json, content_json) text pairs."""
     from pyspark.sql import functions as F
+    df = spark.createDataFrame(rows, "metadata string, content string")
+    return df.select(F.parse_json("metadata").alias("record_metadata"),
+                     F.parse_json("content").alias("record_content"))
+
 
-    def make(rows):
-        df = spark.createDataFrame(rows, "metadata string, content string")
-        return df.select(F.parse_json("metadata").alias("record_metadata"),
-                         F.parse_json("content").alias("record_content"))
-    return make
+@pytest.fixture
+def raw(spark):
+    return lambda rows: make_raw(spark, rows)
 
 
 def trade(t=1, s="BTCUSDT", p="1.5", q="2.0", T=1704067200000, E=None, **extra):
