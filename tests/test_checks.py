@@ -150,3 +150,19 @@ def test_ingest_date_bound_prunes_raw_partitions(spark, raw):
     assert first(pruned)["observed"] == 1.0
     p = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in p
+
+
+def test_count_where_and_failure_records(spark, raw):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from barforge.session import fresh_dir
+    s = silver_at(spark, raw, [-1000, -2000, 5000])
+    assert first(checks.count_where(s, F.col("trade_time") > F.lit(AS_OF).cast("timestamp_ntz")))["n"] == 1
+    st = status(spark, [{"connector": {"state": "FAILED"}}])
+    fails = checks.failures(checks.health_suite(st, raw([(meta(T_AS_OF), trade())]), s, AS_OF), "r1")
+    path = os.path.join(fresh_dir(spark, "alerts"), "alerts")
+    checks.record_failures(fails, path)
+    checks.record_failures(fails, path)
+    assert spark.read.parquet(path).count() == 2

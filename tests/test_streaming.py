@@ -91,3 +91,14 @@ def test_full_pipeline_equals_bars_of_admitted_trades(spark):
     admitted, _ = admit_trades(topic(spark, SF_SMALL))
     want = gold_trades_1m(silver_trades(to_bronze(admitted)))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_topic_files_read_in_batch_keep_the_kafka_schema(spark):
+    from barforge.sources import fixtures
+    from barforge.sources.topic import read_topic
+    root = fresh_dir(spark, "topic")
+    fixtures.topic_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet")).write.parquet(root + "/t")
+    t = read_topic(spark, root + "/t")
+    assert t.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
+    assert t.count() == 1120
+    assert read_topic(spark, root + "/t", topic="other").count() == 0
