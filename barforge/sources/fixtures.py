@@ -36,15 +36,15 @@ COPY_SHIFT_MS = {0: 0, 1: 5000, 2: -1000}
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a small-file input over the cluster's cores.
+    """Hash-spread a few-file input over the cluster's cores.
 
     A single-row-group file is scanned by one task; JSON building and
-    parsing downstream would then run serially.  Inputs that already arrive
-    in enough partitions (any real multi-file table) are left untouched, so
+    parsing downstream would then run serially.  Inputs made of at least as
+    many files as there are cores (any real table) are left untouched, so
     this adds no shuffle at scale.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if len(df.inputFiles()) >= target:
         return df
     return df.repartition(target, key)
 
