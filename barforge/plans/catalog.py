@@ -263,14 +263,14 @@ def q_recover_gold(spark, sf_dir):
 
     def validate(query):
         query.processAllAvailable()
-        return lifecycle.health_checks(status(spark, sf_dir).filter("doc_id = 1"),
-                                       arrivals.read(), st.read_silver(spark, layout), TRADES_AS_OF)
-
-    query, results = lifecycle.recover(spark, name, start, validate)
-    try:
-        checks.enforce(results)
-    finally:
-        query.stop()
+        # Status document of the restarted, still running query, then the
+        # freshness checks; enforce raises when one fails.
+        live = lifecycle.status_from_queries(spark, name, [query])
+        return checks.enforce(lifecycle.health_checks(
+            live, arrivals.read(), st.read_silver(spark, layout), TRADES_AS_OF))
+
+    query, _ = lifecycle.recover(spark, name, start, validate)
+    query.stop()
     return st.read_gold(spark, layout)
 
 
