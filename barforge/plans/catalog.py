@@ -101,9 +101,8 @@ def q_bronze_ingest(spark, sf_dir):
     src = os.path.join(root, "topic")
     topic(spark, sf_dir).write.mode("overwrite").parquet(src)
     stream = read_trades_stream(spark, "files", src)
-    for q in write_bronze(stream, os.path.join(root, "bronze"), os.path.join(root, "chk"),
-                          os.path.join(root, "quarantine"), trigger={"availableNow": True}):
-        q.awaitTermination()
+    write_bronze(stream, os.path.join(root, "bronze"), os.path.join(root, "chk"),
+                 trigger={"availableNow": True}).awaitTermination()
     b = read_bronze(spark, os.path.join(root, "bronze"))
     c = F.col("record_content")
     return b.select(F.variant_get("record_metadata", "$.offset", "bigint").alias("offset"),

@@ -8,18 +8,21 @@ served from files, which is the path the tests drive.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barforge.operators.admission import admit_trades
+from barforge.operators.admission import classify, unwrap_envelope
 
 TOPIC_SCHEMA = ("key string, value string, topic string, partition int, offset bigint,"
                 " timestamp timestamp")
 RAW_SCHEMA = "record_metadata variant, record_content variant"
 BRONZE_SCHEMA = RAW_SCHEMA + ", ingest_date date"
+# The ingest sink writes one folder with two lanes: admitted raw rows and
+# quarantined messages (original text + reason).
+RAW_LANE, QUARANTINE_LANE = "raw", "quarantine"
+LANDING_SCHEMA = (RAW_SCHEMA + ", raw_value string, reason string, lane string,"
+                  " ingest_date date")
 
 
 def read_trades_stream(spark: SparkSession, source: str = "files", path: str | None = None,
@@ -79,32 +82,55 @@ def to_bronze(admitted: DataFrame) -> DataFrame:
         ingest_date().alias("ingest_date"))
 
 
+def to_landing(messages: DataFrame) -> DataFrame:
+    """S2 + S7 in one pass: every message, parsed once, lands in its lane --
+    ``raw`` (metadata + payload) or ``quarantine`` (metadata, original text
+    and the reason)."""
+    tagged = classify(unwrap_envelope(messages))
+    ok = F.col("reason").isNull()
+    return with_record_metadata(tagged).select(
+        "record_metadata",
+        F.when(ok, F.col("payload")).alias("record_content"),
+        F.when(~ok, F.col("value")).alias("raw_value"),
+        "reason",
+        F.when(ok, F.lit(RAW_LANE)).otherwise(F.lit(QUARANTINE_LANE)).alias("lane"),
+        ingest_date().alias("ingest_date"))
+
+
 def write_bronze(stream: DataFrame, path: str, checkpoint: str,
-                 quarantine_path: str | None = None, trigger: dict | None = None,
-                 ) -> list[StreamingQuery]:
-    """Topic stream -> admission -> raw layer (append), rejects -> quarantine.
-
-    Each output is its own file-sink query with its own checkpoint, so both
-    are exactly-once; a bad record never stops the stream.  ``trigger``
-    defaults to ``processingTime='10 seconds'`` (the reference's flush
-    interval).
+                 trigger: dict | None = None) -> StreamingQuery:
+    """Topic stream -> admission -> raw layer (append), rejects -> quarantine lane.
+
+    One file-sink query: each message is read and parsed once, the output is
+    exactly-once, and its commit log lets a downstream stream read new raw
+    files without listing the folder.  A bad message never stops the
+    stream.  ``trigger`` defaults to ``processingTime='10 seconds'`` (the
+    reference's flush interval).
     """
-    trig = trigger or {"processingTime": "10 seconds"}
-    admitted, quarantined = admit_trades(stream)
-    queries = [
-        to_bronze(admitted).writeStream.format("parquet").partitionBy("ingest_date")
-        .option("path", path).option("checkpointLocation", os.path.join(checkpoint, "bronze"))
-        .outputMode("append").trigger(**trig).start()
-    ]
-    if quarantine_path:
-        queries.append(
-            quarantined.select("key", "value", "topic", "partition", "offset", "timestamp", "reason")
-            .writeStream.format("parquet").option("path", quarantine_path)
-            .option("checkpointLocation", os.path.join(checkpoint, "quarantine"))
-            .outputMode("append").trigger(**trig).start())
-    return queries
+    return (to_landing(stream).writeStream.format("parquet")
+            .partitionBy("lane", "ingest_date").option("path", path)
+            .option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+
+
+def raw_lane(df: DataFrame) -> DataFrame:
+    """Admitted rows of a landing folder (rows written without lanes count as raw)."""
+    return df.filter(F.coalesce(F.col("lane"), F.lit(RAW_LANE)) == RAW_LANE).select(
+        "record_metadata", "record_content", "ingest_date")
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Raw-layer scan."""
-    return spark.read.schema(BRONZE_SCHEMA).parquet(path)
+    """Raw-layer scan (the ``raw`` lane; the lane filter prunes folders)."""
+    return raw_lane(spark.read.schema(LANDING_SCHEMA).parquet(path))
+
+
+def read_bronze_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The raw layer as a stream (through the ingest sink's commit log)."""
+    return raw_lane(spark.readStream.schema(LANDING_SCHEMA).parquet(path))
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Quarantined messages: metadata, original text and reason."""
+    df = spark.read.schema(LANDING_SCHEMA).parquet(path)
+    return df.filter(F.col("lane") == QUARANTINE_LANE).select(
+        "record_metadata", "raw_value", "reason", "ingest_date")

@@ -1,8 +1,9 @@
 """The whole streaming pipeline: topic -> admission -> raw layer -> silver
 and gold maintenance, as three streaming queries sharing one layout.
 
-    topic stream --S1/S2--> bronze (file sink, exactly-once) --T1/T2--> silver, gold
-                       \\--> quarantine (file sink)
+    topic stream --S1/S2/S6--> landing (one exactly-once file sink)
+                                 lane=raw        --T1/T2--> silver, gold
+                                 lane=quarantine
 
 The maintenance query reads the raw layer through the file sink's metadata
 log, so it only sees committed raw files.
@@ -15,7 +16,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from barforge.sources.topic import BRONZE_SCHEMA, write_bronze
+from barforge.sources.topic import read_bronze_stream, write_bronze
 from barforge.streaming import maintain as mt
 from barforge.streaming import storage as st
 
@@ -24,16 +25,15 @@ def start_pipeline(spark: SparkSession, topic_stream: DataFrame, layout: st.Layo
                    checkpoint_root: str, ingest_trigger: dict | None = None,
                    maintain_trigger: dict | None = None, mode: str = "permissive",
                    ) -> list[StreamingQuery]:
-    """Start ingest (bronze + quarantine) and maintenance; returns the queries
-    in that order.  Triggers default to 10 s (sink flush) and 60 s
+    """Start ingest (raw + quarantine lanes) and maintenance; returns the
+    queries in that order.  Triggers default to 10 s (sink flush) and 60 s
     (freshness target)."""
     st.bootstrap_layers(spark, layout, raw=False)
-    queries = write_bronze(topic_stream, layout.bronze, os.path.join(checkpoint_root, "ingest"),
-                           layout.path("quarantine"), ingest_trigger)
-    raw = spark.readStream.schema(BRONZE_SCHEMA).parquet(layout.bronze)
-    queries.append(mt.maintain(raw, layout, os.path.join(checkpoint_root, "maintain"),
-                               maintain_trigger, mode))
-    return queries
+    ingest = write_bronze(topic_stream, layout.bronze, os.path.join(checkpoint_root, "ingest"),
+                          ingest_trigger)
+    maintain = mt.maintain(read_bronze_stream(spark, layout.bronze), layout,
+                           os.path.join(checkpoint_root, "maintain"), maintain_trigger, mode)
+    return [ingest, maintain]
 
 
 def catch_up(queries: list[StreamingQuery]) -> None:

@@ -64,18 +64,22 @@ def test_stream_bars_on_fixture_equal_bars_of_first_copies(spark):
 def test_topic_stream_to_bronze_and_quarantine(spark):
     from barforge.operators.admission import admit_trades
     from barforge.sources import fixtures
-    from barforge.sources.topic import read_bronze, read_trades_stream, write_bronze
+    from barforge.sources.topic import (read_bronze, read_quarantine, read_trades_stream,
+                                        write_bronze)
     root = fresh_dir(spark, "s6")
     topic = fixtures.topic_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
     topic.write.parquet(os.path.join(root, "topic"))
     stream = read_trades_stream(spark, "files", os.path.join(root, "topic"), max_per_trigger=1)
-    for q in write_bronze(stream, os.path.join(root, "bronze"), os.path.join(root, "chk"),
-                          os.path.join(root, "quarantine"), trigger={"availableNow": True}):
-        q.awaitTermination()
+    write_bronze(stream, os.path.join(root, "bronze"), os.path.join(root, "chk"),
+                 trigger={"availableNow": True}).awaitTermination()
     bronze = read_bronze(spark, os.path.join(root, "bronze"))
     admitted, rejected = admit_trades(topic)
     assert bronze.count() == admitted.count()
-    assert spark.read.parquet(os.path.join(root, "quarantine")).count() == rejected.count()
+    q = read_quarantine(spark, os.path.join(root, "bronze"))
+    assert q.count() == rejected.count()
+    assert {r.reason for r in q.select("reason").distinct().collect()} == \
+        {r.reason for r in rejected.select("reason").distinct().collect()}
+    assert q.filter("raw_value IS NULL").count() == 0
     meta_keys = bronze.select(F.variant_get("record_metadata", "$.CreateTime", "bigint").alias("c"))
     assert meta_keys.filter("c IS NULL").count() == 0
     assert bronze.filter("ingest_date IS NULL").count() == 0
