@@ -4,7 +4,7 @@ micro-batch at a time (``foreachBatch``), with no watermark and no late drop.
 Per batch:
 
 1. winners of the batch itself (parse -> validity filter -> keep-latest),
-   staged to storage;
+   cached (recomputable from the batch's source files);
 2. the stored rows of the same keys are read from the touched
    ``(symbol, id_block)`` partitions only, merged with the same total order
    as the batch rebuild, and the touched blocks are staged;
@@ -29,14 +29,13 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import uuid
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from functools import reduce
-
 from barforge.functions.decimal import exact_product
 from barforge.functions.timefn import minute_bucket, ntz_literal
 from barforge.operators.silver import (KEY, dedup_latest, parse_trades, silver_projection,
@@ -162,9 +161,13 @@ def bar_changes(staged: DataFrame) -> DataFrame:
 
 
 def merge_bars(current: DataFrame, changes: DataFrame) -> DataFrame:
-    """Stored bars + batch changes -> new bars, flagged ``stale`` where a
-    replaced row held an extreme (MIN/MAX cannot be retracted) or the stored
-    state does not cover what is being removed.  Sums are exact decimals."""
+    """Stored bars + batch changes -> new bars.  Sums are exact decimals.
+
+    ``lost`` flags bars where a replaced row held an extreme that no winner
+    reaches (MIN/MAX cannot be retracted); ``inconsistent`` flags bars whose
+    stored state does not cover what is being removed (a negative count, or
+    removals from a bar that is not stored).  Both are recomputed from silver.
+    """
     gone = [f"gone_{n}" for n, _ in BAR_EXTREMES]
     stored = current.select(*TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
                             *[F.lit(None).alias(g) for g in gone], F.lit(True).alias("_stored"))
@@ -194,7 +197,7 @@ def merge_bars(current: DataFrame, changes: DataFrame) -> DataFrame:
         F.col("gone_min_price").isNotNull() & F.coalesce(F.col("_had_row") == 0, F.lit(True)))
     return m.select(
         *TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
-        (lost_extreme | inconsistent).alias("stale"))
+        lost_extreme.alias("lost"), inconsistent.alias("inconsistent"))
 
 
 def refresh_gold(spark: SparkSession, blocks_path: str, batch_id: int, layout: Layout,
@@ -218,9 +221,10 @@ def refresh_gold(spark: SparkSession, blocks_path: str, batch_id: int, layout: L
             # so a replay either re-publishes it or recomputes it from scratch.
             current = st.read_partitions(spark, layout.gold, st.GOLD_DDL, st.GOLD_PARTS, parts)
             merged = merge_bars(current, changes).persist(StorageLevel.MEMORY_AND_DISK)
-            stale = st.with_minute_date(merged.filter(F.col("stale") & (F.col("trade_count") > 0))
-                                        .select(*TOUCHED))
-            fresh = merged.filter(~F.col("stale") & (F.col("trade_count") > 0)).select(
+            alive = F.col("trade_count") > 0
+            redo = (F.col("lost") & alive) | F.col("inconsistent")
+            stale = st.with_minute_date(merged.filter(redo).select(*TOUCHED))
+            fresh = merged.filter(~F.col("lost") & ~F.col("inconsistent") & alive).select(
                 *TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
                 (F.col("sum_price") / F.col("trade_count")).cast("decimal(38,18)").alias("avg_price"))
             out = st.with_minute_date(fresh).select(*st.GOLD_STORED)

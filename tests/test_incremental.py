@@ -217,3 +217,16 @@ def test_lowered_maximum_is_recomputed_from_silver(spark, raw, monkeypatch):
     assert (bar.trade_count, bar.max_price, bar.min_price) == (3, Decimal("2.5"), Decimal("1"))
     assert bar.avg_price == Decimal("1.833333333333333333")
     assert seen == [0, 1]
+
+
+def test_inconsistent_gold_is_repaired_from_silver(spark, raw):
+    """If a stored bar was lost (e.g. deleted by hand), the next batch that
+    touches it rebuilds it from silver instead of producing a negative count."""
+    t0 = 1704067200000
+    layout = new_layout(spark)
+    mt.upsert_batch(raw([(meta(t0 + i), trade(t=i, T=t0 + i)) for i in range(3)]), 0, layout, "t")
+    stg.delete(spark, layout.path("gold", "minute_date=2024-01-01"))
+    mt.upsert_batch(raw([(meta(t0 + 99), trade(t=1, T=t0 + 1, q="7"))]), 1, layout, "t")
+    s = silver_trades(raw([(meta(t0 + i), trade(t=i, T=t0 + i)) for i in range(3)]
+                          + [(meta(t0 + 99), trade(t=1, T=t0 + 1, q="7"))]))
+    assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
