@@ -169,10 +169,10 @@ def daily_summary(bronze: DataFrame, silver: DataFrame, gold: DataFrame, as_of=N
                  F.lit(", gold 1m buckets "), _text(F.col("gold_buckets"))).alias("message"))
 
 
-def check_daily_credits(metering: DataFrame, as_of=None, warehouse: str = "TRADING_WH",
+def check_daily_credits(metering: DataFrame, as_of, warehouse: str,
                         max_daily: float = MAX_DAILY_CREDITS) -> DataFrame:
     """M7: ``coalesce(sum(credits_used), 0)`` for one warehouse since the start
-    of ``as_of``'s day; fail above ``max_daily``.  Summed as DECIMAL so the
+    of ``as_of``'s day (None: today, UTC); fail above ``max_daily``.  Summed as DECIMAL so the
     total does not depend on partition order."""
     start = day_start(as_of_col(as_of))
     agg = (metering.filter((F.col("warehouse_name") == warehouse) & (F.col("start_time") >= start))
