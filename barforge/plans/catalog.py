@@ -17,7 +17,7 @@ from barforge.operators.silver import parse_trades, silver_trades, valid_trades
 from barforge.session import fresh_dir, written_table
 from barforge.sources import fixtures
 from barforge.sources.arrivals import Arrivals
-from barforge.sources.topic import read_bronze, read_trades_stream, write_bronze
+from barforge.sources.topic import TOPIC_SCHEMA, read_bronze, read_trades_stream, write_bronze
 from barforge.streaming import bars as stream_bars_mod
 from barforge.streaming import lifecycle, pipeline
 from barforge.streaming import maintain as mt
@@ -280,7 +280,6 @@ def q_pipeline_gold(spark, sf_dir):
     layout = st.Layout(os.path.join(root, "tables"))
     t = topic(spark, sf_dir)
     tagged = t.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(4)))
-    from barforge.sources.topic import TOPIC_SCHEMA
     arrivals = Arrivals(spark, tagged, root, schema=TOPIC_SCHEMA)
     queries = pipeline.start_pipeline(spark, arrivals.stream(), layout,
                                       os.path.join(root, "checkpoints"),
