@@ -11,13 +11,16 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.functions.timefn import epoch_ntz, ntz_epoch_micros
 from barforge.operators.gold import GOLD_COLUMNS, bar_aggregates
-from barforge.operators.silver import dedup_latest, parse_trades, valid_trades
+from barforge.operators.silver import parse_trades, valid_trades
 from barforge.sources import fixtures
+from barforge.streaming import storage as st
+from barforge.streaming.maintain import stream_tag
 
 
 def to_instant(t):
@@ -51,13 +54,42 @@ def write_bars_final(bars: DataFrame, path: str, checkpoint: str, trigger: dict
             .trigger(**(trigger or {"processingTime": "60 seconds"})).start())
 
 
-def write_bars_log(bars: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
-    """Update-mode sink: each micro-batch's changed bars go to ``batch=<id>``
-    (overwritten on replay, so idempotent); :func:`read_bars` keeps the
-    latest version of each bar, so open minutes are visible too."""
+BARS_DDL = ("symbol string, minute_bucket timestamp_ntz, trade_count bigint,"
+            " total_quantity decimal(38,18), total_notional decimal(38,18),"
+            " avg_price decimal(38,18), min_price decimal(38,18), max_price decimal(38,18),"
+            " first_trade_time timestamp_ntz, last_trade_time timestamp_ntz, minute_date date")
+BARS_KEY = ("symbol", "minute_bucket")
+
+
+def write_bars_table(bars: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Update-mode sink: each micro-batch carries the complete new value of
+    every bar it changed, so the bars replace theirs by key in a table
+    partitioned by ``(minute_date, symbol)``.  Only touched partitions are
+    read and rewritten; the batch is staged first, so a replay re-publishes
+    the same content.  Open minutes are visible too."""
+    if not st.exists(bars.sparkSession, path):
+        bars.sparkSession.createDataFrame([], BARS_DDL).write.partitionBy(*st.GOLD_PARTS) \
+            .parquet(path)
+    staging = os.path.join(os.path.dirname(path.rstrip("/")), "_staging_bars",
+                           stream_tag(checkpoint))
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+        spark = batch.sparkSession
+        stage_path = os.path.join(staging, str(batch_id))
+        if not st.complete(spark, stage_path):
+            changed = st.with_minute_date(batch).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                parts = st.distinct_keys(changed, st.GOLD_PARTS)
+                if not parts:
+                    return
+                current = st.read_partitions(spark, path, BARS_DDL, st.GOLD_PARTS, parts)
+                kept = current.join(changed.select(*BARS_KEY), list(BARS_KEY), "left_anti")
+                st.stage(kept.unionByName(changed.select(*GOLD_COLUMNS, "minute_date")),
+                         stage_path, st.GOLD_PARTS)
+            finally:
+                changed.unpersist()
+        st.publish(spark.read.schema(BARS_DDL).parquet(stage_path), path, st.GOLD_PARTS)
+        st.drop_older_stages(spark, staging, batch_id)
 
     return (bars.writeStream.outputMode("update").foreachBatch(run)
             .option("checkpointLocation", checkpoint)
@@ -65,9 +97,7 @@ def write_bars_log(bars: DataFrame, path: str, checkpoint: str, trigger: dict |
 
 
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
-    log = spark.read.parquet(path)
-    latest = dedup_latest(log, keys=("symbol", "minute_bucket"), order=[F.col("batch").desc()])
-    return latest.select(*GOLD_COLUMNS)
+    return spark.read.schema(BARS_DDL).parquet(path).select(*GOLD_COLUMNS)
 
 
 def run_stream_bars(spark: SparkSession, events: DataFrame, root: str,
@@ -77,7 +107,7 @@ def run_stream_bars(spark: SparkSession, events: DataFrame, root: str,
     from barforge.sources.arrivals import Arrivals
     out, chk = os.path.join(root, "bars"), os.path.join(root, "checkpoint")
     arrivals = Arrivals(spark, fixtures.bronze_parts(events, "time_then_copies"), root)
-    q = write_bars_log(stream_bars(arrivals.stream(), delay), out, chk,
+    q = write_bars_table(stream_bars(arrivals.stream(), delay), out, chk,
                        trigger={"processingTime": "200 milliseconds"})
     try:
         for p in range(fixtures.part_count("time_then_copies")):

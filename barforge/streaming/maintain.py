@@ -47,45 +47,7 @@ TOUCHED = ("symbol", "minute_bucket")
 _ONE_MINUTE = _dt.timedelta(minutes=1)
 
 
-def _stage(df: DataFrame, path: str, partition_by: tuple[str, ...] | None = None) -> DataFrame:
-    """Durably write ``df`` (overwriting an earlier attempt) and read it back.
-
-    Partitioned stages are clustered by their partition columns first, so
-    each partition is one file rather than one file per task.
-    """
-    spark = df.sparkSession
-    w = df
-    if partition_by:
-        w = w.repartition(*partition_by)
-        if "trade_time" in df.columns:
-            # Time-ordered files: row-group min/max on trade_time then prune
-            # the bar recompute and the time-window checks.
-            w = w.sortWithinPartitions(*partition_by, "trade_time")
-    writer = w.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.parquet(path)
-
-
-def _publish(df: DataFrame, path: str, parts: tuple[str, ...]) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
-
-
-def _distinct_keys(df: DataFrame, cols: tuple[str, ...]) -> list[tuple]:
-    """Partition keys touched by a batch (bounded by partitions, not rows)."""
-    return [tuple(r) for r in df.select(*cols).distinct().collect()]
-
-
-def _staged_partitions(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """Partition directories of a two-level staged write, as (first, second) texts."""
-    out = []
-    for d1 in st.list_dirs(spark, path):
-        a = d1.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1]
-        for d2 in st.list_dirs(spark, d1):
-            out.append((a, d2.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1]))
-    return out
+_stage, _publish, _distinct_keys = st.stage, st.publish, st.distinct_keys
 
 
 # Role of a staged silver row: kept as is, the batch's winner for its key, or
@@ -237,7 +199,7 @@ def refresh_gold(spark: SparkSession, blocks_path: str, batch_id: int, layout: L
     _publish(spark.read.schema(st.GOLD_DDL).parquet(gold_stage), layout.gold, st.GOLD_PARTS)
     # A symbol-day whose bars all moved away has no output row, so dynamic
     # overwrite would leave it in place: remove such partitions explicitly.
-    present = set(_staged_partitions(spark, gold_stage))
+    present = set(st.staged_partitions(spark, gold_stage))
     for day, symbol in sorted(parts):
         if (str(day), symbol) not in present:
             st.delete(spark, layout.path("gold", f"minute_date={day}", f"symbol={symbol}"))
@@ -271,11 +233,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "de
     staged = spark.read.schema(STAGED_DDL).parquet(blocks_path)
     _publish(staged.filter(F.col("role") != REPLACED).drop("role"), layout.silver, st.SILVER_PARTS)
     refresh_gold(spark, blocks_path, batch_id, layout, tag)
-    # Staging of earlier batches of this stream is no longer needed.
-    for d in st.list_dirs(spark, layout.path("_staging", tag)):
-        name = d.rstrip("/").rsplit("/", 1)[-1]
-        if name.isdigit() and int(name) < batch_id:
-            st.delete(spark, d)
+    st.drop_older_stages(spark, layout.path("_staging", tag), batch_id)
 
 
 def stream_tag(checkpoint: str) -> str:

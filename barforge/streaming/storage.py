@@ -206,3 +206,53 @@ def read_partitions(spark: SparkSession, table: str, ddl: str, names: tuple[str,
     if not paths:
         return spark.createDataFrame([], ddl)
     return spark.read.schema(ddl).option("basePath", table).parquet(*paths)
+
+
+def stage(df: DataFrame, path: str, partition_by: tuple[str, ...] | None = None) -> DataFrame:
+    """Durably write ``df`` (overwriting an earlier attempt) and read it back.
+
+    Partitioned stages are clustered by their partition columns first, so
+    each partition is one file rather than one file per task; silver rows are
+    also time-ordered inside a file, so row-group min/max on ``trade_time``
+    prune later scans.
+    """
+    spark = df.sparkSession
+    w = df
+    if partition_by:
+        w = w.repartition(*partition_by)
+        if "trade_time" in df.columns:
+            w = w.sortWithinPartitions(*partition_by, "trade_time")
+    writer = w.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.parquet(path)
+
+
+def publish(df: DataFrame, path: str, parts: tuple[str, ...]) -> None:
+    """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
+
+
+def distinct_keys(df: DataFrame, cols: tuple[str, ...]) -> list[tuple]:
+    """Partition keys touched by a batch (bounded by partitions, not rows)."""
+    return [tuple(r) for r in df.select(*cols).distinct().collect()]
+
+
+def staged_partitions(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Partition folders of a two-level staged write, as (first, second) texts."""
+    out = []
+    for d1 in list_dirs(spark, path):
+        a = d1.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1]
+        for d2 in list_dirs(spark, d1):
+            out.append((a, d2.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1]))
+    return out
+
+
+def drop_older_stages(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Delete the staging of batches before ``batch_id`` (they have committed)."""
+    for d in list_dirs(spark, folder):
+        name = d.rstrip("/").rsplit("/", 1)[-1]
+        if name.isdigit() and int(name) < batch_id:
+            delete(spark, d)

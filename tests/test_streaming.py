@@ -17,7 +17,7 @@ def _feed(spark, raw, src, out, chk, parts, final=False):
     for rows in parts:
         raw(rows).write.mode("append").parquet(src)
         stream = spark.readStream.schema(RAW_SCHEMA).parquet(src)
-        writer = bars.write_bars_final if final else bars.write_bars_log
+        writer = bars.write_bars_final if final else bars.write_bars_table
         writer(bars.stream_bars(stream, "2 minutes"), out, chk,
                trigger={"availableNow": True}).awaitTermination()
 
