@@ -25,8 +25,7 @@ class Arrivals:
         self.staged = os.path.join(root, "_arrivals")
         self.folder = os.path.join(root, "raw")
         tagged.write.partitionBy(part_column).parquet(self.staged)
-        _, p = st._fs(spark, self.folder)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+        st.mkdirs(spark, self.folder)
         self.part_column = part_column
 
     def deliver(self, part: int) -> None:

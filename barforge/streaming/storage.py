@@ -74,6 +74,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def mkdirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
@@ -148,8 +153,7 @@ def check_layout(spark: SparkSession, layout: Layout) -> None:
     marker = layout.path("_layout", f"id_block_size={layout.id_block_size}")
     found = [d.rstrip("/").rsplit("/", 1)[-1] for d in list_dirs(spark, layout.path("_layout"))]
     if not found:
-        fs, p = _fs(spark, marker)
-        fs.mkdirs(p)
+        mkdirs(spark, marker)
     elif found != [f"id_block_size={layout.id_block_size}"]:
         raise ValueError(f"layout {layout.root} was created with {found[0]}, "
                          f"not id_block_size={layout.id_block_size}")
