@@ -202,7 +202,7 @@ def refresh_gold(spark: SparkSession, blocks_path: str, batch_id: int, layout: L
     present = set(st.staged_partitions(spark, gold_stage))
     for day, symbol in sorted(parts):
         if (str(day), symbol) not in present:
-            st.delete(spark, layout.path("gold", f"minute_date={day}", f"symbol={symbol}"))
+            st.delete(spark, st.partition_path(layout.gold, st.GOLD_PARTS, (day, symbol)))
 
 
 def _recompute(spark: SparkSession, layout: Layout, stale: DataFrame) -> DataFrame:

@@ -192,8 +192,24 @@ def read_gold(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_gold_stored(spark, layout).select(*GOLD_COLUMNS)
 
 
+# Characters Spark escapes (as %XX) in partition folder names --
+# ASCII control characters 0x01-0x1F, then " # % ' * / : = ? \ DEL { [ ] ^.
+_ESCAPED = set(chr(c) for c in range(1, 0x20)) | set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def escape_partition_value(value) -> str:
+    """A partition value as Spark writes it in a folder name."""
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
+
+
+def unescape_partition_value(text: str) -> str:
+    from urllib.parse import unquote
+    return unquote(text)
+
+
 def partition_path(table: str, names: tuple[str, ...], values: tuple) -> str:
-    return os.path.join(table, *[f"{n}={v}" for n, v in zip(names, values)])
+    return os.path.join(table, *[f"{n}={escape_partition_value(v)}"
+                                 for n, v in zip(names, values)])
 
 
 def read_partitions(spark: SparkSession, table: str, ddl: str, names: tuple[str, ...],
@@ -246,12 +262,11 @@ def distinct_keys(df: DataFrame, cols: tuple[str, ...]) -> list[tuple]:
 
 def staged_partitions(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """Partition folders of a two-level staged write, as (first, second) texts."""
-    out = []
-    for d1 in list_dirs(spark, path):
-        a = d1.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1]
-        for d2 in list_dirs(spark, d1):
-            out.append((a, d2.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1]))
-    return out
+    def value(folder: str) -> str:
+        return unescape_partition_value(folder.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1])
+
+    return [(value(d1), value(d2)) for d1 in list_dirs(spark, path)
+            for d2 in list_dirs(spark, d1)]
 
 
 def drop_older_stages(spark: SparkSession, folder: str, batch_id: int) -> None:

@@ -230,3 +230,20 @@ def test_inconsistent_gold_is_repaired_from_silver(spark, raw):
     s = silver_trades(raw([(meta(t0 + i), trade(t=i, T=t0 + i)) for i in range(3)]
                           + [(meta(t0 + 99), trade(t=1, T=t0 + 1, q="7"))]))
     assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
+
+
+def test_symbols_that_need_escaping_keep_their_rows(spark, raw):
+    """Partition folders of such symbols are escaped by Spark (e.g. '/' -> %2F);
+    the touched-partition reader must find them, or a block would be lost."""
+    t0 = 1704067200000
+    layout = new_layout(spark)
+    odd = ["BTC/USDT", "ETH=USD", "A%B", "sp ace", "Q?#"]
+    first = [(meta(t0 + i), trade(t=i + k, s=sym, T=t0 + i))
+             for i, sym in enumerate(odd) for k in (0, 100)]      # two trades per block
+    mt.upsert_batch(raw(first), 0, layout, "t")
+    later = [(meta(t0 + 50 + i), trade(t=i, s=sym, T=t0 + 60000 + i, q="5"))
+             for i, sym in enumerate(odd)]
+    mt.upsert_batch(raw(later), 1, layout, "t")
+    s = silver_trades(raw(first + later))
+    assert rows_of(stg.read_silver(spark, layout)) == rows_of(s)
+    assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
