@@ -194,7 +194,8 @@ def check_pipeline_status(status: DataFrame, column: str = "status_json",
     parsed = status.select(*([id_column] if id_column else []), doc.alias("d"))
     state = F.col("d.connector.state")
     tasks = F.col("d.tasks")
-    n_tasks = F.coalesce(F.size(tasks), F.lit(0))
+    # A missing list counts as empty (size(NULL) is -1 when ANSI is off).
+    n_tasks = F.when(tasks.isNull(), F.lit(0)).otherwise(F.size(tasks))
     all_running = F.forall(tasks, lambda x: x["state"].eqNullSafe(RUNNING))
     first_bad = F.filter(tasks, lambda x: ~x["state"].eqNullSafe(RUNNING))[0]["state"]
     detail = (F.when(~state.eqNullSafe(RUNNING),

@@ -85,7 +85,17 @@ def status(spark, docs):
                                  "doc_id long, status_json string")
 
 
-def test_pipeline_status_rules_in_order(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_pipeline_status_rules_in_order(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        _status_rules(spark)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def _status_rules(spark):
     docs = [
         {"connector": {"state": "RUNNING"}, "tasks": [{"state": "RUNNING"}]},
         {"connector": {"state": "FAILED"}, "tasks": []},
