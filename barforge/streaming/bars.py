@@ -1,10 +1,12 @@
-"""Append-only, watermark-bounded one-minute bars (approximate).
+"""Watermark-bounded one-minute bars (approximate).
 
 Unlike :mod:`barforge.streaming.maintain`, this variant keeps the *first*
 copy of a key seen within the watermark and drops rows later than the
 watermark, so it equals the exact bars only when copies arrive after their
 originals and nothing is later than ``delay``.  It is the cheap option when
-corrections never arrive late: state is bounded by the watermark.
+corrections never arrive late: state is bounded by the watermark.  Sinks:
+:func:`write_bars_table` (update mode, keyed upsert, open minutes visible)
+or :func:`write_bars_final` (append mode, closed minutes only).
 """
 
 from __future__ import annotations
