@@ -19,7 +19,7 @@ from barforge.sources import fixtures
 from barforge.sources.arrivals import Arrivals
 from barforge.sources.topic import TOPIC_SCHEMA, read_bronze, read_trades_stream, write_bronze
 from barforge.streaming import bars as stream_bars_mod
-from barforge.streaming import lifecycle, pipeline
+from barforge.streaming import lifecycle, streams
 from barforge.streaming import maintain as mt
 from barforge.streaming import storage as st
 
@@ -273,21 +273,21 @@ def q_recover_gold(spark, sf_dir):
     return st.read_gold(spark, layout)
 
 
-def q_pipeline_gold(spark, sf_dir):
+def q_ingest_to_gold(spark, sf_dir):
     """Topic messages arrive in four parts; ingest and maintenance streams
     catch up after each.  Gold then equals the bars of every admitted trade."""
-    root = fresh_dir(spark, "pipeline")
+    root = fresh_dir(spark, "ingest_to_gold")
     layout = st.Layout(os.path.join(root, "tables"))
     t = topic(spark, sf_dir)
     tagged = t.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(4)))
     arrivals = Arrivals(spark, tagged, root, schema=TOPIC_SCHEMA)
-    queries = pipeline.start_pipeline(spark, arrivals.stream(), layout,
+    queries = streams.start_streams(spark, arrivals.stream(), layout,
                                       os.path.join(root, "checkpoints"),
                                       ingest_trigger=CATCH_UP, maintain_trigger=CATCH_UP)
     try:
         for p in range(4):
             arrivals.deliver(p)
-            pipeline.catch_up(queries)
+            streams.catch_up(queries)
     finally:
         for q in queries:
             q.stop()
@@ -328,5 +328,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_gold": q_backfill_gold,
     "recover_gold": q_recover_gold,
     "stream_bars_append": q_stream_bars_append,
-    "pipeline_gold": q_pipeline_gold,
+    "ingest_to_gold": q_ingest_to_gold,
 }

@@ -350,5 +350,5 @@ ORACLE: dict[str, str] = {
     "stream_bars_append": f"{_with(RAW, PARSED)} {_bars('(SELECT * FROM valid WHERE copy = 0)')}",
     # Messages broken on the wire (every copy of id % 211 = 0) never reach
     # the raw layer; every other rejected message is invalid for silver too.
-    "pipeline_gold": f"{_with(RAW, PARSED.replace('FROM raw', 'FROM raw WHERE id % 211 <> 0'), GOLD)} SELECT * FROM gold",
+    "ingest_to_gold": f"{_with(RAW, PARSED.replace('FROM raw', 'FROM raw WHERE id % 211 <> 0'), GOLD)} SELECT * FROM gold",
 }

@@ -21,7 +21,7 @@ from barforge.streaming import maintain as mt
 from barforge.streaming import storage as st
 
 
-def start_pipeline(spark: SparkSession, topic_stream: DataFrame, layout: st.Layout,
+def start_streams(spark: SparkSession, topic_stream: DataFrame, layout: st.Layout,
                    checkpoint_root: str, ingest_trigger: dict | None = None,
                    maintain_trigger: dict | None = None, mode: str = "permissive",
                    ) -> list[StreamingQuery]:

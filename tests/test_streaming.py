@@ -89,9 +89,9 @@ def test_full_pipeline_equals_bars_of_admitted_trades(spark):
     from barforge.operators.admission import admit_trades
     from barforge.operators.gold import gold_trades_1m
     from barforge.operators.silver import silver_trades
-    from barforge.plans.catalog import q_pipeline_gold, topic
+    from barforge.plans.catalog import q_ingest_to_gold, topic
     from barforge.sources.topic import to_bronze
-    got = q_pipeline_gold(spark, SF_SMALL)
+    got = q_ingest_to_gold(spark, SF_SMALL)
     admitted, _ = admit_trades(topic(spark, SF_SMALL))
     want = gold_trades_1m(silver_trades(to_bronze(admitted)))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
