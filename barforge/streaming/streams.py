@@ -1,5 +1,5 @@
 """The whole streaming pipeline: topic -> admission -> raw layer -> silver
-and gold maintenance, as three streaming queries sharing one layout.
+and gold maintenance, as two streaming queries sharing one layout.
 
     topic stream --S1/S2/S6--> landing (one exactly-once file sink)
                                  lane=raw        --T1/T2--> silver, gold
