@@ -212,6 +212,33 @@ def partition_path(table: str, names: tuple[str, ...], values: tuple) -> str:
                                  for n, v in zip(names, values)])
 
 
+def existing_partitions(spark: SparkSession, table: str, names: tuple[str, ...],
+                        values: list[tuple]) -> list[str]:
+    """Folders of the wanted partitions that exist.
+
+    One listing per distinct first-level value (a symbol, a day), run in
+    parallel -- not one call per partition, which would dominate a batch on
+    an object store with thousands of touched blocks.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    wanted: dict = {}
+    for v in set(values):
+        wanted.setdefault(v[0], set()).add(tuple(v[1:]))
+
+    def found(first) -> list[str]:
+        top = partition_path(table, names[:1], (first,))
+        rest = wanted[first]
+        if len(names) == 1 or rest == {()}:
+            return [top] if exists(spark, top) else []
+        have = {d.rstrip("/").rsplit("/", 1)[-1] for d in list_dirs(spark, top)}
+        return [partition_path(table, names, (first, *r)) for r in sorted(rest, key=str)
+                if f"{names[1]}={escape_partition_value(r[0])}" in have]
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return [p for ps in pool.map(found, sorted(wanted, key=str)) for p in ps]
+
+
 def read_partitions(spark: SparkSession, table: str, ddl: str, names: tuple[str, ...],
                     values: list[tuple]) -> DataFrame:
     """Read only the listed partitions of a path-based table.
@@ -221,8 +248,7 @@ def read_partitions(spark: SparkSession, table: str, ddl: str, names: tuple[str,
     the partitions a batch touches, not to the table.  Missing folders (new
     partitions) are skipped; ``values`` may name a prefix of ``names``.
     """
-    paths = [p for p in (partition_path(table, names, v) for v in sorted(set(values)))
-             if exists(spark, p)]
+    paths = existing_partitions(spark, table, names, values)
     if not paths:
         return spark.createDataFrame([], ddl)
     return spark.read.schema(ddl).option("basePath", table).parquet(*paths)

@@ -247,3 +247,19 @@ def test_symbols_that_need_escaping_keep_their_rows(spark, raw):
     s = silver_trades(raw(first + later))
     assert rows_of(stg.read_silver(spark, layout)) == rows_of(s)
     assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
+
+
+def test_existing_partitions_finds_escaped_folders(spark):
+    import datetime as dt
+    root = os.path.join(fresh_dir(spark, "parts"), "t")
+    odd = ["BTC/USDT", "ETH=USD", "A%B", "sp ace", "Q?#", "plain"]
+    day = dt.date(2024, 1, 1)
+    spark.createDataFrame([(day, s, 1) for s in odd], "minute_date date, symbol string, v int") \
+        .write.partitionBy("minute_date", "symbol").parquet(root)
+    wanted = [(day, s) for s in odd] + [(day, "missing"), (dt.date(2024, 1, 2), "plain")]
+    found = stg.existing_partitions(spark, root, ("minute_date", "symbol"), wanted)
+    assert len(found) == len(odd)
+    got = spark.read.option("basePath", root).parquet(*found)
+    assert sorted(r.symbol for r in got.collect()) == sorted(odd)
+    assert stg.existing_partitions(spark, root, ("minute_date",), [(day,)]) == \
+        [stg.partition_path(root, ("minute_date",), (day,))]
