@@ -124,9 +124,15 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return raw_lane(spark.read.schema(LANDING_SCHEMA).parquet(path))
 
 
-def read_bronze_stream(spark: SparkSession, path: str) -> DataFrame:
-    """The raw layer as a stream (through the ingest sink's commit log)."""
-    return raw_lane(spark.readStream.schema(LANDING_SCHEMA).parquet(path))
+def read_bronze_stream(spark: SparkSession, path: str,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """The raw layer as a stream (through the ingest sink's commit log).
+    ``max_files_per_trigger`` bounds a micro-batch, so a backlog is consumed
+    in bounded upserts."""
+    reader = spark.readStream.schema(LANDING_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return raw_lane(reader.parquet(path))
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

@@ -24,14 +24,15 @@ from barforge.streaming import storage as st
 def start_streams(spark: SparkSession, topic_stream: DataFrame, layout: st.Layout,
                    checkpoint_root: str, ingest_trigger: dict | None = None,
                    maintain_trigger: dict | None = None, mode: str = "permissive",
-                   ) -> list[StreamingQuery]:
+                   max_raw_files_per_trigger: int | None = None) -> list[StreamingQuery]:
     """Start ingest (raw + quarantine lanes) and maintenance; returns the
     queries in that order.  Triggers default to 10 s (sink flush) and 60 s
     (freshness target)."""
     st.bootstrap_layers(spark, layout, raw=False)
     ingest = write_bronze(topic_stream, layout.bronze, os.path.join(checkpoint_root, "ingest"),
                           ingest_trigger)
-    maintain = mt.maintain(read_bronze_stream(spark, layout.bronze), layout,
+    raw = read_bronze_stream(spark, layout.bronze, max_raw_files_per_trigger)
+    maintain = mt.maintain(raw, layout,
                            os.path.join(checkpoint_root, "maintain"), maintain_trigger, mode)
     return [ingest, maintain]
 
