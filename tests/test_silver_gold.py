@@ -120,3 +120,15 @@ def test_cast_modes_hold_on_a_parquet_scan(spark, raw):
     assert silver_trades(b, "permissive").count() == 1
     with pytest.raises(Exception):
         parse_trades(b, "strict").collect()
+
+
+def test_dedup_is_idempotent_on_the_fixture(spark):
+    from barforge.operators.silver import dedup_latest
+    from barforge.plans.catalog import bronze
+    from conftest import SF_SMALL
+    b = bronze(spark, SF_SMALL)
+    once = silver_trades(b)
+    twice = silver_trades(b.unionByName(b))             # every row ties with its twin
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    again = dedup_latest(once.unionByName(once))
+    assert again.count() == once.count() == 971
