@@ -200,9 +200,11 @@ def refresh_gold(spark: SparkSession, blocks_path: str, batch_id: int, layout: L
     # A symbol-day whose bars all moved away has no output row, so dynamic
     # overwrite would leave it in place: remove such partitions explicitly.
     present = set(st.staged_partitions(spark, gold_stage))
-    for day, symbol in sorted(parts):
-        if (str(day), symbol) not in present:
-            st.delete(spark, st.partition_path(layout.gold, st.GOLD_PARTS, (day, symbol)))
+    emptied = [(day, symbol) for day, symbol in sorted(parts) if (str(day), symbol) not in present]
+    for day, symbol in emptied:
+        st.delete(spark, st.partition_path(layout.gold, st.GOLD_PARTS, (day, symbol)))
+    st.register_partitions(spark, "gold", st.GOLD_PARTS, sorted(present))
+    st.register_partitions(spark, "gold", st.GOLD_PARTS, emptied, drop=True)
 
 
 def _recompute(spark: SparkSession, layout: Layout, stale: DataFrame) -> DataFrame:
@@ -232,6 +234,8 @@ def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "de
         return
     staged = spark.read.schema(STAGED_DDL).parquet(blocks_path)
     _publish(staged.filter(F.col("role") != REPLACED).drop("role"), layout.silver, st.SILVER_PARTS)
+    st.register_partitions(spark, "silver", st.SILVER_PARTS,
+                           st.staged_partitions(spark, blocks_path))
     refresh_gold(spark, blocks_path, batch_id, layout, tag)
     st.drop_older_stages(spark, layout.path("_staging", tag), batch_id)
 

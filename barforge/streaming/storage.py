@@ -159,8 +159,28 @@ def check_layout(spark: SparkSession, layout: Layout) -> None:
                          f"not id_block_size={layout.id_block_size}")
 
 
+def _spec(names: tuple[str, ...], values: tuple) -> str:
+    def lit(v):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return ", ".join(f"{n} = {lit(v)}" for n, v in zip(names, values))
+
+
+def register_partitions(spark: SparkSession, layer: str, names: tuple[str, ...],
+                        values: list[tuple], drop: bool = False) -> None:
+    """Tell a registered table about partitions a batch wrote (or emptied),
+    without listing the whole table.  No-op when the table is not registered."""
+    name = TABLE_NAMES[layer]
+    if not values or not spark.catalog.tableExists(name):
+        return
+    verb = "DROP IF EXISTS" if drop else "ADD IF NOT EXISTS"
+    specs = [f"PARTITION ({_spec(names, v)})" for v in sorted(set(values), key=str)]
+    sep = ", " if drop else " "
+    spark.sql(f"ALTER TABLE {name} {verb} {sep.join(specs)}")
+
+
 def refresh_tables(spark: SparkSession) -> None:
-    """Make registered tables see partitions written since the last call."""
+    """Make registered tables see every partition on storage (lists the whole
+    table: for bootstrap and rebuilds; batches register what they touch)."""
     for name in TABLE_NAMES.values():
         if spark.catalog.tableExists(name):
             spark.sql(f"MSCK REPAIR TABLE {name}")

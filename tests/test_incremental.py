@@ -263,3 +263,24 @@ def test_existing_partitions_finds_escaped_folders(spark):
     assert sorted(r.symbol for r in got.collect()) == sorted(odd)
     assert stg.existing_partitions(spark, root, ("minute_date",), [(day,)]) == \
         [stg.partition_path(root, ("minute_date",), (day,))]
+
+
+def test_registered_tables_learn_partitions_per_batch(spark, raw):
+    t0 = 1704067200000
+    layout = new_layout(spark)
+    stg.bootstrap_layers(spark, layout, register=True)
+    try:
+        mt.upsert_batch(raw([(meta(t0), trade(t=1, s="BTC/USDT", T=t0))]), 0, layout, "t")
+        assert spark.table("gold.trades_1m").count() == 1
+        assert spark.table("silver.trades_clean").count() == 1
+        # the only bar moves to another day: its old partition is dropped
+        mt.upsert_batch(raw([(meta(t0 + 9), trade(t=1, s="BTC/USDT", T=t0 + 86400000))]), 1,
+                        layout, "t")
+        got = [(str(r.minute_date), r.symbol) for r in
+               spark.table("gold.trades_1m").select("minute_date", "symbol").collect()]
+        assert got == [("2024-01-02", "BTC/USDT")]
+        parts = [r[0] for r in spark.sql("SHOW PARTITIONS gold.trades_1m").collect()]
+        assert len(parts) == 1 and parts[0].startswith("minute_date=2024-01-02")
+    finally:
+        for name in stg.TABLE_NAMES.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
