@@ -61,9 +61,12 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="barforge-")
-        sc.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        # Core configs cannot change at runtime; setCheckpointDir records the
+        # folder (as a subfolder), and later calls find it there.
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="barforge-"))
+        root = sc.getCheckpointDir()
+    if root.startswith("file:"):
+        root = root[len("file:"):]
     path = os.path.join(root, *parts) if parts else root
     return path
 
