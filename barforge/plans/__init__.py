@@ -1,0 +1,2 @@
+"""Registered plans over the driver's tables (``catalog``) and their DuckDB
+twins (``oracle``)."""
