@@ -29,6 +29,8 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -54,39 +56,102 @@ _stage, _publish, _distinct_keys = st.stage, st.publish, st.distinct_keys
 # the stored version it replaces (staged only to know which bars it left).
 KEPT, WINNER, REPLACED = "kept", "winner", "replaced"
 STAGED_DDL = st.SILVER_DDL + ", role string"
+# A block that would hold more data files than this is rewritten (compacted)
+# instead of receiving another appended file.
+MAX_BLOCK_FILES = 16
+
+
+@dataclass(frozen=True)
+class Staged:
+    """Durable outputs of one batch, written before anything is published."""
+
+    rewrite: str    # new content of blocks that change (roles kept/winner/replaced)
+    append: str     # winners of blocks that only gain new trades
+    delta: str      # per-bar changes; its _SUCCESS marks the whole stage complete
 
 
 def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
-                 mode: str = "permissive") -> str | None:
-    """Steps 1-3: stage the new content of the touched silver blocks, plus the
-    rows it replaces, in one durable write.  Returns the staged path, or None
-    for a batch without valid rows."""
+                 mode: str = "permissive", max_block_files: int = MAX_BLOCK_FILES,
+                 ) -> Staged | None:
+    """Steps 1-3: stage the batch's silver changes and bar delta.
+
+    A touched block is *rewritten* (copy-on-write) only when the batch
+    replaces one of its stored rows, or when it has accumulated
+    ``max_block_files`` files; otherwise the batch's winners are *appended*
+    to it as one new file, so a block that only gains new trades is never
+    re-read or re-written.  Returns None for a batch without valid rows.
+    """
     spark = batch.sparkSession
-    blocks_path = layout.staging(tag, batch_id, "silver_blocks")
-    if st.complete(spark, blocks_path):
-        return blocks_path                              # replay: publish what was staged
+    staged = Staged(*(layout.staging(tag, batch_id, n)
+                      for n in ("silver_rewrite", "silver_append", "bar_delta")))
+    if st.complete(spark, staged.delta):
+        return staged                                   # replay: publish what was staged
 
     # Cached, not staged: a lost cache block is recomputed from the batch's
     # source files, which stay in place until the batch commits.
     incoming = st.with_block(silver_projection(dedup_latest(valid_trades(parse_trades(batch, mode)))),
                              layout.id_block_size).persist(StorageLevel.MEMORY_AND_DISK)
+    previous = winners = None
     try:
         blocks = _distinct_keys(incoming, st.SILVER_PARTS)
         if not blocks:
             return None
-        current = st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS, blocks)
         on = [*KEY, "id_block"]
         keys = incoming.select(*on)
-        previous = current.join(keys, on, "left_semi")           # at most one per incoming key
-        winners = dedup_latest(incoming.unionByName(previous))
-        untouched = current.join(keys, on, "left_anti")
-        staged = (untouched.withColumn("role", F.lit(KEPT))
-                  .unionByName(winners.withColumn("role", F.lit(WINNER)))
-                  .unionByName(previous.withColumn("role", F.lit(REPLACED))))
-        _stage(staged, blocks_path, st.SILVER_PARTS)
+        current = st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS, blocks)
+        # Stored rows of the batch's keys: at most one per incoming key.
+        previous = current.join(keys, on, "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+        replaced = set(_distinct_keys(previous, st.SILVER_PARTS))
+        crowded = {b for b, n in st.file_counts(spark, layout.silver, st.SILVER_PARTS,
+                                                 [b for b in blocks if b not in replaced]).items()
+                   if n >= max_block_files}
+        rewrite = sorted(replaced | crowded, key=str)
+        appended = [b for b in blocks if b not in replaced and b not in crowded]
+
+        winners = dedup_latest(incoming.unionByName(previous)).persist(StorageLevel.MEMORY_AND_DISK)
+        in_rewrite = st.partition_predicate(st.SILVER_PARTS, rewrite)
+        untouched = st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS,
+                                       rewrite).join(keys, on, "left_anti")
+        _stage(untouched.withColumn("role", F.lit(KEPT))
+               .unionByName(winners.filter(in_rewrite).withColumn("role", F.lit(WINNER)))
+               .unionByName(previous.withColumn("role", F.lit(REPLACED))),
+               staged.rewrite, st.SILVER_PARTS)
+        _stage(winners.filter(st.partition_predicate(st.SILVER_PARTS, appended)),
+               staged.append, st.SILVER_PARTS)
+        rows = (spark.read.schema(STAGED_DDL).parquet(staged.rewrite)
+                .unionByName(spark.read.schema(st.SILVER_DDL).parquet(staged.append)
+                             .withColumn("role", F.lit(WINNER))))
+        _stage(st.with_minute_date(bar_changes(rows)), staged.delta)
     finally:
-        incoming.unpersist()
-    return blocks_path
+        for df in (incoming, previous, winners):
+            if df is not None:
+                df.unpersist()
+    return staged
+
+
+def publish_silver(spark: SparkSession, staged: Staged, layout: Layout, tag: str,
+                   batch_id: int) -> None:
+    """Step 4: rewritten blocks replace their partitions; appended files are
+    moved into their blocks under names fixed by (stream, batch), so a replay
+    moves only what is left and never duplicates a row."""
+    rw = spark.read.schema(STAGED_DDL).parquet(staged.rewrite)
+    _publish(rw.filter(F.col("role") != REPLACED).drop("role"), layout.silver, st.SILVER_PARTS)
+    parts = st.staged_partitions(spark, staged.append)
+
+    def move_block(part) -> None:
+        src_dir = st.partition_path(staged.append, st.SILVER_PARTS, part)
+        dst_dir = st.partition_path(layout.silver, st.SILVER_PARTS, part)
+        for i, src in enumerate(sorted(st.list_files(spark, src_dir))):
+            dst = f"{dst_dir}/{tag}-{batch_id:012d}-{i:04d}.parquet"
+            if st.exists(spark, dst):
+                st.delete(spark, src)                 # moved by an earlier attempt
+            else:
+                st.rename(spark, src, dst)
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        list(pool.map(move_block, parts))
+    st.register_partitions(spark, "silver", st.SILVER_PARTS,
+                           st.staged_partitions(spark, staged.rewrite) + parts)
 
 
 BAR_SUMS = ("trade_count", "total_quantity", "total_notional", "sum_price")
@@ -162,7 +227,7 @@ def merge_bars(current: DataFrame, changes: DataFrame) -> DataFrame:
         lost_extreme.alias("lost"), inconsistent.alias("inconsistent"))
 
 
-def refresh_gold(spark: SparkSession, blocks_path: str, batch_id: int, layout: Layout,
+def refresh_gold(spark: SparkSession, delta_path: str, batch_id: int, layout: Layout,
                  tag: str) -> None:
     """Step 5: merge the batch's bar changes into the touched gold partitions.
 
@@ -171,9 +236,7 @@ def refresh_gold(spark: SparkSession, blocks_path: str, batch_id: int, layout: L
     case reads no silver at all.  Bars whose count drops to zero disappear.
     """
     gold_stage = layout.staging(tag, batch_id, "gold_parts")
-    changes = st.with_minute_date(
-        bar_changes(spark.read.schema(STAGED_DDL).parquet(blocks_path))
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    changes = spark.read.parquet(delta_path).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         parts = _distinct_keys(changes, st.GOLD_PARTS)
         if not parts:
@@ -229,14 +292,11 @@ def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "de
                  mode: str = "permissive") -> None:
     """One micro-batch of T1 + T2 (see module doc)."""
     spark = batch.sparkSession
-    blocks_path = stage_silver(batch, batch_id, layout, tag, mode)
-    if blocks_path is None:
+    staged = stage_silver(batch, batch_id, layout, tag, mode)
+    if staged is None:
         return
-    staged = spark.read.schema(STAGED_DDL).parquet(blocks_path)
-    _publish(staged.filter(F.col("role") != REPLACED).drop("role"), layout.silver, st.SILVER_PARTS)
-    st.register_partitions(spark, "silver", st.SILVER_PARTS,
-                           st.staged_partitions(spark, blocks_path))
-    refresh_gold(spark, blocks_path, batch_id, layout, tag)
+    publish_silver(spark, staged, layout, tag, batch_id)
+    refresh_gold(spark, staged.delta, batch_id, layout, tag)
     st.drop_older_stages(spark, layout.path("_staging", tag), batch_id)
 
 

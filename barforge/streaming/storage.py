@@ -274,15 +274,50 @@ def read_partitions(spark: SparkSession, table: str, ddl: str, names: tuple[str,
     return spark.read.schema(ddl).option("basePath", table).parquet(*paths)
 
 
-def stage(df: DataFrame, path: str, partition_by: tuple[str, ...] | None = None) -> DataFrame:
-    """Durably write ``df`` (overwriting an earlier attempt) and read it back.
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files directly under ``path`` (hidden and marker files skipped)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for f in fs.listStatus(p):
+        name = f.getPath().getName()
+        if f.isFile() and not name.startswith(("_", ".")):
+            out.append(str(f.getPath().toString()))
+    return out
+
+
+def file_counts(spark: SparkSession, table: str, names: tuple[str, ...],
+                values: list[tuple]) -> dict[tuple, int]:
+    """Number of data files in each listed partition (parallel listings)."""
+    from concurrent.futures import ThreadPoolExecutor
+    vals = sorted(set(values), key=str)
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        counts = pool.map(lambda v: len(list_files(spark, partition_path(table, names, v))), vals)
+    return dict(zip(vals, counts))
+
+
+def partition_predicate(names: tuple[str, ...], values: list[tuple]):
+    """Literal predicate selecting rows of the listed two-level partitions
+    (bounded by the partitions a batch touches)."""
+    first, second = names
+    by_first: dict = {}
+    for a, b in values:
+        by_first.setdefault(a, set()).add(b)
+    cond = F.lit(False)
+    for a, bs in sorted(by_first.items(), key=lambda kv: str(kv[0])):
+        cond = cond | ((F.col(first) == F.lit(a)) & F.col(second).isin(sorted(bs)))
+    return cond
+
+
+def stage(df: DataFrame, path: str, partition_by: tuple[str, ...] | None = None) -> None:
+    """Durably write ``df``, overwriting an earlier attempt.
 
     Partitioned stages are clustered by their partition columns first, so
     each partition is one file rather than one file per task; silver rows are
     also time-ordered inside a file, so row-group min/max on ``trade_time``
     prune later scans.
     """
-    spark = df.sparkSession
     w = df
     if partition_by:
         w = w.repartition(*partition_by)
@@ -292,7 +327,6 @@ def stage(df: DataFrame, path: str, partition_by: tuple[str, ...] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
 
 
 def publish(df: DataFrame, path: str, parts: tuple[str, ...]) -> None:

@@ -80,9 +80,9 @@ def test_crash_after_silver_publish_is_repaired_by_replay(spark):
     layout = new_layout(spark)
     mt.upsert_batch(tagged.filter("part = 0").drop("part"), 0, layout, "t")
     batch = tagged.filter("part = 1").drop("part")
-    staged = spark.read.schema(mt.STAGED_DDL).parquet(mt.stage_silver(batch, 1, layout, "t"))
-    mt._publish(staged.filter(F.col("role") != mt.REPLACED).drop("role"), layout.silver,
-                stg.SILVER_PARTS)
+    staged = mt.stage_silver(batch, 1, layout, "t")
+    mt.publish_silver(spark, staged, layout, "t", 1)
+    mt.publish_silver(spark, staged, layout, "t", 1)          # a retried publish is harmless
     # ... the job dies here, before gold; the stream re-runs batch 1
     mt.upsert_batch(batch, 1, layout, "t")
     mt.upsert_batch(tagged.filter("part = 2").drop("part"), 2, layout, "t")
@@ -284,3 +284,60 @@ def test_registered_tables_learn_partitions_per_batch(spark, raw):
     finally:
         for name in stg.TABLE_NAMES.values():
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _block_files(spark, layout, symbol, block):
+    return sorted(os.path.basename(f) for f in stg.list_files(
+        spark, stg.partition_path(layout.silver, stg.SILVER_PARTS, (symbol, block))))
+
+
+def test_new_trades_are_appended_without_rewriting_the_block(spark, raw):
+    t0 = 1704067200000
+    layout = new_layout(spark, block=1000)
+    mt.upsert_batch(raw([(meta(t0 + i), trade(t=i, T=t0 + i)) for i in range(5)]), 0, layout, "t")
+    before = _block_files(spark, layout, "BTCUSDT", 0)
+    mt.upsert_batch(raw([(meta(t0 + 10), trade(t=7, T=t0 + 10))]), 1, layout, "t")
+    after = _block_files(spark, layout, "BTCUSDT", 0)
+    assert set(before) < set(after) and len(after) == len(before) + 1      # old files untouched
+    # a replaced row forces a rewrite of its block into a single file
+    mt.upsert_batch(raw([(meta(t0 + 20), trade(t=7, T=t0 + 10, q="9"))]), 2, layout, "t")
+    assert len(_block_files(spark, layout, "BTCUSDT", 0)) == 1
+    rows = [(meta(t0 + i), trade(t=i, T=t0 + i)) for i in range(5)] + \
+        [(meta(t0 + 10), trade(t=7, T=t0 + 10)), (meta(t0 + 20), trade(t=7, T=t0 + 10, q="9"))]
+    s = silver_trades(raw(rows))
+    assert rows_of(stg.read_silver(spark, layout)) == rows_of(s)
+    assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
+
+
+def test_crowded_blocks_are_compacted(spark, raw):
+    t0 = 1704067200000
+    layout = new_layout(spark, block=1000)
+    rows = []
+    for b in range(mt.MAX_BLOCK_FILES + 3):
+        part = [(meta(t0 + b), trade(t=b, T=t0 + b * 1000))]
+        rows += part
+        mt.upsert_batch(raw(part), b, layout, "t")
+    assert len(_block_files(spark, layout, "BTCUSDT", 0)) <= mt.MAX_BLOCK_FILES
+    s = silver_trades(raw(rows))
+    assert rows_of(stg.read_silver(spark, layout)) == rows_of(s)
+    assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
+
+
+def test_crash_midway_through_appends_is_repaired(spark, raw):
+    t0 = 1704067200000
+    layout = new_layout(spark, block=1000)
+    first = [(meta(t0 + i), trade(t=i, s=sym, T=t0 + i)) for i, sym in
+             enumerate(["BTCUSDT", "ETHUSDT", "SOLUSDT"])]
+    mt.upsert_batch(raw(first), 0, layout, "t")
+    more = [(meta(t0 + 10 + i), trade(t=10 + i, s=sym, T=t0 + 10 + i)) for i, sym in
+            enumerate(["BTCUSDT", "ETHUSDT", "SOLUSDT"])]
+    staged = mt.stage_silver(raw(more), 1, layout, "t")
+    # the first appended file reaches its block, then the job dies
+    sym, blk = stg.staged_partitions(spark, staged.append)[0]
+    src = stg.list_files(spark, stg.partition_path(staged.append, stg.SILVER_PARTS, (sym, blk)))[0]
+    stg.rename(spark, src, stg.partition_path(layout.silver, stg.SILVER_PARTS, (sym, blk))
+               + "/t-000000000001-0000.parquet")
+    mt.upsert_batch(raw(more), 1, layout, "t")                 # the stream re-runs batch 1
+    s = silver_trades(raw(first + more))
+    assert rows_of(stg.read_silver(spark, layout)) == rows_of(s)
+    assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
