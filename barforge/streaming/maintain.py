@@ -6,13 +6,15 @@ Per batch:
 1. winners of the batch itself (parse -> validity filter -> keep-latest),
    cached (recomputable from the batch's source files);
 2. the stored rows of the same keys are read from the touched
-   ``(symbol, id_block)`` partitions only, merged with the same total order
-   as the batch rebuild, and the touched blocks are staged;
-3. the rows being replaced are staged with them (tagged by role), so the
-   touched bars -- minutes of replaced rows *and* of winning rows, so a copy
-   that moved to another minute shrinks the old bar -- stay known after the
-   blocks are published;
-4. staged blocks replace their partitions (dynamic overwrite);
+   ``(symbol, id_block)`` partitions only and merged with the same total
+   order as the batch rebuild;
+3. blocks where a stored row is replaced (or that hold too many files) are
+   staged whole -- kept rows, winners, and the replaced rows tagged by role
+   -- while blocks that only gain new trades stage just the winners, to be
+   appended; the per-bar delta (winners +, replaced rows -) is staged last,
+   and its completion marks the batch as staged;
+4. rewritten blocks replace their partitions (dynamic overwrite) and
+   appended files move into their blocks under names fixed by the batch;
 5. touched bars are updated from the batch delta: counts and exact decimal
    sums (including the price sum behind the mean) are retractable; MIN/MAX
    are not, so only bars where a replaced row held an extreme are
