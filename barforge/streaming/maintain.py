@@ -95,14 +95,24 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
                              layout.id_block_size).persist(StorageLevel.MEMORY_AND_DISK)
     previous = winners = None
     try:
-        blocks = _distinct_keys(incoming, st.SILVER_PARTS)
+        # Touched blocks with the trade-id range the batch brings to each
+        # (bounded by touched blocks, not rows).
+        ranges = [tuple(r) for r in incoming.groupBy(*st.SILVER_PARTS).agg(
+            F.min("trade_id"), F.max("trade_id")).collect()]
+        blocks = [(sym, blk) for sym, blk, _, _ in ranges]
         if not blocks:
             return None
         on = [*KEY, "id_block"]
         keys = incoming.select(*on)
+        # Stored rows of the batch's keys (at most one per incoming key).  A
+        # stored copy has the same trade id, so the per-block id range is an
+        # exact pre-filter that Parquet statistics use to skip whole files.
+        in_range = reduce(lambda a, b: a | b, [
+            (F.col("symbol") == sym) & (F.col("id_block") == blk)
+            & F.col("trade_id").between(lo, hi) for sym, blk, lo, hi in ranges])
         current = st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS, blocks)
-        # Stored rows of the batch's keys: at most one per incoming key.
-        previous = current.join(keys, on, "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+        previous = current.filter(in_range).join(keys, on, "left_semi") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
         replaced = set(_distinct_keys(previous, st.SILVER_PARTS))
         crowded = {b for b, n in st.file_counts(spark, layout.silver, st.SILVER_PARTS,
                                                  [b for b in blocks if b not in replaced]).items()
