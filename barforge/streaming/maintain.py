@@ -107,7 +107,7 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
         # Stored rows of the batch's keys (at most one per incoming key).  A
         # stored copy has the same trade id, so the per-block id range is an
         # exact pre-filter that Parquet statistics use to skip whole files.
-        in_range = reduce(lambda a, b: a | b, [
+        in_range = st.any_of([
             (F.col("symbol") == sym) & (F.col("id_block") == blk)
             & F.col("trade_id").between(lo, hi) for sym, blk, lo, hi in ranges])
         current = st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS, blocks)

@@ -297,6 +297,18 @@ def file_counts(spark: SparkSession, table: str, names: tuple[str, ...],
     return dict(zip(vals, counts))
 
 
+def any_of(conditions: list):
+    """OR of many conditions as a balanced tree (depth log2 n): a left-deep
+    chain over thousands of touched blocks could overflow Catalyst's
+    recursive tree walks."""
+    if not conditions:
+        return F.lit(False)
+    while len(conditions) > 1:
+        conditions = [conditions[i] | conditions[i + 1] if i + 1 < len(conditions)
+                      else conditions[i] for i in range(0, len(conditions), 2)]
+    return conditions[0]
+
+
 def partition_predicate(names: tuple[str, ...], values: list[tuple]):
     """Literal predicate selecting rows of the listed two-level partitions
     (bounded by the partitions a batch touches)."""
@@ -304,10 +316,8 @@ def partition_predicate(names: tuple[str, ...], values: list[tuple]):
     by_first: dict = {}
     for a, b in values:
         by_first.setdefault(a, set()).add(b)
-    cond = F.lit(False)
-    for a, bs in sorted(by_first.items(), key=lambda kv: str(kv[0])):
-        cond = cond | ((F.col(first) == F.lit(a)) & F.col(second).isin(sorted(bs)))
-    return cond
+    return any_of([(F.col(first) == F.lit(a)) & F.col(second).isin(sorted(bs))
+                   for a, bs in sorted(by_first.items(), key=lambda kv: str(kv[0]))])
 
 
 def stage(df: DataFrame, path: str, partition_by: tuple[str, ...] | None = None) -> None:

@@ -341,3 +341,15 @@ def test_crash_midway_through_appends_is_repaired(spark, raw):
     s = silver_trades(raw(first + more))
     assert rows_of(stg.read_silver(spark, layout)) == rows_of(s)
     assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
+
+
+def test_predicates_over_thousands_of_blocks_stay_shallow(spark):
+    from pyspark.sql import functions as F
+    n = 5000
+    df = spark.range(n).select((F.col("id") % 50).cast("string").alias("symbol"),
+                               F.col("id").alias("id_block"), F.col("id").alias("trade_id"))
+    cond = stg.any_of([(F.col("symbol") == str(i % 50)) & (F.col("id_block") == i)
+                       & F.col("trade_id").between(i, i) for i in range(n)])
+    assert df.filter(cond).count() == n
+    blocks = [(str(i % 50), i) for i in range(n)]
+    assert df.filter(stg.partition_predicate(("symbol", "id_block"), blocks)).count() == n
