@@ -250,7 +250,12 @@ def refresh_gold(spark: SparkSession, delta_path: str, batch_id: int, layout: La
     gold_stage = layout.staging(tag, batch_id, "gold_parts")
     changes = spark.read.parquet(delta_path).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        parts = _distinct_keys(changes, st.GOLD_PARTS)
+        # Touched symbol-days, and whether any stored row was replaced: a
+        # batch of new trades only cannot leave a bar stale (one action).
+        info = changes.agg(F.collect_set(F.struct(*st.GOLD_PARTS)).alias("parts"),
+                           F.max(F.col("gone_min_price").isNotNull().cast("int")).alias("gone")
+                           ).first()
+        parts = sorted((tuple(p) for p in (info.parts or [])), key=str)
         if not parts:
             return
         if not st.complete(spark, gold_stage):
@@ -265,7 +270,8 @@ def refresh_gold(spark: SparkSession, delta_path: str, batch_id: int, layout: La
                 *TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
                 (F.col("sum_price") / F.col("trade_count")).cast("decimal(38,18)").alias("avg_price"))
             out = st.with_minute_date(fresh).select(*st.GOLD_STORED)
-            out = out.unionByName(_recompute(spark, layout, stale))
+            if info.gone:
+                out = out.unionByName(_recompute(spark, layout, stale))
             _stage(out, gold_stage, st.GOLD_PARTS)
             merged.unpersist()
     finally:
