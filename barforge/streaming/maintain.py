@@ -121,17 +121,23 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
         appended = [b for b in blocks if b not in replaced and b not in crowded]
 
         winners = dedup_latest(incoming.unionByName(previous)).persist(StorageLevel.MEMORY_AND_DISK)
-        in_rewrite = st.partition_predicate(st.SILVER_PARTS, rewrite)
-        untouched = st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS,
-                                       rewrite).join(keys, on, "left_anti")
-        _stage(untouched.withColumn("role", F.lit(KEPT))
-               .unionByName(winners.filter(in_rewrite).withColumn("role", F.lit(WINNER)))
-               .unionByName(previous.withColumn("role", F.lit(REPLACED))),
-               staged.rewrite, st.SILVER_PARTS)
-        _stage(winners.filter(st.partition_predicate(st.SILVER_PARTS, appended)),
-               staged.append, st.SILVER_PARTS)
-        rows = (spark.read.schema(STAGED_DDL).parquet(staged.rewrite)
-                .unionByName(spark.read.schema(st.SILVER_DDL).parquet(staged.append)
+        # Empty stages are not written (a leftover of an earlier attempt is
+        # removed); readers treat a missing stage as empty.
+        st.delete(spark, staged.rewrite)
+        st.delete(spark, staged.append)
+        if rewrite:
+            in_rewrite = st.partition_predicate(st.SILVER_PARTS, rewrite)
+            untouched = st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS,
+                                           rewrite).join(keys, on, "left_anti")
+            _stage(untouched.withColumn("role", F.lit(KEPT))
+                   .unionByName(winners.filter(in_rewrite).withColumn("role", F.lit(WINNER)))
+                   .unionByName(previous.withColumn("role", F.lit(REPLACED))),
+                   staged.rewrite, st.SILVER_PARTS)
+        if appended:
+            _stage(winners.filter(st.partition_predicate(st.SILVER_PARTS, appended)),
+                   staged.append, st.SILVER_PARTS)
+        rows = (_read_stage(spark, staged.rewrite, STAGED_DDL)
+                .unionByName(_read_stage(spark, staged.append, st.SILVER_DDL)
                              .withColumn("role", F.lit(WINNER))))
         _stage(st.with_minute_date(bar_changes(rows)), staged.delta)
     finally:
@@ -141,13 +147,22 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
     return staged
 
 
+def _read_stage(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    if not st.exists(spark, path):
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).parquet(path)
+
+
 def publish_silver(spark: SparkSession, staged: Staged, layout: Layout, tag: str,
                    batch_id: int) -> None:
     """Step 4: rewritten blocks replace their partitions; appended files are
     moved into their blocks under names fixed by (stream, batch), so a replay
     moves only what is left and never duplicates a row."""
-    rw = spark.read.schema(STAGED_DDL).parquet(staged.rewrite)
-    _publish(rw.filter(F.col("role") != REPLACED).drop("role"), layout.silver, st.SILVER_PARTS)
+    rewritten = st.staged_partitions(spark, staged.rewrite)
+    if rewritten:
+        rw = spark.read.schema(STAGED_DDL).parquet(staged.rewrite)
+        _publish(rw.filter(F.col("role") != REPLACED).drop("role"), layout.silver,
+                 st.SILVER_PARTS)
     parts = st.staged_partitions(spark, staged.append)
 
     def move_block(part) -> None:
@@ -162,8 +177,7 @@ def publish_silver(spark: SparkSession, staged: Staged, layout: Layout, tag: str
 
     with ThreadPoolExecutor(max_workers=16) as pool:
         list(pool.map(move_block, parts))
-    st.register_partitions(spark, "silver", st.SILVER_PARTS,
-                           st.staged_partitions(spark, staged.rewrite) + parts)
+    st.register_partitions(spark, "silver", st.SILVER_PARTS, rewritten + parts)
 
 
 BAR_SUMS = ("trade_count", "total_quantity", "total_notional", "sum_price")
