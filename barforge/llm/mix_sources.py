@@ -87,23 +87,41 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
             return found
 
 
-def mix_sources(docs: DataFrame, weights: list[float], id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source", max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """``doc_id, size, source, source_size, target, taken``: ``taken`` counts
-    the words the mix takes of a document, whole passes included."""
+def mix_plan(docs: DataFrame, weights: list[float], id_col: str, text_col: str, source_col: str, max_epochs: int) -> tuple[DataFrame, DataFrame]:
+    """The documents' sizes and hashes (written), and per source its size,
+    target, whole passes and threshold."""
     rows = written(docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"),
                                row_hash(docs[id_col]).alias("_hash"), n_words(docs[text_col]).alias("size")), "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     targets = written(source_targets(sizes, weights, max_epochs), "mix-targets")
-    # A target of 3 sizes comes from multiplying, so the quotient is exact.
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     targets = targets.withColumn("_passes", passes).withColumn("_rest", F.col("target") - F.col("_passes") * F.col("source_size"))
     below = thresholds(rows, targets.where("_rest > 0").select("source", "_rest"))
     plan = targets.join(below.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    plan = plan.withColumnRenamed("source", "_source")
-    chosen = F.coalesce(F.col("_hash") < F.col("_below"), F.lit(False)).cast("long")
+    return rows, written(plan.withColumnRenamed("source", "_source"), "mix-plan")
+
+
+def times_taken(hashed: Column) -> Column:
+    return F.col("_passes") + F.coalesce(hashed < F.col("_below"), F.lit(False)).cast("long")
+
+
+def mix_sources(docs: DataFrame, weights: list[float], id_col: str = "doc_id", text_col: str = "text",
+                source_col: str = "source", max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """``doc_id, size, source, source_size, target, taken``: ``taken`` counts
+    the words the mix takes of a document, whole passes included."""
+    rows, plan = mix_plan(docs, weights, id_col, text_col, source_col, max_epochs)
     return rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "doc_id", "size", "source", "source_size", "target", (F.col("size") * (F.col("_passes") + chosen)).alias("taken"))
+        "doc_id", "size", "source", "source_size", "target", (F.col("size") * times_taken(F.col("_hash"))).alias("taken"))
+
+
+def repeat_taken(docs: DataFrame, weights: list[float], id_col: str = "doc_id", text_col: str = "text",
+                 source_col: str = "source", max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken.  Only the
+    sources' plan is joined; texts are not shuffled."""
+    _, plan = mix_plan(docs, weights, id_col, text_col, source_col, max_epochs)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[source_col].cast("string").alias("s"), row_hash(docs[id_col]).alias("h"))
+    taken = rows.join(plan, F.col("s").eqNullSafe(F.col("_source"))).withColumn("times", times_taken(F.col("h")).cast("int")).where("times > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 #: DuckDB twin of the query (weights 1, 2, 3 repeating; whole passes and rest).

@@ -3,16 +3,39 @@ parameters of production; every query reads its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mix_sources, simhash_ball
+from . import byte_bpe, itq_dedup, langid_ecoc, license_scan, mix_sources, norm_topk, secret_scan, simhash_ball, toxicity_zstd
+from .common import held_out
+
+#: Where the rank file lies; its pattern comes with it.
+RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), min_cosine=0.9)
+
+
+def op2_toxicity_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_zstd.train(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    scored = toxicity_zstd.score(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_langid_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid_ecoc.train(docs.where(~held_out(F.col("doc_id"))))
+    out = langid_ecoc.predict(docs, model)
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -22,10 +45,34 @@ def op5_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    models = secret_scan.train(secret_scan.labelled_tokens(docs))
+    found = secret_scan.scan_secrets(docs, models)
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(secret_scan.BASE_KINDS)],
+                        F.sha2(secret_scan.report(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.report(F.concat("base", "added")).alias("spans"))
+
+
+def op7_norm_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources.mix_sources(table(spark, sf_dir, "documents"), [1, 2, 3])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op4_license_scan, op5_simhash_ball, op8_mix_sources)}
-ORACLE = {"op8_mix_sources": mix_sources.mix_sql()}
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.load_ranks(RANK_FILE)
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(byte_bpe.little_endian(F.col("ids"), len(ranks)), 256).alias("ids_sha256"),
+                          F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_itq_dedup, op2_toxicity_zstd, op3_langid_ecoc, op4_license_scan, op5_simhash_ball, op6_secret_scan, op7_norm_topk,
+    op8_mix_sources, op9_byte_bpe)}
+ORACLE = {"op7_norm_topk": norm_topk.TOPK_SQL, "op8_mix_sources": mix_sources.mix_sql()}

@@ -98,5 +98,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` whose id is its group's smallest."""
-    kept = near_duplicates(docs, id_col, text_col, k, max_bits).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "_kept"), docs[id_col] == F.col("_kept"), "left_semi")
+    kept = near_duplicates(docs, id_col, text_col, k, max_bits).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, docs[id_col].cast("long") == kept["__kept"], "left_semi")
