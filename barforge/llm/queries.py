@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, itq_dedup, langid_ecoc, license_scan, mix_sources, norm_topk, secret_scan, simhash_ball, toxicity_zstd
+from . import byte_bpe, itq_dedup, langid_ecoc, license_scan, mix_sources, norm_topk, secret_scan, simhash_ball, suffix_dedup, toxicity_zstd
 from .common import held_out
 
 #: Where the rank file lies; its pattern comes with it.
@@ -72,7 +72,13 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_itq_dedup, op2_toxicity_zstd, op3_langid_ecoc, op4_license_scan, op5_simhash_ball, op6_secret_scan, op7_norm_topk,
-    op8_mix_sources, op9_byte_bpe)}
+    op8_mix_sources, op9_byte_bpe, op10_suffix_dedup)}
 ORACLE = {"op7_norm_topk": norm_topk.TOPK_SQL, "op8_mix_sources": mix_sources.mix_sql()}

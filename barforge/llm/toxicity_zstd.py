@@ -4,15 +4,19 @@ Two zstandard dictionaries are trained, one on toxic and one on ordinary text.
 A window of text that the toxic dictionary shortens more than the ordinary one
 speaks for toxicity; a document is as toxic as its strongest windows are.
 
-Labels mark whole documents, of which only some passages are toxic, so the
-toxic dictionary is trained in rounds: on all windows of toxic documents
-first, then on those windows that the last pair of dictionaries found most
-toxic.  A second, disjoint part of the labelled documents calibrates the
-thresholds: a logistic curve over the strongest windows' differences.
-
-The labelled documents for both parts are a sample of at most ``sample_docs``
-of each class (with up to ``MAX_WINDOWS`` windows of each), drawn by a hash of
-the id; scoring reads every window of every text.
+Labels mark whole documents, of which only a few passages are toxic, so most
+of what zstandard learns from toxic documents is ordinary text.  The toxic
+dictionary keeps those segments of it that toxic documents hold significantly
+more often than ordinary ones do, before the content of the ordinary
+dictionary; the ordinary dictionary is padded to the same length.  Windows
+then differ in length by the toxic segments alone.  Every window follows a
+fixed prefix that both dictionaries hold, so that even one match shows in the
+compressed length.
+
+Thresholds are calibrated by a logistic curve over a document's strongest
+windows.  The labelled documents for all this are a sample of at most about
+``sample_docs`` of each class (with up to ``MAX_WINDOWS`` windows of each),
+drawn by a hash of the id; scoring reads every window of every text.
 
 Defined results: null, empty and blank texts have no window and get the base
 score of such texts; without labelled rows of both classes every score is 0;
@@ -22,6 +26,7 @@ result.  Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,16 +37,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of a window, and the step from one to the next.
-WINDOW = 64
-STEP = 48
-DICT_BYTES = 16_384
-LEVEL = 3
-ROUNDS = 3
+WINDOW = 128
+STEP = 112
+#: Bytes of the trained dictionaries.
+TOXIC_BYTES = 16_384
+ORDINARY_BYTES = 4096
+PREFIX = 128
+#: Length of the pieces that are tested for significance, and the signed root
+#: of the likelihood ratio from which one is kept.
+PIECE = 5
+SIGNIFICANT = 5.0
 #: Labelled documents of each class, and windows of each, that train and calibrate.
 SAMPLE_DOCS = 3000
 MAX_WINDOWS = 256
 #: Strongest windows that make a document's features.
 TOP = 3
+#: Raw literals and matches from six bytes: a length tells what was matched.
+PARAMETERS = {"window_log": 15, "hash_log": 15, "chain_log": 12, "search_log": 1, "min_match": 6, "target_length": 1,
+              "strategy": zstandard.STRATEGY_FAST, "write_content_size": 0, "write_checksum": 0, "write_dict_id": 0}
 
 
 def windows_of(text: str | None) -> list[bytes]:
@@ -51,17 +64,18 @@ def windows_of(text: str | None) -> list[bytes]:
 
 
 class Compressor:
-    """Compressed lengths of windows under one dictionary."""
+    """Compressed lengths of windows under a dictionary's content."""
 
-    def __init__(self, dictionary: bytes):
-        data = zstandard.ZstdCompressionDict(dictionary)
-        data.precompute_compress(level=LEVEL)
-        params = zstandard.ZstdCompressionParameters.from_level(LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0)
-        self.context = zstandard.ZstdCompressor(dict_data=data, compression_params=params)
+    def __init__(self, content: bytes):
+        parameters = zstandard.ZstdCompressionParameters(**PARAMETERS)
+        data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        data.precompute_compress(compression_params=parameters)
+        self.context = zstandard.ZstdCompressor(dict_data=data, compression_params=parameters)
+        self.prefix = content[-PREFIX:]
 
     def lengths(self, windows: list[bytes]) -> np.ndarray:
-        compress = self.context.compress
-        return np.fromiter((len(compress(w)) for w in windows), np.float64, len(windows))
+        compress, prefix = self.context.compress, self.prefix
+        return np.fromiter((len(compress(prefix + w)) for w in windows), np.float64, len(windows))
 
 
 @dataclass
@@ -71,8 +85,40 @@ class Model:
     weights: np.ndarray  # of 1, the TOP differences, log(1 + windows)
 
 
-def train_dictionary(windows: list[bytes]) -> bytes:
-    return zstandard.train_dictionary(DICT_BYTES, windows, level=LEVEL).as_bytes()
+def pieces(window: bytes) -> set[bytes]:
+    return {window[i:i + PIECE] for i in range(len(window) - PIECE + 1)}
+
+
+def root_ratio(a: int, n: int, b: int, m: int) -> float:
+    """Signed root of the likelihood ratio of shares a/n and b/m."""
+    both = (a + b) / (n + m)
+    term = lambda k, of, p: k * np.log(k / (of * p)) if k else 0.0
+    g = 2 * (term(a, n, both) + term(n - a, n, 1 - both) + term(b, m, both) + term(m - b, m, 1 - both))
+    return float(np.sqrt(max(0.0, g)) * np.sign(a / n - b / m))
+
+
+def toxic_segments(dictionary: bytes, toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[bytes]:
+    """Runs of the dictionary whose pieces significantly more toxic documents hold."""
+    candidates = pieces(dictionary)
+
+    def held(docs: list[list[bytes]]) -> Counter:
+        n: Counter = Counter()
+        for ws in docs:
+            n.update(set().union(*map(pieces, ws)) & candidates)
+        return n
+
+    a, b = held(toxic), held(ordinary)
+    kept = {p for p in candidates if root_ratio(a[p], len(toxic), b[p], len(ordinary)) >= SIGNIFICANT}
+    runs: list[bytes] = []
+    start = None
+    for i in range(len(dictionary) - PIECE + 2):
+        inside = i <= len(dictionary) - PIECE and dictionary[i:i + PIECE] in kept
+        if inside and start is None:
+            start = i
+        elif not inside and start is not None:
+            runs.append(dictionary[start:i - 1 + PIECE])
+            start = None
+    return [r for r in dict.fromkeys(runs) if not any(r != x and r in x for x in runs)]
 
 
 def features(differences: np.ndarray) -> np.ndarray:
@@ -93,61 +139,55 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50
     return w
 
 
-def fit(texts: list[tuple[list[bytes], int]]) -> Model | None:
-    """From (windows, label) of the sampled documents: even ones train the
-    dictionaries, odd ones calibrate."""
-    train, tune = texts[::2], texts[1::2]
-    toxic = [w for ws, y in train if y == 1 for w in ws]
-    ordinary = [w for ws, y in train if y == 0 for w in ws]
-    if len(toxic) < 16 or len(ordinary) < 16 or {y for _, y in tune} != {0, 1}:
+def train_dictionary(size: int, windows: list[bytes]) -> bytes:
+    """Zstandard's trainer; where the samples are too few for it, their text."""
+    try:
+        return zstandard.train_dictionary(size, windows).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(windows)[:size]
+
+
+def fit(docs: list[tuple[list[bytes], int]]) -> Model | None:
+    """From (windows, label) of the sampled documents."""
+    toxic, ordinary = ([ws for ws, y in docs if y == label] for label in (1, 0))
+    if not toxic or not ordinary:
         return None
-    plain = Compressor(ordinary_dict := train_dictionary(ordinary))
-    base, chosen = plain.lengths(toxic), toxic
-    for _ in range(ROUNDS):
-        toxic_dict = train_dictionary(chosen)
-        gain = base - Compressor(toxic_dict).lengths(toxic)
-        edge = np.quantile(plain.lengths(ordinary) - Compressor(toxic_dict).lengths(ordinary), 0.995)
-        picked = [w for w, g in zip(toxic, gain.tolist(), strict=True) if g > edge]
-        if len(picked) < 64:
-            break
-        chosen = picked
-    heavy = Compressor(toxic_dict)
-    x = np.array([features(plain.lengths(ws) - heavy.lengths(ws)) for ws, _ in tune])
-    return Model(toxic_dict, ordinary_dict, logistic(x, np.array([y for _, y in tune], dtype=float)))
+    content = train_dictionary(ORDINARY_BYTES, [w for ws in ordinary for w in ws]).rjust(PREFIX, b"\0")
+    segments = b"".join(toxic_segments(train_dictionary(TOXIC_BYTES, [w for ws in toxic for w in ws]), toxic, ordinary))
+    model = Model(segments + content, bytes(len(segments)) + content, np.zeros(TOP + 2))
+    heavy, plain = Compressor(model.toxic), Compressor(model.ordinary)
+    x = np.array([features(plain.lengths(ws) - heavy.lengths(ws)) for ws, _ in docs])
+    model.weights = logistic(x, np.array([y for _, y in docs], dtype=float))
+    return model
 
 
-def sampled_windows(labelled: DataFrame, sample_docs: int) -> list[tuple[list[bytes], int]]:
-    """(windows, label) of at most about ``sample_docs`` labelled documents of
-    each class: ``labelled`` has doc_id, text, label."""
-    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    share = F.when(F.col("label") == 1, F.lit(min(1.0, sample_docs / max(1, counts.get(1, 0))))).otherwise(F.lit(min(1.0, sample_docs / max(1, counts.get(0, 0)))))
-    drawn = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
+def sampled_windows(labelled: DataFrame) -> list[tuple[list[bytes], int]]:
+    """(windows, label) of the drawn documents (doc_id, text, label)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for t in batch.column(1):
                 ws = windows_of(t.as_py())
-                step = -(-len(ws) // MAX_WINDOWS) or 1
-                out.append(ws[::step])
+                out.append(ws[::-(-len(ws) // MAX_WINDOWS) or 1])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.binary())), batch.column(2)], names=["doc_id", "ws", "label"])
 
-    rows = drawn.mapInArrow(cut, "doc_id long, ws array<binary>, label int").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["doc_id"], r["ws"]))
+    rows = labelled.select("doc_id", "text", "label").mapInArrow(cut, "doc_id long, ws array<binary>, label int").toArrow().to_pylist()
+    rows.sort(key=lambda r: (r["doc_id"], r["ws"]))  # the same model on every run
     return [([bytes(w) for w in r["ws"]], r["label"]) for r in rows if r["ws"]]
 
 
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """Fit on rows of ``labels`` for which ``may_learn`` (a condition on doc_id) holds."""
-    label = labels.select(labels[id_col].alias("doc_id"), labels[label_col].cast("int").alias("label")).where(may_learn & F.col("label").isin(0, 1))
+    label = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label")).where(may_learn & F.col("label").isin(0, 1))
     label = label.groupBy("doc_id").agg(F.max("label").alias("label"))
     counts = {r["label"]: r["n"] for r in label.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("label") == 1, F.lit(sample_docs / max(1, counts.get(1, 0)))).otherwise(F.lit(sample_docs / max(1, counts.get(0, 0))))
     # About 2 x sample_docs ids whatever the input: a table of bounded size.
     drawn = label.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.least(share, F.lit(1.0)) * (1 << 20))
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).join(F.broadcast(drawn), "doc_id")
-    return fit(sampled_windows(rows, sample_docs))
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).join(F.broadcast(drawn), "doc_id")
+    return fit(sampled_windows(rows))
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
