@@ -5,10 +5,12 @@ twelve digits.  Two pure-Catalyst forms keep them:
 
 * fast form -- both factors fit decimal(19,9) and decimal(18,9) exactly, so
   the product is decimal(38,18) with nothing lost;
-* general form -- split |x| into an integer part decimal(19,0) and a fraction
-  decimal(18,18); three of the four partial products are exact at scale 18,
-  the fraction*fraction term is the single place that rounds (half up), which
-  equals rounding the exact product.  The sign is applied at the end.
+* general form -- both factors as whole part and 18-digit fraction, and the
+  product counted in units of 10^-18 in whole-number decimals of 38 digits,
+  which additions never round.  Fraction times fraction is the single place
+  that rounds (half up), which equals rounding the exact product.
+
+A product that does not fit decimal(38,18) is NULL; nothing raises.
 """
 
 from __future__ import annotations
@@ -19,28 +21,40 @@ from pyspark.sql import functions as F
 RESULT = "decimal(38,18)"
 
 
-def _split(x: Column):
-    ax = F.abs(x).cast("decimal(37,18)")
-    whole = F.floor(ax).cast("decimal(19,0)")
-    frac = (ax - whole).cast("decimal(18,18)")
-    return whole, frac
+UNITS = 10 ** 18
+
+
+def _whole(n: int, precision: int) -> Column:
+    return F.lit(str(n)).cast(f"decimal({precision},0)")
+
+
+def _split(x: Column) -> tuple[Column, Column]:
+    """Whole part (20 digits at most) and fraction in units of 10^-18."""
+    ax = F.abs(x)
+    fraction = (ax % _whole(1, 1)).cast("decimal(18,18)") * _whole(UNITS, 19)
+    return F.floor(ax).cast("decimal(20,0)"), fraction.cast("decimal(18,0)")
+
+
+def _from_units(n: Column) -> Column:
+    """A whole number of units of 10^-18 as decimal(38,18), digit by digit:
+    a division would round."""
+    text = n.cast("string")
+    text = F.when(F.length(text) < 19, F.lpad(text, 19, "0")).otherwise(text)
+    cut = F.length(text) - 18
+    return F.concat(F.substr(text, F.lit(1), cut), F.lit("."), F.substr(text, cut + 1, F.lit(18))).try_cast(RESULT)
 
 
 def exact_product(price: Column, quantity: Column) -> Column:
     p9 = price.try_cast("decimal(19,9)")
     q9 = quantity.try_cast("decimal(18,9)")
-    fast_ok = (p9 == price) & (q9 == quantity)
+    fast_ok = F.coalesce((p9 == price) & (q9 == quantity), F.lit(False))
     fast = (p9 * q9).cast(RESULT)
 
     pw, pf = _split(price)
     qw, qf = _split(quantity)
-    # Terms and partial sums are held as decimal(37,18) so every addition
-    # stays at scale 18 (a decimal(38,18) operand would push it to scale 17).
-    # Exact for products below 10^19.
-    acc = (pw * qw).cast("decimal(37,18)")                 # exact
-    acc = (acc + (pw * qf).cast("decimal(37,18)")).cast("decimal(37,18)")  # exact
-    acc = (acc + (pf * qw).cast("decimal(37,18)")).cast("decimal(37,18)")  # exact
-    magnitude = (acc + (pf * qf).cast("decimal(19,18)")).cast(RESULT)  # the one rounding
-    negative = (price < 0) != (quantity < 0)
-    general = F.when(negative, -magnitude).otherwise(magnitude)
+    whole = F.try_multiply(F.try_multiply(pw, qw), _whole(UNITS, 19))
+    mixed = F.try_add(F.try_multiply(pw, qf), F.try_multiply(pf, qw))
+    rounded = F.call_function("div", pf * qf + _whole(UNITS // 2, 18), _whole(UNITS, 19)).cast("decimal(19,0)")
+    magnitude = _from_units(F.try_add(F.try_add(whole, mixed), rounded))
+    general = F.when((price < 0) != (quantity < 0), -magnitude).otherwise(magnitude)
     return F.when(fast_ok, fast).otherwise(general)

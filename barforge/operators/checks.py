@@ -70,7 +70,7 @@ def check_no_duplicates(silver: DataFrame, keys=KEY) -> DataFrame:
     """M1: fail when any (symbol, trade_id) occurs more than once."""
     n = F.col("n")
     return _check(duplicate_key_groups(silver, keys), "silver_no_duplicates", n, 0.0,
-                  n == 0, F.concat(F.lit("duplicate key groups: "), _text(n)))
+                  n == 0, F.concat(F.lit("keys held by several rows: "), _text(n)))
 
 
 def check_not_nulls(silver: DataFrame) -> DataFrame:
@@ -97,33 +97,26 @@ def check_recent_activity(silver: DataFrame, as_of=None, min_rows: int = MIN_REC
 
 
 def bronze_trade_time(bronze: DataFrame, content: str = "record_content") -> Column:
-    """Trade time of a raw row (safe parse: unparsable -> not counted)."""
+    """Trade time of a raw row: the typed column the sink stores beside the
+    payload, or, in rows from elsewhere, a safe parse (unparsable -> not counted)."""
+    if "trade_time" in bronze.columns:
+        return F.col("trade_time")
     return json_time_ntz(F.col(content), "T")
 
 
-def recent_raw(bronze: DataFrame, start: Column, ingest_days: int | None = None) -> DataFrame:
-    """Raw rows whose trade time is ``>= start``, as one column ``t``.
-
-    The trade time sits inside the payload, so this reads every raw row.
-    ``ingest_days`` (opt-in) also bounds the typed ``ingest_date`` partition
-    column to the last ``k`` days, pruning old raw partitions; it drops rows
-    whose trade time is recent but were ingested earlier (e.g. future-dated
-    trades), which the exact default counts.
-    """
-    df = bronze
-    if ingest_days is not None and "ingest_date" in bronze.columns:
-        df = df.filter(F.col("ingest_date") >= F.date_sub(start.cast("date"), int(ingest_days)))
-    return df.select(bronze_trade_time(df).alias("t")).filter(F.col("t") >= start)
+def recent_raw(bronze: DataFrame, start: Column) -> DataFrame:
+    """Raw rows whose trade time is ``>= start``, as one column ``t``.  On the
+    stored raw layer the bound reaches the scan of the typed column."""
+    return bronze.select(bronze_trade_time(bronze).alias("t")).filter(F.col("t") >= start)
 
 
 def check_bronze_recent(bronze: DataFrame, as_of=None,
-                        window_minutes: int = BRONZE_WINDOW_MINUTES,
-                        ingest_days: int | None = None) -> DataFrame:
+                        window_minutes: int = BRONZE_WINDOW_MINUTES) -> DataFrame:
     """M4: count and latest trade time of raw rows in the last ``max(w,1)`` minutes;
-    fail when there are none.  See :func:`recent_raw` for ``ingest_days``."""
+    fail when there are none."""
     w = clamp_window(window_minutes)
     start = minus_minutes(as_of_col(as_of), w)
-    t = recent_raw(bronze, start, ingest_days)
+    t = recent_raw(bronze, start)
     agg = t.agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("latest"))
     n = F.col("n")
     return _check(agg, "bronze_recent_rows", n, 0.0, n > 0,
@@ -151,13 +144,12 @@ def _tagged_counts(parts: list[tuple[str, DataFrame]]) -> DataFrame:
                        for tag, _ in parts])
 
 
-def daily_summary(bronze: DataFrame, silver: DataFrame, gold: DataFrame, as_of=None,
-                  ingest_days: int | None = None) -> DataFrame:
+def daily_summary(bronze: DataFrame, silver: DataFrame, gold: DataFrame, as_of=None) -> DataFrame:
     """M6: rows of each layer in the last day (bronze by trade time, silver by
     trade time, gold by minute bucket) and the report text."""
     start = minus_days(as_of_col(as_of), 1)
     parts = [
-        ("bronze_rows", recent_raw(bronze, start, ingest_days)),
+        ("bronze_rows", recent_raw(bronze, start)),
         ("silver_rows", silver.filter(F.col("trade_time") >= start)),
         ("gold_buckets", gold.filter(F.col("minute_bucket") >= start)),
     ]
@@ -199,12 +191,11 @@ def check_pipeline_status(status: DataFrame, column: str = "status_json",
     all_running = F.forall(tasks, lambda x: x["state"].eqNullSafe(RUNNING))
     first_bad = F.filter(tasks, lambda x: ~x["state"].eqNullSafe(RUNNING))[0]["state"]
     detail = (F.when(~state.eqNullSafe(RUNNING),
-                     F.concat(F.lit("connector state is "), F.coalesce(state, F.lit("missing")),
-                              F.lit(", expected RUNNING")))
-              .when(n_tasks == 0, F.lit("connector has no running tasks"))
-              .when(~all_running, F.concat(F.lit("connector task not running: "),
-                                           F.coalesce(first_bad, F.lit("missing"))))
-              .otherwise(F.lit("connector and all tasks running")))
+                     F.concat(F.lit("pipeline reports "), F.coalesce(state, F.lit("no state"))))
+              .when(n_tasks == 0, F.lit("pipeline lists no task"))
+              .when(~all_running, F.concat(F.lit("a task reports "),
+                                           F.coalesce(first_bad, F.lit("no state"))))
+              .otherwise(F.lit("pipeline and tasks up")))
     passed = state.eqNullSafe(RUNNING) & (n_tasks > 0) & F.coalesce(all_running, F.lit(False))
     return parsed.select(
         *([id_column] if id_column else []),
@@ -223,7 +214,9 @@ def latest_status(status: DataFrame, order_column: str = "doc_id",
 
 
 def run_suite(suite: str, checks: list[DataFrame]) -> DataFrame:
-    """M9: ordered checks; rows after the first failure are marked ``skipped``.
+    """M9: ordered checks; rows after the first failure are marked ``skipped``
+    (they are computed too, since all checks are one plan; ``enforce`` and
+    ``failures`` act as if the suite had stopped there).
 
     The window is partitioned by suite name and holds one row per check, so
     it is bounded by the number of checks, not by data size.
@@ -252,12 +245,15 @@ def health_suite(status: DataFrame, bronze: DataFrame, silver: DataFrame, as_of=
                                      check_silver_lag(silver, as_of, max_lag_seconds)])
 
 
-def failures(results: DataFrame, run_id: str) -> DataFrame:
-    """Failure records (suite, task, run, error) for checks that ran and failed."""
+def failures(results: DataFrame, run_id: str, log_root: str = "") -> DataFrame:
+    """Failure records (suite, task, run, error, log link) for checks that
+    ran and failed; the link names the task's log under ``log_root``."""
     ran = ~F.col("skipped") if "skipped" in results.columns else F.lit(True)
     return results.filter(~F.col("passed") & ran).select(
         F.col("suite"), F.col("check_name").alias("task"), F.lit(run_id).alias("run_id"),
-        F.col("detail").alias("error"))
+        F.col("detail").alias("error"),
+        F.concat_ws("/", F.lit(log_root.rstrip("/")), F.col("suite"), F.col("check_name"),
+                    F.lit(run_id)).alias("log_link"))
 
 
 def record_failures(failed: DataFrame, path: str) -> None:

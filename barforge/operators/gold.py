@@ -8,7 +8,7 @@ row per (group, input partition).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barforge.functions.decimal import exact_product
@@ -21,13 +21,14 @@ GOLD_COLUMNS = ("symbol", "minute_bucket", "trade_count", "total_quantity", "tot
 
 def bar_aggregates():
     """The nine bar measures, in output order (COUNT/SUM/AVG/MIN/MAX only)."""
+    n = F.count(F.lit(1))
     return [
-        F.count(F.lit(1)).alias("trade_count"),
-        F.sum("quantity").alias("total_quantity"),
-        F.sum(exact_product(F.col("price"), F.col("quantity"))).alias("total_notional"),
-        # Unweighted mean of price; avg() is decimal(38,22) already rounded at
-        # scale 18, so the cast is exact.
-        F.avg("price").cast("decimal(38,18)").alias("avg_price"),
+        n.alias("trade_count"),
+        F.try_sum("quantity").alias("total_quantity"),
+        exact_total(exact_product(F.col("price"), F.col("quantity"))).alias("total_notional"),
+        # Unweighted mean of price as exact sum / count: avg() has room for
+        # sixteen integer digits only.
+        (F.try_sum("price") / n).cast("decimal(38,18)").alias("avg_price"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
         F.min("trade_time").alias("first_trade_time"),
@@ -35,6 +36,12 @@ def bar_aggregates():
     ]
 
 
+def exact_total(x: Column) -> Column:
+    """Sum that is NULL, not wrong and not an error, when a term or the total
+    does not fit decimal(38,18)."""
+    return F.when(F.count(x) == F.count(F.lit(1)), F.try_sum(x))
+
+
 def with_minute(silver: DataFrame) -> DataFrame:
     return silver.select("symbol", minute_bucket(F.col("trade_time")).alias("minute_bucket"),
                          "price", "quantity", "trade_time")

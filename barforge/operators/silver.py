@@ -45,7 +45,8 @@ def parse_trades(bronze: DataFrame, mode: str = "strict",
 
     ``mode='strict'`` fails on a non-numeric trade/order id or a non-boolean
     maker flag, as the reference does; ``'permissive'`` turns them into NULL
-    (the row then drops out of :func:`valid_trades`).
+    (a row without a trade id then drops out of :func:`valid_trades`), and
+    :func:`cast_rejects` lists them.
     """
     if mode not in ("strict", "permissive"):
         raise ValueError(f"mode must be strict or permissive, not {mode!r}")
@@ -72,6 +73,24 @@ def parse_trades(bronze: DataFrame, mode: str = "strict",
     )
 
 
+def cast_rejects(bronze: DataFrame, keep: tuple[str, ...] = (),
+                 content: str = "record_content") -> DataFrame:
+    """F2/F3 quarantine: one row per field that permissive parsing turns into
+    NULL although the payload holds a value -- the ``keep`` columns, the
+    field's name, its text and a reason."""
+    c = F.col(content)
+    fields = [("t", json_bigint(c, "t", False), "not a number"),
+              ("b", json_bigint(c, "b", False), "not a number"),
+              ("a", json_bigint(c, "a", False), "not a number"),
+              ("m", json_boolean(c, "m", False), "not a flag")]
+    found = F.array(*[
+        F.when(typed.isNull() & json_string(c, key, False).isNotNull(),
+               F.struct(F.lit(key).alias("field"), json_string(c, key, False).alias("value"),
+                        F.lit(reason).alias("reason")))
+        for key, typed, reason in fields])
+    return bronze.select(*keep, F.inline(F.filter(found, lambda x: x.isNotNull())))
+
+
 def valid_trades(parsed: DataFrame) -> DataFrame:
     """R2: keep rows whose five required fields are all present."""
     cond = None

@@ -7,13 +7,16 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.operators import admission, checks
-from barforge.operators.gold import gold_trades_1m
-from barforge.operators.silver import parse_trades, silver_trades, valid_trades
+from barforge.functions.decimal import exact_product
+from barforge.functions.timefn import ntz_epoch_micros
+from barforge.operators.gold import exact_total, gold_trades_1m
+from barforge.operators.silver import cast_rejects, parse_trades, silver_trades, valid_trades
 from barforge.session import fresh_dir, written_table
 from barforge.sources import fixtures
 from barforge.sources.arrivals import Arrivals
@@ -30,6 +33,7 @@ METERING_AS_OF = "1998-08-02 00:00:00"
 METERING_WAREHOUSE = "WH_1"
 SUBSCRIBED = ("btcusdt", "ethusdt")
 RUN_ID = "scheduled__2024-01-01T12:00:00"
+LOG_ROOT = "logs"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,6 +110,7 @@ def q_bronze_ingest(spark, sf_dir):
     b = read_bronze(spark, os.path.join(root, "bronze"))
     c = F.col("record_content")
     return b.select(F.variant_get("record_metadata", "$.offset", "bigint").alias("offset"),
+                    F.variant_get("record_metadata", "$.CreateTime", "bigint").alias("create_ms"),
                     F.variant_get(c, "$.s", "string").alias("symbol"),
                     F.variant_get(c, "$.t", "bigint").alias("trade_id"),
                     F.variant_get(c, "$.q", "string").alias("quantity_text"))
@@ -157,6 +162,39 @@ def q_bronze_recency(spark, sf_dir):
     return checks.check_bronze_recent(bronze(spark, sf_dir), TRADES_AS_OF)
 
 
+def q_clamped_recency(spark, sf_dir):
+    """a window of zero minutes counts as one."""
+    return checks.check_bronze_recent(bronze(spark, sf_dir), TRADES_AS_OF, window_minutes=0)
+
+
+def q_activity_now(spark, sf_dir):
+    """the activity check at the current UTC time."""
+    return checks.check_recent_activity(silver(spark, sf_dir))
+
+
+def q_cast_rejects(spark, sf_dir):
+    """values that permissive parsing rejects, by field and reason."""
+    return cast_rejects(fixtures.bronze_with_bad_fields(table(spark, sf_dir, "events")), ("offset",))
+
+
+def q_exact_bars(spark, sf_dir):
+    """A4 on factors with 18 decimals (derived from the event ids): notional
+    per event type, in units of 10^-18."""
+    e = table(spark, sf_dir, "events")
+
+    def factor(whole, step):
+        units = (F.col("event_id").cast("decimal(20,0)") * F.lit(str(step)).cast("decimal(18,0)")
+                 % F.lit(str(10 ** 18)).cast("decimal(19,0)")).cast("decimal(18,0)")
+        return F.concat(whole.cast("string"), F.lit("."), F.lpad(units.cast("string"), 18, "0")).cast("decimal(38,18)")
+
+    rows = e.select(F.col("event_type").alias("symbol"),
+                    factor(F.col("event_id") * 1000003, 123456789012345677).alias("price"),
+                    factor(F.col("event_id") % 97, 987654321098765431).alias("quantity"))
+    bars = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("trade_count"),
+                                      exact_total(exact_product(F.col("price"), F.col("quantity"))).alias("n"))
+    return bars.select("symbol", "trade_count", F.replace(F.col("n").cast("string"), F.lit("."), F.lit("")).alias("notional_units"))
+
+
 def q_silver_lag(spark, sf_dir):
     return checks.check_silver_lag(silver(spark, sf_dir), TRADES_AS_OF)
 
@@ -199,7 +237,7 @@ def q_check_failures(spark, sf_dir):
     s = written_table(silver_trades(b), "silver")
     results = checks.quality_suite(s, TRADES_AS_OF, min_rows=100).unionByName(
         checks.health_suite(status(spark, sf_dir), b, s, TRADES_AS_OF))
-    return checks.failures(results, RUN_ID)
+    return checks.failures(results, RUN_ID, LOG_ROOT)
 
 
 # --- streaming ----------------------------------------------------------------
@@ -240,14 +278,37 @@ def q_gold_incremental(spark, sf_dir):
 
 
 def q_backfill_gold(spark, sf_dir):
-    """Rebuild both layers from all raw rows into a maintained layout."""
-    root = fresh_dir(spark, "backfill")
-    layout = st.Layout(os.path.join(root, "tables"))
-    st.bootstrap_layers(spark, layout)
-    mt.rebuild(bronze(spark, sf_dir), layout)
+    """Rebuild both layers from all raw rows over a layout that a stream
+    has maintained from its first part."""
+    layout, arrivals, _ = run_incremental(spark, sf_dir, "copies", "backfill", stop_after=1)
+    for p in range(1, fixtures.part_count("copies")):
+        arrivals.deliver(p)
+    mt.rebuild(arrivals.read(), layout)
     return st.read_gold(spark, layout)
 
 
+def q_registered_layers(spark, sf_dir):
+    """Ingest and maintenance with registered tables; rows and earliest
+    trade time (ms) of each layer, read through the catalog."""
+    root = fresh_dir(spark, "registered")
+    layout = st.Layout(os.path.join(root, "tables"), catalog=f"r{root[-12:]}_")
+    arrivals = Arrivals(spark, topic(spark, sf_dir).withColumn("part", F.lit(0)), root, schema=TOPIC_SCHEMA)
+    queries = streams.start_streams(spark, arrivals.stream(), layout, os.path.join(root, "checkpoints"),
+                                    ingest_trigger=CATCH_UP, maintain_trigger=CATCH_UP, register=True)
+    try:
+        arrivals.deliver(0)
+        streams.catch_up(queries)
+    finally:
+        for q in queries:
+            q.stop()
+    st.refresh_tables(spark, layout)
+    layers = (("raw", "bronze", "trade_time"), ("silver", "silver", "trade_time"), ("gold", "gold", "first_trade_time"))
+    counts = [spark.table(st.table_name(layout, name)).agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("t"))
+              .select(F.lit(tag).alias("layer"), "n", (ntz_epoch_micros(F.col("t")) / 1000).cast("bigint").alias("low"))
+              for tag, name, t in layers]
+    return written_table(reduce(DataFrame.unionByName, counts), "registered")
+
+
 def q_recover_gold(spark, sf_dir):
     """The stream stops after its first part; more raw files arrive while
     it is down; ``recover`` restarts it from the same checkpoint, it catches
@@ -268,8 +329,10 @@ def q_recover_gold(spark, sf_dir):
         return checks.enforce(lifecycle.health_checks(
             live, arrivals.read(), st.read_silver(spark, layout), TRADES_AS_OF))
 
-    query, _ = lifecycle.recover(spark, name, start, validate)
-    query.stop()
+    try:
+        lifecycle.recover(spark, name, start, validate)
+    finally:
+        lifecycle.stop_query(spark, name)
     return st.read_gold(spark, layout)
 
 
@@ -294,11 +357,17 @@ def q_ingest_to_gold(spark, sf_dir):
     return st.read_gold(spark, layout)
 
 
-def q_stream_bars_append(spark, sf_dir):
+def q_stream_bars_update(spark, sf_dir):
     return stream_bars_mod.run_stream_bars(spark, table(spark, sf_dir, "events"),
                                            fresh_dir(spark, "stream_bars"))
 
 
+def q_stream_bars_append(spark, sf_dir):
+    """T3 in append mode: each bar once, when the watermark has passed it."""
+    return stream_bars_mod.run_stream_bars(spark, table(spark, sf_dir, "events"),
+                                           fresh_dir(spark, "stream_bars_final"), final=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "admit_trades": q_admit_trades,
     "quarantined_trades": q_quarantined_trades,
@@ -315,6 +384,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "null_rows_parsed": q_null_rows_parsed,
     "recent_activity": q_recent_activity,
     "bronze_recency": q_bronze_recency,
+    "clamped_recency": q_clamped_recency,
+    "activity_now": q_activity_now,
+    "cast_rejects": q_cast_rejects,
+    "exact_bars": q_exact_bars,
     "silver_lag": q_silver_lag,
     "layer_lag": q_layer_lag,
     "daily_summary": q_daily_summary,
@@ -327,6 +400,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_incremental": q_gold_incremental,
     "backfill_gold": q_backfill_gold,
     "recover_gold": q_recover_gold,
+    "stream_bars_update": q_stream_bars_update,
     "stream_bars_append": q_stream_bars_append,
+    "registered_layers": q_registered_layers,
     "ingest_to_gold": q_ingest_to_gold,
 }

@@ -8,7 +8,7 @@ Tables ``events``, ``orders`` and ``supplier`` are the driver's views.
 
 from __future__ import annotations
 
-from barforge.plans.catalog import (METERING_AS_OF, METERING_WAREHOUSE, RUN_ID, SUBSCRIBED,
+from barforge.plans.catalog import (LOG_ROOT, METERING_AS_OF, METERING_WAREHOUSE, RUN_ID, SUBSCRIBED,
                                     TRADES_AS_OF)
 from barforge.sources.fixtures import (BASE_MS, COMPRESSION, COPY_SHIFT_MS, OTHER_SYMBOL,
                                        SYMBOL_BY_EVENT_TYPE, TOPIC)
@@ -68,7 +68,7 @@ st3 AS (
   FROM st2
 ),
 raw AS (
-  SELECT id, copy, symbol, msg_offset,
+  SELECT id, copy, symbol, msg_offset, coalesce(create_ms, e_ms) AS sent_ms,
     '{{"e":"trade","E":' || CAST(e_ms AS VARCHAR)
       || CASE WHEN symbol IS NULL THEN '' ELSE ',"s":"' || symbol || '"' END
       || ',"t":' || CAST(id AS VARCHAR)
@@ -159,7 +159,7 @@ def _check(name: str, observed: str, threshold: str, passed: str, detail: str, s
 
 
 def _dup_check(rel: str) -> str:
-    return _check("silver_no_duplicates", "n", "0", "n = 0", "'duplicate key groups: ' || CAST(n AS VARCHAR)",
+    return _check("silver_no_duplicates", "n", "0", "n = 0", "'keys held by several rows: ' || CAST(n AS VARCHAR)",
                   f"(SELECT count(*) AS n FROM (SELECT symbol, trade_id FROM {rel}"
                   " GROUP BY symbol, trade_id HAVING count(*) > 1) g) c")
 
@@ -171,21 +171,21 @@ def _null_check(rel: str) -> str:
                   " OR trade_time IS NULL OR price IS NULL OR quantity IS NULL) c")
 
 
-def _activity_check(min_rows: int = 10) -> str:
+def _activity_check(min_rows: int = 10, now: str = AS_OF) -> str:
     return _check("silver_recent_activity", "n", str(min_rows), f"n >= {min_rows}",
                   "'rows in last 5 min: ' || CAST(n AS VARCHAR)",
-                  f"(SELECT count(*) AS n FROM silver WHERE trade_time >= {AS_OF} - INTERVAL 5 MINUTE) c")
+                  f"(SELECT count(*) AS n FROM silver WHERE trade_time >= {now} - INTERVAL 5 MINUTE) c")
 
 
 BRONZE_T = f"bronze_t AS (SELECT {_jtime('content', 'T')} AS t FROM raw)"
 
 
-def _bronze_check() -> str:
+def _bronze_check(minutes: int = 5) -> str:
     return _check("bronze_recent_rows", "n", "0", "n > 0",
-                  "'rows in last 5 min: ' || CAST(n AS VARCHAR) || ', latest trade time '"
+                  f"'rows in last {minutes} min: ' || CAST(n AS VARCHAR) || ', latest trade time '"
                   " || coalesce(strftime(latest, '%Y-%m-%d %H:%M:%S.%g'), 'none')",
                   f"(SELECT count(*) AS n, max(t) AS latest FROM bronze_t"
-                  f" WHERE t >= {AS_OF} - INTERVAL 5 MINUTE) c")
+                  f" WHERE t >= {AS_OF} - INTERVAL {minutes} MINUTE) c")
 
 
 def _lag_check() -> str:
@@ -208,10 +208,10 @@ status_docs AS (
 status_eval AS (
   SELECT doc_id, state, n_tasks, bad,
     CASE WHEN state IS DISTINCT FROM 'RUNNING'
-           THEN 'connector state is ' || coalesce(state, 'missing') || ', expected RUNNING'
-         WHEN n_tasks = 0 THEN 'connector has no running tasks'
-         WHEN len(bad) > 0 THEN 'connector task not running: ' || coalesce(bad[1], 'missing')
-         ELSE 'connector and all tasks running' END AS detail,
+           THEN 'pipeline reports ' || coalesce(state, 'no state')
+         WHEN n_tasks = 0 THEN 'pipeline lists no task'
+         WHEN len(bad) > 0 THEN 'a task reports ' || coalesce(bad[1], 'no state')
+         ELSE 'pipeline and tasks up' END AS detail,
     (state IS NOT DISTINCT FROM 'RUNNING') AND n_tasks > 0 AND len(bad) = 0 AS passed
   FROM (
     SELECT doc_id,
@@ -242,13 +242,13 @@ LATEST_STATUS = " WHERE doc_id = (SELECT max(doc_id) FROM status_eval)"
 
 ADMISSION = f"""
 messages AS (
-  SELECT msg_offset, symbol AS key,
+  SELECT msg_offset, sent_ms, symbol AS key,
     CASE WHEN id % 211 = 0 THEN '{{bad' WHEN id % 3 = 0 THEN '{{"data":' || content || '}}'
          ELSE content END AS message
   FROM raw
 ),
 unwrapped AS (
-  SELECT msg_offset, key, json_valid(message) AS ok,
+  SELECT msg_offset, sent_ms, key, json_valid(message) AS ok,
     CASE WHEN json_valid(message) AND json_type(message) = 'OBJECT'
          THEN json_extract(message, '$.data') IS NOT NULL ELSE false END AS wrapped,
     CASE WHEN NOT json_valid(message) THEN NULL
@@ -275,7 +275,7 @@ admitted AS (
     json_extract_string(payload, '$.s') AS symbol,
     {_num("json_extract_string(payload, '$.E')")} AS event_ms,
     {_num("json_extract_string(payload, '$.T')")} AS trade_ms,
-    payload
+    payload, sent_ms
   FROM classified WHERE reason IS NULL
 )"""
 
@@ -300,6 +300,42 @@ _QUALITY = _suite("data_quality", [_null_check("silver"), _dup_check("silver"),
 _HEALTH = _suite("healthcheck", [_status_row(LATEST_STATUS), _bronze_check(), _lag_check()])
 _QUALITY_100 = _suite("data_quality", [_null_check("silver"), _dup_check("silver"), _activity_check(100)])
 
+_NOW = "(now() AT TIME ZONE 'UTC')"
+
+
+def _reject(key: str, test: str, reason: str) -> str:
+    text = f"json_extract_string(c3, '$.{key}')"
+    return (f"SELECT msg_offset AS \"offset\", '{key}' AS field, {text} AS value, '{reason}' AS reason"
+            f" FROM bad3 WHERE {text} IS NOT NULL AND TRY_CAST({text} AS {test}) IS NULL")
+
+
+REJECTS = f"""
+bad1 AS (SELECT *, CASE WHEN id % 89 = 0 THEN replace(content, '"t":' || CAST(id AS VARCHAR) || ',', '"t":"abc",') ELSE content END AS c1 FROM raw),
+bad2 AS (SELECT *, CASE WHEN id % 83 = 0 THEN replace(c1, '"m":', '"m":"maybe","x":') ELSE c1 END AS c2 FROM bad1),
+bad3 AS (SELECT *, CASE WHEN id % 79 = 0 THEN replace(c2, '"b":', '"b":"none","y":') ELSE c2 END AS c3 FROM bad2),
+rejects AS ({" UNION ALL ".join(_reject(k, t, r) for k, t, r in (
+    ("t", "DECIMAL(38,0)", "not a number"), ("b", "DECIMAL(38,0)", "not a number"),
+    ("a", "DECIMAL(38,0)", "not a number"), ("m", "BOOLEAN", "not a flag")))})"""
+
+
+def _exact_bars() -> str:
+    """Products of 18-decimal factors in whole units of 10^-18: high and low
+    halves in HUGEINT, the low product rounded half up."""
+    return """
+WITH t AS (
+  SELECT event_type AS symbol, event_id AS id,
+    CAST(event_id AS HUGEINT) * 1000003 AS pw, (CAST(event_id AS HUGEINT) * 123456789012345677) % 1000000000000000000 AS pf,
+    CAST(event_id % 97 AS HUGEINT) AS qw, (CAST(event_id AS HUGEINT) * 987654321098765431) % 1000000000000000000 AS qf
+  FROM events),
+p AS (
+  SELECT *, pf // 1000000000 AS ph, pf % 1000000000 AS pl, qf // 1000000000 AS qh, qf % 1000000000 AS ql FROM t),
+n AS (
+  SELECT symbol, id, (pw * qw) * 1000000000000000000 + pw * qf + pf * qw
+    + (ph * qh + (ph * ql + pl * qh + (pl * ql) // 1000000000 + 500000000) // 1000000000) AS units
+  FROM p)
+SELECT symbol, count(*) AS trade_count, CAST(sum(units) AS VARCHAR) AS notional_units FROM n GROUP BY symbol"""
+
+
 SILVER_SQL = f"{_with(RAW, PARSED)} SELECT * FROM silver"
 GOLD_SQL = f"{_with(RAW, PARSED, GOLD)} SELECT * FROM gold"
 
@@ -308,7 +344,7 @@ ORACLE: dict[str, str] = {
     "quarantined_trades": f"{_with(RAW, ADMISSION)} SELECT msg_offset AS \"offset\", key, reason FROM classified WHERE reason IS NOT NULL",
     "subscribed_trades": f"{_with(RAW, ADMISSION)} SELECT \"offset\", key, wrapped, symbol, event_ms, trade_ms FROM admitted WHERE lower(symbol) IN ({_SUBS})",
     "keyed_trades": f"{_with(RAW, ADMISSION)} SELECT json_extract_string(payload, '$.s') AS key, CAST(json_extract_string(payload, '$.t') AS BIGINT) AS trade_id, json_extract_string(payload, '$.q') AS quantity_text FROM admitted",
-    "bronze_ingest": f"{_with(RAW, ADMISSION)} SELECT \"offset\", symbol, CAST(json_extract_string(payload, '$.t') AS BIGINT) AS trade_id, json_extract_string(payload, '$.q') AS quantity_text FROM admitted",
+    "bronze_ingest": f"{_with(RAW, ADMISSION)} SELECT \"offset\", sent_ms AS create_ms, symbol, CAST(json_extract_string(payload, '$.t') AS BIGINT) AS trade_id, json_extract_string(payload, '$.q') AS quantity_text FROM admitted",
     "parse_trades": f"{_with(RAW, PARSED)} SELECT {PARSED_COLS} FROM parsed",
     "valid_trades": f"{_with(RAW, PARSED)} SELECT {PARSED_COLS} FROM valid",
     "silver_trades": SILVER_SQL,
@@ -319,6 +355,10 @@ ORACLE: dict[str, str] = {
     "null_rows_parsed": f"{_with(RAW, PARSED)} {_null_check('parsed')}",
     "recent_activity": f"{_with(RAW, PARSED)} {_activity_check()}",
     "bronze_recency": f"{_with(RAW, BRONZE_T)} {_bronze_check()}",
+    "clamped_recency": f"{_with(RAW, BRONZE_T)} {_bronze_check(1)}",
+    "activity_now": f"{_with(RAW, PARSED)} {_activity_check(now=_NOW)}",
+    "cast_rejects": f"{_with(RAW, REJECTS)} SELECT \"offset\", field, value, reason FROM rejects",
+    "exact_bars": _exact_bars(),
     "silver_lag": f"{_with(RAW, PARSED)} {_lag_check()}",
     "layer_lag": f"""{_with(RAW, PARSED, GOLD, BRONZE_T)}
       SELECT bronze_latest, silver_latest, gold_latest,
@@ -341,13 +381,21 @@ ORACLE: dict[str, str] = {
     "quality_suite": f"{_with(RAW, PARSED)} {_QUALITY}",
     "health_suite": f"{_with(RAW, PARSED, BRONZE_T, STATUS)} {_HEALTH}",
     "check_failures": f"""{_with(RAW, PARSED, BRONZE_T, STATUS)}
-      SELECT suite, check_name AS task, '{RUN_ID}' AS run_id, detail AS error
+      SELECT suite, check_name AS task, '{RUN_ID}' AS run_id, detail AS error,
+        '{LOG_ROOT}/' || suite || '/' || check_name || '/{RUN_ID}' AS log_link
       FROM ({_QUALITY_100} UNION ALL {_HEALTH}) r WHERE NOT passed AND NOT skipped""",
     "silver_incremental": SILVER_SQL,
     "gold_incremental": GOLD_SQL,
     "backfill_gold": GOLD_SQL,
     "recover_gold": GOLD_SQL,
-    "stream_bars_append": f"{_with(RAW, PARSED)} {_bars('(SELECT * FROM valid WHERE copy = 0)')}",
+    "stream_bars_update": f"{_with(RAW, PARSED)} {_bars('(SELECT * FROM valid WHERE copy = 0)')}",
+    # A bar is final once the watermark (ten minutes behind) passes its end.
+    "stream_bars_append": f"{_with(RAW, PARSED)} SELECT * FROM ({_bars('(SELECT * FROM valid WHERE copy = 0)')}) b"
+                          " WHERE minute_bucket + INTERVAL 1 MINUTE <= (SELECT max(trade_time) FROM valid) - INTERVAL 10 MINUTE",
+    "registered_layers": f"""{_with(RAW, ADMISSION, PARSED.replace('FROM raw', 'FROM raw WHERE id % 211 <> 0'), GOLD)}
+      SELECT 'raw' AS layer, count(*) AS n, CAST(min(trade_ms) AS BIGINT) AS low FROM admitted
+      UNION ALL SELECT 'silver', count(*), CAST(epoch_ms(min(trade_time)) AS BIGINT) FROM silver
+      UNION ALL SELECT 'gold', count(*), CAST(epoch_ms(min(first_trade_time)) AS BIGINT) FROM gold""",
     # Messages broken on the wire (every copy of id % 211 = 0) never reach
     # the raw layer; every other rejected message is invalid for silver too.
     "ingest_to_gold": f"{_with(RAW, PARSED.replace('FROM raw', 'FROM raw WHERE id % 211 <> 0'), GOLD)} SELECT * FROM gold",

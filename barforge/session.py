@@ -8,8 +8,7 @@ printed timestamps read the same everywhere.
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,37 +48,26 @@ def build_session(master: str | None = None, app: str = "barforge",
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder under the cluster's shared checkpoint directory.
+    """A folder under the cluster's shared checkpoint directory, whatever the
+    file system: Spark and the Hadoop file system make it when it is written.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; we read
-    it from the session.  Only a local master (tests, benches) may fall back
-    to a fresh temporary folder, which is then registered as the session's
-    checkpoint dir so ``DataFrame.checkpoint()`` uses the same place.
+    it from the session.  Only where it is unset, on a local master (tests,
+    benches), a folder of this application under the JVM's temporary
+    directory takes its place.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        # Core configs cannot change at runtime; setCheckpointDir records the
-        # folder (as a subfolder), and later calls find it there.
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="barforge-"))
-        root = sc.getCheckpointDir()
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = os.path.join(root, *parts) if parts else root
-    return path
+        root = f"file://{sc._jvm.System.getProperty('java.io.tmpdir')}/barforge-{sc.applicationId}"
+    return "/".join([root.rstrip("/"), *parts])
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused folder under the shared directory (one per run)."""
-    base = shared_dir(spark, "runs")
-    if base.startswith("file:") or "://" not in base:
-        local = base[5:] if base.startswith("file:") else base
-        os.makedirs(local, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
-    import uuid
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    return shared_dir(spark, "runs", f"{name}-{uuid.uuid4().hex}")
 
 
 def written_table(df, name: str):
@@ -89,6 +77,6 @@ def written_table(df, name: str):
     (with pruning and pushdown) instead of recomputing ``df``, and an
     executor loss cannot lose it.
     """
-    path = os.path.join(fresh_dir(df.sparkSession, name), "data")
+    path = fresh_dir(df.sparkSession, name) + "/data"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

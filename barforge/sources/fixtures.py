@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barforge.functions.jsonpath import json_time_ntz
 from barforge.functions.once import evaluate_once
 from barforge.functions.timefn import ntz_epoch_micros
 
@@ -36,17 +37,9 @@ COPY_SHIFT_MS = {0: 0, 1: 5000, 2: -1000}
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a few-file input over the cluster's cores.
-
-    A single-row-group file is scanned by one task; JSON building and
-    parsing downstream would then run serially.  Inputs made of at least as
-    many files as there are cores (any real table) are left untouched, so
-    this adds no shuffle at scale.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= target:
-        return df
-    return df.repartition(target, key)
+    """Deal the rows over the cluster's cores by key, always: building and
+    parsing JSON downstream then runs in parallel however the input is filed."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def _symbol_case() -> str:
@@ -119,8 +112,27 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
     """The raw layer as the sink would have written it:
     ``record_metadata VARIANT, record_content VARIANT``."""
     m = trade_messages(events)
-    return evaluate_once(m, F.parse_json("metadata").alias("record_metadata"),
-                         F.parse_json("content").alias("record_content"), keep=False)
+    return with_trade_time(evaluate_once(m, F.parse_json("metadata").alias("record_metadata"),
+                                         F.parse_json("content").alias("record_content"), keep=False))
+
+
+def with_trade_time(raw: DataFrame) -> DataFrame:
+    """The raw layer's typed trade time, next to the payload."""
+    return raw.withColumn("trade_time", json_time_ntz("record_content", "T"))
+
+
+def bronze_with_bad_fields(events: DataFrame) -> DataFrame:
+    """Raw rows (``offset``, metadata, payload) where some payloads hold a
+    trade id, an order id or a maker flag of the wrong type."""
+    m = trade_messages(events).selectExpr(
+        "offset", "metadata", "id",
+        "CASE WHEN id % 89 = 0 THEN replace(content, concat('\"t\":', id, ','), '\"t\":\"abc\",') ELSE content END AS c1",
+    ).selectExpr(
+        "*", "CASE WHEN id % 83 = 0 THEN replace(c1, '\"m\":', '\"m\":\"maybe\",\"x\":') ELSE c1 END AS c2",
+    ).selectExpr(
+        "*", "CASE WHEN id % 79 = 0 THEN replace(c2, '\"b\":', '\"b\":\"none\",\"y\":') ELSE c2 END AS c3")
+    return evaluate_once(m, F.col("offset"), F.parse_json("metadata").alias("record_metadata"),
+                         F.parse_json("c3").alias("record_content"), keep=False)
 
 
 def topic_rows(events: DataFrame) -> DataFrame:

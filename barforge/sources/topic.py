@@ -12,17 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from barforge.functions.jsonpath import json_time_ntz
 from barforge.operators.admission import classify, unwrap_envelope
 
 TOPIC_SCHEMA = ("key string, value string, topic string, partition int, offset bigint,"
                 " timestamp timestamp")
 RAW_SCHEMA = "record_metadata variant, record_content variant"
-BRONZE_SCHEMA = RAW_SCHEMA + ", ingest_date date"
+BRONZE_SCHEMA = RAW_SCHEMA + ", trade_time timestamp_ntz, ingest_date date"
 # The ingest sink writes one folder with two lanes: admitted raw rows and
 # quarantined messages (original text + reason).
 RAW_LANE, QUARANTINE_LANE = "raw", "quarantine"
-LANDING_SCHEMA = (RAW_SCHEMA + ", raw_value string, reason string, lane string,"
-                  " ingest_date date")
+# The typed trade time stands beside the payload, so that time bounds on the
+# raw layer skip row groups and read one column.
+LANDING_SCHEMA = (RAW_SCHEMA + ", trade_time timestamp_ntz, raw_value string, reason string,"
+                  " lane string, ingest_date date")
+LANDING_PARTS = ("lane", "ingest_date")
 
 
 def read_trades_stream(spark: SparkSession, source: str = "files", path: str | None = None,
@@ -76,9 +80,11 @@ def ingest_date(ts_col: str = "timestamp"):
 
 
 def to_bronze(admitted: DataFrame) -> DataFrame:
-    """Admitted topic rows -> raw-layer rows (+ typed ``ingest_date`` for pruning)."""
+    """Admitted topic rows -> raw-layer rows (+ typed ``trade_time`` and
+    ``ingest_date`` for pruning)."""
     return with_record_metadata(admitted).select(
         "record_metadata", F.col("payload").alias("record_content"),
+        json_time_ntz("payload", "T").alias("trade_time"),
         ingest_date().alias("ingest_date"))
 
 
@@ -91,6 +97,7 @@ def to_landing(messages: DataFrame) -> DataFrame:
     return with_record_metadata(tagged).select(
         "record_metadata",
         F.when(ok, F.col("payload")).alias("record_content"),
+        F.when(ok, json_time_ntz("payload", "T")).alias("trade_time"),
         F.when(~ok, F.col("value")).alias("raw_value"),
         "reason",
         F.when(ok, F.lit(RAW_LANE)).otherwise(F.lit(QUARANTINE_LANE)).alias("lane"),
@@ -108,7 +115,7 @@ def write_bronze(stream: DataFrame, path: str, checkpoint: str,
     reference's flush interval).
     """
     return (to_landing(stream).writeStream.format("parquet")
-            .partitionBy("lane", "ingest_date").option("path", path)
+            .partitionBy(*LANDING_PARTS).option("path", path)
             .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
 
@@ -116,7 +123,7 @@ def write_bronze(stream: DataFrame, path: str, checkpoint: str,
 def raw_lane(df: DataFrame) -> DataFrame:
     """Admitted rows of a landing folder (rows written without lanes count as raw)."""
     return df.filter(F.coalesce(F.col("lane"), F.lit(RAW_LANE)) == RAW_LANE).select(
-        "record_metadata", "record_content", "ingest_date")
+        "record_metadata", "record_content", "trade_time", "ingest_date")
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

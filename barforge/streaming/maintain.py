@@ -6,20 +6,26 @@ Per batch:
 1. winners of the batch itself (parse -> validity filter -> keep-latest),
    cached (recomputable from the batch's source files);
 2. the stored rows of the same keys are read from the touched
-   ``(symbol, id_block)`` partitions only and merged with the same total
-   order as the batch rebuild;
-3. blocks where a stored row is replaced (or that hold too many files) are
-   staged whole -- kept rows, winners, and the replaced rows tagged by role
-   -- while blocks that only gain new trades stage just the winners, to be
-   appended; the per-bar delta (winners +, replaced rows -) is staged last,
-   and its completion marks the batch as staged;
+   ``(symbol_key, id_block)`` partitions only and merged with the same total
+   order as the batch rebuild; touched partitions are joined with, never
+   spelled out in a plan;
+3. blocks where a stored row is replaced are staged whole -- kept rows,
+   winners, and the replaced rows tagged by role -- while blocks that only
+   gain new trades stage just the winners, to be appended; the per-bar delta
+   (winners +, replaced rows -) is staged last, and its completion marks the
+   batch as staged;
 4. rewritten blocks replace their partitions (dynamic overwrite) and
-   appended files move into their blocks under names fixed by the batch;
+   appended files move into their blocks under names made of stream, batch
+   and the staged file's own name;
 5. touched bars are updated from the batch delta: counts and exact decimal
    sums (including the price sum behind the mean) are retractable; MIN/MAX
    are not, so only bars where a replaced row held an extreme are
    recomputed from their silver rows.  Bars that became empty disappear.
 
+Stages live in the version of the tables they were computed against, so a
+rebuild leaves them behind.  :func:`compact` merges the files of blocks that
+many batches have appended to; it is an operation of its own.
+
 Keep-latest is a per-key maximum under a total order, so applying a batch
 twice, or after a partial publish, gives the same tables: a replayed batch
 re-publishes its staged output.  Row state lives in storage, not in the
@@ -32,7 +38,7 @@ import datetime as _dt
 import hashlib
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -42,6 +48,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barforge.functions.decimal import exact_product
 from barforge.functions.timefn import minute_bucket, ntz_literal
+from barforge.operators.gold import exact_total
 from barforge.operators.silver import (KEY, dedup_latest, parse_trades, silver_projection,
                                        valid_trades)
 from barforge.streaming import storage as st
@@ -58,9 +65,7 @@ _stage, _publish, _distinct_keys = st.stage, st.publish, st.distinct_keys
 # the stored version it replaces (staged only to know which bars it left).
 KEPT, WINNER, REPLACED = "kept", "winner", "replaced"
 STAGED_DDL = st.SILVER_DDL + ", role string"
-# A block that would hold more data files than this is rewritten (compacted)
-# instead of receiving another appended file.
-MAX_BLOCK_FILES = 16
+SILVER_PART_DDL = "symbol_key string, id_block bigint"
 
 
 @dataclass(frozen=True)
@@ -73,15 +78,14 @@ class Staged:
 
 
 def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
-                 mode: str = "permissive", max_block_files: int = MAX_BLOCK_FILES,
-                 ) -> Staged | None:
+                 mode: str = "permissive") -> Staged | None:
     """Steps 1-3: stage the batch's silver changes and bar delta.
 
     A touched block is *rewritten* (copy-on-write) only when the batch
-    replaces one of its stored rows, or when it has accumulated
-    ``max_block_files`` files; otherwise the batch's winners are *appended*
-    to it as one new file, so a block that only gains new trades is never
-    re-read or re-written.  Returns None for a batch without valid rows.
+    replaces one of its stored rows; otherwise the batch's winners are
+    *appended* to it as new files, so a block that only gains new trades is
+    never re-read or re-written.  Returns None for a batch without valid rows.
+    ``layout`` must be at its current version (see ``storage.live``).
     """
     spark = batch.sparkSession
     staged = Staged(*(layout.staging(tag, batch_id, n)
@@ -95,47 +99,39 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
                              layout.id_block_size).persist(StorageLevel.MEMORY_AND_DISK)
     previous = winners = None
     try:
-        # Touched blocks with the trade-id range the batch brings to each
-        # (bounded by touched blocks, not rows).
-        ranges = [tuple(r) for r in incoming.groupBy(*st.SILVER_PARTS).agg(
+        # Touched blocks and the trade-id range of the batch (as many rows as
+        # touched blocks; the trigger's file limit bounds a batch).
+        touched = [tuple(r) for r in incoming.groupBy(*st.SILVER_PARTS).agg(
             F.min("trade_id"), F.max("trade_id")).collect()]
-        blocks = [(sym, blk) for sym, blk, _, _ in ranges]
-        if not blocks:
+        if not touched:
             return None
-        on = [*KEY, "id_block"]
+        blocks = [t[:2] for t in touched]
+        low, high = min(t[2] for t in touched), max(t[3] for t in touched)
+        on = [*KEY, *st.SILVER_PARTS]
         keys = incoming.select(*on)
-        # Stored rows of the batch's keys (at most one per incoming key).  A
-        # stored copy has the same trade id, so the per-block id range is an
-        # exact pre-filter that Parquet statistics use to skip whole files.
-        in_range = st.any_of([
-            (F.col("symbol") == sym) & (F.col("id_block") == blk)
-            & F.col("trade_id").between(lo, hi) for sym, blk, lo, hi in ranges])
+        # Stored rows of the batch's keys (at most one per incoming key); the
+        # id range lets Parquet statistics skip what cannot match.
         current = st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS, blocks)
-        previous = current.filter(in_range).join(keys, on, "left_semi") \
+        previous = current.filter(F.col("trade_id").between(low, high)).join(keys, on, "left_semi") \
             .persist(StorageLevel.MEMORY_AND_DISK)
-        replaced = set(_distinct_keys(previous, st.SILVER_PARTS))
-        crowded = {b for b, n in st.file_counts(spark, layout.silver, st.SILVER_PARTS,
-                                                 [b for b in blocks if b not in replaced]).items()
-                   if n >= max_block_files}
-        rewrite = sorted(replaced | crowded, key=str)
-        appended = [b for b in blocks if b not in replaced and b not in crowded]
+        rewrite = sorted(_distinct_keys(previous, st.SILVER_PARTS), key=str)
+        rewritten = st.partition_rows(spark, st.SILVER_PARTS, rewrite, SILVER_PART_DDL)
 
         winners = dedup_latest(incoming.unionByName(previous)).persist(StorageLevel.MEMORY_AND_DISK)
         # Empty stages are not written (a leftover of an earlier attempt is
         # removed); readers treat a missing stage as empty.
         st.delete(spark, staged.rewrite)
         st.delete(spark, staged.append)
+        parts = list(st.SILVER_PARTS)
         if rewrite:
-            in_rewrite = st.partition_predicate(st.SILVER_PARTS, rewrite)
             untouched = st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS,
                                            rewrite).join(keys, on, "left_anti")
             _stage(untouched.withColumn("role", F.lit(KEPT))
-                   .unionByName(winners.filter(in_rewrite).withColumn("role", F.lit(WINNER)))
+                   .unionByName(winners.join(rewritten, parts, "left_semi").withColumn("role", F.lit(WINNER)))
                    .unionByName(previous.withColumn("role", F.lit(REPLACED))),
                    staged.rewrite, st.SILVER_PARTS)
-        if appended:
-            _stage(winners.filter(st.partition_predicate(st.SILVER_PARTS, appended)),
-                   staged.append, st.SILVER_PARTS)
+        if len(rewrite) < len(blocks):
+            _stage(winners.join(rewritten, parts, "left_anti"), staged.append, st.SILVER_PARTS)
         rows = (_read_stage(spark, staged.rewrite, STAGED_DDL)
                 .unionByName(_read_stage(spark, staged.append, st.SILVER_DDL)
                              .withColumn("role", F.lit(WINNER))))
@@ -156,8 +152,9 @@ def _read_stage(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 def publish_silver(spark: SparkSession, staged: Staged, layout: Layout, tag: str,
                    batch_id: int) -> None:
     """Step 4: rewritten blocks replace their partitions; appended files are
-    moved into their blocks under names fixed by (stream, batch), so a replay
-    moves only what is left and never duplicates a row."""
+    moved into their blocks under (stream, batch, staged file name), so a
+    replay moves only what is left, and takes a staged file for moved only
+    when that very file is at its target."""
     rewritten = st.staged_partitions(spark, staged.rewrite)
     if rewritten:
         rw = spark.read.schema(STAGED_DDL).parquet(staged.rewrite)
@@ -168,16 +165,16 @@ def publish_silver(spark: SparkSession, staged: Staged, layout: Layout, tag: str
     def move_block(part) -> None:
         src_dir = st.partition_path(staged.append, st.SILVER_PARTS, part)
         dst_dir = st.partition_path(layout.silver, st.SILVER_PARTS, part)
-        for i, src in enumerate(sorted(st.list_files(spark, src_dir))):
-            dst = f"{dst_dir}/{tag}-{batch_id:012d}-{i:04d}.parquet"
+        for src in sorted(st.list_files(spark, src_dir)):
+            dst = f"{dst_dir}/{tag}-{batch_id:012d}-{src.rsplit('/', 1)[-1]}"
             if st.exists(spark, dst):
-                st.delete(spark, src)                 # moved by an earlier attempt
+                st.delete(spark, src)                 # copied by an earlier attempt
             else:
                 st.rename(spark, src, dst)
 
     with ThreadPoolExecutor(max_workers=16) as pool:
         list(pool.map(move_block, parts))
-    st.register_partitions(spark, "silver", st.SILVER_PARTS, rewritten + parts)
+    st.register_partitions(spark, layout, "silver", st.SILVER_PARTS, rewritten + parts)
 
 
 BAR_SUMS = ("trade_count", "total_quantity", "total_notional", "sum_price")
@@ -199,9 +196,9 @@ def bar_changes(staged: DataFrame) -> DataFrame:
 
     return c.groupBy(*TOUCHED).agg(
         F.sum(F.when(win, 1).otherwise(-1)).cast("bigint").alias("trade_count"),
-        F.sum(signed(F.col("quantity"))).alias("total_quantity"),
-        F.sum(signed(F.col("notional"))).alias("total_notional"),
-        F.sum(signed(F.col("price"))).alias("sum_price"),
+        F.try_sum(signed(F.col("quantity"))).alias("total_quantity"),
+        exact_total(signed(F.col("notional"))).alias("total_notional"),
+        F.try_sum(signed(F.col("price"))).alias("sum_price"),
         *[fn(F.when(win, F.col(src))).alias(name)
           for name, fn, src in (("min_price", F.min, "price"), ("max_price", F.max, "price"),
                                 ("first_trade_time", F.min, "trade_time"),
@@ -218,8 +215,8 @@ def merge_bars(current: DataFrame, changes: DataFrame) -> DataFrame:
 
     ``lost`` flags bars where a replaced row held an extreme that no winner
     reaches (MIN/MAX cannot be retracted); ``inconsistent`` flags bars whose
-    stored state does not cover what is being removed (a negative count, or
-    removals from a bar that is not stored).  Both are recomputed from silver.
+    stored state does not cover what is being removed (a negative count,
+    removals from a bar that is not stored, or a sum that is NULL).  Both are recomputed from silver.
     """
     gone = [f"gone_{n}" for n, _ in BAR_EXTREMES]
     stored = current.select(*TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
@@ -229,7 +226,9 @@ def merge_bars(current: DataFrame, changes: DataFrame) -> DataFrame:
     u = stored.unionByName(delta)
     s = F.col("_stored")
     m = u.groupBy(*TOUCHED).agg(
-        *[F.sum(n).alias(n) for n in BAR_SUMS],
+        *[F.try_sum(n).alias(n) for n in BAR_SUMS],
+        # A NULL sum (a product or total out of range) cannot be retracted.
+        reduce(lambda a, b: a | b, [F.bool_or(F.col(n).isNull()) for n in BAR_SUMS]).alias("_unknown"),
         *[fn(n).alias(n) for n, fn in BAR_EXTREMES],
         *[fn(F.when(s, F.col(n))).alias(f"old_{n}") for n, fn in BAR_EXTREMES],
         *[fn(F.when(~s, F.col(n))).alias(f"win_{n}") for n, fn in BAR_EXTREMES],
@@ -246,7 +245,7 @@ def merge_bars(current: DataFrame, changes: DataFrame) -> DataFrame:
         return gone_hit & ~win_hit
 
     lost_extreme = reduce(lambda a, b: a | b, [lost(n, fn) for n, fn in BAR_EXTREMES])
-    inconsistent = (F.col("trade_count") < 0) | (
+    inconsistent = F.col("_unknown") | (F.col("trade_count") < 0) | (
         F.col("gone_min_price").isNotNull() & F.coalesce(F.col("_had_row") == 0, F.lit(True)))
     return m.select(
         *TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
@@ -264,12 +263,10 @@ def refresh_gold(spark: SparkSession, delta_path: str, batch_id: int, layout: La
     gold_stage = layout.staging(tag, batch_id, "gold_parts")
     changes = spark.read.parquet(delta_path).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # Touched symbol-days, and whether any stored row was replaced: a
-        # batch of new trades only cannot leave a bar stale (one action).
-        info = changes.agg(F.collect_set(F.struct(*st.GOLD_PARTS)).alias("parts"),
-                           F.max(F.col("gone_min_price").isNotNull().cast("int")).alias("gone")
-                           ).first()
-        parts = sorted((tuple(p) for p in (info.parts or [])), key=str)
+        # Touched symbol-days (as many rows as the batch touches), and whether
+        # a bar may need its silver rows: a batch of new trades only cannot
+        # leave one stale.
+        parts = sorted(_distinct_keys(changes, st.GOLD_PARTS), key=str)
         if not parts:
             return
         if not st.complete(spark, gold_stage):
@@ -284,7 +281,7 @@ def refresh_gold(spark: SparkSession, delta_path: str, batch_id: int, layout: La
                 *TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
                 (F.col("sum_price") / F.col("trade_count")).cast("decimal(38,18)").alias("avg_price"))
             out = st.with_minute_date(fresh).select(*st.GOLD_STORED)
-            if info.gone:
+            if not stale.isEmpty():
                 out = out.unionByName(_recompute(spark, layout, stale))
             _stage(out, gold_stage, st.GOLD_PARTS)
             merged.unpersist()
@@ -295,25 +292,22 @@ def refresh_gold(spark: SparkSession, delta_path: str, batch_id: int, layout: La
     # A symbol-day whose bars all moved away has no output row, so dynamic
     # overwrite would leave it in place: remove such partitions explicitly.
     present = set(st.staged_partitions(spark, gold_stage))
-    emptied = [(day, symbol) for day, symbol in sorted(parts) if (str(day), symbol) not in present]
-    for day, symbol in emptied:
-        st.delete(spark, st.partition_path(layout.gold, st.GOLD_PARTS, (day, symbol)))
-    st.register_partitions(spark, "gold", st.GOLD_PARTS, sorted(present))
-    st.register_partitions(spark, "gold", st.GOLD_PARTS, emptied, drop=True)
+    emptied = [(day, key) for day, key in parts if (str(day), key) not in present]
+    for day, key in emptied:
+        st.delete(spark, st.partition_path(layout.gold, st.GOLD_PARTS, (day, key)))
+    st.register_partitions(spark, layout, "gold", st.GOLD_PARTS, sorted(present))
+    st.register_partitions(spark, layout, "gold", st.GOLD_PARTS, emptied, drop=True)
 
 
 def _recompute(spark: SparkSession, layout: Layout, stale: DataFrame) -> DataFrame:
     """Full bars for the stale keys, from the silver rows of those bars only
-    (symbol folders, touched days and time range prune the scan)."""
-    info = stale.agg(F.min("minute_bucket").alias("lo"), F.max("minute_bucket").alias("hi"),
-                     F.collect_set("symbol").alias("symbols"),
-                     F.collect_set("minute_date").alias("days")).first()
+    (symbol folders and the time range prune the scan)."""
+    info = stale.agg(F.min("minute_bucket").alias("lo"), F.max("minute_bucket").alias("hi")).first()
     if info.lo is None:
-        return spark.createDataFrame([], st.GOLD_DDL)
+        return spark.createDataFrame([], st.GOLD_DDL).select(*st.GOLD_STORED)
     silver = (st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS,
-                                 [(sym,) for sym in info.symbols])
-              .filter(F.col("trade_date").isin(sorted(info.days))
-                      & (F.col("trade_time") >= ntz_literal(info.lo))
+                                 _distinct_keys(stale, ("symbol_key",)))
+              .filter((F.col("trade_time") >= ntz_literal(info.lo))
                       & (F.col("trade_time") < ntz_literal(info.hi + _ONE_MINUTE))))
     rows = silver.withColumn("minute_bucket", minute_bucket(F.col("trade_time")))
     rows = rows.join(stale.select(*TOUCHED), list(TOUCHED), "left_semi").drop("minute_bucket")
@@ -324,12 +318,13 @@ def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "de
                  mode: str = "permissive") -> None:
     """One micro-batch of T1 + T2 (see module doc)."""
     spark = batch.sparkSession
+    layout = st.live(spark, layout)
     staged = stage_silver(batch, batch_id, layout, tag, mode)
     if staged is None:
         return
     publish_silver(spark, staged, layout, tag, batch_id)
     refresh_gold(spark, staged.delta, batch_id, layout, tag)
-    st.drop_older_stages(spark, layout.path("_staging", tag), batch_id)
+    st.drop_older_stages(spark, layout.versioned("_staging", tag), batch_id)
 
 
 def stream_tag(checkpoint: str) -> str:
@@ -356,29 +351,49 @@ def maintain(stream: DataFrame, layout: Layout, checkpoint: str, trigger: dict |
     return writer.trigger(**(trigger or {"processingTime": "60 seconds"})).start()
 
 
-def rebuild(bronze: DataFrame, layout: Layout, mode: str = "strict") -> str:
+def rebuild(bronze: DataFrame, layout: Layout, mode: str = "permissive") -> str:
     """Recompute silver and gold from all raw rows (no date range) into a
-    new version folder, then swap it in.
-
-    Readers never see a half-written table: the new version is complete
-    (``_SUCCESS``) before the live folder is renamed away and the new one
-    renamed in.  Run it with the maintenance stream stopped.  Returns the
-    version id; the replaced tables stay under ``_retired/<version>``.
+    new version, then point the layout to it.
+
+    Readers see the old pair of tables until the pointer is written and the
+    new pair afterwards, never a mix; a crash before that leaves the layout
+    as it was.  Staged batches stay behind with the old version.  Run it with
+    the maintenance stream stopped.  ``mode`` is the stream's default; values
+    that permissive parsing rejects are listed by ``silver.cast_rejects``.
+    Returns the version id; the version it replaces is kept until the next
+    rebuild, older ones are deleted.
     """
     from barforge.operators.silver import silver_trades
     spark = bronze.sparkSession
-    version = uuid.uuid4().hex[:12]
-    fresh = Layout(layout.path("_rebuild", version), layout.id_block_size)
+    old = st.live(spark, layout)
+    fresh = replace(layout, version=uuid.uuid4().hex[:12])
     # De-dup first (map-side limited), then cluster by block: one file per
     # block, and no block can be skewed (it holds at most N trade ids).
     silver = st.with_block(silver_trades(bronze, mode), layout.id_block_size)
     (silver.repartition(*st.SILVER_PARTS).sortWithinPartitions(*st.SILVER_PARTS, "trade_time")
      .write.partitionBy(*st.SILVER_PARTS).parquet(fresh.silver))
-    gold = st.stored_bars(st.read_silver(spark, fresh))
-    gold.repartition(*st.GOLD_PARTS).write.partitionBy(*st.GOLD_PARTS).parquet(fresh.gold)
-    for name in ("silver", "gold"):
-        live, new = layout.path(name), fresh.path(name)
-        if st.exists(spark, live):
-            st.rename(spark, live, layout.path("_retired", version, name))
-        st.rename(spark, new, live)
-    return version
+    rows = spark.read.schema(st.SILVER_DDL).option("basePath", fresh.silver).parquet(fresh.silver)
+    (st.stored_bars(rows).select(*st.GOLD_STORED).repartition(*st.GOLD_PARTS)
+     .write.partitionBy(*st.GOLD_PARTS).parquet(fresh.gold))
+    st.point_to(spark, layout, fresh.version)
+    for folder in st.list_dirs(spark, layout.path("versions")):
+        if folder.rstrip("/").rsplit("/", 1)[-1] not in (old.version, fresh.version):
+            st.delete(spark, folder)
+    st.refresh_tables(spark, layout)
+    return fresh.version
+
+
+def compact(spark: SparkSession, layout: Layout, min_files: int = 2) -> int:
+    """Merge the files of every silver block that has ``min_files`` or more
+    into one; returns the number of blocks.  Run it with the stream stopped,
+    as often as reading many small files costs more than this does.  The new
+    content is staged whole before any block is replaced."""
+    layout = st.live(spark, layout)
+    blocks = [b for b, n in st.file_counts(spark, layout.silver, st.SILVER_PARTS,
+                                           st.staged_partitions(spark, layout.silver)).items() if n >= min_files]
+    if blocks:
+        stage = layout.staging("compact", 0, uuid.uuid4().hex[:12])
+        _stage(st.read_partitions(spark, layout.silver, st.SILVER_DDL, st.SILVER_PARTS, blocks), stage, st.SILVER_PARTS)
+        _publish(spark.read.schema(st.SILVER_DDL).parquet(stage), layout.silver, st.SILVER_PARTS)
+        st.delete(spark, stage)
+    return len(blocks)

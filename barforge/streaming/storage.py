@@ -1,66 +1,101 @@
 """Table locations and small file-system helpers for the derived layers.
 
-Silver is stored partitioned by ``(symbol, id_block)`` with
+Silver is stored partitioned by ``(symbol_key, id_block)`` with
 ``id_block = trade_id div block_size``: a key always lives in one block, no
 matter which trade time a later copy carries, and new trades of a symbol
 land in its newest blocks, so an upsert rewrites few partitions.  Gold is
-partitioned by ``(minute_date, symbol)`` so a touched bar rewrites one
-symbol-day of bars.
+partitioned by ``(minute_date, symbol_key)`` so a touched bar rewrites one
+symbol-day of bars.  ``symbol_key`` is a folder-safe, never empty spelling of
+the symbol, which itself stays a data column.
+
+Silver, gold and the staging of their batches live in one folder per version;
+the newest file under ``_versions`` names the current one.  A rebuild makes a
+whole version and then adds one pointer file, so readers see both tables
+change at once, and a batch staged against an older version is never applied
+to a newer one.
 """
 
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.operators.gold import GOLD_COLUMNS
 from barforge.operators.silver import SILVER_COLUMNS
+from barforge.sources.topic import LANDING_PARTS, LANDING_SCHEMA, RAW_LANE
 
 SILVER_DDL = ("event_type string, event_time timestamp_ntz, symbol string, trade_id bigint,"
               " price decimal(38,18), quantity decimal(38,18), buyer_order_id bigint,"
               " seller_order_id bigint, trade_time timestamp_ntz, is_maker boolean,"
-              " ingested_at timestamp_ntz, trade_date date, id_block bigint")
+              " ingested_at timestamp_ntz, trade_date date, symbol_key string, id_block bigint")
 # Stored gold keeps the exact price sum next to the public columns, so the
 # mean can be maintained from deltas.
 GOLD_DDL = ("symbol string, minute_bucket timestamp_ntz, trade_count bigint,"
             " total_quantity decimal(38,18), total_notional decimal(38,18),"
             " avg_price decimal(38,18), min_price decimal(38,18), max_price decimal(38,18),"
             " first_trade_time timestamp_ntz, last_trade_time timestamp_ntz,"
-            " sum_price decimal(38,18), minute_date date")
-GOLD_STORED = GOLD_COLUMNS + ("sum_price", "minute_date")
-SILVER_PARTS = ("symbol", "id_block")
-GOLD_PARTS = ("minute_date", "symbol")
+            " sum_price decimal(38,18), minute_date date, symbol_key string")
+GOLD_STORED = GOLD_COLUMNS + ("sum_price", "minute_date", "symbol_key")
+SILVER_PARTS = ("symbol_key", "id_block")
+GOLD_PARTS = ("minute_date", "symbol_key")
+FIRST_VERSION = "v0"
 DEFAULT_BLOCK = 1_000_000
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where one pipeline keeps its layers (a folder on shared storage)."""
+    """Where one pipeline keeps its layers (a folder on shared storage).
+    ``catalog`` prefixes the schema names of its registered tables;
+    ``version`` is filled in by :func:`live`."""
 
     root: str
     id_block_size: int = DEFAULT_BLOCK
+    catalog: str = ""
+    version: str = FIRST_VERSION
 
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
 
+    def versioned(self, *parts: str) -> str:
+        return self.path("versions", self.version, *parts)
+
     @property
     def bronze(self) -> str:
         return self.path("bronze")
 
     @property
     def silver(self) -> str:
-        return self.path("silver")
+        return self.versioned("silver")
 
     @property
     def gold(self) -> str:
-        return self.path("gold")
+        return self.versioned("gold")
 
     def staging(self, tag: str, batch_id: int, name: str) -> str:
-        return self.path("_staging", tag, str(batch_id), name)
+        return self.versioned("_staging", tag, str(batch_id), name)
+
+
+def live(spark: SparkSession, layout: Layout) -> Layout:
+    """The layout at its current version (the newest pointer)."""
+    names = sorted(f.rsplit("/", 1)[-1] for f in list_files(spark, layout.path("_versions")))
+    return replace(layout, version=names[-1].split("-", 1)[1] if names else FIRST_VERSION)
+
+
+def point_to(spark: SparkSession, layout: Layout, version: str) -> None:
+    """Make ``version`` current: one small new file, never overwritten."""
+    n = len(list_files(spark, layout.path("_versions")))
+    fs, p = _fs(spark, layout.path("_versions", f"{n:08d}-{version}"))
+    fs.create(p, False).close()
+
 
+def symbol_key(symbol: Column) -> Column:
+    """Folder-safe, never empty spelling of a symbol: plain short names are
+    kept (prefixed), all others become a digest."""
+    plain = symbol.rlike("^[A-Za-z0-9._-]{1,64}$")
+    return F.when(plain, F.concat(F.lit("s_"), symbol)).otherwise(F.concat(F.lit("h_"), F.sha1(symbol.cast("binary"))))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -98,29 +133,35 @@ def complete(spark: SparkSession, path: str) -> bool:
 
 
 def with_block(df: DataFrame, block_size: int) -> DataFrame:
-    return df.withColumn("id_block", F.expr(f"trade_id div {int(block_size)}"))
+    return (df.withColumn("symbol_key", symbol_key(F.col("symbol")))
+            .withColumn("id_block", F.expr(f"trade_id div {int(block_size)}")))
 
 
 def with_minute_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("minute_date", F.col("minute_bucket").cast("date"))
+    return (df.withColumn("minute_date", F.col("minute_bucket").cast("date"))
+            .withColumn("symbol_key", symbol_key(F.col("symbol"))))
 
 
 def stored_bars(silver: DataFrame) -> DataFrame:
     """Gold bars in their stored form (public columns + ``sum_price`` + ``minute_date``)."""
     from barforge.operators.gold import GOLD_KEY, bar_aggregates, with_minute
     rows = with_minute(silver)
-    bars = rows.groupBy(*GOLD_KEY).agg(*bar_aggregates(), F.sum("price").alias("sum_price"))
+    bars = rows.groupBy(*GOLD_KEY).agg(*bar_aggregates(), F.try_sum("price").alias("sum_price"))
     return with_minute_date(bars)
 
 
-BRONZE_DDL = "record_metadata variant, record_content variant, ingest_date date"
-# Schema and table names of the three layers.
-TABLE_NAMES = {"bronze": "bronze.trades_raw", "silver": "silver.trades_clean",
-               "gold": "gold.trades_1m"}
+# Schema and table names of the layers.  The raw table is a view
+# of the landing table's raw lane.
+TABLE_NAMES = {"landing": "bronze.trades_landing", "bronze": "bronze.trades_raw",
+               "silver": "silver.trades_clean", "gold": "gold.trades_1m"}
+
+
+def table_name(layout: Layout, layer: str) -> str:
+    return layout.catalog + TABLE_NAMES[layer]
 
 
 def _layers(layout: Layout):
-    return (("bronze", layout.bronze, BRONZE_DDL, ("ingest_date",)),
+    return (("landing", layout.bronze, LANDING_SCHEMA, LANDING_PARTS),
             ("silver", layout.silver, SILVER_DDL, SILVER_PARTS),
             ("gold", layout.gold, GOLD_DDL, GOLD_PARTS))
 
@@ -129,22 +170,28 @@ def bootstrap_layers(spark: SparkSession, layout: Layout, register: bool = False
                      raw: bool = True) -> None:
     """Create the raw and derived tables when absent (empty, typed);
     idempotent.  With ``register=True`` also ``CREATE SCHEMA/TABLE IF NOT
-    EXISTS`` them in the session catalog (external Parquet tables).
-    ``raw=False`` leaves the raw folder to a streaming sink, which creates
-    it with its own commit log."""
+    EXISTS`` them in the session catalog (external Parquet tables with the
+    folders the sinks write, names prefixed per layout).  ``raw=False`` leaves
+    the raw folder to a streaming sink, which creates it with its own commit log."""
     check_layout(spark, layout)
+    if not list_files(spark, layout.path("_versions")):
+        point_to(spark, layout, FIRST_VERSION)
+    layout = live(spark, layout)
     for layer, path, ddl, parts in _layers(layout):
-        if layer == "bronze" and not raw:
+        if layer == "landing" and not raw:
             continue
         if not exists(spark, path):
             spark.createDataFrame([], ddl).write.partitionBy(*parts).mode("overwrite").parquet(path)
     if register:
         for layer, path, ddl, parts in _layers(layout):
-            name = TABLE_NAMES[layer]
+            name = table_name(layout, layer)
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.split('.')[0]}")
             spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet"
                       f" PARTITIONED BY ({', '.join(parts)}) LOCATION '{path}'")
-        refresh_tables(spark)
+        spark.sql(f"CREATE VIEW IF NOT EXISTS {table_name(layout, 'bronze')} AS SELECT record_metadata,"
+                  f" record_content, trade_time, ingest_date FROM {table_name(layout, 'landing')}"
+                  f" WHERE coalesce(lane, '{RAW_LANE}') = '{RAW_LANE}'")
+        refresh_tables(spark, layout)
 
 
 def check_layout(spark: SparkSession, layout: Layout) -> None:
@@ -165,11 +212,11 @@ def _spec(names: tuple[str, ...], values: tuple) -> str:
     return ", ".join(f"{n} = {lit(v)}" for n, v in zip(names, values))
 
 
-def register_partitions(spark: SparkSession, layer: str, names: tuple[str, ...],
+def register_partitions(spark: SparkSession, layout: Layout, layer: str, names: tuple[str, ...],
                         values: list[tuple], drop: bool = False) -> None:
     """Tell a registered table about partitions a batch wrote (or emptied),
     without listing the whole table.  No-op when the table is not registered."""
-    name = TABLE_NAMES[layer]
+    name = table_name(layout, layer)
     if not values or not spark.catalog.tableExists(name):
         return
     verb = "DROP IF EXISTS" if drop else "ADD IF NOT EXISTS"
@@ -178,14 +225,30 @@ def register_partitions(spark: SparkSession, layer: str, names: tuple[str, ...],
     spark.sql(f"ALTER TABLE {name} {verb} {sep.join(specs)}")
 
 
-def refresh_tables(spark: SparkSession) -> None:
-    """Make registered tables see every partition on storage (lists the whole
-    table: for bootstrap and rebuilds; batches register what they touch)."""
-    for name in TABLE_NAMES.values():
-        if spark.catalog.tableExists(name):
+def refresh_tables(spark: SparkSession, layout: Layout) -> None:
+    """Make registered tables see every partition of the current version
+    (lists the whole table: for bootstrap and rebuilds; batches register what
+    they touch)."""
+    for layer, path, _, _ in _layers(live(spark, layout)):
+        name = table_name(layout, layer)
+        if not spark.catalog.tableExists(name):
+            continue
+        if path not in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]:
+            for row in spark.sql(f"SHOW PARTITIONS {name}").collect():      # of the old version
+                spec = _spec(*zip(*[kv.split("=", 1) for kv in row[0].split("/")]))
+                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        if exists(spark, path):
             spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def drop_tables(spark: SparkSession, layout: Layout) -> None:
+    """Forget the layout's registered tables (external: files stay)."""
+    spark.sql(f"DROP VIEW IF EXISTS {table_name(layout, 'bronze')}")
+    for layer, *_ in _layers(layout):
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(layout, layer)}")
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = _fs(spark, src)
     _, d = _fs(spark, dst)
@@ -195,11 +258,13 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def read_silver_stored(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.schema(SILVER_DDL).option("basePath", layout.silver).parquet(layout.silver)
+    path = live(spark, layout).silver
+    return spark.read.schema(SILVER_DDL).option("basePath", path).parquet(path)
 
 
 def read_gold_stored(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.schema(GOLD_DDL).option("basePath", layout.gold).parquet(layout.gold)
+    path = live(spark, layout).gold
+    return spark.read.schema(GOLD_DDL).option("basePath", path).parquet(path)
 
 
 def read_silver(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -297,27 +362,10 @@ def file_counts(spark: SparkSession, table: str, names: tuple[str, ...],
     return dict(zip(vals, counts))
 
 
-def any_of(conditions: list):
-    """OR of many conditions as a balanced tree (depth log2 n): a left-deep
-    chain over thousands of touched blocks could overflow Catalyst's
-    recursive tree walks."""
-    if not conditions:
-        return F.lit(False)
-    while len(conditions) > 1:
-        conditions = [conditions[i] | conditions[i + 1] if i + 1 < len(conditions)
-                      else conditions[i] for i in range(0, len(conditions), 2)]
-    return conditions[0]
-
-
-def partition_predicate(names: tuple[str, ...], values: list[tuple]):
-    """Literal predicate selecting rows of the listed two-level partitions
-    (bounded by the partitions a batch touches)."""
-    first, second = names
-    by_first: dict = {}
-    for a, b in values:
-        by_first.setdefault(a, set()).add(b)
-    return any_of([(F.col(first) == F.lit(a)) & F.col(second).isin(sorted(bs))
-                   for a, bs in sorted(by_first.items(), key=lambda kv: str(kv[0]))])
+def partition_rows(spark: SparkSession, names: tuple[str, ...], values: list[tuple], ddl: str) -> DataFrame:
+    """The listed partitions as a small table to join with (as many rows as a
+    batch touches), so no plan grows with their number."""
+    return spark.createDataFrame(values, ddl).select(*names)
 
 
 def stage(df: DataFrame, path: str, partition_by: tuple[str, ...] | None = None) -> None:

@@ -1,7 +1,9 @@
-"""Measure that an incremental batch costs the same whatever the table size.
+"""Measure what an incremental batch costs: against the size of the table, and
+against the number of silver blocks it touches.
 
 Silver/gold are rebuilt at 1x, 4x and 8x the sf0.1 trades (trade ids offset
-per replica), then the same batch of new trades is applied to each.
+per replica), then the same batch of new trades is applied to each.  Then the
+same batch is applied to layouts of smaller and smaller blocks.
 
 usage: python tests/scale_probe.py
 """
@@ -54,3 +56,16 @@ for reps in [1, 4, 8]:
         times.append(round(time.time() - t, 2))
     print(f"silver rows {n}: rebuild {rb:.1f}s, same 11k-row batch of new trades: {times} s",
           flush=True)
+
+for block in [10_000, 500, 25]:
+    layout = stg.Layout(os.path.join(fresh_dir(spark, "blocks"), "t"), block)
+    stg.bootstrap_layers(spark, layout)
+    root = fresh_dir(spark, "blocksbronze")
+    replica(small, 50).write.parquet(root + "/new")
+    times = []
+    for i in range(2):      # new trades are appended; the same rows again replace them
+        t = time.time()
+        mt.upsert_batch(spark.read.parquet(root + "/new"), i, layout, "s")
+        times.append(round(time.time() - t, 2))
+    n = len(stg.staged_partitions(spark, stg.live(spark, layout).silver))
+    print(f"touched blocks {n}: append, rewrite {times} s", flush=True)

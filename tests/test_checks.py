@@ -105,12 +105,12 @@ def _status_rules(spark):
         {},
     ]
     got = {r.doc_id: (r.passed, r.detail) for r in checks.check_pipeline_status(status(spark, docs)).collect()}
-    assert got[0] == (True, "connector and all tasks running")
-    assert got[1] == (False, "connector state is FAILED, expected RUNNING")
-    assert got[2] == (False, "connector has no running tasks")
-    assert got[3] == (False, "connector has no running tasks")
-    assert got[4] == (False, "connector task not running: PAUSED")
-    assert got[5] == (False, "connector state is missing, expected RUNNING")
+    assert got[0] == (True, "pipeline and tasks up")
+    assert got[1] == (False, "pipeline reports FAILED")
+    assert got[2] == (False, "pipeline lists no task")
+    assert got[3] == (False, "pipeline lists no task")
+    assert got[4] == (False, "a task reports PAUSED")
+    assert got[5] == (False, "pipeline reports no state")
 
 
 def test_suite_stops_at_first_failure_and_enforce_raises(spark, raw):
@@ -124,7 +124,7 @@ def test_suite_stops_at_first_failure_and_enforce_raises(spark, raw):
     assert [(r.passed, r.skipped) for r in health] == [(False, False), (True, True), (True, True)]
     fails = checks.failures(checks.health_suite(st, bronze, s, AS_OF), "run-1").collect()
     assert [(f.task, f.run_id) for f in fails] == [("connector_status", "run-1")]
-    with pytest.raises(RuntimeError, match="connector state is FAILED"):
+    with pytest.raises(RuntimeError, match="pipeline reports FAILED"):
         checks.enforce(checks.health_suite(st, bronze, s, AS_OF))
 
 
@@ -141,25 +141,26 @@ def test_daily_summary_and_layer_lag(spark, raw):
     assert (lag["bronze_lag_seconds"], lag["silver_lag_seconds"], lag["gold_lag_seconds"]) == (2, 1, 60)
 
 
-def test_ingest_date_bound_prunes_raw_partitions(spark, raw):
-    import os
+def test_time_bound_reaches_the_raw_scan_and_drops_nothing(spark, raw):
+    import re
 
     from pyspark.sql import functions as F
 
     from barforge.session import fresh_dir
-    from barforge.sources.topic import read_bronze
-    path = os.path.join(fresh_dir(spark, "ingest"), "bronze")
-    today = raw([(meta(T_AS_OF), trade(t=1, T=T_AS_OF - 1000))])
-    long_ago = raw([(meta(T_AS_OF), trade(t=2, T=T_AS_OF + 3600000))])   # future-dated trade
+    from barforge.sources.fixtures import with_trade_time
+    from barforge.sources.topic import LANDING_PARTS, read_bronze
+    path = fresh_dir(spark, "ingest") + "/bronze"
+    today = raw([(meta(T_AS_OF), trade(t=1, T=T_AS_OF - 1000)), (meta(T_AS_OF), trade(t=3, T="bad"))])
+    long_ago = raw([(meta(T_AS_OF), trade(t=2, T=T_AS_OF + 3600000))])   # future-dated, ingested earlier
     for df, day in ((today, "2024-01-01"), (long_ago, "2023-12-01")):
-        df.withColumn("ingest_date", F.lit(day).cast("date")).write.mode("append") \
-            .partitionBy("ingest_date").parquet(path)
+        with_trade_time(df).withColumn("lane", F.lit("raw")).withColumn("ingest_date", F.lit(day).cast("date")) \
+            .write.mode("append").partitionBy(*LANDING_PARTS).parquet(path)
     b = read_bronze(spark, path)
-    assert first(checks.check_bronze_recent(b, AS_OF))["observed"] == 2.0      # exact default
-    pruned = checks.check_bronze_recent(b, AS_OF, ingest_days=1)
-    assert first(pruned)["observed"] == 1.0
-    p = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(ingest_date" in p
+    recent = checks.check_bronze_recent(b, AS_OF)
+    assert first(recent)["observed"] == 2.0
+    p = recent._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*trade_time", p)
+    assert re.search(r"ReadSchema: struct<trade_time:timestamp_ntz>", p)
 
 
 def test_count_where_and_failure_records(spark, raw):
@@ -171,8 +172,9 @@ def test_count_where_and_failure_records(spark, raw):
     s = silver_at(spark, raw, [-1000, -2000, 5000])
     assert first(checks.count_where(s, F.col("trade_time") > F.lit(AS_OF).cast("timestamp_ntz")))["n"] == 1
     st = status(spark, [{"connector": {"state": "FAILED"}}])
-    fails = checks.failures(checks.health_suite(st, raw([(meta(T_AS_OF), trade())]), s, AS_OF), "r1")
+    fails = checks.failures(checks.health_suite(st, raw([(meta(T_AS_OF), trade())]), s, AS_OF), "r1", "logs/")
     path = os.path.join(fresh_dir(spark, "alerts"), "alerts")
     checks.record_failures(fails, path)
     checks.record_failures(fails, path)
+    assert {r.log_link for r in fails.collect()} == {"logs/healthcheck/connector_status/r1"}
     assert spark.read.parquet(path).count() == 2

@@ -125,7 +125,9 @@ def test_rebuild_swaps_in_a_new_version(spark):
     b = fixtures.bronze_from_events(events(spark))
     v1 = mt.rebuild(b, layout)
     v2 = mt.rebuild(b, layout)
-    assert v1 != v2 and stg.exists(spark, layout.path("_retired", v2, "silver"))
+    v3 = mt.rebuild(b, layout)
+    kept = {d.rstrip("/").rsplit("/", 1)[-1] for d in stg.list_dirs(spark, layout.path("versions"))}
+    assert len({v1, v2, v3}) == 3 and kept == {v2, v3} and stg.live(spark, layout).version == v3
     s_exp, g_exp = expected(spark)
     assert rows(stg.read_silver(spark, layout)) == s_exp
     assert rows(stg.read_gold(spark, layout)) == g_exp
@@ -135,10 +137,9 @@ def test_registered_tables_follow_the_files(spark):
     layout = new_layout(spark)
     stg.bootstrap_layers(spark, layout, register=True)
     mt.rebuild(fixtures.bronze_from_events(events(spark)), layout)
-    stg.refresh_tables(spark)
     assert spark.table("gold.trades_1m").count() == len(expected(spark)[1])
-    for name in stg.TABLE_NAMES.values():
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert spark.table("silver.trades_clean").count() == len(expected(spark)[0])
+    stg.drop_tables(spark, layout)
 
 
 def test_status_document_from_live_queries(spark):
@@ -225,7 +226,7 @@ def test_inconsistent_gold_is_repaired_from_silver(spark, raw):
     t0 = 1704067200000
     layout = new_layout(spark)
     mt.upsert_batch(raw([(meta(t0 + i), trade(t=i, T=t0 + i)) for i in range(3)]), 0, layout, "t")
-    stg.delete(spark, layout.path("gold", "minute_date=2024-01-01"))
+    stg.delete(spark, stg.live(spark, layout).gold + "/minute_date=2024-01-01")
     mt.upsert_batch(raw([(meta(t0 + 99), trade(t=1, T=t0 + 1, q="7"))]), 1, layout, "t")
     s = silver_trades(raw([(meta(t0 + i), trade(t=i, T=t0 + i)) for i in range(3)]
                           + [(meta(t0 + 99), trade(t=1, T=t0 + 1, q="7"))]))
@@ -237,7 +238,7 @@ def test_symbols_that_need_escaping_keep_their_rows(spark, raw):
     the touched-partition reader must find them, or a block would be lost."""
     t0 = 1704067200000
     layout = new_layout(spark)
-    odd = ["BTC/USDT", "ETH=USD", "A%B", "sp ace", "Q?#"]
+    odd = ["BTC/USDT", "ETH=USD", "A%B", "sp ace", "Q?#", "", " ", "ж", "x" * 300, "__HIVE_DEFAULT_PARTITION__", "."]
     first = [(meta(t0 + i), trade(t=i + k, s=sym, T=t0 + i))
              for i, sym in enumerate(odd) for k in (0, 100)]      # two trades per block
     mt.upsert_batch(raw(first), 0, layout, "t")
@@ -282,13 +283,12 @@ def test_registered_tables_learn_partitions_per_batch(spark, raw):
         parts = [r[0] for r in spark.sql("SHOW PARTITIONS gold.trades_1m").collect()]
         assert len(parts) == 1 and parts[0].startswith("minute_date=2024-01-02")
     finally:
-        for name in stg.TABLE_NAMES.values():
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        stg.drop_tables(spark, layout)
 
 
 def _block_files(spark, layout, symbol, block):
     return sorted(os.path.basename(f) for f in stg.list_files(
-        spark, stg.partition_path(layout.silver, stg.SILVER_PARTS, (symbol, block))))
+        spark, stg.partition_path(layout.silver, stg.SILVER_PARTS, ("s_" + symbol, block))))
 
 
 def test_new_trades_are_appended_without_rewriting_the_block(spark, raw):
@@ -309,20 +309,100 @@ def test_new_trades_are_appended_without_rewriting_the_block(spark, raw):
     assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
 
 
-def test_crowded_blocks_are_compacted(spark, raw):
+def test_compaction_merges_appended_files(spark, raw):
     t0 = 1704067200000
     layout = new_layout(spark, block=1000)
     rows = []
-    for b in range(mt.MAX_BLOCK_FILES + 3):
+    for b in range(4):
         part = [(meta(t0 + b), trade(t=b, T=t0 + b * 1000))]
         rows += part
         mt.upsert_batch(raw(part), b, layout, "t")
-    assert len(_block_files(spark, layout, "BTCUSDT", 0)) <= mt.MAX_BLOCK_FILES
+    assert len(_block_files(spark, layout, "BTCUSDT", 0)) == 4
+    assert (mt.compact(spark, layout), mt.compact(spark, layout)) == (1, 0)
+    assert len(_block_files(spark, layout, "BTCUSDT", 0)) == 1
+    s = silver_trades(raw(rows))
+    assert rows_of(stg.read_silver(spark, layout)) == rows_of(s)
+    assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
+
+
+def test_crash_after_moving_one_of_several_files_of_a_block(spark, raw):
+    t0 = 1704067200000
+    layout = new_layout(spark, block=1000)
+    rows = [(meta(t0 + i), trade(t=i, T=t0 + i)) for i in range(10)]
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 4)
+    try:
+        staged = mt.stage_silver(raw(rows), 0, stg.live(spark, layout), "t")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    part = stg.staged_partitions(spark, staged.append)[0]
+    files = sorted(stg.list_files(spark, stg.partition_path(staged.append, stg.SILVER_PARTS, part)))
+    assert len(files) == 3
+    stg.rename(spark, files[0], stg.partition_path(layout.silver, stg.SILVER_PARTS, part)
+               + f"/t-{0:012d}-{files[0].rsplit('/', 1)[-1]}")
+    mt.upsert_batch(raw(rows), 0, layout, "t")                 # the stream re-runs batch 0
+    assert rows_of(stg.read_silver(spark, layout)) == rows_of(silver_trades(raw(rows)))
+
+
+def test_a_stage_of_an_older_version_is_not_applied(spark, raw):
+    t0 = 1704067200000
+    layout = new_layout(spark, block=1000)
+    rows = [(meta(t0 + i), trade(t=i, T=t0 + i)) for i in range(10)]
+    mt.stage_silver(raw(rows), 0, stg.live(spark, layout), "t")   # ... the job dies here
+    mt.rebuild(raw(rows), layout)
+    mt.upsert_batch(raw(rows), 0, layout, "t")                 # the stream re-runs batch 0
     s = silver_trades(raw(rows))
     assert rows_of(stg.read_silver(spark, layout)) == rows_of(s)
     assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
 
 
+def test_crash_before_the_pointer_leaves_both_tables(spark, raw, monkeypatch):
+    import pytest
+    t0 = 1704067200000
+    layout = new_layout(spark, block=1000)
+    rows = [(meta(t0 + i), trade(t=i, T=t0 + i)) for i in range(4)]
+    mt.upsert_batch(raw(rows[:2]), 0, layout, "t")
+    before = rows_of(stg.read_silver(spark, layout)), rows_of(stg.read_gold(spark, layout))
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as m:
+        m.setattr(stg, "point_to", crash)
+        with pytest.raises(RuntimeError, match="crash"):
+            mt.rebuild(raw(rows), layout)
+    assert (rows_of(stg.read_silver(spark, layout)), rows_of(stg.read_gold(spark, layout))) == before
+    mt.rebuild(raw(rows), layout)
+    assert rows_of(stg.read_silver(spark, layout)) == rows_of(silver_trades(raw(rows)))
+
+
+def test_large_prices_are_exact_in_both_paths(spark, raw):
+    from decimal import Decimal
+    t0 = 1704067200000
+    layout = new_layout(spark)
+    rows = [(meta(t0 + i), trade(t=i, p=p, q=q, T=t0 + i * 60000)) for i, (p, q) in enumerate([
+        ("12345678901234567890", "0.5"), ("1" + "0" * 17, "2"), ("1" + "0" * 19, "9.999999999999999999"),
+        ("99999999999999999999.999999999999999999", "3"), ("0.000000000000000001", "0.5")])]
+    for i, r in enumerate(rows):
+        mt.upsert_batch(raw([r]), i, layout, "t")
+    s = silver_trades(raw(rows))
+    assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
+    totals = [r.total_notional for r in gold_trades_1m(s).orderBy("minute_bucket").collect()]
+    assert totals == [Decimal("6172839450617283945"), Decimal("2" + "0" * 17), Decimal("99999999999999999990"),
+                      None, Decimal("0.000000000000000001")]
+
+
+def test_bad_ids_do_not_stop_a_rebuild_and_are_listed(spark, raw):
+    from barforge.operators.silver import cast_rejects
+    t0 = 1704067200000
+    layout = new_layout(spark)
+    rows = [(meta(t0), trade(t="abc", T=t0)), (meta(t0), trade(t=2, T=t0, b="x", m="maybe")), (meta(t0), trade(t="7", T=t0))]
+    mt.upsert_batch(raw(rows), 0, layout, "t")
+    maintained = rows_of(stg.read_silver(spark, layout))
+    mt.rebuild(raw(rows), layout)
+    assert rows_of(stg.read_silver(spark, layout)) == maintained and len(maintained) == 2
+    assert sorted((r.field, r.value) for r in cast_rejects(raw(rows)).collect()) == [("b", "x"), ("m", "maybe"), ("t", "abc")]
+
+
 def test_crash_midway_through_appends_is_repaired(spark, raw):
     t0 = 1704067200000
     layout = new_layout(spark, block=1000)
@@ -331,25 +411,29 @@ def test_crash_midway_through_appends_is_repaired(spark, raw):
     mt.upsert_batch(raw(first), 0, layout, "t")
     more = [(meta(t0 + 10 + i), trade(t=10 + i, s=sym, T=t0 + 10 + i)) for i, sym in
             enumerate(["BTCUSDT", "ETHUSDT", "SOLUSDT"])]
-    staged = mt.stage_silver(raw(more), 1, layout, "t")
+    staged = mt.stage_silver(raw(more), 1, stg.live(spark, layout), "t")
     # the first appended file reaches its block, then the job dies
     sym, blk = stg.staged_partitions(spark, staged.append)[0]
     src = stg.list_files(spark, stg.partition_path(staged.append, stg.SILVER_PARTS, (sym, blk)))[0]
     stg.rename(spark, src, stg.partition_path(layout.silver, stg.SILVER_PARTS, (sym, blk))
-               + "/t-000000000001-0000.parquet")
+               + f"/t-000000000001-{src.rsplit('/', 1)[-1]}")
     mt.upsert_batch(raw(more), 1, layout, "t")                 # the stream re-runs batch 1
     s = silver_trades(raw(first + more))
     assert rows_of(stg.read_silver(spark, layout)) == rows_of(s)
     assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
 
 
-def test_predicates_over_thousands_of_blocks_stay_shallow(spark):
-    from pyspark.sql import functions as F
-    n = 5000
-    df = spark.range(n).select((F.col("id") % 50).cast("string").alias("symbol"),
-                               F.col("id").alias("id_block"), F.col("id").alias("trade_id"))
-    cond = stg.any_of([(F.col("symbol") == str(i % 50)) & (F.col("id_block") == i)
-                       & F.col("trade_id").between(i, i) for i in range(n)])
-    assert df.filter(cond).count() == n
-    blocks = [(str(i % 50), i) for i in range(n)]
-    assert df.filter(stg.partition_predicate(("symbol", "id_block"), blocks)).count() == n
+def test_plans_do_not_grow_with_touched_blocks(spark, raw):
+    t0 = 1704067200000
+    layout = new_layout(spark, block=1)
+    rows = [(meta(t0 + i), trade(t=i, T=t0)) for i in range(150)]
+    mt.upsert_batch(raw(rows), 0, layout, "t")
+    later = [(meta(t0 + 1000 + i), trade(t=i, T=t0, q="7")) for i in range(0, 150, 3)]
+    mt.upsert_batch(raw(later), 1, layout, "t")
+    s = silver_trades(raw(rows + later))
+    assert rows_of(stg.read_silver(spark, layout)) == rows_of(s)
+    assert rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(s))
+    blocks = [("s_BTCUSDT", i) for i in range(2000)]
+    plan = spark.range(9).selectExpr("'s_BTCUSDT' AS symbol_key", "id AS id_block").join(
+        stg.partition_rows(spark, stg.SILVER_PARTS, blocks, mt.SILVER_PART_DDL), list(stg.SILVER_PARTS), "left_semi")
+    assert plan.count() == 9 and len(plan._jdf.queryExecution().executedPlan().toString()) < 20_000
