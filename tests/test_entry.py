@@ -46,18 +46,17 @@ def test_results_do_not_depend_on_the_session_zone(spark):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    from barforge.session import fresh_dir, shared_dir
-    from barforge.session import written_table
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    plain = shared_dir(spark).removeprefix("file://") + "/plain"
-    try:
-        for root in (plain, "file://" + plain + "2"):        # without and with a scheme
-            spark.conf.set("spark.checkpoint.dir", root)
-            assert shared_dir(spark, "a", "b") == f"{root}/a/b"
-            assert fresh_dir(spark, "a") != fresh_dir(spark, "a")
-            assert fresh_dir(spark, "a").startswith(root + "/runs/a-")
-            assert written_table(spark.range(3), "t").count() == 3
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-        if old:
-            spark.conf.set("spark.checkpoint.dir", old)
+    """With and without a scheme, through the file system Spark itself uses."""
+    from types import SimpleNamespace
+
+    from barforge.session import fresh_dir, shared_dir, written_table
+    base = fresh_dir(spark, "root").removeprefix("file://")
+    for root in (base, "file://" + base):
+        named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None, root=root: root),
+                                sparkContext=spark.sparkContext)
+        assert shared_dir(named, "a", "b") == f"{root}/a/b"
+        path = fresh_dir(named, "a")
+        assert path.startswith(root + "/runs/a-") and path != fresh_dir(named, "a")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    assert written_table(spark.range(3), "t").count() == 3
