@@ -3,7 +3,6 @@ distributed ranks and connected components."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,14 +11,14 @@ from pyspark.sql import functions as F
 
 def shared_root(spark: SparkSession) -> str:
     """Folder that the driver and all executors share: ``spark.checkpoint.dir``
-    as the session has it.  Only where it is unset (tests on a local master)
-    a temporary folder takes its place."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    as the session has it.  Only where it is unset, on a local master (tests),
+    a folder of this application under the JVM's temporary directory."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = f"file://{sc._jvm.System.getProperty('java.io.tmpdir')}/llm-{sc.applicationId}"
     return root.rstrip("/")
 
 

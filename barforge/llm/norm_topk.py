@@ -131,7 +131,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
         dealt = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
         return written(dealt.mapInArrow(lambda b: pack_blocks(b, size), "dim int, top double, ids binary, data binary"), name)
 
-    buckets = blocks(rows, BUCKET, "topk-buckets").withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(max(1, rows.count() // (BUCKET * GROUP)))).cast("int"))
+    n_groups = max(1, rows.count() // (BUCKET * GROUP))
+    buckets = blocks(rows, BUCKET, "topk-buckets").withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(n_groups)).cast("int"))
     queries = blocks(rows.where(is_query).dropDuplicates(["vec_id", "x"]), QUERY_BLOCK, "topk-queries")
 
     def unpack(dim: int, ids: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -151,8 +152,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
                 floors.append(floor.tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(floors, pa.binary())], names=["dim", "q_ids", "q_data", "floor"])
 
-    longest = buckets.groupBy("dim").agg(F.max_by(F.struct("ids", "data"), "top").alias("b")).select("dim", "b.ids", "b.data")
-    asked = queries.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data")).join(longest, "dim")
+    # One bucket a dimension, copied to every task's share of the queries.
+    longest = buckets.groupBy("dim").agg(F.max_by(F.struct("ids", "data"), "top").alias("b")).select(
+        "dim", "b.ids", "b.data", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("share"))
+    asked = queries.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int").alias("share"))
+    asked = asked.join(longest, ["dim", "share"]).select("dim", "q_ids", "q_data", "ids", "data")
     asked = written(asked.mapInArrow(first_floor, "dim int, q_ids binary, q_data binary, floor binary"), "topk-floors")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,8 +175,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64())],
                                                  names=["query_id", "q", "vec_id", "score"])
 
-    groups = buckets.select("dim", "group").distinct()
-    pairs = asked.join(groups, "dim").join(buckets, ["dim", "group"]).select("dim", "q_ids", "q_data", "floor", "ids", "data")
+    # The stated queries, in blocks, go once to every group of buckets.
+    asked = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
+    pairs = asked.join(buckets, ["dim", "group"]).select("dim", "q_ids", "q_data", "floor", "ids", "data")
     found = pairs.mapInArrow(answer, "query_id long, q binary, vec_id long, score long").withColumn("q", F.sha2("q", 256))
     rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
