@@ -1,10 +1,10 @@
 """Byte-level BPE encoding and decoding.
 
 The text is split by the tokenizer's pattern.  The merges of a word are a fold
-in Spark's higher-order functions: the state is the word's pieces (as
-hexadecimal text) and the rank of each neighbouring pair; a step joins the
-leftmost pair of lowest rank and looks up the two pairs this makes.  The ranks
-are a literal in the plan.
+in Spark's higher-order functions: the state is the ids of the word's pieces
+and the rank of each neighbouring pair; a step joins the leftmost pair of
+lowest rank and looks up the two pairs this makes.  The ranks are literals in
+the plan.
 
 Words are encoded once per distinct word where that pays: all documents' words
 are counted, the most frequent ones (at most ``max_words`` of at most
@@ -23,8 +23,8 @@ ignored.  The vocabulary's path is a parameter; nothing is trained.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
-import json
 import zlib
 from collections.abc import Iterator
 
@@ -41,8 +41,8 @@ MAX_HOT_WORDS = 1 << 20
 MAX_HOT_BYTES = 32
 #: Longest word that the fold in the plan takes.
 LONG_BYTES = 128
-#: Cells of the literal rank map: a lookup scans one cell of a few entries.
-CELLS = 1 << 15
+#: Documents looked up at once, to bound a worker's memory.
+SLICE = 2048
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -56,14 +56,60 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The ranks as one literal: an array of small maps from hexadecimal
-    pieces, dealt by CRC32, which the optimizer folds from a JSON constant."""
-    cells: list[dict[str, int]] = [{} for _ in range(CELLS)]
-    for piece, rank in ranks.items():
-        key = piece.hex().upper()
-        cells[zlib.crc32(key.encode()) % CELLS][key] = rank
-    return F.from_json(F.lit(json.dumps(cells, separators=(",", ":"))), "array<map<string,int>>")
+class RankMap:
+    """The ranks of pairs as two binary literals in the plan.
+
+    Ids are two bytes, the larger first, so binaries compare as numbers do; a
+    pair's key is its ids, four bytes.  Spark scans a map literal from its
+    start, so every pair stands instead in one of its two places, found by
+    CRC32, as key and rank.  A pair is in the second table only if its place
+    in the first is taken.
+    """
+
+    PLACES = (262_139, 131_071)
+    EMPTY = bytes(6)
+
+    def __init__(self, ranks: dict[bytes, int]):
+        if max(ranks.values(), default=0) >= 1 << 16:
+            raise ValueError("ranks must be below 65536")
+        ids = {piece: rank.to_bytes(2, "big") for piece, rank in ranks.items()}
+        pairs = [ids[piece[:cut]] + ids[piece[cut:]] + own for piece, own in ids.items()
+                 for cut in range(1, len(piece)) if piece[:cut] in ids and piece[cut:] in ids]
+        first, second = self.settle(pairs)
+        # One constant, which a fold binds once: every mention of a literal is a copy in the plan.
+        self.tables = F.struct(F.lit(bytearray(first)).alias("first"), F.lit(bytearray(second)).alias("second"),
+                               F.lit(bytearray(b"".join(ids.get(bytes([i]), b"\0\0") for i in range(256)))).alias("bytes"))
+
+    @classmethod
+    def settle(cls, entries: list[bytes]) -> list[bytes]:
+        """Cuckoo hashing: a newcomer moves the pair in its place to the other table."""
+        tables = [{}, {}]
+        for entry in entries:
+            table = 0
+            for _ in range(500):
+                at = zlib.crc32(entry[:4]) % cls.PLACES[table]
+                entry, tables[table][at] = tables[table].get(at), entry
+                if entry is None:
+                    break
+                table = 1 - table
+            else:
+                raise ValueError("no place for a pair")
+        return [b"".join(t.get(i, cls.EMPTY) for i in range(n)) for t, n in zip(tables, cls.PLACES, strict=True)]
+
+    @classmethod
+    def pair(cls, t: Column, key: Column) -> Column:
+        """Rank of the joined pair, null if it does not join.  (No pair's key
+        is four zero bytes: id 0 does not join itself in a usable vocabulary;
+        if it did, its rank would be found all the same.)"""
+
+        def entry(table: int) -> Column:
+            return F.substring(t["second" if table else "first"], (F.crc32(key) % cls.PLACES[table]).cast("int") * 6 + 1, F.lit(6))
+
+        def rank(e: Column, otherwise) -> Column:
+            return F.when(F.substring(e, 1, 4) == key, F.substring(e, 5, 2)).otherwise(otherwise)
+
+        none = F.lit(None).cast("binary")
+        return bind(entry(0), lambda e: F.when(e == F.lit(bytearray(cls.EMPTY)), none).otherwise(rank(e, bind(entry(1), lambda f: rank(f, none)))))
 
 
 def bind(value: Column, body) -> Column:
@@ -71,40 +117,46 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
-def fold_merges(word: Column, literal: Column) -> Column:
-    """Ids of one word as ``array<int>``."""
+def let(value: Column, s: Column, body) -> Column:
+    """``body(s, value)`` with ``value`` computed once, for a state ``s`` that
+    comes back: unlike ``transform``, ``aggregate`` does not copy it."""
+    return F.aggregate(F.array(value), s, body)
+
 
-    def rank(piece: Column) -> Column:
-        cell = (F.crc32(piece.cast("binary")) % CELLS).cast("int")
-        return F.element_at(F.get(literal, cell), piece)
+def fold_merges(word: Column, ranks: RankMap) -> Column:
+    """Ids of one word by merges alone, two bytes each in one binary.
 
-    def state(p: Column, r: Column) -> Column:
-        return F.struct(p.alias("p"), r.alias("r"))
+    The state is an array of pieces: a piece is its id, followed by the rank
+    of the pair it makes with the next one, if they join.
+    """
+    nothing = F.lit(bytearray())
 
-    def merge(s: Column, i: Column) -> Column:
-        p, r = s["p"], s["r"]
-        joined = F.concat(F.element_at(p, i), F.element_at(p, i + 1))
-        none = F.array().cast("array<string>")
-        made = F.concat(F.when(i > 1, F.array(F.concat(F.get(p, i - 2), joined))).otherwise(none),
-                        F.when(i + 1 < F.size(p), F.array(F.concat(joined, F.get(p, i + 1)))).otherwise(none))
-        return state(F.concat(F.slice(p, F.lit(1), i - 1), F.array(joined), F.slice(p, i + 2, F.size(p))),
-                     F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), F.transform(made, rank), F.slice(r, i + 2, F.size(p))))
+    def head(x: Column) -> Column:
+        return F.substring(x, 1, 2)
 
-    def step(s: Column, _: Column) -> Column:
-        at = F.array_position(s["r"], F.array_min(s["r"])).cast("int")
-        return bind(at, lambda i: F.when(i.isNull(), s).otherwise(merge(s, i)))
+    def piece(t: Column, own: Column, after: Column) -> Column:
+        joined = F.when(after.isNotNull(), ranks.pair(t, F.concat(own, after)))
+        return F.concat(own, F.coalesce(joined, nothing))
 
-    def fold(h: Column) -> Column:
-        n = (F.length(h) / 2).cast("int")
-        pieces = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.substr(h, 2 * k + 1, F.lit(2)))
-        pairs = F.transform(F.sequence(F.lit(0), n - 2), lambda k: rank(F.substr(h, 2 * k + 1, F.lit(4))))
-        end = F.aggregate(F.sequence(F.lit(2), n), state(pieces, pairs), step)
-        return F.transform(end["p"], rank)
+    def merge(t: Column, s: Column, least: Column) -> Column:
+        i, m = least["i"], least["m"]  # the place of the pair's first piece, from 1, and its rank
+        before = F.when(i > 1, F.array(piece(t, head(F.element_at(s, i - 1)), m))).otherwise(F.array().cast("array<binary>"))
+        return F.concat(F.slice(s, F.lit(1), F.greatest(i - 2, F.lit(0))), before,
+                        F.array(piece(t, m, head(F.get(s, i + 1)))), F.slice(s, i + 2, F.size(s)))
 
-    def encode(h: Column) -> Column:
-        return bind(rank(h), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(fold(h)))
+    def step(t: Column, s: Column) -> Column:
+        # The least rank, and of equal ones the leftmost.
+        least = F.array_min(F.transform(s, lambda x, j: F.when(F.octet_length(x) == 4, F.struct(F.substring(x, 3, 2).alias("m"), (j + 1).alias("i")))))
+        return let(least, s, lambda s, least: F.when(least.isNull(), s).otherwise(merge(t, s, least)))
 
-    return bind(F.hex(word.cast("binary")), encode)
+    def fold(t: Column, p: Column) -> Column:
+        start = F.transform(p, lambda x, j: piece(t, x, F.get(p, j + 1)))
+        end = F.aggregate(F.sequence(F.lit(1), F.size(p)), start, lambda s, _: step(t, s))
+        return F.aggregate(end, nothing, lambda a, x: F.concat(a, head(x)))
+
+    # Every byte as one character of Latin-1, so that ascii() is its value.
+    letters = F.filter(F.split(F.decode(word.cast("binary"), "ISO-8859-1"), ""), lambda c: c != "")
+    return bind(ranks.tables, lambda t: bind(F.transform(letters, lambda c: F.substring(t["bytes"], F.ascii(c) * 2 + 1, F.lit(2))), lambda p: fold(t, p)))
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -138,7 +190,17 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if alive[i]]
 
 
-def hot_words(words: DataFrame, literal: Column, max_words: int) -> pa.Table:
+def whole_or(word: str, folded: bytes | None, ranks: dict[bytes, int]) -> bytes:
+    """Ids of a word, two bytes each: its own if it is a piece, else as
+    folded, else (a long word, not folded) by ``merge_long``."""
+    raw = word.encode()
+    whole = ranks.get(raw)
+    if whole is not None:
+        return whole.to_bytes(2, "big")
+    return folded if folded is not None else np.array(merge_long(raw, ranks), dtype=">u2").tobytes()
+
+
+def hot_words(words: DataFrame, ranks: RankMap, max_words: int) -> pa.Table:
     """``w, ids`` of the words that stand most often in all documents: those
     counted at least c times, for the smallest c >= 2 that lets at most
     ``max_words`` in."""
@@ -148,60 +210,65 @@ def hot_words(words: DataFrame, literal: Column, max_words: int) -> pa.Table:
     at_least = F.sum("k").over(Window.orderBy(F.col("n").desc()))
     least = by_count.withColumn("k", at_least).where(F.col("k") <= max_words).agg(F.min("n")).first()[0]
     hot = counts.where(F.col("n") >= least) if least else counts.limit(0)
-    out = hot.select("w", fold_merges(F.col("w"), literal).alias("ids")).toArrow()
+    out = hot.select("w", fold_merges(F.col("w"), ranks).alias("ids")).toArrow()
     drop_written(counts)
     return out
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           max_words: int = MAX_HOT_WORDS) -> DataFrame:
-    """``doc_id, ids array<int>`` for every row."""
+           max_words: int = MAX_HOT_WORDS, then: tuple | None = None) -> DataFrame:
+    """``doc_id, ids array<int>`` for every row.  ``then`` (see ``decoding``
+    and ``digesting``) is what follows in the same Python worker."""
     sc = docs.sparkSession.sparkContext
-    literal = rank_literal(ranks)
+    literals = RankMap(ranks)
     words = docs.select(docs[id_col].cast("long").alias("doc_id"), words_of(docs[text_col], pattern).alias("words"))
-    table = hot_words(words, literal, max_words).combine_chunks()
-    hot = pa.array(table["w"].to_pylist(), pa.string())
-    ids = table["ids"].combine_chunks()
-    flat = np.asarray(ids.flatten(), dtype=np.int32)
-    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False)), [0]]).astype(np.int64)  # one more, for no hot word at all
+    table = hot_words(words, literals, max_words)
+    hot, ids = (table[c].combine_chunks() for c in ("w", "ids"))
+    hot = hot.cast(pa.string())
+    del table
+    # A word that is a piece itself is that piece; all others are as folded.
+    lists = [whole_or(w.as_py(), x.as_py(), ranks) for w, x in zip(hot, ids, strict=True)]
+    flat = np.frombuffer(b"".join(lists), ">u2").astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum([len(x) // 2 for x in lists]), [0]]).astype(np.int64)  # one more, for no hot word at all
+    del lists, ids
     shared = sc.broadcast((hot, flat, ends))  # at most max_words x (MAX_HOT_BYTES bytes and as many ids)
     vocabulary = sc.broadcast(ranks)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value_set = shared.value[0]
-        for batch in batches:
-            lists = batch.column(1)
-            every = lists.flatten()
-            place = pc.index_in(every, value_set=value_set).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
-            missing = np.flatnonzero(place < 0)
-            texts = every.take(pa.array(missing)).to_pylist()
-            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-            bounds = np.concatenate([[0], np.cumsum(sizes)])
-            cuts = np.searchsorted(missing, bounds).tolist()
-            rare: list[list[str]] = []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                seen: dict[str, int] = {}
-                place[missing[a:b]] = [-1 - seen.setdefault(w, len(seen)) for w in texts[a:b]]
-                rare.append(list(seen))
-            slots = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(place))
-            yield pa.RecordBatch.from_arrays([batch.column(0), slots, pa.array(rare, pa.list_(pa.string()))], names=["doc_id", "slots", "rare"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                lists = batch.column(1)
+                every = lists.flatten()
+                place = pc.index_in(every, value_set=value_set).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
+                missing = np.flatnonzero(place < 0)
+                texts = every.take(pa.array(missing)).to_pylist()
+                sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+                bounds = np.concatenate([[0], np.cumsum(sizes)])
+                cuts = np.searchsorted(missing, bounds).tolist()
+                rare: list[list[str]] = []
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    seen: dict[str, int] = {}
+                    place[missing[a:b]] = [-1 - seen.setdefault(w, len(seen)) for w in texts[a:b]]
+                    rare.append(list(seen))
+                slots = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(place))
+                yield pa.RecordBatch.from_arrays([batch.column(0), slots, pa.array(rare, pa.list_(pa.string()))], names=["doc_id", "slots", "rare"])
 
     found = words.mapInArrow(find, "doc_id long, slots array<int>, rare array<string>")
-    short = F.transform("rare", lambda w: F.when(F.octet_length(w) <= LONG_BYTES, fold_merges(w, literal)))
+    short = F.transform("rare", lambda w: F.when(F.octet_length(w) <= LONG_BYTES, fold_merges(w, literals)))
     folded = found.select("doc_id", "slots", "rare", short.alias("folded"))
 
     def place_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, flat, ends = shared.value
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             out, sizes = [], [0]
             for slots, rare, folded in zip(batch.column(1), batch.column(2), batch.column(3), strict=True):
                 slot = slots.values.to_numpy(zero_copy_only=False)
-                own = folded.as_py()
-                if None in own:
-                    own = [merge_long(w.encode(), vocabulary.value) if x is None else x for w, x in zip(rare.as_py(), own, strict=True)]
-                lengths = np.array([len(x) for x in own], dtype=np.int64)
+                own = [whole_or(w, x, vocabulary.value) for w, x in zip(rare.as_py(), folded.as_py(), strict=True)]
+                lengths = np.array([len(x) // 2 for x in own], dtype=np.int64)
                 own_ends = np.concatenate([[0], np.cumsum(lengths)])
-                own_flat = np.fromiter((i for x in own for i in x), np.int32, int(own_ends[-1]))
+                own_flat = np.frombuffer(b"".join(own), ">u2").astype(np.int32)
                 hot_slot = slot >= 0
                 start = ends[np.maximum(slot, 0)]
                 size = ends[np.maximum(slot, 0) + 1] - start
@@ -219,23 +286,44 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
             values = pa.array(np.concatenate(out) if out else np.empty(0, np.int32), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), values)], names=["doc_id", "ids"])
 
-    return folded.mapInArrow(place_ids, "doc_id long, ids array<int>")
+    if then is None:
+        return folded.mapInArrow(place_ids, "doc_id long, ids array<int>")
+    follow, schema = then
+    return folded.mapInArrow(lambda batches: follow(place_ids(batches)), schema)
 
 
-def hex_of(ids: Column, pieces: list[str]) -> Column:
-    """The pieces' hexadecimal text, in the order of ``ids`` (places in ``pieces``)."""
-    literal = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
-    return F.array_join(F.transform(ids, lambda i: F.get(literal, i)), "")
+def decoding(ranks: dict[bytes, int]) -> tuple:
+    """Step from ``doc_id, ids`` to ``doc_id, ids, bytes``: the pieces' bytes, joined."""
+    pieces = [b""] * (max(ranks.values(), default=-1) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = pieces.__getitem__
+        for batch in batches:
+            out = [b"".join(map(of, ids.values.to_numpy(zero_copy_only=False).tolist())) for ids in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=["doc_id", "ids", "bytes"])
 
+    return run, "doc_id long, ids array<int>, bytes binary"
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes that ``ids`` stand for."""
-    pieces = [""] * (max(ranks.values(), default=-1) + 1)
-    for piece, rank in ranks.items():
-        pieces[rank] = piece.hex()
-    return F.unhex(hex_of(ids, pieces))
+
+def digesting(ranks: dict[bytes, int]) -> tuple:
+    """Step from ``doc_id, ids`` to ``doc_id, n_tokens, ids_sha256,
+    decoded_sha256``: ids as little-endian unsigned 32-bit integers, and the
+    bytes they decode to."""
+    decode_batches, _ = decoding(ranks)
+    digest = lambda x: hashlib.sha256(x).hexdigest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in decode_batches(batches):
+            ids = [digest(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pc.list_value_length(batch.column(1)).cast(pa.int64()), pa.array(ids, pa.string()),
+                                              pa.array([digest(x.as_buffer()) for x in batch.column(2)], pa.string())],
+                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def little_endian(ids: Column, n: int) -> Column:
-    """``ids`` (below n) as little-endian unsigned 32-bit integers."""
-    return F.unhex(hex_of(ids, [i.to_bytes(4, "little").hex() for i in range(n)]))
+def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """``doc_id, ids, bytes`` from ``doc_id, ids``."""
+    return encoded.select("doc_id", "ids").mapInArrow(*decoding(ranks))

@@ -66,10 +66,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.load_ranks(RANK_FILE)
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                          F.sha2(byte_bpe.little_endian(F.col("ids"), len(ranks)), 256).alias("ids_sha256"),
-                          F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+    return byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, then=byte_bpe.digesting(ranks))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,10 +46,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, ids, n_tokens``, each text decoded again and compared."""
+    """``doc_id, ids, n_tokens, n_bytes``: the ids, and the length of what they decode to."""
     ranks = byte_bpe.load_ranks(RANK_FILE)
-    out = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return out.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("decoded_sha256", F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256))
+    decoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, then=byte_bpe.decoding(ranks))
+    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.octet_length("bytes").cast("long").alias("n_bytes"))
 
 
 STAGES = [

@@ -10,7 +10,6 @@ import public_tokenizers
 import tiktoken
 import xxhash
 from llm_fixtures import documents, empty, prose, ugly  # noqa: F401
-from pyspark.sql import functions as F
 
 from barforge.llm import byte_bpe, langid_ecoc, license_scan, mix_sources, secret_scan, simhash_ball
 
@@ -221,7 +220,7 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, ugly, empty):
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
     for df, most in ((documents(spark, ODD + ODD), 5), (ugly, 100), (empty, 100)):
         out = byte_bpe.encode(df, RANKS, public_tokenizers.PATTERN, max_words=most)
-        out = out.withColumn("bytes", byte_bpe.decode(F.col("ids"), RANKS)).collect()
+        out = byte_bpe.decode(out, RANKS).collect()
         assert sorted((r.ids for r in out)) == sorted(own.encode_ordinary(r.text or "") for r in df.collect())
         assert sorted(bytes(r.bytes) for r in out) == sorted((r.text or "").encode() for r in df.collect())
 
@@ -234,8 +233,12 @@ def test_heap_merges_equal_tiktoken():
         assert byte_bpe.merge_long(word.encode(), RANKS) == own.encode_ordinary(word)
 
 
-def test_digest_of_ids(spark):
-    ids = [0, 1, 255, 256, 50_255]
-    df = spark.createDataFrame([(ids,), ([],)], "ids array<int>").select(F.sha2(byte_bpe.little_endian(F.col("ids"), 50_256), 256).alias("h"))
-    want = {hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in x)).hexdigest() for x in (ids, [])}
-    assert {r.h for r in df.collect()} == want
+def test_digests(spark):
+    texts = ["the house of things", "", None]
+    out = byte_bpe.encode(documents(spark, texts), RANKS, public_tokenizers.PATTERN, then=byte_bpe.digesting(RANKS)).collect()
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    want = set()
+    for i, t in enumerate(texts, 1):
+        ids = own.encode_ordinary(t or "")
+        want.add((i, len(ids), hashlib.sha256(b"".join(k.to_bytes(4, "little") for k in ids)).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    assert {tuple(r) for r in out} == want
