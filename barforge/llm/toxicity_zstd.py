@@ -16,7 +16,9 @@ compressed length.
 Thresholds are calibrated by a logistic curve over a document's strongest
 windows.  The labelled documents for all this are a sample of at most about
 ``sample_docs`` of each class (with up to ``MAX_WINDOWS`` windows of each),
-drawn by a hash of the id; scoring reads every window of every text.
+drawn by a hash of the id; in the curve each counts for as many documents of
+its class as it stands for, so the table's share of toxic documents is learned
+whatever is drawn.  Scoring reads every window of every text.
 
 Defined results: null, empty and blank texts have no window and get the base
 score of such texts; without labelled rows of both classes every score is 0;
@@ -126,13 +128,13 @@ def features(differences: np.ndarray) -> np.ndarray:
     return np.concatenate([[1.0], top, np.zeros(TOP - len(top)), [np.log1p(len(differences))]])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
-    """Newton steps for the calibration curve."""
+def logistic(x: np.ndarray, y: np.ndarray, rows: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
+    """Newton steps for the calibration curve; each sample stands for ``rows``."""
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)) * len(y)
-        step = np.linalg.solve(hessian, x.T @ (y - p) - ridge * len(y) * w)
+        hessian = (x * (rows * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)) * rows.sum()
+        step = np.linalg.solve(hessian, x.T @ (rows * (y - p)) - ridge * rows.sum() * w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -147,8 +149,9 @@ def train_dictionary(size: int, windows: list[bytes]) -> bytes:
         return b"".join(windows)[:size]
 
 
-def fit(docs: list[tuple[list[bytes], int]]) -> Model | None:
-    """From (windows, label) of the sampled documents."""
+def fit(docs: list[tuple[list[bytes], int]], stands_for: tuple[float, float] = (1.0, 1.0)) -> Model | None:
+    """From (windows, label) of the sampled documents, of which one stands for
+    so many ordinary, or toxic, ones."""
     toxic, ordinary = ([ws for ws, y in docs if y == label] for label in (1, 0))
     if not toxic or not ordinary:
         return None
@@ -157,7 +160,8 @@ def fit(docs: list[tuple[list[bytes], int]]) -> Model | None:
     model = Model(segments + content, bytes(len(segments)) + content, np.zeros(TOP + 2))
     heavy, plain = Compressor(model.toxic), Compressor(model.ordinary)
     x = np.array([features(plain.lengths(ws) - heavy.lengths(ws)) for ws, _ in docs])
-    model.weights = logistic(x, np.array([y for _, y in docs], dtype=float))
+    y = np.array([y for _, y in docs])
+    model.weights = logistic(x, y.astype(float), np.array(stands_for)[y])
     return model
 
 
@@ -183,11 +187,12 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "
     label = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label")).where(may_learn & F.col("label").isin(0, 1))
     label = label.groupBy("doc_id").agg(F.max("label").alias("label"))
     counts = {r["label"]: r["n"] for r in label.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    share = F.when(F.col("label") == 1, F.lit(sample_docs / max(1, counts.get(1, 0)))).otherwise(F.lit(sample_docs / max(1, counts.get(0, 0))))
+    stands_for = tuple(max(1.0, counts.get(y, 0) / sample_docs) for y in (0, 1))
+    share = F.when(F.col("label") == 1, F.lit(1 / stands_for[1])).otherwise(F.lit(1 / stands_for[0]))
     # About 2 x sample_docs ids whatever the input: a table of bounded size.
-    drawn = label.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.least(share, F.lit(1.0)) * (1 << 20))
+    drawn = label.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).join(F.broadcast(drawn), "doc_id")
-    return fit(sampled_windows(rows))
+    return fit(sampled_windows(rows), stands_for)
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -56,3 +56,12 @@ def test_windows_cover_the_whole_text():
 def test_root_ratio_grows_with_the_contrast():
     r = [toxicity_zstd.root_ratio(a, 40, 2, 280) for a in (0, 1, 5, 20)]
     assert r == sorted(r) and r[0] < 0 < r[2] and toxicity_zstd.root_ratio(10, 40, 0, 280) > 5
+
+
+def test_scores_keep_the_class_share_above_the_cap(spark):
+    n = 1500
+    df = documents(spark, [prose(i, 30) for i in range(n)])  # no evidence: the score is the base rate
+    labels = spark.createDataFrame([(i + 1, int(i % 10 == 0)) for i in range(n)], "doc_id long, toxic int")
+    model = toxicity_zstd.train(df, labels, F.lit(True), sample_docs=100)
+    mean = toxicity_zstd.score(df, model).agg(F.avg("score")).first()[0]
+    assert 0.04 < mean < 0.2
