@@ -6,8 +6,8 @@ speaks for toxicity; a document is as toxic as its strongest windows are.
 
 Labels mark whole documents, of which only a few passages are toxic, so most
 of what zstandard learns from toxic documents is ordinary text.  The toxic
-dictionary keeps those segments of it that toxic documents hold significantly
-more often than ordinary ones do, before the content of the ordinary
+dictionary keeps those segments of it that a share of toxic documents holds
+``RATIO`` times the share of ordinary ones, before the content of the ordinary
 dictionary; the ordinary dictionary is padded to the same length.  Windows
 then differ in length by the toxic segments alone.  Every window follows a
 fixed prefix that both dictionaries hold, so that even one match shows in the
@@ -45,10 +45,11 @@ STEP = 112
 TOXIC_BYTES = 16_384
 ORDINARY_BYTES = 4096
 PREFIX = 128
-#: Length of the pieces that are tested for significance, and the signed root
-#: of the likelihood ratio from which one is kept.
+#: Length of the pieces that are compared, and how many times the share of
+#: ordinary documents that hold a kept one the share of toxic documents is.  A
+#: ratio of shares asks no more of a rare piece than of a common one.
 PIECE = 5
-SIGNIFICANT = 5.0
+RATIO = 5.0
 #: Labelled documents of each class, and windows of each, that train and calibrate.
 SAMPLE_DOCS = 3000
 MAX_WINDOWS = 256
@@ -99,8 +100,14 @@ def root_ratio(a: int, n: int, b: int, m: int) -> float:
     return float(np.sqrt(max(0.0, g)) * np.sign(a / n - b / m))
 
 
+def distinctive(a: int, n: int, b: int, m: int) -> bool:
+    """Whether share a/n of toxic documents is RATIO times share b/m of ordinary
+    ones, half a document added to either count."""
+    return a > 0 and (a + 0.5) / (n + 1) >= RATIO * (b + 0.5) / (m + 1)
+
+
 def toxic_segments(dictionary: bytes, toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[bytes]:
-    """Runs of the dictionary whose pieces significantly more toxic documents hold."""
+    """Runs of the dictionary whose pieces are distinctive of toxic documents."""
     candidates = pieces(dictionary)
 
     def held(docs: list[list[bytes]]) -> Counter:
@@ -110,7 +117,7 @@ def toxic_segments(dictionary: bytes, toxic: list[list[bytes]], ordinary: list[l
         return n
 
     a, b = held(toxic), held(ordinary)
-    kept = {p for p in candidates if root_ratio(a[p], len(toxic), b[p], len(ordinary)) >= SIGNIFICANT}
+    kept = {p for p in candidates if distinctive(a[p], len(toxic), b[p], len(ordinary))}
     runs: list[bytes] = []
     start = None
     for i in range(len(dictionary) - PIECE + 2):

@@ -65,3 +65,11 @@ def test_scores_keep_the_class_share_above_the_cap(spark):
     model = toxicity_zstd.train(df, labels, F.lit(True), sample_docs=100)
     mean = toxicity_zstd.score(df, model).agg(F.avg("score")).first()[0]
     assert 0.04 < mean < 0.2
+
+
+def test_rare_toxic_phrases_are_kept_at_any_sample_size():
+    phrase = b"worthless"
+    for n, m, held in ((10, 80, 4), (390, 2800, 4), (3000, 3000, 10)):
+        toxic = [[b"the house " + phrase]] * held + [[b"the house"]] * (n - held)
+        kept = b"".join(toxicity_zstd.toxic_segments(b"the house " + phrase, toxic, [[b"the house"]] * m))
+        assert phrase in kept and b"house" not in kept
