@@ -10,6 +10,12 @@ would, and a group holds at most the ball's size, whatever the input.
 Copies share a fingerprint and are one node.  Null and empty texts have
 fingerprint zero and are linked like any other; repeated rows keep their
 rows; an empty table gives an empty result.  Extra columns are ignored.
+
+``keep_one`` keeps one document of each group: the smallest id with, of the
+group's texts under it, the one with the least hash.  Rows that repeat that
+document (same id, same text) stay; an id that also heads another group keeps
+nothing here.  Null ids come last, and as null names no document, a group that
+has no other id keeps exactly one row.
 """
 
 from __future__ import annotations
@@ -20,8 +26,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import connected_components, written
 
@@ -55,15 +62,16 @@ def fingerprint(text: str | None, k: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(bits).view(">u8")[0].astype(np.uint64).astype(np.int64))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp`` for every row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS, keep: list[Column] = ()) -> DataFrame:
+    """``doc_id, <keep>, fp`` for every row."""
+    narrow = docs.select(docs[text_col].alias("text"), docs[id_col].cast("long").alias("doc_id"), *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py(), k) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            fps = [fingerprint(t.as_py(), k) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fps, pa.int64())], names=[*batch.schema.names[1:], "fp"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return narrow.mapInArrow(run, StructType(narrow.schema.fields[1:]).add("fp", "long"))
 
 
 def ball_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -81,15 +89,19 @@ def ball_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
 
 
+def with_roots(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``distinct`` (one row per fp) with ``root``, one of its group's fps."""
+    roots = connected_components(ball_links(distinct, max_bits), "simhash-links")
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id, fp, component_id`` for every row: the smallest id among all
     documents reachable over links of at most ``max_bits`` bits."""
     rows = written(fingerprints(docs, id_col, text_col, k), "simhash-rows")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = connected_components(ball_links(distinct, max_bits), "simhash-links")
-    group = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    linked = written(group, "simhash-groups")
+    linked = written(with_roots(distinct, max_bits), "simhash-groups")
     ids = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     member = linked.join(ids, "root").select("fp", "component_id")
     return rows.join(member, "fp").select("doc_id", "fp", "component_id")
@@ -97,6 +109,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is its group's smallest."""
-    kept = near_duplicates(docs, id_col, text_col, k, max_bits).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs[id_col].cast("long") == kept["__kept"], "left_semi")
+    """The rows of ``docs`` that hold the kept document of their group."""
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")  # no column of the input can clash
+    # Numbers of rows without an id, fixed by being written: every reader sees the same.
+    number = F.when(docs[id_col].cast("long").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
+    rows = written(docs.select(row, number.alias("number")), "simhash-docs")
+    doc_id = F.col("row")[id_col].cast("long")
+    key = [doc_id.isNull().alias("none"), F.coalesce(doc_id, F.lit(0).cast("long")).alias("id"), F.xxhash64(F.col("row")[text_col]).alias("hash"), F.col("number")]
+    keyed = rows.select(doc_id.alias("doc_id"), F.col("row")[text_col].alias("text"), *key)
+    names = ["none", "id", "hash", "number"]
+    fps = written(fingerprints(keyed, k=k, keep=[keyed[c] for c in names]).select("fp", *names), "simhash-rows")
+    least = F.min(F.struct(*names)).alias("least")
+    linked = written(with_roots(fps.groupBy("fp").agg(least), max_bits), "simhash-groups")
+    kept = linked.groupBy("root").agg(F.min("least").alias("least")).select("least.*")
+    return rows.select("row", *key).join(kept, names, "left_semi").select("row.*")

@@ -30,7 +30,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest id."""
+    """One document of each SimHash group stays: the one with the smallest id
+    (rows that repeat it stay too; ids that are null come last)."""
     return simhash_ball.keep_one(docs)
 
 

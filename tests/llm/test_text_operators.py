@@ -145,6 +145,19 @@ def test_simhash_groups(spark, ugly, empty):
     assert simhash_ball.near_duplicates(empty).collect() == [] and simhash_ball.keep_one(empty).collect() == []
 
 
+def test_keep_one_keeps_one_document_of_every_group(spark):
+    a, b, c, d = (prose(i, 200) for i in range(20, 24))
+    rows = [(None, a), (None, a), (None, a),  # no id at all: one row
+            (5, b), (None, b), (7, b),
+            (9, b), (9, c), (4, c),  # 9 heads no group
+            (5, d), (8, d), (8, d), (2, None), (3, ""), (2, None)]
+    df = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows]).repartition(4)
+    got = sorted(((r.doc_id, r.text) for r in simhash_ball.keep_one(df).collect()), key=repr)
+    assert got == sorted([(None, a), (5, b), (4, c), (5, d), (2, None), (2, None)], key=repr)
+    cross = documents(spark, [a, b, b, a], ids=[1, 1, 0, 3])  # 1 heads a's group, 0 heads b's
+    assert sorted((r.doc_id, r.text) for r in simhash_ball.keep_one(cross).collect()) == sorted([(1, a), (0, b)])
+
+
 # ---- language ID --------------------------------------------------------
 
 def test_codewords_differ_in_many_bits():
