@@ -10,8 +10,9 @@ languages x features, bounded by the parameters, is all the driver gets).
 Each language weighs the same whatever its share of the rows.
 
 Defined results: a text that is null or has no letters is ``und`` with score
-0 and is rejected; a text whose n-grams were never learned falls to the
-nearest codeword and is flagged ambiguous; repeated rows each get their own
+0 and is rejected; a text none of whose letters was ever learned (so none of
+its n-grams was) falls to the nearest codeword, is flagged ambiguous and is
+not ``learned``; n-grams that were never learned weigh nothing; repeated rows each get their own
 result; with nothing to learn from every document is ``und``.  Texts are read
 whole, in pieces of bounded size.  Extra columns are ignored.
 """
@@ -77,6 +78,20 @@ def feature_counts(text: str | None) -> np.ndarray | None:
     return total if some else None
 
 
+def add_letters(text: str | None, into: np.ndarray) -> None:
+    """Mark the text's folded letters in a mask over all code points."""
+    points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    for at in range(0, len(points), CHUNK):
+        into[letter_table()[points[at:at + CHUNK]]] = True
+    into[32] = False
+
+
+def any_learned(text: str | None, learned: np.ndarray) -> bool:
+    """Whether the text has a letter of the mask."""
+    points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return any(learned[letter_table()[points[at:at + CHUNK]]].any() for at in range(0, len(points), CHUNK))
+
+
 def codewords(k: int) -> np.ndarray:
     """k codewords of -1/+1.  Few classes: the exhaustive code (every split
     once).  More: seeded random splits, redrawn until all rows differ."""
@@ -98,6 +113,7 @@ class Model:
     weights: np.ndarray  # features x bits: log-odds of bit +1
     scale: np.ndarray  # per bit: turns the mean log-odds into a margin
     trust: np.ndarray  # per bit: weight of its loss
+    letters: np.ndarray | None = None  # mask over code points: learned letters (hashes collide, these do not)
 
 
 def fit(langs: list[str], counts: np.ndarray) -> Model:
@@ -110,6 +126,7 @@ def fit(langs: list[str], counts: np.ndarray) -> Model:
     p = (share.T @ plus) / np.maximum(plus.sum(axis=0), 1)
     m = (share.T @ minus) / np.maximum(minus.sum(axis=0), 1)
     weights = np.where(minus.sum(axis=0) > 0, np.log(np.maximum(p, 1e-300)) - np.log(np.maximum(m, 1e-300)), 0.0)
+    weights[counts.sum(axis=0) == 0] = 0.0  # never learned: no evidence for any language
     expected = share @ weights * code  # margin each language's own text has on each bit
     spread = np.abs(expected).mean(axis=0)
     scale = np.where(spread > 1e-9, 1.0 / np.maximum(spread, 1e-9), 0.0)
@@ -131,30 +148,41 @@ def decode(model: Model, features: np.ndarray) -> tuple[str, float, bool]:
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Count n-grams of every row with a language, one partial sum per task
-    and language, and fit the classifiers."""
+    and language, and fit the classifiers.  Rows from FEATURES on are the
+    letters that occurred."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        letters = np.zeros(0x110000, dtype=bool)
         for batch in batches:
             for t, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                c = feature_counts(t.as_py())
+                text = t.as_py()
+                c = feature_counts(text)
                 if c is not None:
                     sums[lang] = sums[lang] + c if lang in sums else c
+                    add_letters(text, letters)
         for lang, c in sums.items():
             f = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(f), pa.string()), pa.array(f, pa.int32()), pa.array(c[f].astype(np.int64))], names=["lang", "f", "n"])
+        f = np.flatnonzero(letters)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(f), pa.string()), pa.array(f + FEATURES, pa.int32()), pa.array(np.ones(len(f), np.int64))], names=["lang", "f", "n"])
 
     labelled = docs.select(docs[text_col].alias("text"), docs[lang_col].cast("string").alias("lang")).where("lang IS NOT NULL")
     sums = labelled.mapInArrow(count, "lang string, f int, n long").groupBy("lang", "f").agg(F.sum("n").alias("n")).toPandas()
+    letters = np.zeros(0x110000, dtype=bool)
+    letters[sums["f"][sums["f"] >= FEATURES].to_numpy(int) - FEATURES] = True
+    sums = sums[sums["f"] < FEATURES]
     langs = sorted(sums["lang"].unique().tolist())
     counts = np.zeros((len(langs), FEATURES))
     counts[sums["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(int), sums["f"].to_numpy(int)] = sums["n"]
-    return fit(langs, counts)
+    model = fit(langs, counts)
+    model.letters = letters
+    return model
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[Column] = ()) -> DataFrame:
-    """``doc_id, <keep>, lang_pred, score, ambiguous`` for every row; ``keep``
-    are columns of ``docs`` to carry along, under names of their own."""
+    """``doc_id, <keep>, lang_pred, score, ambiguous, learned`` for every row;
+    ``keep`` are columns of ``docs`` to carry along, under names of their own."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x bits and features x bits
     narrow = docs.select(docs[text_col].alias("text"), docs[id_col].alias("doc_id"), *keep)
 
@@ -163,12 +191,18 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for batch in batches:
             out = []
             for t in batch.column(0):
-                c = feature_counts(t.as_py()) if m.langs else None
-                out.append(("und", 0.0, False) if c is None else decode(m, c))
-            lang, score, flag = map(list, zip(*out, strict=True)) if out else ([], [], [])
+                text = t.as_py()
+                c = feature_counts(text) if m.langs else None
+                if c is None:
+                    out.append(("und", 0.0, False, False))
+                    continue
+                best, p, unclear = decode(m, c)
+                learned = any_learned(text, m.letters)
+                out.append((best, p, unclear or not learned, learned))
+            lang, score, flag, learned = map(list, zip(*out, strict=True)) if out else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(flag, pa.bool_())],
-                names=[*batch.schema.names[1:], "lang_pred", "score", "ambiguous"])
+                [*batch.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(flag, pa.bool_()), pa.array(learned, pa.bool_())],
+                names=[*batch.schema.names[1:], "lang_pred", "score", "ambiguous", "learned"])
 
-    schema = StructType(narrow.schema.fields[1:]).add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+    schema = StructType(narrow.schema.fields[1:]).add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean").add("learned", "boolean")
     return narrow.mapInArrow(run, schema)

@@ -21,10 +21,11 @@ WEIGHTS = [1, 2, 3]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language (``und``) go; a language that
-    was null is filled in with the prediction."""
+    """Documents without a recognisable language go: those without letters
+    (``und``) and those without any learned letter.  A language that was null
+    is filled in with the prediction; merely ambiguous documents stay."""
     model = langid_ecoc.train(docs.where(~held_out(docs["doc_id"])))
-    told = langid_ecoc.predict(docs, model, keep=[F.struct(*[docs[c] for c in docs.columns]).alias("row")]).where("lang_pred <> 'und'")
+    told = langid_ecoc.predict(docs, model, keep=[F.struct(*[docs[c] for c in docs.columns]).alias("row")]).where("lang_pred <> 'und' AND learned")
     row = F.col("row")
     return told.select(*[(F.coalesce(row[c], "lang_pred") if c == "lang" else row[c]).alias(c) for c in docs.columns])
 

@@ -6,6 +6,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 import xxhash
@@ -182,6 +183,24 @@ def test_language_id_learns_held_out_text(spark, ugly, empty):
     assert {r.lang_pred for r in langid_ecoc.predict(ugly, nothing).collect()} == {"und"}
 
 
+def test_unlearned_text_is_flagged_and_leaves_the_pipeline(spark):
+    import corpus_pipeline
+    learned = [prose(i, 200) for i in range(30)] + ["der die das und heit keit ver " * 5] * 10
+    odd = ["東京は日本の首都です" * 20, "Καλημέρα κόσμε " * 30, "und 東京"]
+    df = documents(spark, learned + odd, ["en"] * 30 + ["de"] * 10 + [None] * 3)
+    rows = langid_ecoc.predict(df, langid_ecoc.train(df)).orderBy("doc_id").collect()
+    assert [r.ambiguous for r in rows[40:42]] == [True, True] and [r.learned for r in rows] == [True] * 40 + [False, False, True]
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, df, "").collect()}
+    assert sorted(kept) == [*range(1, 41), 43] and kept[43] in ("de", "en")
+
+
+def test_unseen_features_weigh_nothing():
+    counts = np.zeros((2, langid_ecoc.FEATURES))
+    counts[0, :4] = 1000
+    counts[1, 2:6] = 10
+    assert not langid_ecoc.fit(["hot", "rare"], counts).weights[6:].any()
+
+
 def langid_ecoc_held(df):
     from barforge.llm.common import held_out
     return held_out(df["doc_id"])
