@@ -6,7 +6,9 @@ language and tells how clear the choice is.
 
 Training counts hashed letter n-grams of every labelled document, per
 language, in Spark; the classifiers follow from those counts (a table of
-languages x features, bounded by the parameters, is all the driver gets).
+languages x features is all the driver gets, and a task holds).  There may be
+at most ``MAX_LANGS`` languages, which bounds both; with more, as in a
+free-form column, training raises ValueError before it counts anything.
 Each language weighs the same whatever its share of the rows.
 
 Defined results: a text that is null or has no letters is ``und`` with score
@@ -31,6 +33,8 @@ from pyspark.sql.types import StructType
 
 #: Hashed features (a power of two).
 FEATURES = 1 << 15
+#: Most languages: 64 MB of counts in a task, some 8 million rows on the driver.
+MAX_LANGS = 256
 #: Longest n-gram, in letters and word boundaries.
 MAX_N = 3
 #: Up to so many languages every two-class split gets a bit; beyond, random splits.
@@ -168,6 +172,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
         yield pa.RecordBatch.from_arrays([pa.nulls(len(f), pa.string()), pa.array(f + FEATURES, pa.int32()), pa.array(np.ones(len(f), np.int64))], names=["lang", "f", "n"])
 
     labelled = docs.select(docs[text_col].alias("text"), docs[lang_col].cast("string").alias("lang")).where("lang IS NOT NULL")
+    if labelled.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages in {lang_col}")
     sums = labelled.mapInArrow(count, "lang string, f int, n long").groupBy("lang", "f").agg(F.sum("n").alias("n")).toPandas()
     letters = np.zeros(0x110000, dtype=bool)
     letters[sums["f"][sums["f"] >= FEATURES].to_numpy(int) - FEATURES] = True

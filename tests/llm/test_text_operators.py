@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 import xxhash
 from llm_fixtures import documents, empty, prose, ugly  # noqa: F401
@@ -194,6 +195,14 @@ def test_unlearned_text_is_flagged_and_leaves_the_pipeline(spark):
     assert sorted(kept) == [*range(1, 41), 43] and kept[43] in ("de", "en")
 
 
+def test_too_many_languages_are_refused(spark):
+    n = langid_ecoc.MAX_LANGS + 1
+    df = documents(spark, [prose(i, 3) for i in range(n)], [f"l{i}" for i in range(n)])
+    with pytest.raises(ValueError, match="languages"):
+        langid_ecoc.train(df)
+    assert len(langid_ecoc.train(df.where("lang <> 'l0'")).langs) == n - 1
+
+
 def test_unseen_features_weigh_nothing():
     counts = np.zeros((2, langid_ecoc.FEATURES))
     counts[0, :4] = 1000
