@@ -15,8 +15,9 @@ compressed length.
 
 Thresholds are calibrated by a logistic curve over a document's strongest
 windows.  The labelled documents for all this are a sample of at most about
-``sample_docs`` of each class (with up to ``MAX_WINDOWS`` windows of each),
-drawn by a hash of the id; in the curve each counts for as many documents of
+``sample_docs`` of each class, drawn by a hash of the id.  Up to ``MAX_WINDOWS``
+windows of each, spread over its text, train the dictionaries; the curve is
+fitted over all their windows, as they are scored; in the curve each counts for as many documents of
 its class as it stands for, so the table's share of toxic documents is learned
 whatever is drawn.  Scoring reads every window of every text.
 
@@ -50,7 +51,8 @@ PREFIX = 128
 #: ratio of shares asks no more of a rare piece than of a common one.
 PIECE = 5
 RATIO = 5.0
-#: Labelled documents of each class, and windows of each, that train and calibrate.
+#: Labelled documents of each class that train and calibrate, and windows of
+#: each that train the dictionaries.
 SAMPLE_DOCS = 3000
 MAX_WINDOWS = 256
 #: Strongest windows that make a document's features.
@@ -156,24 +158,19 @@ def train_dictionary(size: int, windows: list[bytes]) -> bytes:
         return b"".join(windows)[:size]
 
 
-def fit(docs: list[tuple[list[bytes], int]], stands_for: tuple[float, float] = (1.0, 1.0)) -> Model | None:
-    """From (windows, label) of the sampled documents, of which one stands for
-    so many ordinary, or toxic, ones."""
+def dictionaries(docs: list[tuple[list[bytes], int]]) -> Model | None:
+    """From (windows, label) of the sampled documents; not yet calibrated."""
     toxic, ordinary = ([ws for ws, y in docs if y == label] for label in (1, 0))
     if not toxic or not ordinary:
         return None
     content = train_dictionary(ORDINARY_BYTES, [w for ws in ordinary for w in ws]).rjust(PREFIX, b"\0")
     segments = b"".join(toxic_segments(train_dictionary(TOXIC_BYTES, [w for ws in toxic for w in ws]), toxic, ordinary))
-    model = Model(segments + content, bytes(len(segments)) + content, np.zeros(TOP + 2))
-    heavy, plain = Compressor(model.toxic), Compressor(model.ordinary)
-    x = np.array([features(plain.lengths(ws) - heavy.lengths(ws)) for ws, _ in docs])
-    y = np.array([y for _, y in docs])
-    model.weights = logistic(x, y.astype(float), np.array(stands_for)[y])
-    return model
+    return Model(segments + content, bytes(len(segments)) + content, np.zeros(TOP + 2))
 
 
 def sampled_windows(labelled: DataFrame) -> list[tuple[list[bytes], int]]:
-    """(windows, label) of the drawn documents (doc_id, text, label)."""
+    """(up to MAX_WINDOWS windows, label) of the drawn documents (doc_id, text,
+    label) that train the dictionaries."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,6 +185,23 @@ def sampled_windows(labelled: DataFrame) -> list[tuple[list[bytes], int]]:
     return [([bytes(w) for w in r["ws"]], r["label"]) for r in rows if r["ws"]]
 
 
+def sampled_features(labelled: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Features over all windows, and labels, of the drawn documents that have any."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heavy, plain = Compressor(model.toxic), Compressor(model.ordinary)
+        for batch in batches:
+            out = []
+            for t in batch.column(1):
+                ws = windows_of(t.as_py())
+                out.append(features(plain.lengths(ws) - heavy.lengths(ws)).tolist() if ws else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float64())), batch.column(2)], names=["doc_id", "x", "label"])
+
+    rows = labelled.select("doc_id", "text", "label").mapInArrow(measure, "doc_id long, x array<double>, label int").toArrow().to_pylist()
+    rows = sorted((r["doc_id"], r["x"], r["label"]) for r in rows if r["x"])
+    return np.array([x for _, x, _ in rows]), np.array([y for _, _, y in rows])
+
+
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """Fit on rows of ``labels`` for which ``may_learn`` (a condition on doc_id) holds."""
@@ -199,7 +213,11 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "
     # About 2 x sample_docs ids whatever the input: a table of bounded size.
     drawn = label.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).join(F.broadcast(drawn), "doc_id")
-    return fit(sampled_windows(rows), stands_for)
+    model = dictionaries(sampled_windows(rows))
+    if model:
+        x, y = sampled_features(rows, model)
+        model.weights = logistic(x, y.astype(float), np.array(stands_for)[y])
+    return model
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

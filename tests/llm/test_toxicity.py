@@ -73,3 +73,17 @@ def test_rare_toxic_phrases_are_kept_at_any_sample_size():
         toxic = [[b"the house " + phrase]] * held + [[b"the house"]] * (n - held)
         kept = b"".join(toxicity_zstd.toxic_segments(b"the house " + phrase, toxic, [[b"the house"]] * m))
         assert phrase in kept and b"house" not in kept
+
+
+def test_calibration_reads_every_window_of_long_texts(spark):
+    texts, y = corpus(60)
+    n = 5 * toxicity_zstd.STEP * toxicity_zstd.MAX_WINDOWS // 2
+    texts[0] = "x" * n + " worthless " + "y" * n
+    labels = spark.createDataFrame([(i + 1, v) for i, v in enumerate(y)], "doc_id long, toxic int")
+    df = documents(spark, texts)
+    model = toxicity_zstd.train(df, labels, F.lit(True))
+    x, label = toxicity_zstd.sampled_features(df.withColumn("label", F.when(df["doc_id"] % 4 == 1, 1).otherwise(0)), model)
+    scored = toxicity_zstd.score(df, model).orderBy("doc_id").collect()
+    assert scored[0].windows > toxicity_zstd.MAX_WINDOWS * 4
+    assert x[0][-1] == np.log1p(scored[0].windows) and x[0][1] == scored[0].difference and label.tolist() == y
+    assert np.allclose(toxicity_zstd.logistic(x, label.astype(float), np.ones(len(label))), model.weights)
