@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, itq_dedup, langid_ecoc, license_scan, mix_sources, norm_topk, secret_scan, simhash_ball, suffix_dedup, toxicity_zstd
+from . import byte_bpe, itq_dedup, langid_ecoc, license_scan, merkle_manifest, mix_sources, norm_topk, secret_scan, simhash_ball, suffix_dedup, toxicity_zstd
 from .common import held_out
 
 #: Where the rank file lies; its pattern comes with it.
@@ -75,7 +75,17 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = F.col("text")
+    stripped = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
+    others = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    out = merkle_manifest.manifest(docs, "source", "doc_id", [*others, text], found=[*others, stripped])
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle_manifest.proof(F.col("path")), 256).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_itq_dedup, op2_toxicity_zstd, op3_langid_ecoc, op4_license_scan, op5_simhash_ball, op6_secret_scan, op7_norm_topk,
-    op8_mix_sources, op9_byte_bpe, op10_suffix_dedup)}
+    op8_mix_sources, op9_byte_bpe, op10_suffix_dedup, op13_merkle_manifest)}
 ORACLE = {"op7_norm_topk": norm_topk.TOPK_SQL, "op8_mix_sources": mix_sources.mix_sql()}
