@@ -186,8 +186,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
 #: DuckDB twin: queries are ids divisible by 50, five best of each.
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(q.e, x.e) AS BIGINT) AS score
   FROM v q JOIN v x ON len(q.e) = len(x.e) AND q.vec_id <> x.vec_id WHERE q.vec_id % 50 = 0),
