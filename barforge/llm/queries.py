@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, hard_negatives, itq_dedup, langid_ecoc, license_scan, merkle_manifest, mix_sources, norm_topk, secret_scan, simhash_ball, suffix_dedup, toxicity_zstd
+from . import attention_lm, byte_bpe, hard_negatives, itq_dedup, langid_ecoc, license_scan, merkle_manifest, mix_sources, norm_topk, secret_scan, simhash_ball, suffix_dedup, toxicity_zstd
 from .common import held_out
 
 #: Where the rank file lies; its pattern comes with it.
@@ -75,6 +75,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    learn = docs.where(~held)
+    counts = attention_lm.Counts(attention_lm.count_words(learn))
+    model = attention_lm.train(learn, counts, byte_bpe.load_ranks(RANK_FILE), public_tokenizers.PATTERN)
+    return attention_lm.score(docs, counts, model, held)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 50 == 0, positives=5, negatives=3, scale=256.0, least=50, most=95)
@@ -92,5 +101,5 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_itq_dedup, op2_toxicity_zstd, op3_langid_ecoc, op4_license_scan, op5_simhash_ball, op6_secret_scan, op7_norm_topk,
-    op8_mix_sources, op9_byte_bpe, op10_suffix_dedup, op12_hard_negatives, op13_merkle_manifest)}
+    op8_mix_sources, op9_byte_bpe, op10_suffix_dedup, op11_attention_lm, op12_hard_negatives, op13_merkle_manifest)}
 ORACLE = {"op7_norm_topk": norm_topk.TOPK_SQL, "op8_mix_sources": mix_sources.mix_sql(), "op12_hard_negatives": hard_negatives.MINE_SQL}
