@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barforge.functions.decimal import exact_product
+from barforge.functions.decimal import limb_total, with_limbs
 from barforge.functions.timefn import minute_bucket
 
 GOLD_KEY = ("symbol", "minute_bucket")
@@ -20,12 +20,13 @@ GOLD_COLUMNS = ("symbol", "minute_bucket", "trade_count", "total_quantity", "tot
 
 
 def bar_aggregates():
-    """The nine bar measures, in output order (COUNT/SUM/AVG/MIN/MAX only)."""
+    """The bar measures, in output order (COUNT/SUM/AVG/MIN/MAX only), over
+    rows that carry their product's limbs (``with_limbs``)."""
     n = F.count(F.lit(1))
     return [
         n.alias("trade_count"),
         F.try_sum("quantity").alias("total_quantity"),
-        exact_total(exact_product(F.col("price"), F.col("quantity"))).alias("total_notional"),
+        limb_total().alias("total_notional"),
         # Unweighted mean of price as exact sum / count: avg() has room for
         # sixteen integer digits only.
         (F.try_sum("price") / n).cast("decimal(38,18)").alias("avg_price"),
@@ -36,15 +37,10 @@ def bar_aggregates():
     ]
 
 
-def exact_total(x: Column) -> Column:
-    """Sum that is NULL, not wrong and not an error, when a term or the total
-    does not fit decimal(38,18)."""
-    return F.when(F.count(x) == F.count(F.lit(1)), F.try_sum(x))
-
-
 def with_minute(silver: DataFrame) -> DataFrame:
-    return silver.select("symbol", minute_bucket(F.col("trade_time")).alias("minute_bucket"),
-                         "price", "quantity", "trade_time")
+    """The columns bars are made of, with the minute and the product's limbs."""
+    return with_limbs(silver.select("symbol", minute_bucket(F.col("trade_time")).alias("minute_bucket"),
+                                    "price", "quantity", "trade_time"))
 
 
 def gold_trades_1m(silver: DataFrame) -> DataFrame:

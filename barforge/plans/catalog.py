@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.operators import admission, checks
-from barforge.functions.decimal import exact_product
+from barforge.functions.decimal import limb_total, with_limbs
 from barforge.functions.timefn import ntz_epoch_micros
-from barforge.operators.gold import exact_total, gold_trades_1m
+from barforge.operators.gold import gold_trades_1m
 from barforge.operators.silver import cast_rejects, parse_trades, silver_trades, valid_trades
 from barforge.session import fresh_dir, written_table
 from barforge.sources import fixtures
@@ -190,8 +190,7 @@ def q_exact_bars(spark, sf_dir):
     rows = e.select(F.col("event_type").alias("symbol"),
                     factor(F.col("event_id") * 1000003, 123456789012345677).alias("price"),
                     factor(F.col("event_id") % 97, 987654321098765431).alias("quantity"))
-    bars = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("trade_count"),
-                                      exact_total(exact_product(F.col("price"), F.col("quantity"))).alias("n"))
+    bars = with_limbs(rows).groupBy("symbol").agg(F.count(F.lit(1)).alias("trade_count"), limb_total().alias("n"))
     return bars.select("symbol", "trade_count", F.replace(F.col("n").cast("string"), F.lit("."), F.lit("")).alias("notional_units"))
 
 
@@ -240,6 +239,12 @@ def q_check_failures(spark, sf_dir):
     return checks.failures(results, RUN_ID, LOG_ROOT)
 
 
+def q_quality_until_failure(spark, sf_dir):
+    """M9 with a short circuit over the validated rows before de-dup: the
+    duplicates fail, so the activity check does not run."""
+    return checks.quality_until_failure(written_table(valid_trades(parse_trades(bronze(spark, sf_dir))), "valid"), TRADES_AS_OF)
+
+
 # --- streaming ----------------------------------------------------------------
 
 # Poll interval while catching up (a zero interval busy-lists the folder).
@@ -396,6 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_suite": q_quality_suite,
     "health_suite": q_health_suite,
     "check_failures": q_check_failures,
+    "quality_until_failure": q_quality_until_failure,
     "silver_incremental": q_silver_incremental,
     "gold_incremental": q_gold_incremental,
     "backfill_gold": q_backfill_gold,

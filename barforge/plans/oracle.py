@@ -384,6 +384,10 @@ ORACLE: dict[str, str] = {
       SELECT suite, check_name AS task, '{RUN_ID}' AS run_id, detail AS error,
         '{LOG_ROOT}/' || suite || '/' || check_name || '/{RUN_ID}' AS log_link
       FROM ({_QUALITY_100} UNION ALL {_HEALTH}) r WHERE NOT passed AND NOT skipped""",
+    "quality_until_failure": f"""{_with(RAW, PARSED)}
+      SELECT suite, ord, check_name, CASE WHEN NOT skipped THEN observed END AS observed, threshold, CASE WHEN NOT skipped THEN passed END AS passed,
+        CASE WHEN skipped THEN 'not run' ELSE detail END AS detail, skipped
+      FROM ({_suite('data_quality', [_null_check('valid'), _dup_check('valid'), _activity_check()])}) s""",
     "silver_incremental": SILVER_SQL,
     "gold_incremental": GOLD_SQL,
     "backfill_gold": GOLD_SQL,

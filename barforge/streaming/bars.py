@@ -17,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barforge.functions.decimal import with_limbs
 from barforge.functions.timefn import epoch_ntz, ntz_epoch_micros
 from barforge.operators.gold import GOLD_COLUMNS, bar_aggregates
 from barforge.operators.silver import parse_trades, valid_trades
@@ -42,7 +43,7 @@ def stream_bars(raw_stream: DataFrame, delay: str = "10 minutes", mode: str = "p
         "event_ts", to_instant(F.col("trade_time")))
     firsts = (rows.withWatermark("event_ts", delay)
               .dropDuplicatesWithinWatermark(["symbol", "trade_id"]))
-    bars = firsts.groupBy("symbol", F.window("event_ts", "1 minute").alias("w")).agg(*bar_aggregates())
+    bars = with_limbs(firsts).groupBy("symbol", F.window("event_ts", "1 minute").alias("w")).agg(*bar_aggregates())
     return bars.select("symbol", to_wall_clock(F.col("w.start")).alias("minute_bucket"),
                        *GOLD_COLUMNS[2:])
 

@@ -46,9 +46,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barforge.functions.decimal import exact_product
+from barforge.functions.decimal import limb_total, with_limbs
 from barforge.functions.timefn import minute_bucket, ntz_literal
-from barforge.operators.gold import exact_total
 from barforge.operators.silver import (KEY, dedup_latest, parse_trades, silver_projection,
                                        valid_trades)
 from barforge.streaming import storage as st
@@ -187,9 +186,9 @@ def bar_changes(staged: DataFrame) -> DataFrame:
     they replace (-), extremes of the winners, and extremes of the replaced
     rows (``gone_*``).  Batch-sized."""
     win = F.col("role") == WINNER
-    c = staged.filter(F.col("role") != KEPT).select(
+    c = with_limbs(staged.filter(F.col("role") != KEPT).select(
         "symbol", minute_bucket(F.col("trade_time")).alias("minute_bucket"), "role", "price",
-        "quantity", "trade_time", exact_product(F.col("price"), F.col("quantity")).alias("notional"))
+        "quantity", "trade_time"))
 
     def signed(x):
         return F.when(win, x).otherwise(-x)
@@ -197,7 +196,7 @@ def bar_changes(staged: DataFrame) -> DataFrame:
     return c.groupBy(*TOUCHED).agg(
         F.sum(F.when(win, 1).otherwise(-1)).cast("bigint").alias("trade_count"),
         F.try_sum(signed(F.col("quantity"))).alias("total_quantity"),
-        exact_total(signed(F.col("notional"))).alias("total_notional"),
+        limb_total(signed(F.lit(1))).alias("total_notional"),
         F.try_sum(signed(F.col("price"))).alias("sum_price"),
         *[fn(F.when(win, F.col(src))).alias(name)
           for name, fn, src in (("min_price", F.min, "price"), ("max_price", F.max, "price"),

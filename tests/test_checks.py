@@ -178,3 +178,43 @@ def test_count_where_and_failure_records(spark, raw):
     checks.record_failures(fails, path)
     assert {r.log_link for r in fails.collect()} == {"logs/healthcheck/connector_status/r1"}
     assert spark.read.parquet(path).count() == 2
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_duplicates_are_counted_by_bitmaps(spark):
+    """No key is exchanged where no block has repeats; blocks that have some,
+    or hold null numbers, are grouped exactly."""
+    ids = spark.range(-70_000, 70_000).selectExpr("if(id % 3 = 0, 'A', 'B') as symbol", "id as trade_id")
+    clean = checks.check_no_duplicates(ids)
+    plan = final_plan(clean)
+    assert first(clean)["observed"] == 0.0
+    assert "bitmap_construct_agg" in clean._jdf.queryExecution().toString()
+    assert "EmptyRelation" in plan and "hashpartitioning(symbol" not in plan.replace("_block", "")
+    some = ids.unionByName(ids.filter("trade_id between -2 and 40000 and trade_id % 1000 < 2")).unionByName(ids.filter("trade_id = 5"))
+    extra = spark.sql("select * from values (cast(null as string), 1L), (null, 1L), ('C', cast(null as bigint)), ('D', null), ('D', null) t(symbol, trade_id)")
+    for df in (some, extra, some.unionByName(extra), ids.limit(0)):
+        want = df.groupBy("symbol", "trade_id").count().filter("count > 1").count()
+        assert first(checks.check_no_duplicates(df))["observed"] == float(want)
+
+
+def test_checks_after_a_failure_do_no_work(spark, raw):
+    from barforge.session import written_table
+    s = written_table(silver_at(spark, raw, [-1000, -2000]), "short-circuit")
+    made = checks.quality_until_failure(s, AS_OF, min_rows=1)
+    assert [(r.passed, r.skipped) for r in made.orderBy("ord").collect()] == [(True, False)] * 3
+    twice = written_table(s.unionByName(s), "short-circuit")
+    made = checks.quality_until_failure(twice, AS_OF, min_rows=1)
+    rows = sorted(made.collect(), key=lambda r: r.ord)
+    assert [(r.passed, r.skipped, r.detail == "not run") for r in rows] == [(True, False, False), (False, False, False), (None, True, True)]
+    # The activity check's scan (of one column) is gone from the plan that ran.
+    assert "ReadSchema: struct<trade_time:timestamp_ntz>" not in final_plan(made)
+    with pytest.raises(RuntimeError, match="silver_no_duplicates"):
+        checks.enforce(made)
+    assert [f.task for f in checks.failures(made, "r").collect()] == ["silver_no_duplicates"]
+    st = status(spark, [{"connector": {"state": "FAILED"}}])
+    health = checks.health_until_failure(st, raw([(meta(T_AS_OF), trade(T=T_AS_OF - 1000))]), s, AS_OF)
+    assert [(r.passed, r.skipped) for r in health.orderBy("ord").collect()] == [(False, False), (None, True), (None, True)]

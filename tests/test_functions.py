@@ -6,6 +6,7 @@ from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from barforge.functions.decimal import limb_total, with_limbs
 from barforge.functions import (epoch_ms_to_ntz, exact_product, json_bigint, json_string,
                                 json_time_ntz, minute_bucket, ntz_epoch_micros, seconds_between,
                                 try_to_decimal, try_to_number)
@@ -99,3 +100,45 @@ def test_plain_product_would_lose_digits(spark):
                   exact_product(F.col("p"), F.col("q")).alias("exact")).first()
     assert r.exact == _expected(Decimal("1.12345678"), Decimal("3.87654321"))
     assert r.plain != r.exact
+
+
+def _limb_sums(spark, rows):
+    df = spark.createDataFrame([(k, str(p), str(q)) for k, p, q in rows], "k string, p string, q string").select(
+        "k", F.col("p").cast("decimal(38,18)").alias("p"), F.col("q").cast("decimal(38,18)").alias("q"))
+    return {r.k: (r.n, r.minus) for r in with_limbs(df, "p", "q").groupBy("k").agg(limb_total().alias("n"), limb_total(F.lit(-1)).alias("minus")).collect()}
+
+
+@settings(max_examples=5, deadline=None, phases=[Phase.explicit, Phase.generate])
+@given(st.lists(st.tuples(st.sampled_from("ab"), decimals8, decimals8), min_size=5, max_size=20),
+       st.lists(st.tuples(st.sampled_from("bc"), decimals18, decimals18), min_size=5, max_size=20))
+def test_limb_sums_equal_sums_of_rounded_products(spark, short, long):
+    """Every row rounded by itself, then added: groups of the fast form, of
+    the general form, and of both."""
+    rows = short + long
+    got = _limb_sums(spark, rows)
+    for k in {r[0] for r in rows}:
+        want = sum((_expected(p, q) for key, p, q in rows if key == k), Decimal(0))
+        assert got[k] == (want, -want)
+
+
+def test_limb_sums_out_of_range_are_null(spark):
+    big, tiny = "99999999999999999999.000000000000000001", "0.000000000000000001"
+    rows = [("row", big, "2"), ("row", "1", "1"),              # one product does not fit
+            ("sum", big, "1"), ("sum", big, "1"),              # the total does not fit
+            ("fits", big, "1"), ("fits", tiny, "0.5"), ("fits", "-" + tiny, "0.4"), ("fits", "-1", "1")]
+    got = _limb_sums(spark, rows)
+    assert got["row"] == (None, None) and got["sum"] == (None, None)
+    assert str(got["fits"][0]) == "99999999999999999998.000000000000000002"
+
+
+def test_gold_compiles_to_generated_code(spark):
+    """The aggregate's code stays small enough to be compiled."""
+    from barforge.operators.gold import gold_trades_1m
+    silver = spark.range(100).selectExpr("'A' as symbol", "id as trade_id", "cast(id as decimal(38,18)) as price",
+                                         "cast(1.5 as decimal(38,18)) as quantity", "timestamp_ntz'2024-01-01 00:00:00' as trade_time")
+    old = spark.conf.get("spark.sql.codegen.fallback")
+    try:
+        spark.conf.set("spark.sql.codegen.fallback", "false")
+        assert gold_trades_1m(silver).first().trade_count == 100
+    finally:
+        spark.conf.set("spark.sql.codegen.fallback", old)
