@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.jsonpath import json_time_ntz
-from barforge.functions.timefn import (clamp_window, day_start, minus_days, minus_minutes,
+from barforge.functions.timefn import (clamp_window, day_start, minus_days, minus_minutes, minute_bucket,
                                        ntz_literal, seconds_between, utc_now)
 from barforge.operators.silver import KEY, REQUIRED
 
@@ -343,12 +343,13 @@ def count_where(df: DataFrame, predicate: Column, name: str = "n") -> DataFrame:
 
 def layer_lag(bronze: DataFrame, silver: DataFrame, gold: DataFrame, as_of=None) -> DataFrame:
     """Newest time of each layer and its distance to ``as_of`` in seconds."""
+    return _lags(bronze.select(bronze_trade_time(bronze).alias("t")), silver.select(F.col("ingested_at").alias("t")),
+                 gold.select(F.col("minute_bucket").alias("t")), as_of)
+
+
+def _lags(bronze: DataFrame, silver: DataFrame, gold: DataFrame, as_of) -> DataFrame:
     now = as_of_col(as_of)
-    parts = [
-        bronze.select(F.lit("bronze").alias("layer"), bronze_trade_time(bronze).alias("t")),
-        silver.select(F.lit("silver").alias("layer"), F.col("ingested_at").alias("t")),
-        gold.select(F.lit("gold").alias("layer"), F.col("minute_bucket").alias("t")),
-    ]
+    parts = [df.select(F.lit(name).alias("layer"), "t") for name, df in (("bronze", bronze), ("silver", silver), ("gold", gold))]
     latest = reduce(DataFrame.unionByName, parts).groupBy("layer").agg(F.max("t").alias("t"))
     wide = latest.agg(*[F.max(F.when(F.col("layer") == x, F.col("t"))).alias(f"{x}_latest")
                         for x in ("bronze", "silver", "gold")])
@@ -358,6 +359,40 @@ def layer_lag(bronze: DataFrame, silver: DataFrame, gold: DataFrame, as_of=None)
           for x in ("bronze", "silver", "gold")])
 
 
+def ledger_minutes(ledger: DataFrame) -> DataFrame:
+    """Minutes that hold trades, with their number: what all batches together
+    did to each (``minute_bucket, trades``)."""
+    return (ledger.filter(F.col("minute_bucket").isNotNull()).groupBy("minute_bucket").agg(F.sum("trades").alias("trades"))
+            .filter(F.col("trades") > 0))
+
+
+def ledger_layer_lag(ledger: DataFrame, as_of=None) -> DataFrame:
+    """M11 from the maintenance ledger alone (``storage.read_ledger``)."""
+    return _lags(ledger.select(F.col("last_raw").alias("t")), ledger.select(F.col("last_ingested").alias("t")),
+                 ledger_minutes(ledger).select(F.col("minute_bucket").alias("t")), as_of)
+
+
+def ledger_silver_lag(ledger: DataFrame, as_of=None, max_lag_seconds: int = MAX_SILVER_LAG_SECONDS) -> DataFrame:
+    """M5 from the maintenance ledger alone.  A trade is only ever replaced by
+    a copy ingested no earlier, so the latest ingest of any batch's winners is
+    silver's."""
+    return check_silver_lag(ledger.select(F.col("last_ingested").alias("ingested_at")), as_of, max_lag_seconds)
+
+
+def ledger_recent_activity(ledger: DataFrame, silver: DataFrame, as_of=None, min_rows: int = MIN_RECENT_ROWS,
+                           window_minutes: int = ACTIVITY_WINDOW_MINUTES) -> DataFrame:
+    """M3 from the ledger: whole minutes are counted there, and silver is read
+    for the part of a minute at the window's beginning only."""
+    start = minus_minutes(as_of_col(as_of), window_minutes)
+    whole = F.when(minute_bucket(start) == start, start).otherwise(minus_minutes(minute_bucket(start), -1))
+    minutes = ledger_minutes(ledger).filter(F.col("minute_bucket") >= whole).select("trades")
+    edge = silver.filter((F.col("trade_time") >= start) & (F.col("trade_time") < whole)).agg(F.count(F.lit(1)).alias("trades"))
+    agg = minutes.unionByName(edge).agg(F.sum("trades").alias("n"))
+    n = F.col("n")
+    return _check(agg, "silver_recent_activity", n, float(min_rows), n >= min_rows,
+                  F.concat(F.lit(f"rows in last {window_minutes} min: "), _text(n)))
+
+
 def enforce(results: DataFrame) -> DataFrame:
     """Raise like the reference when a check that ran has failed.
 

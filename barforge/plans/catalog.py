@@ -292,6 +292,20 @@ def q_backfill_gold(spark, sf_dir):
     return st.read_gold(spark, layout)
 
 
+def q_ledger_layer_lag(spark, sf_dir):
+    """M11 over a maintained layout, read from its ledger alone."""
+    layout, _, _ = run_incremental(spark, sf_dir, "copies", "ledger_layer_lag")
+    return checks.ledger_layer_lag(st.read_ledger(spark, layout), TRADES_AS_OF)
+
+
+def q_ledger_checks(spark, sf_dir):
+    """M3 and M5 over a maintained layout, from its ledger."""
+    layout, _, _ = run_incremental(spark, sf_dir, "hash", "ledger_checks")
+    ledger = st.read_ledger(spark, layout)
+    return checks.ledger_silver_lag(ledger, TRADES_AS_OF).unionByName(
+        checks.ledger_recent_activity(ledger, st.read_silver(spark, layout), TRADES_AS_OF))
+
+
 def q_registered_layers(spark, sf_dir):
     """Ingest and maintenance with registered tables; rows and earliest
     trade time (ms) of each layer, read through the catalog."""
@@ -404,6 +418,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_until_failure": q_quality_until_failure,
     "silver_incremental": q_silver_incremental,
     "gold_incremental": q_gold_incremental,
+    "ledger_layer_lag": q_ledger_layer_lag,
+    "ledger_checks": q_ledger_checks,
     "backfill_gold": q_backfill_gold,
     "recover_gold": q_recover_gold,
     "stream_bars_update": q_stream_bars_update,

@@ -404,3 +404,5 @@ ORACLE: dict[str, str] = {
     # the raw layer; every other rejected message is invalid for silver too.
     "ingest_to_gold": f"{_with(RAW, PARSED.replace('FROM raw', 'FROM raw WHERE id % 211 <> 0'), GOLD)} SELECT * FROM gold",
 }
+ORACLE["ledger_layer_lag"] = ORACLE["layer_lag"]
+ORACLE["ledger_checks"] = f"{_with(RAW, PARSED)} SELECT * FROM ({_lag_check()}) l UNION ALL SELECT * FROM ({_activity_check()}) a"

@@ -20,7 +20,9 @@ Per batch:
 5. touched bars are updated from the batch delta: counts and exact decimal
    sums (including the price sum behind the mean) are retractable; MIN/MAX
    are not, so only bars where a replaced row held an extreme are
-   recomputed from their silver rows.  Bars that became empty disappear.
+   recomputed from their silver rows.  Bars that became empty disappear;
+6. the ledger gets the batch's rows: the per-minute sums of its bar delta and
+   what it observed of the raw rows on the way (no further pass).
 
 Stages live in the version of the tables they were computed against, so a
 rebuild leaves them behind.  :func:`compact` merges the files of blocks that
@@ -42,12 +44,13 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barforge.functions.decimal import limb_total, with_limbs
 from barforge.functions.timefn import minute_bucket, ntz_literal
+from barforge.operators.checks import bronze_trade_time
 from barforge.operators.silver import (KEY, dedup_latest, parse_trades, silver_projection,
                                        valid_trades)
 from barforge.streaming import storage as st
@@ -73,6 +76,7 @@ class Staged:
 
     rewrite: str    # new content of blocks that change (roles kept/winner/replaced)
     append: str     # winners of blocks that only gain new trades
+    raw: str        # what was observed of the raw rows (one row)
     delta: str      # per-bar changes; its _SUCCESS marks the whole stage complete
 
 
@@ -88,10 +92,13 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
     """
     spark = batch.sparkSession
     staged = Staged(*(layout.staging(tag, batch_id, n)
-                      for n in ("silver_rewrite", "silver_append", "bar_delta")))
+                      for n in ("silver_rewrite", "silver_append", "raw_seen", "bar_delta")))
     if st.complete(spark, staged.delta):
         return staged                                   # replay: publish what was staged
 
+    seen = Observation()
+    measures = [F.count(F.lit(1)).alias("raw_rows"), F.max(bronze_trade_time(batch)).alias("last_raw")]
+    unseen, batch = batch, batch.observe(seen, *measures)
     # Cached, not staged: a lost cache block is recomputed from the batch's
     # source files, which stay in place until the batch commits.
     incoming = st.with_block(silver_projection(dedup_latest(valid_trades(parse_trades(batch, mode)))),
@@ -103,7 +110,10 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
         touched = [tuple(r) for r in incoming.groupBy(*st.SILVER_PARTS).agg(
             F.min("trade_id"), F.max("trade_id")).collect()]
         if not touched:
+            # Plans that come out empty may report no observation.
+            st.write_ledger(_ledger_rows(unseen.agg(*measures), None), layout, tag, batch_id)
             return None
+        _stage(spark.createDataFrame([(seen.get["raw_rows"], seen.get["last_raw"])], "raw_rows bigint, last_raw timestamp_ntz"), staged.raw)
         blocks = [t[:2] for t in touched]
         low, high = min(t[2] for t in touched), max(t[3] for t in touched)
         on = [*KEY, *st.SILVER_PARTS]
@@ -142,6 +152,16 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
     return staged
 
 
+def _ledger_rows(raw: DataFrame, changes: DataFrame | None) -> DataFrame:
+    """A batch's ledger rows, from what it saw of the raw rows and its bar delta."""
+    rows = raw.select(F.lit(None).cast("timestamp_ntz").alias("minute_bucket"), F.lit(0).cast("bigint").alias("trades"),
+                      F.lit(None).cast("timestamp_ntz").alias("last_ingested"), "raw_rows", "last_raw")
+    if changes is None:
+        return rows
+    minutes = changes.groupBy("minute_bucket").agg(F.sum("trade_count").alias("trades"), F.max("last_ingested").alias("last_ingested"))
+    return rows.unionByName(minutes.select("*", F.lit(0).cast("bigint").alias("raw_rows"), F.lit(None).cast("timestamp_ntz").alias("last_raw")))
+
+
 def _read_stage(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     if not st.exists(spark, path):
         return spark.createDataFrame([], ddl)
@@ -188,7 +208,7 @@ def bar_changes(staged: DataFrame) -> DataFrame:
     win = F.col("role") == WINNER
     c = with_limbs(staged.filter(F.col("role") != KEPT).select(
         "symbol", minute_bucket(F.col("trade_time")).alias("minute_bucket"), "role", "price",
-        "quantity", "trade_time"))
+        "quantity", "trade_time", "ingested_at"))
 
     def signed(x):
         return F.when(win, x).otherwise(-x)
@@ -198,6 +218,7 @@ def bar_changes(staged: DataFrame) -> DataFrame:
         F.try_sum(signed(F.col("quantity"))).alias("total_quantity"),
         limb_total(signed(F.lit(1))).alias("total_notional"),
         F.try_sum(signed(F.col("price"))).alias("sum_price"),
+        F.max(F.when(win, F.col("ingested_at"))).alias("last_ingested"),
         *[fn(F.when(win, F.col(src))).alias(name)
           for name, fn, src in (("min_price", F.min, "price"), ("max_price", F.max, "price"),
                                 ("first_trade_time", F.min, "trade_time"),
@@ -318,11 +339,17 @@ def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "de
     """One micro-batch of T1 + T2 (see module doc)."""
     spark = batch.sparkSession
     layout = st.live(spark, layout)
+    # A batch that is applied anew after its stage is gone changes nothing, and
+    # the ledger has its rows.
+    noted = st.complete(spark, st.ledger_folder(layout, tag, batch_id)) and not st.complete(
+        spark, layout.staging(tag, batch_id, "bar_delta"))
     staged = stage_silver(batch, batch_id, layout, tag, mode)
     if staged is None:
         return
     publish_silver(spark, staged, layout, tag, batch_id)
     refresh_gold(spark, staged.delta, batch_id, layout, tag)
+    if not noted:
+        st.write_ledger(_ledger_rows(spark.read.parquet(staged.raw), spark.read.parquet(staged.delta)), layout, tag, batch_id)
     st.drop_older_stages(spark, layout.versioned("_staging", tag), batch_id)
 
 
@@ -374,6 +401,9 @@ def rebuild(bronze: DataFrame, layout: Layout, mode: str = "permissive") -> str:
     rows = spark.read.schema(st.SILVER_DDL).option("basePath", fresh.silver).parquet(fresh.silver)
     (st.stored_bars(rows).select(*st.GOLD_STORED).repartition(*st.GOLD_PARTS)
      .write.partitionBy(*st.GOLD_PARTS).parquet(fresh.gold))
+    raw = bronze.agg(F.count(F.lit(1)).alias("raw_rows"), F.max(bronze_trade_time(bronze)).alias("last_raw"))
+    counted = rows.select(minute_bucket(F.col("trade_time")).alias("minute_bucket"), F.lit(1).alias("trade_count"), F.col("ingested_at").alias("last_ingested"))
+    st.write_ledger(_ledger_rows(raw, counted), fresh, "rebuild", 0)
     st.point_to(spark, layout, fresh.version)
     for folder in st.list_dirs(spark, layout.path("versions")):
         if folder.rstrip("/").rsplit("/", 1)[-1] not in (old.version, fresh.version):

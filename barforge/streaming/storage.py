@@ -39,6 +39,12 @@ GOLD_DDL = ("symbol string, minute_bucket timestamp_ntz, trade_count bigint,"
             " first_trade_time timestamp_ntz, last_trade_time timestamp_ntz,"
             " sum_price decimal(38,18), minute_date date, symbol_key string")
 GOLD_STORED = GOLD_COLUMNS + ("sum_price", "minute_date", "symbol_key")
+# The ledger: what each batch did to each minute (trades gained less trades
+# lost, latest ingest), and one row a batch, without a minute, for the raw rows
+# it read.
+LEDGER_DDL = ("minute_bucket timestamp_ntz, trades bigint, last_ingested timestamp_ntz,"
+              " raw_rows bigint, last_raw timestamp_ntz, source string, batch bigint")
+LEDGER_PARTS = ("source", "batch")
 SILVER_PARTS = ("symbol_key", "id_block")
 GOLD_PARTS = ("minute_date", "symbol_key")
 FIRST_VERSION = "v0"
@@ -74,6 +80,10 @@ class Layout:
     def gold(self) -> str:
         return self.versioned("gold")
 
+    @property
+    def ledger(self) -> str:
+        return self.versioned("ledger")
+
     def staging(self, tag: str, batch_id: int, name: str) -> str:
         return self.versioned("_staging", tag, str(batch_id), name)
 
@@ -267,6 +277,23 @@ def read_gold_stored(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.read.schema(GOLD_DDL).option("basePath", path).parquet(path)
 
 
+def ledger_folder(layout: Layout, source: str, batch: int) -> str:
+    return partition_path(layout.ledger, LEDGER_PARTS, (source, batch))
+
+
+def write_ledger(rows: DataFrame, layout: Layout, source: str, batch: int) -> None:
+    """One batch's ledger rows; a replay replaces them, so they count once."""
+    rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(ledger_folder(layout, source, batch))
+
+
+def read_ledger(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The ledger of the layout's current version."""
+    path = live(spark, layout).ledger
+    if not exists(spark, path):
+        return spark.createDataFrame([], LEDGER_DDL)
+    return spark.read.schema(LEDGER_DDL).option("basePath", path).parquet(path)
+
+
 def read_silver(spark: SparkSession, layout: Layout) -> DataFrame:
     """The maintained silver table (same columns as the batch rebuild)."""
     return read_silver_stored(spark, layout).select(*SILVER_COLUMNS)

@@ -17,7 +17,7 @@ from barforge.sources.topic import read_bronze
 from barforge.streaming import storage as stg
 
 STREAMING = {"bronze_ingest", "silver_incremental", "gold_incremental", "backfill_gold",
-             "recover_gold", "stream_bars_append", "stream_bars_update", "registered_layers", "ingest_to_gold"}
+             "recover_gold", "stream_bars_append", "stream_bars_update", "registered_layers", "ingest_to_gold", "ledger_layer_lag", "ledger_checks"}
 
 
 def plan(df):
