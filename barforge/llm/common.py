@@ -4,7 +4,10 @@ distributed ranks and connected components."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +43,18 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def byte_slices(batch: pa.RecordBatch, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``limit`` bytes of text (its first column), a row at
+    least: what a task makes of a slice stays small whatever the batch holds."""
+    sizes = np.cumsum([len(c) for c in batch.column(0).cast(pa.binary()).fill_null(b"").to_numpy(zero_copy_only=False)])
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        n = max(1, int(np.searchsorted(sizes, before + limit, side="right")) - at)
+        yield batch.slice(at, n)
+        at += n
+
+
 def held_out(doc_id: Column) -> Column:
     """The fixed split: crc32(doc_id as text) mod 5 is 0 for held-out rows."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .common import byte_slices
+
 #: Hashed features (a power of two).
 FEATURES = 1 << 15
 #: Most languages: 64 MB of counts in a task, some 8 million rows on the driver.
@@ -186,15 +188,18 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     return model
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[Column] = ()) -> DataFrame:
-    """``doc_id, <keep>, lang_pred, score, ambiguous, learned`` for every row;
-    ``keep`` are columns of ``docs`` to carry along, under names of their own."""
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[Column] = (),
+            with_text: bool = False) -> DataFrame:
+    """``[text], doc_id, <keep>, lang_pred, score, ambiguous, learned`` for
+    every row; ``keep`` are columns of ``docs`` to carry along, under names of
+    their own; the text itself comes back with ``with_text``, sent once."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x bits and features x bits
     narrow = docs.select(docs[text_col].alias("text"), docs[id_col].alias("doc_id"), *keep)
+    first = 0 if with_text else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole)):
             out = []
             for t in batch.column(0):
                 text = t.as_py()
@@ -207,8 +212,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 out.append((best, p, unclear or not learned, learned))
             lang, score, flag, learned = map(list, zip(*out, strict=True)) if out else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(flag, pa.bool_()), pa.array(learned, pa.bool_())],
-                names=[*batch.schema.names[1:], "lang_pred", "score", "ambiguous", "learned"])
+                [*batch.columns[first:], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(flag, pa.bool_()), pa.array(learned, pa.bool_())],
+                names=[*batch.schema.names[first:], "lang_pred", "score", "ambiguous", "learned"])
 
-    schema = StructType(narrow.schema.fields[1:]).add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean").add("learned", "boolean")
+    schema = StructType(narrow.schema.fields[first:]).add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean").add("learned", "boolean")
     return narrow.mapInArrow(run, schema)

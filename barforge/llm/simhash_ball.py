@@ -26,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -84,8 +84,12 @@ def ball_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         masks += [sum(1 << b for b in bits) for bits in combinations(range(64), r)]
     masks = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
     ball = F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: F.col("fp").bitwiseXOR(m))
-    met = fps.select("fp", F.explode(ball).alias("v")).groupBy("v").agg(F.sort_array(F.collect_set("fp")).alias("s")).where(F.size("s") > 1)
-    links = met.select(F.explode(F.slice("s", 2, len(masks))).alias("a"), F.element_at("s", 1).alias("b")).distinct()
+    # Dealt before they grow: a fingerprint becomes one row a variant.
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = fps.select("fp").repartition(parts, "fp").select("fp", F.explode(ball).alias("v"))
+    # A window holds what meets at one variant: at most the ball's size.
+    least = F.min("fp").over(Window.partitionBy("v"))
+    links = variants.withColumn("least", least).where("fp <> least").select(F.col("fp").alias("a"), F.col("least").alias("b")).distinct()
     return links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
 
 
@@ -111,9 +115,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that hold the kept document of their group."""
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")  # no column of the input can clash
-    # Numbers of rows without an id, fixed by being written: every reader sees the same.
-    number = F.when(docs[id_col].cast("long").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
-    rows = written(docs.select(row, number.alias("number")), "simhash-docs")
+    # Rows without an id get numbers, fixed by being written; others are named by id and text.
+    nameless = docs[id_col].cast("long").isNull()
+    numbered = written(docs.where(nameless).select(row, F.monotonically_increasing_id().alias("number")), "simhash-nameless")
+    rows = docs.where(~nameless).select(row, F.lit(-1).cast("long").alias("number")).unionByName(numbered)
     doc_id = F.col("row")[id_col].cast("long")
     key = [doc_id.isNull().alias("none"), F.coalesce(doc_id, F.lit(0).cast("long")).alias("id"), F.xxhash64(F.col("row")[text_col]).alias("hash"), F.col("number")]
     keyed = rows.select(doc_id.alias("doc_id"), F.col("row")[text_col].alias("text"), *key)
