@@ -25,9 +25,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     (``und``) and those without any learned letter.  A language that was null
     is filled in with the prediction; merely ambiguous documents stay."""
     model = langid_ecoc.train(docs.where(~held_out(docs["doc_id"])))
-    told = langid_ecoc.predict(docs, model, keep=[F.struct(*[docs[c] for c in docs.columns]).alias("row")]).where("lang_pred <> 'und' AND learned")
+    others = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row")
+    told = langid_ecoc.predict(docs, model, keep=[others], with_text=True).where("lang_pred <> 'und' AND learned")
     row = F.col("row")
-    return told.select(*[(F.coalesce(row[c], "lang_pred") if c == "lang" else row[c]).alias(c) for c in docs.columns])
+    return told.select(*[F.col("text") if c == "text" else (F.coalesce(row[c], "lang_pred") if c == "lang" else row[c]).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
