@@ -10,8 +10,9 @@ threshold, so the chosen sets are nested, and reruns choose the same rows.
 
 Defined results: a null text has size 0; null sources form one group of their
 own, after all others; a source without words has target 0 and takes nothing;
-repeated rows (same id) share one hash and are taken or left together; an
-empty table gives an empty result.  Extra columns are ignored.
+repeated rows (same id) share one hash and are taken or left together; rows
+without an id are told apart by their texts, so only copies of one text among
+them go together; an empty table gives an empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,9 +33,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def row_hash(key: Column) -> Column:
-    """60 bits of the key's MD5, as a long from 0."""
-    return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
+def row_hash(key: Column, text: Column) -> Column:
+    """60 bits of the MD5 of the id, or of the text where there is no id, as a
+    long from 0."""
+    named = F.coalesce(key.cast("string"), F.concat(F.lit("null:"), F.coalesce(text, F.lit(""))))
+    return F.conv(F.substring(F.md5(named.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: list[float], max_epochs: int) -> DataFrame:
@@ -91,7 +94,7 @@ def mix_plan(docs: DataFrame, weights: list[float], id_col: str, text_col: str,
     """The documents' sizes and hashes (written), and per source its size,
     target, whole passes and threshold."""
     rows = written(docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"),
-                               row_hash(docs[id_col]).alias("_hash"), n_words(docs[text_col]).alias("size")), "mix-rows")
+                               row_hash(docs[id_col], docs[text_col]).alias("_hash"), n_words(docs[text_col]).alias("size")), "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     targets = written(source_targets(sizes, weights, max_epochs), "mix-targets")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -119,7 +122,7 @@ def repeat_taken(docs: DataFrame, weights: list[float], id_col: str = "doc_id",
     """The mix itself: each row of ``docs`` as often as it is taken.  Only the
     sources' plan is joined; texts are not shuffled."""
     _, plan = mix_plan(docs, weights, id_col, text_col, source_col, max_epochs)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[source_col].cast("string").alias("s"), row_hash(docs[id_col]).alias("h"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[source_col].cast("string").alias("s"), row_hash(docs[id_col], docs[text_col]).alias("h"))
     taken = rows.join(plan, F.col("s").eqNullSafe(F.col("_source"))).withColumn("times", times_taken(F.col("h")).cast("int")).where("times > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
@@ -128,7 +131,7 @@ def repeat_taken(docs: DataFrame, weights: list[float], id_col: str = "doc_id",
 MIX_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM {docs}),
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null:' || coalesce(text, ''))), 1, 15) AS BIGINT) AS h FROM {docs}),
 s AS (SELECT source, CAST(sum(size) AS DOUBLE) AS n,
              CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w FROM d GROUP BY source),
 lv AS (
