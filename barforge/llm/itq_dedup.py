@@ -15,8 +15,9 @@ its codes alone; buckets report sums and local components, never pairs.
 
 Defined results: null and zero vectors, and those with null or non-finite
 components, link with nothing and are their own component; vectors of
-different lengths never link; repeated rows are copies of each other; an empty
-table gives an empty result.  Labels and other columns are ignored.
+different lengths never link; repeated rows are copies of each other; vectors
+of any finite magnitude are compared (each is first scaled by a power of two,
+which cosine does not see); an empty table gives an empty result.  Labels and other columns are ignored.
 """
 
 from __future__ import annotations
@@ -129,7 +130,7 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = 0.9, id_col: str = "
                     sample: int = SAMPLE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row."""
     spark = vectors.sparkSession
-    rows = packed(vectors, id_col, vec_col)
+    rows = packed(vectors, id_col, vec_col, to_unit_range=True)
     zero = F.regexp_replace(F.hex("vec"), "00000000000000(00|80)", "") == ""
     rows = rows.select("vec_id", "dim", F.when(F.col("ok") & ~zero, F.col("vec")).alias("vec"))
     rows = written(rows.withColumn("key", F.sha2("vec", 256)), "itq-rows")

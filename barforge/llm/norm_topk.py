@@ -13,7 +13,8 @@ answers with at most k rows a query.  Components are whole numbers (see
 ``quantise``); products are exact, and saturate beyond 64 bits.
 
 Defined results: vectors that are null or hold null or non-finite components
-take no part; vectors of different lengths are not compared; rows that carry
+take no part; components of any finite magnitude count, and products beyond 64
+bits saturate; vectors of different lengths are not compared; rows that carry
 the query's own id are no candidates; repeated rows are candidates each, and
 repeated query rows give one answer; a query without candidates gives no row;
 an empty table gives an empty result.  Labels and other columns are ignored.
@@ -38,11 +39,22 @@ GROUP = 16
 #: Local cosine threshold from which coordinates prune.
 COORDINATE = 0.7
 LIMIT = 1 << 53
+#: Lengths count as no more than this.  A longer vector's product with any other
+#: that is not zero may pass every 64-bit threshold, and so does the bound.
+LONGEST = 1e100
 
 
 def quantise(x: np.ndarray, scale: float) -> np.ndarray:
-    """floor(scale * x), as whole numbers in float64."""
-    return np.floor(scale * x)
+    """floor(scale * x), as whole numbers in float64; what passes the largest
+    of these becomes it."""
+    with np.errstate(over="ignore"):
+        whole = np.floor(scale * x)
+    return np.clip(whole, -np.finfo(np.float64).max, np.finfo(np.float64).max)
+
+
+def lengths(x: np.ndarray) -> np.ndarray:
+    """Lengths of the rows, ``LONGEST`` at most."""
+    return np.minimum(np.linalg.norm(np.clip(x, -LONGEST, LONGEST), axis=-1), LONGEST)
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -84,7 +96,7 @@ def top_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def search_block(q: np.ndarray, q_ids: np.ndarray, floor: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query place, candidate ids, scores), at most k of each query that
     reach its floor.  Rows of ``x`` are sorted by length, longest first."""
-    q_len, x_len = np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)
+    q_len, x_len = lengths(q), lengths(x)
     slack = 1e-9
     reach = q_len * (x_len[0] if len(x_len) else 0.0) * (1 + slack) + slack >= floor
     local = np.where(q_len > 0, floor / np.maximum(q_len * max(x_len[0] if len(x_len) else 0.0, 1e-300), 1e-300), -1.0)
@@ -119,7 +131,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [quantise(np.frombuffer(v), scale) for v in batch.column(2).to_pylist()]
-            norms = pa.array([float(np.linalg.norm(r)) for r in rows], pa.float64())
+            norms = pa.array([float(lengths(r)) for r in rows], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(1), norms, batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())],
                                              names=["dim", "norm", "vec_id", "x"])
 

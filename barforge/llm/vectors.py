@@ -10,10 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def packed(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """``vec_id, dim, vec, ok``: the vector's components as float64 bytes;
-    ``ok`` is false where the vector is null or holds a null or non-finite
-    component (``vec`` is then null)."""
+def unit_range(x: np.ndarray) -> np.ndarray:
+    """``x`` times the power of two that brings its largest component between
+    a half and one: the same direction, and squares that neither overflow nor
+    vanish.  Zero and empty vectors stay."""
+    return np.ldexp(x, -int(np.frexp(np.abs(x).max())[1])) if x.size else x
+
+
+def packed(vectors: DataFrame, id_col: str, vec_col: str, to_unit_range: bool = False) -> DataFrame:
+    """``vec_id, dim, vec, ok``: the vector's components as float64 bytes, on
+    request brought to :func:`unit_range`; ``ok`` is false where the vector is
+    null or holds a null or non-finite component (``vec`` is then null)."""
     narrow = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vec_col].cast("array<double>").alias("x"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -21,7 +28,8 @@ def packed(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             out = []
             for cell in batch.column(1):
                 x = cell.values.to_numpy(zero_copy_only=False).astype(np.float64) if cell.is_valid else None  # null -> nan
-                out.append(x.tobytes() if x is not None and np.isfinite(x).all() else None)
+                ok = x is not None and np.isfinite(x).all()
+                out.append((unit_range(x) if to_unit_range else x).tobytes() if ok else None)
             dims = [None if b is None else len(b) // 8 for b in out]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(dims, pa.int32()), pa.array(out, pa.binary()), pa.array([b is not None for b in out], pa.bool_())],
                                              names=["vec_id", "dim", "vec", "ok"])

@@ -76,6 +76,34 @@ def test_itq_on_nothing(spark):
     assert [tuple(r)[:3] for r in itq_dedup.near_duplicates(frame(spark, [(5, [1.0] * 4), (5, [1.0] * 4)])).collect()] == [(5, 1, 5)] * 2
 
 
+def test_extreme_lengths(spark):
+    """Cosine and products of vectors whose squares overflow or vanish."""
+    rows = [(1, [1e-200, 1e-200]), (2, [1e-200, 1e-203]), (3, [1e200, 1e200]), (4, [1e200, 1.1e200]), (5, [5e-324, 0.0]), (6, [1e308, 1e300]),
+            (50, [1e200, -1e200]), (100, [3.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in itq_dedup.near_duplicates(df).collect()}
+    # {1, 3, 4, 100} and {2, 5, 6} point the same way
+    assert got == {1: (3, 1), 3: (3, 1), 4: (3, 1), 100: (3, 1), 2: (2, 2), 5: (2, 2), 6: (2, 2), 50: (0, 50)}
+    top = [1 << 63, -(1 << 63)]
+    found = {}
+    for r in norm_topk.top_k(df, F.col("vec_id") % 50 == 0, scale=1.0).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert sorted(found[100]) == [(1, 3, top[0] - 1), (2, 4, top[0] - 1), (3, 6, top[0] - 1), (4, 1, 0), (5, 2, 0)]
+    assert sorted(found[50])[0] == (1, 6, top[0] - 1) and len(found[50]) == 5
+
+
+def test_components_equal_brute_force(spark):
+    """Well separated groups: links, components and kept rows exactly."""
+    rng = np.random.default_rng(11)
+    centres = np.eye(16)[rng.integers(0, 16, 200)]
+    x = (centres + 0.01 * rng.standard_normal((200, 16))) * rng.uniform(0.1, 9, (200, 1))
+    x = x.astype(np.float32).astype(float)
+    ids = list(range(1, 201))
+    near, root = brute_links(ids, x)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in itq_dedup.near_duplicates(frame(spark, list(zip(ids, x.tolist(), strict=True)))).collect()}
+    assert got == {i: (int(near[i - 1].sum()) - 1, int(root[i - 1]), bool(root[i - 1] == i)) for i in ids}
+
+
 def brute_top(rows, k=5):
     out = []
     whole = [(i, [int(np.floor(256 * c)) for c in v]) for i, v in rows if v is not None and all(c is not None and np.isfinite(c) for c in v)]
