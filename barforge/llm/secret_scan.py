@@ -4,7 +4,7 @@ Three base rules find assigned values, access keys and long hexadecimal runs.
 Two first-order Markov models over ASCII characters, one of random strings and
 one of ordinary identifiers, are trained from labelled tokens; any further
 token whose log-likelihood ratio per transition passes the threshold is
-reported too, where no base span covers it.
+reported too, whole, unless one base span covers all of it.
 
 A pattern's matches and the texts between them (``split``) give the offsets,
 in code points; a cheap test first keeps the regular expressions off the texts
@@ -12,7 +12,9 @@ that cannot match.  Nothing is shuffled but the models' counts.
 
 Defined results: a null text counts as empty and has no spans; repeated rows
 each get their own result; without labelled tokens of both kinds the method
-adds no span; an empty table gives an empty result.  Extra columns are ignored.
+adds no span; an empty table gives an empty result; very long texts are read
+whole, their matches folded in blocks, so that time grows with their number.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ SAMPLE_DOCS = 4096
 #: Place of the threshold between the two samples' mean log-likelihood ratios.
 SPLIT = 0.6
 CODES = 128
+#: Matches that one step of a fold appends to its list.
+FOLD = 128
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
@@ -57,22 +61,48 @@ def may_match(kind: str, text: Column) -> Column:
     return text.contains("AKIA") if kind == "access" else text.rlike(BASE_KINDS[kind][0])
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def fold(rows: Column, step, item: str) -> Column:
+    """``at, items`` of a running offset over ``rows``: ``step(at, row)`` gives
+    the next offset and an array of items (``item`` is its type).  Lists grow
+    in blocks, which are joined at the end: appending to one long list would
+    copy it for every row."""
+    blank = F.array().cast(f"array<{item}>")
+
+    def add(acc: Column, row: Column) -> Column:
+        return once(step(acc["at"], row), lambda s: F.struct(s["at"].alias("at"), F.concat(acc["items"], s["items"]).alias("items")))
+
+    def add_block(acc: Column, block: Column) -> Column:
+        done = F.aggregate(block, F.struct(acc["at"].alias("at"), blank.alias("items")), add)
+        return once(done, lambda d: F.struct(d["at"].alias("at"), F.concat(acc["items"], F.array(d["items"])).alias("items")))
+
+    def whole(r: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(r) - 1) / FOLD).cast("int")), lambda b: F.slice(r, b * FOLD + 1, F.lit(FOLD)))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{item}>>").alias("items"))
+        folded = F.aggregate(blocks, start, add_block, lambda acc: F.struct(acc["at"].alias("at"), F.flatten(acc["items"]).alias("items")))
+        return F.when(F.size(r) > 0, folded).otherwise(F.struct(F.lit(0).alias("at"), blank.alias("items")))
+
+    return once(rows, whole)
+
+
 def matches(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """Spans of the pattern's matches whose group has ``least`` characters."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
     rows = F.zip_with(F.split(text, pattern, -1), F.arrays_zip(hits.alias("hit"), values.alias("value")),
                       lambda gap, m: F.struct(F.length(gap).alias("gap"), m["hit"].alias("hit"), m["value"].alias("value")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
 
-    def add(acc: Column, row: Column) -> Column:
-        begin = acc["at"] + row["gap"]
+    def step(at: Column, row: Column) -> Column:
+        begin = at + row["gap"]
         end = begin + F.length(row["hit"])
         span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), row["value"].alias("value"))
-        kept = F.when(F.length(row["value"]) >= least, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-        return F.struct(end.alias("at"), kept.alias("spans"))
+        return F.struct(end.alias("at"), F.when(F.length(row["value"]) >= least, F.array(span)).otherwise(F.array().cast(SPAN)).alias("items"))
 
-    return F.aggregate(F.filter(rows, lambda r: r["hit"].isNotNull()), start, add)["spans"]
+    return fold(F.filter(rows, lambda r: r["hit"].isNotNull()), step, SPAN[len("array<"):-1])["items"]
 
 
 def base_spans(text: Column) -> Column:
@@ -118,7 +148,9 @@ def labelled_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def markov_spans(text: Column, base: Column, models: Models) -> Column:
-    """Tokens outside the base spans whose mean log-likelihood ratio passes."""
+    """Tokens that no base span covers whole and whose mean log-likelihood ratio
+    passes.  One that a base span cuts into is judged and reported whole: its
+    rest is as secret as the part a base rule knows."""
     none = F.array().cast(SPAN)
     if math.isinf(models.threshold):
         return none
@@ -130,7 +162,7 @@ def markov_spans(text: Column, base: Column, models: Models) -> Column:
                            lambda acc, c: F.struct(c.alias("last"), (acc["sum"] + F.when(acc["last"] >= 0, F.get(table, acc["last"] * CODES + c)).otherwise(0.0)).alias("sum")))
         return walk["sum"] / (F.length(token) - 1)
 
-    free = F.filter(matches(text, TOKEN, len(BASE_KINDS)), lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    free = F.filter(matches(text, TOKEN, len(BASE_KINDS)), lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
     return F.when(text.rlike(TOKEN), F.filter(free, lambda s: mean_ratio(s["value"]) >= models.threshold)).otherwise(none)
 
 
@@ -156,14 +188,12 @@ def redact(docs: DataFrame, models: Models, mark: str = "<secret>", text_col: st
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     rows = rows.withColumn("base", base_spans(text))
     rows = rows.withColumn("spans", F.array_sort(F.concat("base", markov_spans(text, F.col("base"), models))))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
-    def cut(acc: Column, s: Column) -> Column:
-        gap = F.substr(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        fresh = s["start"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["parts"], F.array(gap, F.lit(mark)))).otherwise(acc["parts"]).alias("parts"))
+    def step(at: Column, s: Column) -> Column:
+        gap = F.substr(text, at + 1, F.greatest(s["start"] - at, F.lit(0)))
+        parts = F.when(s["start"] >= at, F.array(gap, F.lit(mark))).otherwise(F.array().cast("array<string>"))
+        return F.struct(F.greatest(at, s["end"]).alias("at"), parts.alias("items"))
 
-    done = F.aggregate("spans", start, cut, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substr(text, acc["at"] + 1, F.length(text))))
+    done = once(fold(F.col("spans"), step, "string"), lambda d: F.concat(F.array_join(d["items"], ""), F.substr(text, d["at"] + 1, F.length(text))))
     clean = F.when(F.size("spans") > 0, done).otherwise(F.col("row")[text_col])
     return rows.select(*[(clean if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
