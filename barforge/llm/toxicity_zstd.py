@@ -7,15 +7,18 @@ speaks for toxicity; a document is as toxic as its strongest windows are.
 Labels mark whole documents, of which only a few passages are toxic, so most
 of what zstandard learns from toxic documents is ordinary text.  The toxic
 dictionary keeps those segments of it that a share of toxic documents holds
-``RATIO`` times the share of ordinary ones, before the content of the ordinary
-dictionary; the ordinary dictionary is padded to the same length.  Windows
+some times the share of ordinary ones, before the content of the ordinary
+dictionary; that ratio is one of ``RATIOS``, the one with the least log loss
+when half of the drawn documents (by a hash of the id) learn and the other
+half is scored.  The ordinary dictionary is padded to the same length.  Windows
 then differ in length by the toxic segments alone.  Every window follows a
 fixed prefix that both dictionaries hold, so that even one match shows in the
 compressed length.
 
 Thresholds are calibrated by a logistic curve over a document's strongest
 windows.  The labelled documents for all this are a sample of at most about
-``sample_docs`` of each class, drawn by a hash of the id.  Up to ``MAX_WINDOWS``
+``sample_docs`` of each class, drawn by a hash of the id; an id with several
+rows counts once, by its least text.  Up to ``MAX_WINDOWS``
 windows of each, spread over its text, train the dictionaries; the curve is
 fitted over all their windows, as they are scored; in the curve each counts for as many documents of
 its class as it stands for, so the table's share of toxic documents is learned
@@ -39,6 +42,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Bytes of a window, and the step from one to the next.
 WINDOW = 128
 STEP = 112
@@ -47,10 +52,11 @@ TOXIC_BYTES = 16_384
 ORDINARY_BYTES = 4096
 PREFIX = 128
 #: Length of the pieces that are compared, and how many times the share of
-#: ordinary documents that hold a kept one the share of toxic documents is.  A
-#: ratio of shares asks no more of a rare piece than of a common one.
+#: ordinary documents that hold a kept one the share of toxic documents is (to
+#: choose from).  A ratio of shares asks no more of a rare piece than of a
+#: common one.
 PIECE = 5
-RATIO = 5.0
+RATIOS = (2.0, 3.0, 5.0, 8.0, 13.0)
 #: Labelled documents of each class that train and calibrate, and windows of
 #: each that train the dictionaries.
 SAMPLE_DOCS = 3000
@@ -94,21 +100,13 @@ def pieces(window: bytes) -> set[bytes]:
     return {window[i:i + PIECE] for i in range(len(window) - PIECE + 1)}
 
 
-def root_ratio(a: int, n: int, b: int, m: int) -> float:
-    """Signed root of the likelihood ratio of shares a/n and b/m."""
-    both = (a + b) / (n + m)
-    term = lambda k, of, p: k * np.log(k / (of * p)) if k else 0.0
-    g = 2 * (term(a, n, both) + term(n - a, n, 1 - both) + term(b, m, both) + term(m - b, m, 1 - both))
-    return float(np.sqrt(max(0.0, g)) * np.sign(a / n - b / m))
-
-
-def distinctive(a: int, n: int, b: int, m: int) -> bool:
-    """Whether share a/n of toxic documents is RATIO times share b/m of ordinary
-    ones, half a document added to either count."""
-    return a > 0 and (a + 0.5) / (n + 1) >= RATIO * (b + 0.5) / (m + 1)
+def distinctive(a: int, n: int, b: int, m: int, ratio: float) -> bool:
+    """Whether share a/n of toxic documents is ``ratio`` times share b/m of
+    ordinary ones, half a document added to either count."""
+    return a > 0 and (a + 0.5) / (n + 1) >= ratio * (b + 0.5) / (m + 1)
 
 
-def toxic_segments(dictionary: bytes, toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[bytes]:
+def toxic_segments(dictionary: bytes, toxic: list[list[bytes]], ordinary: list[list[bytes]], ratio: float) -> list[bytes]:
     """Runs of the dictionary whose pieces are distinctive of toxic documents."""
     candidates = pieces(dictionary)
 
@@ -119,7 +117,7 @@ def toxic_segments(dictionary: bytes, toxic: list[list[bytes]], ordinary: list[l
         return n
 
     a, b = held(toxic), held(ordinary)
-    kept = {p for p in candidates if distinctive(a[p], len(toxic), b[p], len(ordinary))}
+    kept = {p for p in candidates if distinctive(a[p], len(toxic), b[p], len(ordinary), ratio)}
     runs: list[bytes] = []
     start = None
     for i in range(len(dictionary) - PIECE + 2):
@@ -158,19 +156,21 @@ def train_dictionary(size: int, windows: list[bytes]) -> bytes:
         return b"".join(windows)[:size]
 
 
-def dictionaries(docs: list[tuple[list[bytes], int]]) -> Model | None:
-    """From (windows, label) of the sampled documents; not yet calibrated."""
+def dictionaries(docs: list[tuple[list[bytes], int]], ratios: tuple[float, ...]) -> list[Model]:
+    """From (windows, label) of documents, a model for each ratio, not yet
+    calibrated; none without documents of both classes."""
     toxic, ordinary = ([ws for ws, y in docs if y == label] for label in (1, 0))
     if not toxic or not ordinary:
-        return None
+        return []
     content = train_dictionary(ORDINARY_BYTES, [w for ws in ordinary for w in ws]).rjust(PREFIX, b"\0")
-    segments = b"".join(toxic_segments(train_dictionary(TOXIC_BYTES, [w for ws in toxic for w in ws]), toxic, ordinary))
-    return Model(segments + content, bytes(len(segments)) + content, np.zeros(TOP + 2))
+    trained = train_dictionary(TOXIC_BYTES, [w for ws in toxic for w in ws])
+    kept = [b"".join(toxic_segments(trained, toxic, ordinary, r)) for r in ratios]
+    return [Model(k + content, bytes(len(k)) + content, np.zeros(TOP + 2)) for k in kept]
 
 
-def sampled_windows(labelled: DataFrame) -> list[tuple[list[bytes], int]]:
-    """(up to MAX_WINDOWS windows, label) of the drawn documents (doc_id, text,
-    label) that train the dictionaries."""
+def sampled_windows(labelled: DataFrame) -> list[tuple[list[bytes], int, int]]:
+    """(up to MAX_WINDOWS windows, label, half) of the drawn documents (doc_id,
+    text, label, half) that train the dictionaries."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,28 +178,53 @@ def sampled_windows(labelled: DataFrame) -> list[tuple[list[bytes], int]]:
             for t in batch.column(1):
                 ws = windows_of(t.as_py())
                 out.append(ws[::-(-len(ws) // MAX_WINDOWS) or 1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.binary())), batch.column(2)], names=["doc_id", "ws", "label"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.binary())), *batch.columns[2:]], names=["doc_id", "ws", "label", "half"])
 
-    rows = labelled.select("doc_id", "text", "label").mapInArrow(cut, "doc_id long, ws array<binary>, label int").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["doc_id"], r["ws"]))  # the same model on every run
-    return [([bytes(w) for w in r["ws"]], r["label"]) for r in rows if r["ws"]]
+    rows = labelled.select("doc_id", "text", "label", "half").mapInArrow(cut, "doc_id long, ws array<binary>, label int, half int").toArrow().to_pylist()
+    rows.sort(key=lambda r: r["doc_id"])  # the same model on every run
+    return [([bytes(w) for w in r["ws"]], r["label"], r["half"]) for r in rows if r["ws"]]
 
 
-def sampled_features(labelled: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Features over all windows, and labels, of the drawn documents that have any."""
+def sampled_features(labelled: DataFrame, models: list[Model]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the drawn documents that have any window: features over all their
+    windows (document, model, feature), labels and halves."""
+    width = TOP + 2
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy, plain = Compressor(model.toxic), Compressor(model.ordinary)
+        pairs = [(Compressor(m.toxic), Compressor(m.ordinary)) for m in models]
         for batch in batches:
             out = []
             for t in batch.column(1):
                 ws = windows_of(t.as_py())
-                out.append(features(plain.lengths(ws) - heavy.lengths(ws)).tolist() if ws else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float64())), batch.column(2)], names=["doc_id", "x", "label"])
+                out.append(np.concatenate([features(plain.lengths(ws) - heavy.lengths(ws)) for heavy, plain in pairs]).tolist() if ws else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float64())), *batch.columns[2:]], names=["doc_id", "x", "label", "half"])
+
+    rows = labelled.select("doc_id", "text", "label", "half").mapInArrow(measure, "doc_id long, x array<double>, label int, half int").toArrow().to_pylist()
+    rows = sorted((r["doc_id"], r["x"], r["label"], r["half"]) for r in rows if r["x"])
+    x = np.array([r[1] for r in rows]).reshape(len(rows), len(models), width)
+    return x, np.array([r[2] for r in rows], dtype=int), np.array([r[3] for r in rows], dtype=int)
 
-    rows = labelled.select("doc_id", "text", "label").mapInArrow(measure, "doc_id long, x array<double>, label int").toArrow().to_pylist()
-    rows = sorted((r["doc_id"], r["x"], r["label"]) for r in rows if r["x"])
-    return np.array([x for _, x, _ in rows]), np.array([y for _, _, y in rows])
+
+def log_loss(x: np.ndarray, y: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> float:
+    z = np.where(y == 1, 1, -1) * np.clip(x @ weights, -30, 30)
+    return float((rows * np.log1p(np.exp(-z))).sum() / rows.sum())
+
+
+def choose_ratio(drawn: DataFrame, docs: list[tuple[list[bytes], int, int]], stands_for: np.ndarray) -> float:
+    """The ratio whose model, learned on one half of the drawn documents, has
+    the least log loss on the other; the middle one where either half lacks a
+    class."""
+    default = RATIOS[len(RATIOS) // 2]
+    models = dictionaries([(ws, y) for ws, y, half in docs if half == 0], RATIOS)
+    if not models or {y for _, y, half in docs if half == 1} != {0, 1}:
+        return default
+    x, y, half = sampled_features(drawn, models)
+    rows, learn = stands_for[y], half == 0
+    losses = []
+    for k in range(len(RATIOS)):
+        weights = logistic(x[learn, k], y[learn].astype(float), rows[learn])
+        losses.append(log_loss(x[~learn, k], y[~learn], rows[~learn], weights))
+    return RATIOS[int(np.argmin(losses))]
 
 
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -208,15 +233,20 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "
     label = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label")).where(may_learn & F.col("label").isin(0, 1))
     label = label.groupBy("doc_id").agg(F.max("label").alias("label"))
     counts = {r["label"]: r["n"] for r in label.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    stands_for = tuple(max(1.0, counts.get(y, 0) / sample_docs) for y in (0, 1))
-    share = F.when(F.col("label") == 1, F.lit(1 / stands_for[1])).otherwise(F.lit(1 / stands_for[0]))
+    stands_for = np.array([max(1.0, counts.get(y, 0) / sample_docs) for y in (0, 1)])
+    share = F.when(F.col("label") == 1, F.lit(float(1 / stands_for[1]))).otherwise(F.lit(float(1 / stands_for[0])))
     # About 2 x sample_docs ids whatever the input: a table of bounded size.
     drawn = label.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).join(F.broadcast(drawn), "doc_id")
-    model = dictionaries(sampled_windows(rows))
-    if model:
-        x, y = sampled_features(rows, model)
-        model.weights = logistic(x, y.astype(float), np.array(stands_for)[y])
+    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).join(F.broadcast(drawn), "doc_id")
+    half = F.pmod(F.xxhash64(F.lit("half"), F.col("doc_id")), F.lit(2)).cast("int").alias("half")
+    # One row an id, whatever the table repeats; read three times below.
+    rows = written(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")).select("*", half), "toxicity-sample")
+    sample = sampled_windows(rows)
+    if {y for _, y, _ in sample} != {0, 1}:
+        return None
+    (model,) = dictionaries([(ws, y) for ws, y, _ in sample], (choose_ratio(rows, sample, stands_for),))
+    x, y, _ = sampled_features(rows, [model])
+    model.weights = logistic(x[:, 0], y.astype(float), stands_for[y])
     return model
 
 
