@@ -18,9 +18,11 @@ Per batch:
    appended files move into their blocks under names made of stream, batch
    and the staged file's own name;
 5. touched bars are updated from the batch delta: counts and exact decimal
-   sums (including the price sum behind the mean) are retractable; MIN/MAX
-   are not, so only bars where a replaced row held an extreme are
-   recomputed from their silver rows.  Bars that became empty disappear;
+   sums (including the price sum behind the mean) are retractable, and so are
+   MIN/MAX while the bar's stored lists of least and largest values last
+   (``edges``); only a bar whose list is exhausted, or that has none and lost
+   an extreme, is recomputed from its silver rows.  Bars that became empty
+   disappear;
 6. the ledger gets the batch's rows: the per-minute sums of its bar delta and
    what it observed of the raw rows on the way (no further pass).
 
@@ -53,6 +55,7 @@ from barforge.functions.timefn import minute_bucket, ntz_literal
 from barforge.operators.checks import bronze_trade_time
 from barforge.operators.silver import (KEY, dedup_latest, parse_trades, silver_projection,
                                        valid_trades)
+from barforge.streaming import edges as eg
 from barforge.streaming import storage as st
 from barforge.streaming.storage import Layout
 
@@ -203,8 +206,8 @@ BAR_EXTREMES = (("min_price", F.min), ("max_price", F.max),
 
 def bar_changes(staged: DataFrame) -> DataFrame:
     """Per touched bar: signed sums of the batch's winners (+) and of the rows
-    they replace (-), extremes of the winners, and extremes of the replaced
-    rows (``gone_*``).  Batch-sized."""
+    they replace (-), extremes of the winners, extremes of the replaced rows
+    (``gone_*``), and the net changes at either end (``edges``).  Batch-sized."""
     win = F.col("role") == WINNER
     c = with_limbs(staged.filter(F.col("role") != KEPT).select(
         "symbol", minute_bucket(F.col("trade_time")).alias("minute_bucket"), "role", "price",
@@ -213,7 +216,8 @@ def bar_changes(staged: DataFrame) -> DataFrame:
     def signed(x):
         return F.when(win, x).otherwise(-x)
 
-    return c.groupBy(*TOUCHED).agg(
+    ends = eg.edge_lists(c.select(*TOUCHED, "price", "trade_time", signed(F.lit(1)).alias("sign")), eg.CHANGES)
+    sums = c.groupBy(*TOUCHED).agg(
         F.sum(F.when(win, 1).otherwise(-1)).cast("bigint").alias("trade_count"),
         F.try_sum(signed(F.col("quantity"))).alias("total_quantity"),
         limb_total(signed(F.lit(1))).alias("total_notional"),
@@ -228,21 +232,23 @@ def bar_changes(staged: DataFrame) -> DataFrame:
                                 ("first_trade_time", F.min, "trade_time"),
                                 ("last_trade_time", F.max, "trade_time"))],
     )
+    return sums.join(ends, list(TOUCHED), "left")
 
 
 def merge_bars(current: DataFrame, changes: DataFrame) -> DataFrame:
     """Stored bars + batch changes -> new bars.  Sums are exact decimals.
 
-    ``lost`` flags bars where a replaced row held an extreme that no winner
-    reaches (MIN/MAX cannot be retracted); ``inconsistent`` flags bars whose
-    stored state does not cover what is being removed (a negative count,
-    removals from a bar that is not stored, or a sum that is NULL).  Both are recomputed from silver.
+    ``lost`` flags bars whose extremes cannot be told: a list behind them is
+    exhausted or, for a bar stored without lists, a replaced row held an extreme
+    that no winner reaches.  ``inconsistent`` flags bars whose stored state does
+    not cover what is being removed (a negative count, removals from a bar that
+    is not stored, or a sum that is NULL).  Both are recomputed from silver.
     """
     gone = [f"gone_{n}" for n, _ in BAR_EXTREMES]
     stored = current.select(*TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
-                            *[F.lit(None).alias(g) for g in gone], F.lit(True).alias("_stored"))
+                            *[F.lit(None).alias(g) for g in gone], "edges", F.lit(True).alias("_stored"))
     delta = changes.select(*TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES], *gone,
-                           F.lit(False).alias("_stored"))
+                           "edges", F.lit(False).alias("_stored"))
     u = stored.unionByName(delta)
     s = F.col("_stored")
     m = u.groupBy(*TOUCHED).agg(
@@ -253,7 +259,15 @@ def merge_bars(current: DataFrame, changes: DataFrame) -> DataFrame:
         *[fn(F.when(s, F.col(n))).alias(f"old_{n}") for n, fn in BAR_EXTREMES],
         *[fn(F.when(~s, F.col(n))).alias(f"win_{n}") for n, fn in BAR_EXTREMES],
         *[fn(F.col(f"gone_{n}")).alias(f"gone_{n}") for n, fn in BAR_EXTREMES],
+        F.first(F.when(s, F.col("edges")), ignorenulls=True).alias("_old"),
+        F.first(F.when(~s, F.col("edges")), ignorenulls=True).alias("_new"),
+        F.bool_or(~s).alias("_changed"),
         F.max(s.cast("int")).alias("_had_row"))
+    # A bar without lists gets them when it is recomputed; a new one has them.
+    old = F.when(F.col("_had_row") == 0, eg.whole_and_empty()).otherwise(F.col("_old"))
+    changed = eg.merged(old, F.coalesce("_new", eg.whole_and_empty()))
+    m = m.withColumn("edges", F.when(old.isNotNull(), F.when(F.col("_changed"), changed).otherwise(old)))
+    edges, listed = F.col("edges"), F.col("edges").isNotNull()
 
     def lost(n, fn):
         # The stored extreme may be gone when a replaced row reached it, unless
@@ -264,12 +278,14 @@ def merge_bars(current: DataFrame, changes: DataFrame) -> DataFrame:
         win_hit = F.coalesce(reaches(F.col(f"win_{n}"), F.col(f"old_{n}")), F.lit(False))
         return gone_hit & ~win_hit
 
-    lost_extreme = reduce(lambda a, b: a | b, [lost(n, fn) for n, fn in BAR_EXTREMES])
+    lost_extreme = F.when(listed, eg.exhausted(edges)).otherwise(
+        reduce(lambda a, b: a | b, [lost(n, fn) for n, fn in BAR_EXTREMES]))
     inconsistent = F.col("_unknown") | (F.col("trade_count") < 0) | (
-        F.col("gone_min_price").isNotNull() & F.coalesce(F.col("_had_row") == 0, F.lit(True)))
+        F.col("gone_min_price").isNotNull() & F.coalesce(F.col("_had_row") == 0, F.lit(True))) | (
+        F.coalesce(eg.contradicts(edges), F.lit(False)))
     return m.select(
-        *TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
-        lost_extreme.alias("lost"), inconsistent.alias("inconsistent"))
+        *TOUCHED, *BAR_SUMS, *[F.when(listed, eg.extreme(edges, n)).otherwise(F.col(n)).alias(n) for n, _ in BAR_EXTREMES],
+        "edges", lost_extreme.alias("lost"), inconsistent.alias("inconsistent"))
 
 
 def refresh_gold(spark: SparkSession, delta_path: str, batch_id: int, layout: Layout,
@@ -298,7 +314,7 @@ def refresh_gold(spark: SparkSession, delta_path: str, batch_id: int, layout: La
             redo = (F.col("lost") & alive) | F.col("inconsistent")
             stale = st.with_minute_date(merged.filter(redo).select(*TOUCHED))
             fresh = merged.filter(~F.col("lost") & ~F.col("inconsistent") & alive).select(
-                *TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES],
+                *TOUCHED, *BAR_SUMS, *[n for n, _ in BAR_EXTREMES], "edges",
                 (F.col("sum_price") / F.col("trade_count")).cast("decimal(38,18)").alias("avg_price"))
             out = st.with_minute_date(fresh).select(*st.GOLD_STORED)
             if not stale.isEmpty():
@@ -331,7 +347,9 @@ def _recompute(spark: SparkSession, layout: Layout, stale: DataFrame) -> DataFra
                       & (F.col("trade_time") < ntz_literal(info.hi + _ONE_MINUTE))))
     rows = silver.withColumn("minute_bucket", minute_bucket(F.col("trade_time")))
     rows = rows.join(stale.select(*TOUCHED), list(TOUCHED), "left_semi").drop("minute_bucket")
-    return st.stored_bars(rows).select(*st.GOLD_STORED)
+    ends = eg.edge_lists(rows.select("symbol", minute_bucket(F.col("trade_time")).alias("minute_bucket"), "price", "trade_time",
+                                     F.lit(1).alias("sign")), eg.KEEP)
+    return st.stored_bars(rows).drop("edges").join(ends, list(TOUCHED), "left").select(*st.GOLD_STORED)
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, layout: Layout, tag: str = "default",

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.operators.gold import GOLD_COLUMNS
+from barforge.streaming.edges import EDGES_DDL
 from barforge.operators.silver import SILVER_COLUMNS
 from barforge.sources.topic import LANDING_PARTS, LANDING_SCHEMA, RAW_LANE
 
@@ -32,13 +33,14 @@ SILVER_DDL = ("event_type string, event_time timestamp_ntz, symbol string, trade
               " seller_order_id bigint, trade_time timestamp_ntz, is_maker boolean,"
               " ingested_at timestamp_ntz, trade_date date, symbol_key string, id_block bigint")
 # Stored gold keeps the exact price sum next to the public columns, so the
-# mean can be maintained from deltas.
+# mean can be maintained from deltas, and the lists behind the extremes (NULL
+# where a rebuild wrote the bar and no batch has recomputed it).
 GOLD_DDL = ("symbol string, minute_bucket timestamp_ntz, trade_count bigint,"
             " total_quantity decimal(38,18), total_notional decimal(38,18),"
             " avg_price decimal(38,18), min_price decimal(38,18), max_price decimal(38,18),"
             " first_trade_time timestamp_ntz, last_trade_time timestamp_ntz,"
-            " sum_price decimal(38,18), minute_date date, symbol_key string")
-GOLD_STORED = GOLD_COLUMNS + ("sum_price", "minute_date", "symbol_key")
+            f" sum_price decimal(38,18), edges {EDGES_DDL}, minute_date date, symbol_key string")
+GOLD_STORED = GOLD_COLUMNS + ("sum_price", "edges", "minute_date", "symbol_key")
 # The ledger: what each batch did to each minute (trades gained less trades
 # lost, latest ingest), and one row a batch, without a minute, for the raw rows
 # it read.
@@ -153,11 +155,13 @@ def with_minute_date(df: DataFrame) -> DataFrame:
 
 
 def stored_bars(silver: DataFrame) -> DataFrame:
-    """Gold bars in their stored form (public columns + ``sum_price`` + ``minute_date``)."""
+    """Gold bars in their stored form (public columns + ``sum_price`` + ``minute_date``),
+    without the lists behind their extremes: a full rebuild would have to shuffle
+    every price for bars of which few are ever corrected."""
     from barforge.operators.gold import GOLD_KEY, bar_aggregates, with_minute
     rows = with_minute(silver)
     bars = rows.groupBy(*GOLD_KEY).agg(*bar_aggregates(), F.try_sum("price").alias("sum_price"))
-    return with_minute_date(bars)
+    return with_minute_date(bars.withColumn("edges", F.lit(None).cast(EDGES_DDL)))
 
 
 # Schema and table names of the layers.  The raw table is a view

@@ -12,6 +12,7 @@ from barforge.operators.gold import gold_trades_1m
 from barforge.operators.silver import silver_trades
 from barforge.session import fresh_dir
 from barforge.sources import fixtures
+from barforge.streaming import edges
 from barforge.streaming import maintain as mt
 from barforge.streaming import storage as stg
 
@@ -203,6 +204,7 @@ def test_lowered_maximum_is_recomputed_from_silver(spark, raw, monkeypatch):
     from decimal import Decimal
     t0 = 1704067200000
     seen = []
+    monkeypatch.setattr(edges, "KEEP", 1)   # the list holds the lowered value alone
     original = mt._recompute
 
     def counting(spark_, layout_, stale):
@@ -220,6 +222,35 @@ def test_lowered_maximum_is_recomputed_from_silver(spark, raw, monkeypatch):
     assert seen == [1]      # batch 0 only adds trades: no recompute pass at all
 
 
+def test_corrections_read_no_silver_while_the_lists_last(spark, raw, monkeypatch):
+    """Lowered maxima, raised minima and moved times, one batch each: bars equal
+    the rebuild and silver is read only once a list of ``KEEP`` is used up."""
+    t0 = 1704067200000
+    reads = []
+    original = mt._recompute
+    monkeypatch.setattr(mt, "_recompute", lambda s, lay, stale: reads.append(stale.count()) or original(s, lay, stale))
+    monkeypatch.setattr(edges, "KEEP", 3)
+    layout = new_layout(spark, block=4)
+    everything = []
+
+    def batch(n, trades):
+        rows_ = [(meta(t0 + 100 * n + i), t) for i, t in enumerate(trades)]
+        everything.extend(rows_)
+        mt.upsert_batch(raw(rows_), n, layout, "t")
+
+    def equals_batch():
+        return rows_of(stg.read_gold(spark, layout)) == rows_of(gold_trades_1m(silver_trades(raw(everything))))
+
+    batch(0, [trade(t=i, p=str(10 + i), T=t0 + 1000 * i) for i in range(10)])
+    # The largest price and last time go, the smallest and first to another minute.
+    batch(1, [trade(t=9, p="15.5", T=t0 + 5500), trade(t=0, p="15.25", T=t0 + 60000)])
+    assert reads == [] and equals_batch()
+    batch(2, [trade(t=i, p="15.5", T=t0 + 5500) for i in (7, 8)])    # the list of the largest is used up
+    assert reads == [1] and equals_batch()
+    batch(3, [trade(t=1, p="15.5", T=t0 + 5500)])            # the recomputed bar has lists again
+    assert reads == [1] and equals_batch()
+
+
 def test_inconsistent_gold_is_repaired_from_silver(spark, raw):
     """If a stored bar was lost (e.g. deleted by hand), the next batch that
     touches it rebuilds it from silver instead of producing a negative count."""
