@@ -20,6 +20,7 @@ from barforge.operators.silver import cast_rejects, parse_trades, silver_trades,
 from barforge.session import fresh_dir, written_table
 from barforge.sources import fixtures
 from barforge.sources.arrivals import Arrivals
+from barforge.sources.segments import write_segments
 from barforge.sources.topic import TOPIC_SCHEMA, read_bronze, read_trades_stream, write_bronze
 from barforge.streaming import bars as stream_bars_mod
 from barforge.streaming import lifecycle, streams
@@ -32,6 +33,8 @@ TRADES_AS_OF = "2024-01-01 12:00:00"
 METERING_AS_OF = "1998-08-02 00:00:00"
 METERING_WAREHOUSE = "WH_1"
 SUBSCRIBED = ("btcusdt", "ethusdt")
+# Offsets a segment of the topic log holds, and a batch of the ingest at most.
+SEGMENT_OFFSETS, INGEST_OFFSETS = 50_000, 200_000
 RUN_ID = "scheduled__2024-01-01T12:00:00"
 LOG_ROOT = "logs"
 
@@ -100,13 +103,19 @@ def q_keyed_trades(spark, sf_dir):
 
 
 def q_bronze_ingest(spark, sf_dir):
-    """S5 -> S2 -> S6 as a stream over topic files; returns the raw layer."""
+    """S5 -> S2 -> S6 as a stream over a log of segments, in batches bounded by
+    offsets; returns the raw layer."""
     root = fresh_dir(spark, "bronze_ingest")
-    src = os.path.join(root, "topic")
-    topic(spark, sf_dir).write.mode("overwrite").parquet(src)
-    stream = read_trades_stream(spark, "files", src)
-    write_bronze(stream, os.path.join(root, "bronze"), os.path.join(root, "chk"),
-                 trigger={"availableNow": True}).awaitTermination()
+    log, chk = os.path.join(root, "topic"), os.path.join(root, "chk")
+    rows = topic(spark, sf_dir)
+    write_segments(rows, log, SEGMENT_OFFSETS)
+    # What is left after the last whole flush does not wait: the log is complete.
+    stream = read_trades_stream(spark, "segments", log, max_per_trigger=INGEST_OFFSETS, checkpoint=chk, maxTriggerDelay=0)
+    q = write_bronze(stream, os.path.join(root, "bronze"), chk, trigger=CATCH_UP)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
     b = read_bronze(spark, os.path.join(root, "bronze"))
     c = F.col("record_content")
     return b.select(F.variant_get("record_metadata", "$.offset", "bigint").alias("offset"),

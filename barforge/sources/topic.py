@@ -2,8 +2,9 @@
 idempotent layer creation.
 
 The topic source has the Kafka row schema.  Production reads Kafka
-(``format('kafka')``, jar supplied by the cluster); the same schema is also
-served from files, which is the path the tests drive.
+(``format('kafka')``, jar supplied by the cluster) or a log of segment files
+with offsets per partition (``sources/segments.py``); the same schema is also
+served from plain files.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barforge.functions.jsonpath import json_time_ntz
 from barforge.operators.admission import classify, unwrap_envelope
+from barforge.sources.segments import TOPIC_SCHEMA, read_segments_stream
 
-TOPIC_SCHEMA = ("key string, value string, topic string, partition int, offset bigint,"
-                " timestamp timestamp")
 RAW_SCHEMA = "record_metadata variant, record_content variant"
 BRONZE_SCHEMA = RAW_SCHEMA + ", trade_time timestamp_ntz, ingest_date date"
+# The sink flushes at this many records, bytes or seconds.
+FLUSH_RECORDS, FLUSH_BYTES, FLUSH_SECONDS = 1000, 5_000_000, 10
 # The ingest sink writes one folder with two lanes: admitted raw rows and
 # quarantined messages (original text + reason).
 RAW_LANE, QUARANTINE_LANE = "raw", "quarantine"
@@ -31,14 +33,27 @@ LANDING_PARTS = ("lane", "ingest_date")
 
 def read_trades_stream(spark: SparkSession, source: str = "files", path: str | None = None,
                        topic: str = "crypto_trades", max_per_trigger: int | None = None,
-                       **options) -> DataFrame:
+                       checkpoint: str | None = None, **options) -> DataFrame:
     """The trade topic as a stream with key, value, topic, partition,
     offset and timestamp.
 
     ``source='kafka'`` reads a broker (``kafka.bootstrap.servers`` in
     ``options``; ``maxOffsetsPerTrigger`` bounds a micro-batch);
-    ``source='files'`` reads Parquet files with the same schema.
+    ``source='segments'`` reads a log of segment files by offsets per
+    partition, with the same bound and, given the ingest query's
+    ``checkpoint``, the flush rule: a batch is cut at 1,000 records, 5 MB or
+    10 s, whichever comes first; ``source='files'`` reads Parquet files with
+    the same schema.
     """
+    if source == "segments":
+        if path is None:
+            raise ValueError("path is required for the segment source")
+        if checkpoint:
+            options = {"checkpoint": checkpoint, "minOffsetsPerTrigger": FLUSH_RECORDS,
+                       "minBytesPerTrigger": FLUSH_BYTES, "maxTriggerDelay": FLUSH_SECONDS} | options
+        if max_per_trigger:
+            options = {"maxOffsetsPerTrigger": max_per_trigger} | options
+        return read_segments_stream(spark, path, topic, **options)
     if source == "kafka":
         reader = (spark.readStream.format("kafka").option("subscribe", topic)
                   .option("startingOffsets", "earliest"))
