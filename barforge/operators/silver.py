@@ -73,11 +73,9 @@ def parse_trades(bronze: DataFrame, mode: str = "strict",
     )
 
 
-def cast_rejects(bronze: DataFrame, keep: tuple[str, ...] = (),
-                 content: str = "record_content") -> DataFrame:
-    """F2/F3 quarantine: one row per field that permissive parsing turns into
-    NULL although the payload holds a value -- the ``keep`` columns, the
-    field's name, its text and a reason."""
+def rejected_fields(content: str = "record_content") -> Column:
+    """the fields of a payload that permissive parsing turns into NULL
+    although it holds a value, as an array of (field, value, reason)."""
     c = F.col(content)
     fields = [("t", json_bigint(c, "t", False), "not a number"),
               ("b", json_bigint(c, "b", False), "not a number"),
@@ -88,7 +86,14 @@ def cast_rejects(bronze: DataFrame, keep: tuple[str, ...] = (),
                F.struct(F.lit(key).alias("field"), json_string(c, key, False).alias("value"),
                         F.lit(reason).alias("reason")))
         for key, typed, reason in fields])
-    return bronze.select(*keep, F.inline(F.filter(found, lambda x: x.isNotNull())))
+    return F.filter(found, lambda x: x.isNotNull())
+
+
+def cast_rejects(bronze: DataFrame, keep: tuple[str, ...] = (),
+                 content: str = "record_content") -> DataFrame:
+    """F2/F3 quarantine: one row per rejected field -- the ``keep`` columns,
+    the field's name, its text and a reason."""
+    return bronze.select(*keep, F.inline(rejected_fields(content)))
 
 
 def valid_trades(parsed: DataFrame) -> DataFrame:

@@ -21,9 +21,9 @@ from barforge.session import fresh_dir, written_table
 from barforge.sources import fixtures
 from barforge.sources.arrivals import Arrivals
 from barforge.sources.segments import write_segments
-from barforge.sources.topic import TOPIC_SCHEMA, read_bronze, read_trades_stream, write_bronze
+from barforge.sources.topic import TOPIC_SCHEMA, read_bronze, read_rejected_fields, read_trades_stream, write_bronze
 from barforge.streaming import bars as stream_bars_mod
-from barforge.streaming import lifecycle, streams
+from barforge.streaming import late, lifecycle, streams
 from barforge.streaming import maintain as mt
 from barforge.streaming import storage as st
 
@@ -102,12 +102,11 @@ def q_keyed_trades(spark, sf_dir):
                         F.variant_get(v, "$.q", "string").alias("quantity_text"))
 
 
-def q_bronze_ingest(spark, sf_dir):
+def ingest(spark, rows: DataFrame, name: str) -> str:
     """S5 -> S2 -> S6 as a stream over a log of segments, in batches bounded by
-    offsets; returns the raw layer."""
-    root = fresh_dir(spark, "bronze_ingest")
+    offsets; returns the landing folder."""
+    root = fresh_dir(spark, name)
     log, chk = os.path.join(root, "topic"), os.path.join(root, "chk")
-    rows = topic(spark, sf_dir)
     write_segments(rows, log, SEGMENT_OFFSETS)
     # What is left after the last whole flush does not wait: the log is complete.
     stream = read_trades_stream(spark, "segments", log, max_per_trigger=INGEST_OFFSETS, checkpoint=chk, maxTriggerDelay=0)
@@ -116,7 +115,12 @@ def q_bronze_ingest(spark, sf_dir):
         q.processAllAvailable()
     finally:
         q.stop()
-    b = read_bronze(spark, os.path.join(root, "bronze"))
+    return os.path.join(root, "bronze")
+
+
+def q_bronze_ingest(spark, sf_dir):
+    """The raw layer after an ingest of the topic."""
+    b = read_bronze(spark, ingest(spark, topic(spark, sf_dir), "bronze_ingest"))
     c = F.col("record_content")
     return b.select(F.variant_get("record_metadata", "$.offset", "bigint").alias("offset"),
                     F.variant_get("record_metadata", "$.CreateTime", "bigint").alias("create_ms"),
@@ -125,6 +129,14 @@ def q_bronze_ingest(spark, sf_dir):
                     F.variant_get(c, "$.q", "string").alias("quantity_text"))
 
 
+def q_ingest_rejects(spark, sf_dir):
+    """F2/F3 in the maintained path: rejected fields that an ingest recorded
+    beside its raw rows."""
+    rows = fixtures.topic_with_bad_fields(table(spark, sf_dir, "events"))
+    lane = read_rejected_fields(spark, ingest(spark, rows, "ingest_rejects"))
+    return lane.select(F.variant_get("record_metadata", "$.offset", "bigint").alias("offset"), "field", "value", "reason")
+
+
 # --- silver / gold ----------------------------------------------------------
 
 def q_parse_trades(spark, sf_dir):
@@ -396,12 +408,30 @@ def q_stream_bars_append(spark, sf_dir):
                                            fresh_dir(spark, "stream_bars_final"), final=True)
 
 
+def q_late_settled_bars(spark, sf_dir):
+    """Bars closed by the watermark, with the late lane settled in.
+    Redelivered copies come first, so most originals are late."""
+    root = fresh_dir(spark, "late_settled_bars")
+    split = "redelivered_first"
+    arrivals = Arrivals(spark, fixtures.bronze_parts(table(spark, sf_dir, "events"), split), root)
+    out = os.path.join(root, "out")
+    q = late.write_closed_minutes(late.laned_trades(arrivals.stream()), out, os.path.join(root, "chk"), trigger=CATCH_UP)
+    try:
+        for p in range(fixtures.part_count(split)):
+            arrivals.deliver(p)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    return late.settle(late.read_closed_bars(spark, out), late.read_closed_trades(spark, out), late.read_late(spark, out))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "admit_trades": q_admit_trades,
     "quarantined_trades": q_quarantined_trades,
     "subscribed_trades": q_subscribed_trades,
     "keyed_trades": q_keyed_trades,
     "bronze_ingest": q_bronze_ingest,
+    "ingest_rejects": q_ingest_rejects,
     "parse_trades": q_parse_trades,
     "valid_trades": q_valid_trades,
     "silver_trades": q_silver_trades,
@@ -433,6 +463,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recover_gold": q_recover_gold,
     "stream_bars_update": q_stream_bars_update,
     "stream_bars_append": q_stream_bars_append,
+    "late_settled_bars": q_late_settled_bars,
     "registered_layers": q_registered_layers,
     "ingest_to_gold": q_ingest_to_gold,
 }

@@ -406,3 +406,7 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["ledger_layer_lag"] = ORACLE["layer_lag"]
 ORACLE["ledger_checks"] = f"{_with(RAW, PARSED)} SELECT * FROM ({_lag_check()}) l UNION ALL SELECT * FROM ({_activity_check()}) a"
+ORACLE["ingest_rejects"] = (f"{_with(RAW, ADMISSION, REJECTS)} SELECT \"offset\", field, value, reason FROM rejects"
+                            " WHERE \"offset\" IN (SELECT \"offset\" FROM admitted)")
+ORACLE["late_settled_bars"] = (f"{GOLD_SQL} WHERE minute_bucket + INTERVAL 1 MINUTE"
+                               " <= (SELECT max(trade_time) FROM valid) - INTERVAL 10 MINUTE")

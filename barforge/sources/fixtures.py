@@ -12,6 +12,8 @@ Each rule below has a twin in ``barforge.plans.oracle`` written for DuckDB.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,24 +123,33 @@ def with_trade_time(raw: DataFrame) -> DataFrame:
     return raw.withColumn("trade_time", json_time_ntz("record_content", "T"))
 
 
-def bronze_with_bad_fields(events: DataFrame) -> DataFrame:
-    """Raw rows (``offset``, metadata, payload) where some payloads hold a
-    trade id, an order id or a maker flag of the wrong type."""
-    m = trade_messages(events).selectExpr(
-        "offset", "metadata", "id",
-        "CASE WHEN id % 89 = 0 THEN replace(content, concat('\"t\":', id, ','), '\"t\":\"abc\",') ELSE content END AS c1",
+def _with_bad_fields(m: DataFrame, column: str) -> DataFrame:
+    """``c3``: the JSON text of ``column`` where some payloads hold a trade id,
+    an order id or a maker flag of the wrong type."""
+    return m.selectExpr(
+        "*", f"CASE WHEN id % 89 = 0 THEN replace({column}, concat('\"t\":', id, ','), '\"t\":\"abc\",') ELSE {column} END AS c1",
     ).selectExpr(
         "*", "CASE WHEN id % 83 = 0 THEN replace(c1, '\"m\":', '\"m\":\"maybe\",\"x\":') ELSE c1 END AS c2",
     ).selectExpr(
         "*", "CASE WHEN id % 79 = 0 THEN replace(c2, '\"b\":', '\"b\":\"none\",\"y\":') ELSE c2 END AS c3")
+
+
+def bronze_with_bad_fields(events: DataFrame) -> DataFrame:
+    """Raw rows (``offset``, metadata, payload), some with bad fields."""
+    m = _with_bad_fields(trade_messages(events).select("offset", "metadata", "id", "content"), "content")
     return evaluate_once(m, F.col("offset"), F.parse_json("metadata").alias("record_metadata"),
                          F.parse_json("c3").alias("record_content"), keep=False)
 
 
-def topic_rows(events: DataFrame) -> DataFrame:
+def topic_with_bad_fields(events: DataFrame) -> DataFrame:
+    """Wire messages (see :func:`topic_rows`), some with bad fields."""
+    return topic_rows(events, lambda m: _with_bad_fields(m, "message").drop("message").withColumnRenamed("c3", "message"))
+
+
+def topic_rows(events: DataFrame, alter: Callable[[DataFrame], DataFrame] = lambda m: m) -> DataFrame:
     """Wire messages as a topic would carry them:
     ``key, value, topic, partition, offset, timestamp`` (the Kafka source schema)."""
-    m = trade_messages(events)
+    m = alter(trade_messages(events))
     return m.select(
         F.col("symbol").alias("key"),
         F.col("message").alias("value"),

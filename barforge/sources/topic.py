@@ -15,19 +15,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barforge.functions.jsonpath import json_time_ntz
 from barforge.operators.admission import classify, unwrap_envelope
+from barforge.operators.silver import rejected_fields
 from barforge.sources.segments import TOPIC_SCHEMA, read_segments_stream
 
 RAW_SCHEMA = "record_metadata variant, record_content variant"
 BRONZE_SCHEMA = RAW_SCHEMA + ", trade_time timestamp_ntz, ingest_date date"
 # The sink flushes at this many records, bytes or seconds.
 FLUSH_RECORDS, FLUSH_BYTES, FLUSH_SECONDS = 1000, 5_000_000, 10
-# The ingest sink writes one folder with two lanes: admitted raw rows and
-# quarantined messages (original text + reason).
-RAW_LANE, QUARANTINE_LANE = "raw", "quarantine"
+# The ingest sink writes one folder with three lanes: admitted raw rows,
+# quarantined messages (original text + reason) and, beside their raw rows,
+# the fields that permissive parsing will not read (field, its text, reason).
+RAW_LANE, QUARANTINE_LANE, REJECTS_LANE = "raw", "quarantine", "rejects"
 # The typed trade time stands beside the payload, so that time bounds on the
 # raw layer skip row groups and read one column.
 LANDING_SCHEMA = (RAW_SCHEMA + ", trade_time timestamp_ntz, raw_value string, reason string,"
-                  " lane string, ingest_date date")
+                  " field string, lane string, ingest_date date")
 LANDING_PARTS = ("lane", "ingest_date")
 
 
@@ -104,24 +106,30 @@ def to_bronze(admitted: DataFrame) -> DataFrame:
 
 
 def to_landing(messages: DataFrame) -> DataFrame:
-    """S2 + S7 in one pass: every message, parsed once, lands in its lane --
-    ``raw`` (metadata + payload) or ``quarantine`` (metadata, original text
-    and the reason)."""
+    """S2 + S7 + F2/F3 in one pass: every message, parsed once, lands in its
+    lane -- ``raw`` (metadata + payload) or ``quarantine`` (metadata, original
+    text and the reason); a raw row's rejected fields land in ``rejects``."""
     tagged = classify(unwrap_envelope(messages))
     ok = F.col("reason").isNull()
-    return with_record_metadata(tagged).select(
-        "record_metadata",
-        F.when(ok, F.col("payload")).alias("record_content"),
-        F.when(ok, json_time_ntz("payload", "T")).alias("trade_time"),
-        F.when(~ok, F.col("value")).alias("raw_value"),
-        "reason",
-        F.when(ok, F.lit(RAW_LANE)).otherwise(F.lit(QUARANTINE_LANE)).alias("lane"),
-        ingest_date().alias("ingest_date"))
+    none = F.lit(None).cast("string")
+    whole = F.struct(F.when(~ok, F.col("value")).alias("raw_value"), F.col("reason").alias("why"), none.alias("field"),
+                     F.when(ok, F.lit(RAW_LANE)).otherwise(F.lit(QUARANTINE_LANE)).alias("lane"))
+    fields = F.transform(rejected_fields("payload"), lambda x: F.struct(
+        x["value"].alias("raw_value"), x["reason"].alias("why"), x["field"].alias("field"), F.lit(REJECTS_LANE).alias("lane")))
+    laned = with_record_metadata(tagged).select(
+        "record_metadata", "payload", ingest_date().alias("ingest_date"),
+        F.inline(F.when(ok, F.concat(F.array(whole), fields)).otherwise(F.array(whole))))
+    raw = F.col("lane") == RAW_LANE
+    return laned.select(
+        "record_metadata", F.when(raw, F.col("payload")).alias("record_content"),
+        F.when(raw, json_time_ntz("payload", "T")).alias("trade_time"),
+        "raw_value", F.col("why").alias("reason"), "field", "lane", "ingest_date")
 
 
 def write_bronze(stream: DataFrame, path: str, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
-    """Topic stream -> admission -> raw layer (append), rejects -> quarantine lane.
+    """Topic stream -> admission -> raw layer (append), rejected messages
+    -> quarantine lane, rejected fields -> rejects lane.
 
     One file-sink query: each message is read and parsed once, the output is
     exactly-once, and its commit log lets a downstream stream read new raw
@@ -162,3 +170,11 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.schema(LANDING_SCHEMA).parquet(path)
     return df.filter(F.col("lane") == QUARANTINE_LANE).select(
         "record_metadata", "raw_value", "reason", "ingest_date")
+
+
+def read_rejected_fields(spark: SparkSession, path: str) -> DataFrame:
+    """F2/F3 lane: a raw row's metadata and each field of it that reads as
+    NULL downstream although the payload holds a value."""
+    df = spark.read.schema(LANDING_SCHEMA).parquet(path)
+    return df.filter(F.col("lane") == REJECTS_LANE).select(
+        "record_metadata", "field", F.col("raw_value").alias("value"), "reason", "ingest_date")

@@ -16,7 +16,7 @@ from barforge.sources import fixtures
 from barforge.sources.topic import read_bronze
 from barforge.streaming import storage as stg
 
-STREAMING = {"bronze_ingest", "silver_incremental", "gold_incremental", "backfill_gold",
+STREAMING = {"bronze_ingest", "ingest_rejects", "late_settled_bars", "silver_incremental", "gold_incremental", "backfill_gold",
              "recover_gold", "stream_bars_append", "stream_bars_update", "registered_layers", "ingest_to_gold", "ledger_layer_lag", "ledger_checks"}
 
 
