@@ -370,7 +370,7 @@ def q_recover_gold(spark, sf_dir):
             live, arrivals.read(), st.read_silver(spark, layout), TRADES_AS_OF))
 
     try:
-        lifecycle.recover(spark, name, start, validate)
+        lifecycle.recover(spark, name, start, validate, chk)
     finally:
         lifecycle.stop_query(spark, name)
     return st.read_gold(spark, layout)

@@ -1,7 +1,7 @@
 """T6/T7 and the status document of a running pipeline.
 
 * :func:`recover` -- stop the named query if it runs (a missing one is
-  fine), start it again from its checkpoint, then run the health checks
+  fine), check its checkpoint, start it again from there, then run the health checks
   (pipeline status, raw-layer recency, silver lag), like the reference's
   drop-connector / configure / validate sequence.
 * :func:`status_from_queries` -- the pipeline status document (M8 input)
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from barforge.operators import checks
+from barforge.streaming.state_check import require_sound
 
 
 def stop_query(spark: SparkSession, name: str) -> bool:
@@ -52,14 +53,20 @@ def status_from_queries(spark: SparkSession, name: str,
 
 
 def recover(spark: SparkSession, name: str, start: Callable[[], StreamingQuery],
-            validate: Callable[[StreamingQuery], DataFrame]) -> tuple[StreamingQuery, DataFrame]:
+            validate: Callable[[StreamingQuery], DataFrame],
+            checkpoint: str | None = None) -> tuple[StreamingQuery, DataFrame]:
     """Restart the pipeline query from its checkpoint and validate it.
 
+    With ``checkpoint`` a damaged one is refused (``DamagedCheckpoint``) before
+    anything starts.
+
     ``start`` must build the query with the same checkpoint location (so it
     resumes where the stopped one left off); ``validate`` receives the new
     query and returns check rows (see :func:`health_checks`).
     """
     stop_query(spark, name)
+    if checkpoint:
+        require_sound(spark, checkpoint)
     q = start()
     return q, validate(q)
 
