@@ -10,14 +10,17 @@ preceding id beside it, a rectifier and a softmax over classes of ids; an id's
 share of its class is its count over all learning documents.
 
 The model is trained in numpy: learners (tasks) each take gradient steps over
-their share of a sample of the learning documents, and after every pass Spark
-averages their weights, sixteen at a time.  The sample is ``share`` of the
-documents, at least ``least_words`` words; word and subword counts cover all.
-
-Scoring looks frequent words (at most HOT_WORDS, each at most HOT_BYTES long)
-up in a broadcast table; every other word is joined with the counts, so a
-word that is frequent only in documents scored does not gather in one task
-more than adaptive execution lets it.
+their share of the documents, and after every pass Spark averages their
+weights, sixteen at a time.  The last pass goes over every learning document;
+those before it, which bring the weights near where learners may part, over
+``share`` of them, at least ``least_words`` words.  Word and subword counts,
+and the neighbours that classes are made of, cover all.
+
+Texts are read once: what training and scoring need of them (symbols, sums of
+counts) is written.  Reading looks frequent words (at most HOT_WORDS, each at
+most HOT_BYTES long) up in a broadcast table; every other word is joined with
+the counts, so a word that is frequent only in documents scored does not gather
+in one task more than adaptive execution lets it.
 
 Defined results: null texts are empty; an empty text is its end alone; null
 ids are never held out and keep their rows, as repeated rows do; an empty
@@ -120,51 +123,60 @@ def flat_pieces(words: list[bytes], pieces: Pieces) -> tuple[np.ndarray, np.ndar
 
 
 class Layout:
-    """Subword ids of many segments as rows of blocks: one block of context
-    (padding, or the ids before the segment), then the segment's inputs (the
-    end as the text's beginning, then its ids) and, at each input, the id that
-    follows (-1: none, -2: the end)."""
+    """Symbols of many segments as rows of blocks: one block of context
+    (padding, or the symbols before the segment), then the segment's inputs
+    (the end as the text's beginning, then its symbols) and, at each input, the
+    symbol that follows (PAD: none)."""
 
-    def __init__(self, ids: list[np.ndarray], first: list[bool], last: list[bool]):
-        sizes = [len(i) + bool(z) for i, z in zip(ids, last, strict=True)]  # targets
+    def __init__(self, symbols: list[np.ndarray], first: list[bool], last: list[bool]):
+        sizes = [len(i) + bool(z) for i, z in zip(symbols, last, strict=True)]  # targets
         blocks = np.array([1 + -(-n // STEP) for n in sizes], dtype=np.int64)
         self.starts = np.concatenate([[0], np.cumsum(blocks)])[:-1]
         n = int(blocks.sum()) * STEP
-        self.inputs, self.targets = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
-        before = np.full(STEP, -1, np.int32)
-        for at, own, is_first, is_last in zip((self.starts * STEP).tolist(), ids, first, last, strict=True):
-            if is_first:
-                before = np.concatenate([np.full(STEP, -1, np.int32), [-2]]).astype(np.int32)
-            line = np.concatenate([before, own])
+        self.inputs, self.targets = np.full(n, PAD, "<u2"), np.full(n, PAD, "<u2")
+        begin = np.array([PAD] * STEP + [END], "<u2")
+        before = begin
+        for at, own, is_first, is_last in zip((self.starts * STEP).tolist(), symbols, first, last, strict=True):
+            line = np.concatenate([begin if is_first else before, own])
             body = at + STEP + len(own) + bool(is_last)
             self.inputs[at:body] = line[:body - at]
             self.targets[at + STEP:at + STEP + len(own)] = own
             if is_last:
-                self.targets[body - 1] = -2
+                self.targets[body - 1] = END
             before = line[-STEP - 1:]
 
+    @classmethod
+    def of(cls, rows: list[list[bytes]]) -> Layout:
+        """Of the ``symbols`` of rows that :func:`read` wrote."""
+        return cls([np.frombuffer(part, "<u2") for row in rows for part in row],
+                   [i == 0 for row in rows for i in range(len(row))],
+                   [i == len(row) - 1 for row in rows for i in range(len(row))])
+
 
 class Alphabet:
     """Symbols and classes of subword ids, from their counts over the corpus
-    and from the neighbours they have in a sample."""
+    and the neighbours they have in it."""
 
     def __init__(self, counts: np.ndarray, ends: int):
         self.order = np.lexsort((np.arange(len(counts)), -counts))
         # One more place for the id -2 (end) and -1 (padding), at the end of the arrays.
-        self.symbol = np.full(len(counts) + 2, SYMBOLS - 1, np.int32)
+        self.symbol = np.full(len(counts) + 2, SYMBOLS - 1, "<u2")
         room = min(len(counts), SYMBOLS - 3)
         self.symbol[self.order[:room]] = np.arange(2, 2 + room)
         self.symbol[-1], self.symbol[-2] = PAD, END
-        self.counts, self.ends = counts, ends
+        # How often an id stands, the end and padding last; its log.
+        self.n = np.concatenate([counts, [ends, 0]]) + 0.5
+        self.n[-1] = 0
+        self.logs = np.log(np.maximum(self.n, 0.5))
         self.classes(np.zeros((SYMBOLS, 2 * (HEAD + 2)), np.float32))
 
     def neighbours(self, layout: Layout) -> np.ndarray:
         """How often each symbol follows and precedes each of the head."""
-        x = self.symbol[layout.inputs]
-        a, b = x[:-1].astype(np.int64), np.minimum(x[1:], HEAD + 1)
+        x = layout.inputs.astype(np.int64)
+        a, b = x[:-1], np.minimum(x[1:], HEAD + 1)
         wide = HEAD + 2
         after = np.bincount(a * 2 * wide + b, minlength=SYMBOLS * 2 * wide)
-        before = np.bincount(x[1:].astype(np.int64) * 2 * wide + wide + np.minimum(x[:-1], HEAD + 1), minlength=SYMBOLS * 2 * wide)
+        before = np.bincount(x[1:] * 2 * wide + wide + np.minimum(x[:-1], HEAD + 1), minlength=SYMBOLS * 2 * wide)
         return (after + before).reshape(SYMBOLS, 2 * wide).astype(np.float32)
 
     def classes(self, near: np.ndarray) -> None:
@@ -182,12 +194,10 @@ class Alphabet:
                 for c in np.unique(own):
                     centre[c] = np.average(x[own == c], axis=0, weights=weight[own == c])
             of_symbol[rest] = 1 + HEAD + own
-        self.target = of_symbol[self.symbol]
-        n = np.concatenate([self.counts, [self.ends, 0]]) + 0.5  # places of -2 and -1
-        n[-1] = 0
-        total = np.bincount(self.target[:-1], weights=n[:-1], minlength=CLASSES)
-        with np.errstate(divide="ignore"):
-            self.share = np.log(n / total[self.target])
+        self.of_symbol, self.target = of_symbol, of_symbol[self.symbol]
+        total = np.bincount(self.target[:-1], weights=self.n[:-1], minlength=CLASSES)
+        self.log_total = np.log(np.maximum(total, 0.5))
+        self.share = self.logs - self.log_total[self.target]
         self.share[-1] = 0.0
 
 
@@ -242,44 +252,60 @@ def summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return some[first], np.add.reduceat(rows[order], first, axis=0)
 
 
+APART = np.arange(STEP)[:, None] + STEP - np.arange(2 * STEP)[None, :]
+
+
 def gradient_step(w: Weights, inputs: np.ndarray, targets: np.ndarray, blocks: np.ndarray, rate: float = RATE) -> float:
     """One step on some blocks (rows of ``inputs`` symbols, ``targets``
     classes, -1 for none); returns the mean loss."""
     x = np.concatenate([inputs[blocks - 1], inputs[blocks]], axis=1)
     y = targets[blocks].ravel()
-    own, previous = x[:, STEP:], x[:, STEP - 1:-1]
-    q, k, v = w.rows[own][:, :, Q] * SCALE, w.rows[x][:, :, K], w.rows[x][:, :, V]
+    told = np.flatnonzero(y >= 0)
+    if not len(told):
+        return 0.0
+    rows = w.rows.take(x.ravel(), axis=0).reshape(*x.shape, -1)
+    q, k, v = rows[:, STEP:, Q] * SCALE, np.ascontiguousarray(rows[:, :, K]), np.ascontiguousarray(rows[:, :, V])
     q[:, :, -1] = 1.0
-    s = q @ k.transpose(0, 2, 1) + w.mask()
-    a = np.exp(s - s.max(axis=2, keepdims=True))
+    a = np.matmul(q, k.transpose(0, 2, 1))
+    a += w.mask()
+    a -= a.max(axis=2, keepdims=True)
+    np.exp(a, out=a)
     a /= a.sum(axis=2, keepdims=True)
-    z = a @ v + w.rows[own][:, :, OWN] + w.rows[previous][:, :, PREVIOUS]
+    z = np.matmul(a, v)
+    z += rows[:, STEP:, OWN]
+    z += rows[:, STEP - 1:-1, PREVIOUS]
     h = np.maximum(z, 0).reshape(-1, WIDTH)
-    p = h @ w.layer + w.bias
-    p = np.exp(p - p.max(axis=1, keepdims=True))
+    p = h @ w.layer
+    p += w.bias
+    p -= p.max(axis=1, keepdims=True)
+    np.exp(p, out=p)
     p /= p.sum(axis=1, keepdims=True)
-    told = np.flatnonzero(y >= 0)
-    if not len(told):
-        return 0.0
     loss = -np.log(np.maximum(p[told, y[told]], 1e-30)).mean()
     p[told, y[told]] -= 1
-    p[y < 0] = 0
+    if len(told) < len(y):
+        p[y < 0] = 0
     p /= len(told)
-    dz = ((p @ w.layer.T) * (h > 0)).reshape(z.shape)
-    da = dz @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    dq, dk, dv = ds @ k * SCALE, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dz
+    dz = p @ w.layer.T
+    dz *= h > 0
+    dz = dz.reshape(z.shape)
+    ds = np.matmul(dz, v.transpose(0, 2, 1))
+    ds -= (ds * a).sum(axis=2, keepdims=True)
+    ds *= a
+    dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
+    dq *= SCALE
     dq[:, :, -1], dk[:, :, -1] = 0, 0
-    steps = np.zeros((x.size, 5 * WIDTH), np.float32).reshape(*x.shape, 5 * WIDTH)
-    steps[:, :, K], steps[:, :, V] = dk, dv
+    steps = np.zeros(rows.shape, np.float32)
+    steps[:, :, K], steps[:, :, V] = dk, np.matmul(a.transpose(0, 2, 1), dz)
     steps[:, STEP:, Q], steps[:, STEP:, OWN] = dq, dz
     steps[:, STEP - 1:-1, PREVIOUS] = dz
-    ids, rows = summed(x.ravel(), steps.reshape(-1, 5 * WIDTH))
-    apart = np.arange(STEP)[:, None] + STEP - np.arange(2 * STEP)[None, :]
-    d_distance = np.bincount(np.clip(apart, 0, None).ravel(), weights=np.where(apart >= 0, ds.sum(axis=0), 0).ravel(), minlength=2 * STEP).astype(np.float32)[:2 * STEP]
-    squares = w.squares[0][ids] + rows**2
+    ids, d_rows = summed(x.ravel(), steps.reshape(-1, 5 * WIDTH))
+    squares = w.squares[0].take(ids, axis=0)
+    squares += d_rows * d_rows
     w.squares[0][ids] = squares
-    w.rows[ids] -= rate * rows / np.sqrt(squares)
+    d_rows *= rate
+    d_rows /= np.sqrt(squares, out=squares)
+    w.rows[ids] -= d_rows
+    d_distance = np.bincount(np.clip(APART, 0, None).ravel(), weights=np.where(APART >= 0, ds.sum(axis=0), 0).ravel(), minlength=2 * STEP).astype(np.float32)[:2 * STEP]
     for value, square, d in zip(w.arrays()[1:], w.squares[1:], (d_distance, h.T @ p, p.sum(axis=0)), strict=True):
         square += d**2
         value -= rate * d / np.sqrt(square)
@@ -420,16 +446,6 @@ def learned(sample: DataFrame, work, learners: int) -> tuple[int, list[np.ndarra
     return row["weight"], np.frombuffer(row["data"], "<f4")
 
 
-def lines(texts: list[str | None], pieces: Pieces) -> Layout:
-    ids, first, last = [], [], []
-    for text in texts:
-        parts = [flat_pieces(words, pieces)[0] for words in segments(text)]
-        ids += parts
-        first += [i == 0 for i in range(len(parts))]
-        last += [i == len(parts) - 1 for i in range(len(parts))]
-    return Layout(ids, first, last)
-
-
 class Model:
     """What scoring needs: the pieces, the alphabet and the weights."""
 
@@ -437,55 +453,28 @@ class Model:
         self.pieces, self.alphabet, self.weights = pieces, alphabet, weights
 
 
-def train(docs: DataFrame, counts: Counts, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-          share: float = SHARE, least_words: int = LEAST_WORDS, passes: int = PASSES) -> Model:
-    """The model, of a sample of ``docs`` drawn by a hash of id and text."""
+def untrained(counts: Counts, ranks: dict[bytes, int], pattern: str) -> Model:
+    """A model with the symbols of the counted words and weights to begin with."""
     pieces = Pieces(ranks, pattern)
-    alphabet = Alphabet(count_pieces(counts.table, pieces), counts.ends)
-    words = max(1, counts.tokens - counts.ends)
-    share = min(1.0, max(share, least_words / words))
-    drawn = F.pmod(F.xxhash64(docs[id_col].cast("string"), docs[text_col]), F.lit(1 << 30)) < int(share * (1 << 30))
-    learners = max(1, round(share * words / LEARNER_WORDS))
-    sample = written(docs.where(drawn).select(docs[text_col].cast("string").alias("text")).repartition(learners), "lm-sample")
-    if sample.isEmpty():
-        return Model(pieces, alphabet, Weights())
-    sample = sample.repartition(learners)
-    near = learned(sample, lambda texts: (float(len(texts)), (alphabet.neighbours(lines(texts, pieces)) / max(1, len(texts))).astype("<f4").tobytes()), learners)
-    alphabet.classes(near[1].reshape(SYMBOLS, -1))
-    weights = Weights()
-    for turn in range(passes):
-        now = weights.packed()
-
-        def work(texts: list[str | None], now: bytes = now, turn: int = turn) -> tuple[float, bytes]:
-            w, layout = Weights.unpacked(now), lines(texts, pieces)
-            x = alphabet.symbol[layout.inputs].reshape(-1, STEP)
-            y = np.where(layout.targets == -1, -1, alphabet.target[layout.targets]).reshape(-1, STEP)
-            some = np.random.default_rng(turn).permutation(np.flatnonzero((y >= 0).any(axis=1)))
-            for at in range(0, len(some), BATCH):
-                gradient_step(w, x, y, some[at:at + BATCH])
-            return float((y >= 0).sum()), w.packed()
+    return Model(pieces, Alphabet(count_pieces(counts.table, pieces), counts.ends), Weights())
 
-        weights = Weights.unpacked(learned(sample, work, learners)[1].astype("<f4").tobytes())
-    drop_written(sample)
-    return Model(pieces, alphabet, weights)
 
-
-def score(docs: DataFrame, counts: Counts, model: Model, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
-    score`` for every row; both scores are log10 probabilities."""
-    spark = docs.sparkSession
+def read(docs: DataFrame, counts: Counts, model: Model, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row as training and scoring need it, written: its tokens and the
+    base score of the hot ones, the ``rare`` others, the ``symbols`` of its
+    subword ids by segment, and the sum of the ``logs`` of their counts."""
     hot = [w for w, _ in counts.hot]
+    alphabet = model.alphabet
     flat, starts = flat_pieces(hot, model.pieces)
+    sums = np.concatenate([[0.0], np.cumsum(alphabet.logs[flat])])
     shares = counts.log_share(np.array([c for _, c in counts.hot], dtype=float))
-    end_share = float(counts.log_share(np.array([counts.ends]))[0])
-    given = spark.sparkContext.broadcast((hot, flat, starts, shares, model))
+    given = docs.sparkSession.sparkContext.broadcast((hot, alphabet.symbol[flat], starts, np.diff(sums[starts]), shares, model.pieces, alphabet.symbol, alphabet.logs))
+    end_share, end_log = float(counts.log_share(np.array([counts.ends]))[0]), float(alphabet.logs[-2])
     ends = counts.ends
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, flat, starts, shares, model = given.value
-        places = dict(zip(hot, range(len(hot)), strict=True))
-        alphabet, scorer = model.alphabet, Scorer(model.weights)
-        get = places.get
+        hot, flat, starts, word_logs, shares, pieces, symbol, logs = given.value
+        get = dict(zip(hot, range(len(hot)), strict=True)).get
 
         def answer(texts: list[str | None]) -> tuple[list, ...]:
             n = len(texts)
@@ -502,34 +491,119 @@ def score(docs: DataFrame, counts: Counts, model: Model, held_out: Column, id_co
             cuts = np.searchsorted(document[miss], np.arange(n + 1)).tolist()
             rare = [more[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             # Subword ids of all words in order: hot ones from the table, others behind it.
-            own, own_starts = flat_pieces(more, model.pieces)
+            own, own_starts = flat_pieces(more, pieces)
             begin, length = starts[at], np.diff(starts, append=0)[at]
             begin[miss], length[miss] = own_starts[:-1] + len(flat), np.diff(own_starts)
+            told = np.bincount(document[hit], weights=word_logs[at[hit]], minlength=n) + end_log
+            told += np.bincount(np.repeat(document[miss], length[miss]), weights=logs[own], minlength=n)
             stop = np.cumsum(length)
-            whole = np.concatenate([flat, own])[np.repeat(begin - (stop - length), length) + np.arange(int(stop[-1]) if len(stop) else 0)]
+            whole = np.concatenate([flat, symbol[own]])[np.repeat(begin - (stop - length), length) + np.arange(int(stop[-1]) if len(stop) else 0)]
             bounds = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
-            ids = [whole[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            change = owner[1:] != owner[:-1]
-            layout = Layout(ids, [True, *change.tolist()], [*change.tolist(), True])
-            told = scorer(alphabet.symbol[layout.inputs], alphabet.target[layout.targets]) + alphabet.share[layout.targets]
-            told[layout.targets == -1] = 0.0
-            total = np.bincount(owner, weights=np.add.reduceat(told, layout.starts * STEP), minlength=n)
-            return tokens, known, base, total / np.log(10), rare
+            symbols: list[list[bytes]] = [[] for _ in texts]
+            for i, a, b in zip(owner.tolist(), bounds[:-1], bounds[1:], strict=True):
+                symbols[i].append(whole[a:b].tobytes())
+            return tokens, known, base, told, rare, symbols
 
         for batch in batches:
             for part in byte_slices(batch, SEGMENT):
-                tokens, known, base, total, rare = answer(part.column(0).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(tokens), pa.array(known), pa.array(base), pa.array(total), pa.array(rare, pa.list_(pa.binary()))],
-                                                 names=[*part.schema.names[1:], "n_tokens", "n_known", "base_score", "score", "rare"])
+                tokens, known, base, told, rare, symbols = answer(part.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(tokens), pa.array(known), pa.array(base), pa.array(told), pa.array(rare, pa.list_(pa.binary())), pa.array(symbols, pa.list_(pa.binary()))],
+                                                 names=[*part.schema.names[1:], "n_tokens", "n_known", "base_score", "logs", "rare", "symbols"])
 
     narrow = docs.select(docs[text_col].cast("string").alias("text"), docs[id_col].alias("doc_id"), held_out.alias("held_out"), F.monotonically_increasing_id().alias("row"))
     kind = dict(narrow.dtypes)["doc_id"]
-    rows = written(narrow.mapInArrow(run, f"doc_id {kind}, held_out boolean, row long, n_tokens long, n_known long, base_score double, score double, rare array<binary>"), "lm-scores")
-    # The other words: their counts come by a join, and go back as sums.
+    return written(narrow.mapInArrow(run, f"doc_id {kind}, held_out boolean, row long, n_tokens long, n_known long, base_score double, logs double, rare array<binary>, symbols array<binary>"), "lm-read")
+
+
+def learn(rows: DataFrame, counts: Counts, model: Model, share: float = SHARE, least_words: int = LEAST_WORDS, passes: int = PASSES) -> Model:
+    """``model`` trained on all ``rows`` of :func:`read`: the last pass takes
+    every one, those before it the ones a hash of id and symbols draws."""
+    alphabet, weights = model.alphabet, model.weights
+    words = max(1, counts.tokens - counts.ends)
+    if rows.isEmpty():
+        return model
+
+    def dealt(share: float) -> tuple[DataFrame, int]:
+        learners = max(1, round(share * words / LEARNER_WORDS))
+        drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "symbols"), F.lit(1 << 30)) < int(share * (1 << 30))
+        return rows.where(drawn).select("symbols").repartition(learners), learners
+
+    everything, learners = dealt(1.0)
+    near = learned(everything, lambda part: (float(len(part)), (alphabet.neighbours(Layout.of(part)) / max(1, len(part))).astype("<f4").tobytes()), learners)
+    alphabet.classes(near[1].reshape(SYMBOLS, -1))
+    of_symbol = alphabet.of_symbol
+    for turn in range(passes):
+        now = weights.packed()
+
+        def work(part: list[list[bytes]], now: bytes = now, turn: int = turn) -> tuple[float, bytes]:
+            w, layout = Weights.unpacked(now), Layout.of(part)
+            x = layout.inputs.reshape(-1, STEP)
+            y = np.where(layout.targets == PAD, -1, of_symbol[layout.targets]).reshape(-1, STEP)
+            some = np.random.default_rng(turn).permutation(np.flatnonzero((y >= 0).any(axis=1)))
+            for at in range(0, len(some), BATCH):
+                gradient_step(w, x, y, some[at:at + BATCH])
+            return float((y >= 0).sum()), w.packed()
+
+        some, learners = dealt(1.0 if turn == passes - 1 else min(1.0, max(share, least_words / words)))
+        weight, mean = learned(some, work, learners)
+        if weight:  # nothing drawn leaves the weights as they are
+            weights = Weights.unpacked(mean.astype("<f4").tobytes())
+    return Model(model.pieces, alphabet, weights)
+
+
+def train(docs: DataFrame, counts: Counts, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
+          share: float = SHARE, least_words: int = LEAST_WORDS, passes: int = PASSES) -> Model:
+    """The model of all ``docs`` (see :func:`learn`)."""
+    model = untrained(counts, ranks, pattern)
+    rows = read(docs, counts, model, F.lit(False), id_col, text_col)
+    out = learn(rows, counts, model, share, least_words, passes)
+    drop_written(rows)
+    return out
+
+
+def score_rows(rows: DataFrame, counts: Counts, model: Model) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
+    score`` for every row of :func:`read`; both scores are log10 probabilities."""
+    given = rows.sparkSession.sparkContext.broadcast((model.weights, model.alphabet.of_symbol, model.alphabet.log_total))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, of_symbol, log_total = given.value
+        scorer = Scorer(weights)
+        for batch in batches:
+            for part in symbol_slices(batch):
+                layout = Layout.of(part.column(0).to_pylist())
+                classes = of_symbol[layout.targets]
+                told = scorer(layout.inputs, classes) - log_total[classes]
+                told[layout.targets == PAD] = 0.0
+                by_segment = np.add.reduceat(told, layout.starts * STEP)
+                owner = np.repeat(np.arange(part.num_rows), np.diff(part.column(0).offsets.to_numpy()))
+                total = np.bincount(owner, weights=by_segment, minlength=part.num_rows) + part.column(1).to_numpy()
+                yield pa.RecordBatch.from_arrays([*part.columns[2:], pa.array(total / np.log(10))], names=[*part.schema.names[2:], "score"])
+
+    carried = ["doc_id", "held_out", "row", "n_tokens", "n_known", "base_score"]
+    kinds = dict(rows.dtypes)
+    scored = rows.select("symbols", "logs", *carried).mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in carried) + ", score double")
+    # The words that are not hot: their counts come by a join, and go back as sums.
     apart = rows.select("row", F.explode("rare").alias("word")).join(counts.table, "word", "left")
     c = F.coalesce("c", F.lit(0))
     logs = F.log10((c + 0.5) / F.lit(counts.tokens + 0.5 * (counts.distinct + 1)))
     sums = apart.groupBy("row").agg(F.sum(logs).alias("more"), F.sum((c > 0).cast("long")).alias("seen"))
-    whole = rows.drop("rare").join(sums, "row", "left")
+    whole = scored.join(sums, "row", "left")
     return whole.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("seen", F.lit(0))).alias("n_known"), F.lit(counts.tokens).cast("long").alias("train_tokens"),
                         (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+
+
+def symbol_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about SEGMENT bytes of symbols (its first column), a row at least."""
+    sizes = np.cumsum([sum(map(len, row)) for row in batch.column(0).to_pylist()])
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        n = max(1, int(np.searchsorted(sizes, before + SEGMENT, side="right")) - at)
+        yield batch.slice(at, n)
+        at += n
+
+
+def score(docs: DataFrame, counts: Counts, model: Model, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`score_rows` of all ``docs``."""
+    return score_rows(read(docs, counts, model, held_out, id_col, text_col), counts, model)

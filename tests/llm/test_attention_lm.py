@@ -142,3 +142,15 @@ def test_means_of_many_learners(spark):
 
 def test_nothing_to_score(spark, empty, tmp_path):  # noqa: F811
     assert run_query(spark, empty, tmp_path) == []
+
+
+def test_every_learning_document_trains(spark):
+    """Whatever a document holds, wherever it stands, moves its symbols' rows
+    and counts among the neighbours that classes are made of."""
+    docs = documents(spark, [prose(i, 40) for i in range(30)] + [f"zebra{i} quartz{i * 37} jumbo{i}xy" for i in range(30)])
+    counts = lm.Counts(lm.count_words(docs))
+    model = lm.train(docs, counts, RANKS, public_tokenizers.PATTERN, share=1 / 1000, least_words=1)
+    ids = {i for _, text in rows_of(docs) for w in lm.words_of(text) for i in model.pieces(w)}
+    seen = model.weights.squares[0][np.unique(model.alphabet.symbol[sorted(ids)])]
+    assert len(ids) > 100 and (seen != np.float32(1e-3)).any(axis=1).all()
+    assert (model.alphabet.target[sorted(ids)] < lm.CLASSES - 1).all()
