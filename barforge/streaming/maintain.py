@@ -4,7 +4,9 @@ micro-batch at a time (``foreachBatch``), with no watermark and no late drop.
 Per batch:
 
 1. winners of the batch itself (parse -> validity filter -> keep-latest),
-   cached (recomputable from the batch's source files);
+   cached (recomputable from the batch's source files); the parse belongs to
+   the streaming plan, where the scan reads only the VARIANT paths it names (a
+   batch handed to ``foreachBatch`` has no scan to push them into);
 2. the stored rows of the same keys are read from the touched
    ``(symbol_key, id_block)`` partitions only and merged with the same total
    order as the batch rebuild; touched partitions are joined with, never
@@ -60,6 +62,7 @@ from barforge.streaming import storage as st
 from barforge.streaming.storage import Layout
 
 TOUCHED = ("symbol", "minute_bucket")
+RAW_TIME = "raw_time"
 _ONE_MINUTE = _dt.timedelta(minutes=1)
 
 
@@ -83,6 +86,14 @@ class Staged:
     delta: str      # per-bar changes; its _SUCCESS marks the whole stage complete
 
 
+def typed_rows(raw: DataFrame, mode: str = "permissive") -> DataFrame:
+    """Raw rows as a batch takes them: parsed, with the raw row's own trade
+    time (``raw_time``).  Rows that are typed already stay as they are."""
+    if RAW_TIME in raw.columns:
+        return raw
+    return parse_trades(raw.withColumn(RAW_TIME, bronze_trade_time(raw)), mode, keep=(RAW_TIME,))
+
+
 def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
                  mode: str = "permissive") -> Staged | None:
     """Steps 1-3: stage the batch's silver changes and bar delta.
@@ -100,11 +111,12 @@ def stage_silver(batch: DataFrame, batch_id: int, layout: Layout, tag: str,
         return staged                                   # replay: publish what was staged
 
     seen = Observation()
-    measures = [F.count(F.lit(1)).alias("raw_rows"), F.max(bronze_trade_time(batch)).alias("last_raw")]
-    unseen, batch = batch, batch.observe(seen, *measures)
+    measures = [F.count(F.lit(1)).alias("raw_rows"), F.max(RAW_TIME).alias("last_raw")]
+    unseen = typed_rows(batch, mode)
+    batch = unseen.observe(seen, *measures).drop(RAW_TIME)
     # Cached, not staged: a lost cache block is recomputed from the batch's
     # source files, which stay in place until the batch commits.
-    incoming = st.with_block(silver_projection(dedup_latest(valid_trades(parse_trades(batch, mode)))),
+    incoming = st.with_block(silver_projection(dedup_latest(valid_trades(batch))),
                              layout.id_block_size).persist(StorageLevel.MEMORY_AND_DISK)
     previous = winners = None
     try:
@@ -389,7 +401,7 @@ def maintain(stream: DataFrame, layout: Layout, checkpoint: str, trigger: dict |
     def run(batch: DataFrame, batch_id: int) -> None:
         upsert_batch(batch, batch_id, layout, tag, mode)
 
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    writer = typed_rows(stream, mode).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     return writer.trigger(**(trigger or {"processingTime": "60 seconds"})).start()

@@ -468,3 +468,14 @@ def test_plans_do_not_grow_with_touched_blocks(spark, raw):
     plan = spark.range(9).selectExpr("'s_BTCUSDT' AS symbol_key", "id AS id_block").join(
         stg.partition_rows(spark, stg.SILVER_PARTS, blocks, mt.SILVER_PART_DDL), list(stg.SILVER_PARTS), "left_semi")
     assert plan.count() == 9 and len(plan._jdf.queryExecution().executedPlan().toString()) < 20_000
+
+
+def test_the_stream_hands_typed_rows_to_its_batches(spark, raw, monkeypatch):
+    """A batch has no scan to push VARIANT paths into: the parse precedes it."""
+    root = stg.os.path.join(fresh_dir(spark, "typedbatch"), "t")
+    raw([(meta(5), trade(t=1)), (meta(6), trade(t=2, T="bad"))]).write.parquet(root + "/raw")
+    seen = []
+    monkeypatch.setattr(mt, "upsert_batch", lambda batch, *_: seen.append((dict(batch.dtypes), batch.count())))
+    stream = spark.readStream.schema("record_metadata variant, record_content variant").parquet(root + "/raw")
+    mt.maintain(stream, stg.Layout(root + "/tables"), root + "/chk", trigger={"availableNow": True}).awaitTermination()
+    assert seen and "variant" not in seen[0][0].values() and seen[0][0]["raw_time"] == "timestamp_ntz" and seen[0][1] == 2
