@@ -72,3 +72,17 @@ def test_fixture_bars_and_lane_equal_the_exact_bars(spark):
 def test_empty_layers(spark):
     root = fresh_dir(spark, "lateempty")
     assert late.settle(late.read_closed_bars(spark, root), late.read_closed_trades(spark, root), late.read_late(spark, root)).count() == 0
+
+
+def test_copies_travel_as_lines_and_come_back_whole(spark):
+    """The state keeps a minute's copies as texts of at most CHUNK lines; none
+    of their values changes on the way."""
+    rows = spark.sql(f"""select * from values
+        ('trade', timestamp_ntz'2024-01-01 00:00:00.005', 'A\\n"B', 1L, 99999999999999999999.999999999999999999BD, 0.000000000000000001BD, null, 2L, timestamp_ntz'0001-01-01 00:00:00', true, timestamp_ntz'9999-12-31 23:59:59.999'),
+        (null, null, '', -9223372036854775807L, -1BD, 0BD, 1L, null, timestamp_ntz'1969-12-31 23:59:59.999', null, null)
+        as t({', '.join(c.split(' ')[0] for c in late.TRADES_DDL.replace('(38,18)', '').split(', ')) })""").to(late.TRADES_SCHEMA)
+    held = rows.select(late._packed().alias("copy"))
+    texts = list(late._chunks(iter(held.collect() * 1024)))
+    assert [t.count("\n") + 1 for t in texts] == [late.CHUNK, late.CHUNK]
+    back = late._unpacked(spark.createDataFrame([(texts[0], late.CLOSED)], "copies string, lane string"))
+    assert sorted(map(str, back.drop("lane").distinct().collect())) == sorted(map(str, rows.collect())) and back.count() == late.CHUNK
