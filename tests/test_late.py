@@ -4,6 +4,7 @@ import os
 
 from conftest import SF_SMALL, meta, trade
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from barforge.operators.gold import gold_trades_1m
 from barforge.operators.silver import silver_trades
@@ -80,7 +81,7 @@ def test_copies_travel_as_lines_and_come_back_whole(spark):
     rows = spark.sql(f"""select * from values
         ('trade', timestamp_ntz'2024-01-01 00:00:00.005', 'A\\n"B', 1L, 99999999999999999999.999999999999999999BD, 0.000000000000000001BD, null, 2L, timestamp_ntz'0001-01-01 00:00:00', true, timestamp_ntz'9999-12-31 23:59:59.999'),
         (null, null, '', -9223372036854775807L, -1BD, 0BD, 1L, null, timestamp_ntz'1969-12-31 23:59:59.999', null, null)
-        as t({', '.join(c.split(' ')[0] for c in late.TRADES_DDL.replace('(38,18)', '').split(', ')) })""").to(late.TRADES_SCHEMA)
+        as t({', '.join(late.TRADE_KINDS) })""").to(StructType.fromDDL(late.TRADES_DDL))
     held = rows.select(late._packed().alias("copy"))
     texts = list(late._chunks(iter(held.collect() * 1024)))
     assert [t.count("\n") + 1 for t in texts] == [late.CHUNK, late.CHUNK]
