@@ -1,18 +1,16 @@
 """Byte-level BPE encoding and decoding.
 
-The text is split by the tokenizer's pattern.  The merges of a word are a fold
-in Spark's higher-order functions: the state is the ids of the word's pieces
-and the rank of each neighbouring pair; a step joins the leftmost pair of
-lowest rank and looks up the two pairs this makes.  The ranks are literals in
-the plan.
+The text is split by the tokenizer's pattern, in Spark's expressions.  A word's
+merges join the leftmost pair of lowest rank until none is left; tasks do it
+for one word at a time, and each word's ids depend on nothing but the word.
 
 Words are encoded once per distinct word where that pays: all documents' words
 are counted, the most frequent ones (at most ``max_words`` of at most
-``MAX_HOT_BYTES`` bytes, so the table's size has a proven bound) are folded
-once and broadcast; any other word is folded where it stands, once per
-document.  The bound decides where a word is encoded, never whether or how.
-Words over ``LONG_BYTES`` bytes, for which a fold over arrays would copy
-quadratically, follow the same merge rule with a heap.
+``MAX_HOT_BYTES`` bytes, so the table's size has a proven bound) are merged
+once, by tasks, and broadcast; any other word is merged where it stands, once
+per slice of documents.  The bound decides where a word is encoded, never
+whether or how.  Words over ``LONG_BYTES`` bytes, for which shifting a list of
+pieces would cost quadratically, follow the same merge rule with a heap.
 
 Decoding concatenates the pieces' bytes.  A null text counts as empty: no ids,
 the digests of nothing.  Repeated rows each get their own result; an empty
@@ -25,8 +23,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +37,10 @@ from .common import drop_written, written
 #: Most words, and most bytes of each, in the broadcast table.
 MAX_HOT_WORDS = 1 << 20
 MAX_HOT_BYTES = 32
-#: Longest word that the fold in the plan takes.
+#: Longest word that is merged in a list.
 LONG_BYTES = 128
-#: Documents looked up at once, to bound a worker's memory.
-SLICE = 2048
+#: Words looked up at once (a document's at least), to bound a worker's memory.
+SLICE = 1 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -56,109 +54,6 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
 
 
-class RankMap:
-    """The ranks of pairs as two binary literals in the plan.
-
-    Ids are two bytes, the larger first, so binaries compare as numbers do; a
-    pair's key is its ids, four bytes.  Spark scans a map literal from its
-    start, so every pair stands instead in one of its two places, found by
-    CRC32, as key and rank.  A pair is in the second table only if its place
-    in the first is taken.
-    """
-
-    PLACES = (262_139, 131_071)
-    EMPTY = bytes(6)
-
-    def __init__(self, ranks: dict[bytes, int]):
-        if max(ranks.values(), default=0) >= 1 << 16:
-            raise ValueError("ranks must be below 65536")
-        ids = {piece: rank.to_bytes(2, "big") for piece, rank in ranks.items()}
-        pairs = [ids[piece[:cut]] + ids[piece[cut:]] + own for piece, own in ids.items()
-                 for cut in range(1, len(piece)) if piece[:cut] in ids and piece[cut:] in ids]
-        first, second = self.settle(pairs)
-        # One constant, which a fold binds once: every mention of a literal is a copy in the plan.
-        self.tables = F.struct(F.lit(bytearray(first)).alias("first"), F.lit(bytearray(second)).alias("second"),
-                               F.lit(bytearray(b"".join(ids.get(bytes([i]), b"\0\0") for i in range(256)))).alias("bytes"))
-
-    @classmethod
-    def settle(cls, entries: list[bytes]) -> list[bytes]:
-        """Cuckoo hashing: a newcomer moves the pair in its place to the other table."""
-        tables = [{}, {}]
-        for entry in entries:
-            table = 0
-            for _ in range(500):
-                at = zlib.crc32(entry[:4]) % cls.PLACES[table]
-                entry, tables[table][at] = tables[table].get(at), entry
-                if entry is None:
-                    break
-                table = 1 - table
-            else:
-                raise ValueError("no place for a pair")
-        return [b"".join(t.get(i, cls.EMPTY) for i in range(n)) for t, n in zip(tables, cls.PLACES, strict=True)]
-
-    @classmethod
-    def pair(cls, t: Column, key: Column) -> Column:
-        """Rank of the joined pair, null if it does not join.  (No pair's key
-        is four zero bytes: id 0 does not join itself in a usable vocabulary;
-        if it did, its rank would be found all the same.)"""
-
-        def entry(table: int) -> Column:
-            return F.substring(t["second" if table else "first"], (F.crc32(key) % cls.PLACES[table]).cast("int") * 6 + 1, F.lit(6))
-
-        def rank(e: Column, otherwise) -> Column:
-            return F.when(F.substring(e, 1, 4) == key, F.substring(e, 5, 2)).otherwise(otherwise)
-
-        none = F.lit(None).cast("binary")
-        return bind(entry(0), lambda e: F.when(e == F.lit(bytearray(cls.EMPTY)), none).otherwise(rank(e, bind(entry(1), lambda f: rank(f, none)))))
-
-
-def bind(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once."""
-    return F.transform(F.array(value), body).getItem(0)
-
-
-def let(value: Column, s: Column, body) -> Column:
-    """``body(s, value)`` with ``value`` computed once, for a state ``s`` that
-    comes back: unlike ``transform``, ``aggregate`` does not copy it."""
-    return F.aggregate(F.array(value), s, body)
-
-
-def fold_merges(word: Column, ranks: RankMap) -> Column:
-    """Ids of one word by merges alone, two bytes each in one binary.
-
-    The state is an array of pieces: a piece is its id, followed by the rank
-    of the pair it makes with the next one, if they join.
-    """
-    nothing = F.lit(bytearray())
-
-    def head(x: Column) -> Column:
-        return F.substring(x, 1, 2)
-
-    def piece(t: Column, own: Column, after: Column) -> Column:
-        joined = F.when(after.isNotNull(), ranks.pair(t, F.concat(own, after)))
-        return F.concat(own, F.coalesce(joined, nothing))
-
-    def merge(t: Column, s: Column, least: Column) -> Column:
-        i, m = least["i"], least["m"]  # the place of the pair's first piece, from 1, and its rank
-        before = F.when(i > 1, F.array(piece(t, head(F.element_at(s, i - 1)), m))).otherwise(F.array().cast("array<binary>"))
-        return F.concat(F.slice(s, F.lit(1), F.greatest(i - 2, F.lit(0))), before,
-                        F.array(piece(t, m, head(F.get(s, i + 1)))), F.slice(s, i + 2, F.size(s)))
-
-    def step(t: Column, s: Column) -> Column:
-        # The least rank, and of equal ones the leftmost.
-        least = F.array_min(F.transform(s, lambda x, j: F.when(F.octet_length(x) == 4, F.struct(F.substring(x, 3, 2).alias("m"), (j + 1).alias("i")))))
-        return let(least, s, lambda s, least: F.when(least.isNull(), s).otherwise(merge(t, s, least)))
-
-    def fold(t: Column, p: Column) -> Column:
-        start = F.transform(p, lambda x, j: piece(t, x, F.get(p, j + 1)))
-        end = F.aggregate(F.sequence(F.lit(1), F.size(p)), start, lambda s, _: step(t, s))
-        return F.aggregate(end, nothing, lambda a, x: F.concat(a, head(x)))
-
-    # Every byte as one character of Latin-1, so that ascii() is its value.
-    letters = F.filter(F.split(F.decode(word.cast("binary"), "ISO-8859-1"), ""), lambda c: c != "")
-    return bind(ranks.tables, lambda t: bind(F.transform(letters, lambda c: F.substring(t["bytes"], F.ascii(c) * 2 + 1, F.lit(2))), lambda p: fold(t, p)))
-
-
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same merge rule with a heap of pairs over a linked list."""
     if word in ranks:
@@ -190,106 +85,110 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if alive[i]]
 
 
-def whole_or(word: str, folded: bytes | None, ranks: dict[bytes, int]) -> bytes:
-    """Ids of a word, two bytes each: its own if it is a piece, else as
-    folded, else (a long word, not folded) by ``merge_long``."""
-    raw = word.encode()
-    whole = ranks.get(raw)
+def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word: its own if it is a piece, else by the merge rule."""
+    whole = ranks.get(word)
     if whole is not None:
-        return whole.to_bytes(2, "big")
-    return folded if folded is not None else np.array(merge_long(raw, ranks), dtype=">u2").tobytes()
-
-
-def hot_words(words: DataFrame, ranks: RankMap, max_words: int) -> pa.Table:
+        return [whole]
+    if len(word) > LONG_BYTES:
+        return merge_long(word, ranks)
+    none, get = 1 << 62, ranks.get
+    pieces = [word[i:i + 1] for i in range(len(word))]
+    joined = [get(word[i:i + 2], none) for i in range(len(word) - 1)]  # rank of each piece with the next
+    while joined:
+        least = min(joined)
+        if least == none:
+            break
+        i = joined.index(least)
+        pieces[i:i + 2] = [pieces[i] + pieces[i + 1]]
+        del joined[i]
+        if i:
+            joined[i - 1] = get(pieces[i - 1] + pieces[i], none)
+        if i < len(joined):
+            joined[i] = get(pieces[i] + pieces[i + 1], none)
+    return [ranks[p] for p in pieces]
+
+
+def hot_words(words: DataFrame, ranks, max_words: int) -> pa.Table:
     """``w, ids`` of the words that stand most often in all documents: those
     counted at least c times, for the smallest c >= 2 that lets at most
-    ``max_words`` in."""
+    ``max_words`` in.  ``ranks`` is a broadcast table; ids are of its width."""
     counts = written(words.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
                      .where((F.col("n") > 1) & (F.octet_length("w") <= MAX_HOT_BYTES)), "bpe-words")
     by_count = counts.groupBy("n").agg(F.count("*").alias("k"))  # at most sqrt(2 x all words) rows
     at_least = F.sum("k").over(Window.orderBy(F.col("n").desc()))
     least = by_count.withColumn("k", at_least).where(F.col("k") <= max_words).agg(F.min("n")).first()[0]
     hot = counts.where(F.col("n") >= least) if least else counts.limit(0)
-    out = hot.select("w", fold_merges(F.col("w"), ranks).alias("ids")).toArrow()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, kind = ranks.value, width(ranks.value)
+        for batch in batches:
+            ids = [np.array(merge_word(w.encode(), table), dtype=kind).tobytes() for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["w", "ids"])
+
+    out = hot.select("w").mapInArrow(run, "w string, ids binary").toArrow()
     drop_written(counts)
     return out
 
 
+def width(ranks: dict[bytes, int]) -> str:
+    """The numbers that ids travel as."""
+    return "<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4"
+
+
+def word_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about SLICE words (lists in the second column), a row at least."""
+    sizes = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        n = max(1, int(np.searchsorted(sizes, before + SLICE, side="right")) - at)
+        yield batch.slice(at, n)
+        at += n
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
            max_words: int = MAX_HOT_WORDS, then: tuple | None = None) -> DataFrame:
     """``doc_id, ids array<int>`` for every row.  ``then`` (see ``decoding``
     and ``digesting``) is what follows in the same Python worker."""
     sc = docs.sparkSession.sparkContext
-    literals = RankMap(ranks)
+    vocabulary = sc.broadcast(ranks)
     words = docs.select(docs[id_col].cast("long").alias("doc_id"), words_of(docs[text_col], pattern).alias("words"))
-    table = hot_words(words, literals, max_words)
+    table = hot_words(words, vocabulary, max_words)
     hot, ids = (table[c].combine_chunks() for c in ("w", "ids"))
-    hot = hot.cast(pa.string())
-    del table
-    # A word that is a piece itself is that piece; all others are as folded.
-    lists = [whole_or(w.as_py(), x.as_py(), ranks) for w, x in zip(hot, ids, strict=True)]
-    flat = np.frombuffer(b"".join(lists), ">u2").astype(np.int32)
-    ends = np.concatenate([[0], np.cumsum([len(x) // 2 for x in lists]), [0]]).astype(np.int64)  # one more, for no hot word at all
-    del lists, ids
-    shared = sc.broadcast((hot, flat, ends))  # at most max_words x (MAX_HOT_BYTES bytes and as many ids)
-    vocabulary = sc.broadcast(ranks)
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        value_set = shared.value[0]
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
-                lists = batch.column(1)
-                every = lists.flatten()
-                place = pc.index_in(every, value_set=value_set).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
-                missing = np.flatnonzero(place < 0)
-                texts = every.take(pa.array(missing)).to_pylist()
-                sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-                bounds = np.concatenate([[0], np.cumsum(sizes)])
-                cuts = np.searchsorted(missing, bounds).tolist()
-                rare: list[list[str]] = []
-                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                    seen: dict[str, int] = {}
-                    place[missing[a:b]] = [-1 - seen.setdefault(w, len(seen)) for w in texts[a:b]]
-                    rare.append(list(seen))
-                slots = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(place))
-                yield pa.RecordBatch.from_arrays([batch.column(0), slots, pa.array(rare, pa.list_(pa.string()))], names=["doc_id", "slots", "rare"])
-
-    found = words.mapInArrow(find, "doc_id long, slots array<int>, rare array<string>")
-    short = F.transform("rare", lambda w: F.when(F.octet_length(w) <= LONG_BYTES, fold_merges(w, literals)))
-    folded = found.select("doc_id", "slots", "rare", short.alias("folded"))
+    kind = np.dtype(width(ranks))
+    flat = np.frombuffer(b"".join(ids.to_pylist()), kind)
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(ids).to_numpy(zero_copy_only=False) // kind.itemsize)]).astype(np.int64)
+    shared = sc.broadcast((hot.cast(pa.string()), flat, ends))  # at most max_words x (MAX_HOT_BYTES bytes and as many ids)
+    del table, hot, ids
 
     def place_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, flat, ends = shared.value
-        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
-            out, sizes = [], [0]
-            for slots, rare, folded in zip(batch.column(1), batch.column(2), batch.column(3), strict=True):
-                slot = slots.values.to_numpy(zero_copy_only=False)
-                own = [whole_or(w, x, vocabulary.value) for w, x in zip(rare.as_py(), folded.as_py(), strict=True)]
-                lengths = np.array([len(x) // 2 for x in own], dtype=np.int64)
-                own_ends = np.concatenate([[0], np.cumsum(lengths)])
-                own_flat = np.frombuffer(b"".join(own), ">u2").astype(np.int32)
-                hot_slot = slot >= 0
-                start = ends[np.maximum(slot, 0)]
-                size = ends[np.maximum(slot, 0) + 1] - start
-                at = -1 - slot[~hot_slot]
-                start[~hot_slot] = own_ends[at]
-                size[~hot_slot] = lengths[at]
-                total = int(size.sum())
-                index = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(total)
-                from_own = np.repeat(~hot_slot, size)
-                tokens = np.empty(total, np.int32)
-                tokens[~from_own] = flat[index[~from_own]]
-                tokens[from_own] = own_flat[index[from_own]]
-                out.append(tokens)
-                sizes.append(sizes[-1] + total)
-            values = pa.array(np.concatenate(out) if out else np.empty(0, np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), values)], names=["doc_id", "ids"])
+        hot, flat, ends = shared.value
+        ranks = vocabulary.value
+        for batch in (part for whole in batches for part in word_slices(whole)):
+            lists = batch.column(1)
+            every = lists.flatten()
+            place = pc.index_in(every, value_set=hot).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
+            missing = np.flatnonzero(place < 0)
+            # Other words stand behind the hot ones, each once a slice.
+            seen: dict[str, int] = {}
+            place[missing] = [seen.setdefault(w, len(hot) + len(seen)) for w in every.take(pa.array(missing)).to_pylist()]
+            own = [merge_word(w.encode(), ranks) for w in seen]
+            all_flat = np.concatenate([flat, np.fromiter(chain.from_iterable(own), dtype=flat.dtype)])
+            all_ends = np.concatenate([ends, ends[-1] + np.cumsum(np.fromiter(map(len, own), dtype=np.int64, count=len(own)))])
+            start = all_ends[place]
+            size = all_ends[place + 1] - start
+            stop = np.concatenate([[0], np.cumsum(size)])
+            index = np.repeat(start - stop[:-1], size)
+            index += np.arange(len(index))
+            bounds = stop[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])]
+            values = pa.array(all_flat[index].astype(np.int32), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)], names=["doc_id", "ids"])
 
     if then is None:
-        return folded.mapInArrow(place_ids, "doc_id long, ids array<int>")
+        return words.mapInArrow(place_ids, "doc_id long, ids array<int>")
     follow, schema = then
-    return folded.mapInArrow(lambda batches: follow(place_ids(batches)), schema)
+    return words.mapInArrow(lambda batches: follow(place_ids(batches)), schema)
 
 
 def decoding(ranks: dict[bytes, int]) -> tuple:

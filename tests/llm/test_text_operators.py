@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -274,6 +275,34 @@ def test_heap_merges_equal_tiktoken():
         assert byte_bpe.merge_long(word.encode(), RANKS) == own.encode_ordinary(word)
 
 
+def test_short_merges_equal_tiktoken():
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    rng = random.Random(10)
+    for n in (*range(1, 40), byte_bpe.LONG_BYTES, byte_bpe.LONG_BYTES + 1):
+        for letters in ("ab", "etaoinshr東é", "thequickbrownfox"):
+            word = "".join(rng.choice(letters) for _ in range(n))
+            assert byte_bpe.merge_word(word.encode(), RANKS) == own._encode_single_piece(word.encode())
+
+
+def test_words_go_through_one_python_worker_a_task(spark):
+    out = byte_bpe.encode(documents(spark, ODD), RANKS, public_tokenizers.PATTERN, then=byte_bpe.digesting(RANKS))
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_ranks_over_two_bytes(spark):
+    wide = {piece: rank + 70_000 for piece, rank in RANKS.items()}
+    texts = ["the house of things"] * 3 + ["the thereinafter house"]
+    out = byte_bpe.encode(documents(spark, texts), wide, public_tokenizers.PATTERN)
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    assert sorted(r.ids for r in out.collect()) == sorted([i + 70_000 for i in own.encode_ordinary(t)] for t in texts)
+
+
+def test_slices_are_bounded_by_words(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "SLICE", 5)
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(7), "words": [["a"] * n for n in (2, 3, 0, 9, 1, 4, 1)]})
+    assert [part.column(0).to_pylist() for part in byte_bpe.word_slices(batch)] == [[0, 1, 2], [3], [4, 5], [6]]
+
+
 def test_digests(spark):
     texts = ["the house of things", "", None]
     out = byte_bpe.encode(documents(spark, texts), RANKS, public_tokenizers.PATTERN, then=byte_bpe.digesting(RANKS)).collect()
