@@ -41,14 +41,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import byte_slices, written
 from .vectors import sorted_groups
 
 #: Bytes of an anchor's gram.
 GRAM = 32
 #: Most contexts of one anchor, and bytes of text, that are sorted at once.
 GROUP = 8192
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
+#: Bytes of documents, and contexts, that a task takes in hand at once.
+SLICE_BYTES, SLICE_CONTEXTS = 1 << 22, 1 << 10
 #: Words of 64 bits in a bitmap.
 BITMAP_WORDS = 1 << 20
 #: Positions hashed at once, to bound memory on long texts.
@@ -144,43 +146,58 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 # ---- the difference-cover algorithm -------------------------------------
 
+def ranked(keys: np.ndarray) -> np.ndarray:
+    """Rank of each key among the distinct ones, in 32 bits."""
+    order = np.argsort(keys).astype(np.int32)
+    new = np.zeros(len(keys), dtype=np.int32)
+    some = keys[order]
+    new[1:] = some[1:] != some[:-1]
+    del some
+    out = np.empty(len(keys), dtype=np.int32)
+    out[order] = np.cumsum(new, dtype=np.int32)
+    return out
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Suffix array of whole numbers >= 1 by the difference cover {1, 2} mod 3."""
+    """Suffix array of fewer than 2^31 whole numbers >= 1 and < 2^31 by the
+    difference cover {1, 2} mod 3.  What is held over a recursion has 32 bits."""
     n = len(s)
     if n < 3:
-        return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), dtype=np.int64)
-    s = np.concatenate([s.astype(np.uint64), np.zeros(3, np.uint64)])
-    one, two, zero = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3), np.arange(0, n, 3)
+        return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), dtype=np.int32)
+    s = np.concatenate([s, np.zeros(3, s.dtype)]).astype(np.int32)
+    one, two, zero = (np.arange(a, b, 3, dtype=np.int32) for a, b in ((1, n + (n % 3 == 1)), (2, n), (0, n)))
     sample = np.concatenate([one, two])
-    top = np.uint64(int(s.max()) + 1)
+    top = int(s.max()) + 1
+    wide = lambda at: s[at].astype(np.uint64)
+    pairs = lambda at: wide(at) * np.uint64(top) + wide(at + 1)
     # Sort the sampled triples and name them by rank.
-    if int(top) ** 3 < 1 << 64:
-        names = np.unique((s[sample] * top + s[sample + 1]) * top + s[sample + 2], return_inverse=True)[1]
-    else:
-        pairs = np.unique(s[sample] * top + s[sample + 1], return_inverse=True)[1].astype(np.uint64)
-        names = np.unique(pairs * top + s[sample + 2], return_inverse=True)[1]
-    rank = np.zeros(n + 3, dtype=np.int64)
+    names = ranked((pairs(sample) if top**3 < 1 << 64 else ranked(pairs(sample)).astype(np.uint64)) * np.uint64(top) + wide(sample + 2))
+    rank = np.zeros(n + 3, dtype=np.int32)
     if len(names) and names.max() + 1 < len(names):
         # Names repeat: sort the string of names; its suffixes are the sample's.
-        order = suffix_array(names + 1)
-        rank[sample[order]] = np.arange(1, len(order) + 1)
+        names += 1
+        order = suffix_array(names)
+        rank[sample[order]] = np.arange(1, len(order) + 1, dtype=np.int32)
+        del order
     else:
         rank[sample] = names + 1
+    del names, sample
     # Merge: a remaining suffix is its first symbol and a ranked suffix.  It
     # comes after its own like, and after the sampled ones that are less.
     big = np.uint64(n + 3)
-    rank = rank.astype(np.uint64)
-    key_one = lambda i: s[i] * big + rank[i + 1]
+    key_one = lambda at: wide(at) * big + rank[at + 1].astype(np.uint64)
     mine = key_one(zero)
     order = np.argsort(mine, kind="stable")
     zero, mine = zero[order], mine[order]
     one, two = one[one < n], two[two < n]
-    less_one = np.searchsorted(np.sort(key_one(one)), mine)
-    pairs = np.unique(np.concatenate([s[zero] * top + s[zero + 1], s[two] * top + s[two + 1]]), return_inverse=True)[1].astype(np.uint64)
-    key_two = np.sort(pairs[len(zero):] * big + rank[two + 2])
-    less_two = np.searchsorted(key_two, pairs[:len(zero)] * big + rank[zero + 2])
-    out = np.empty(n, dtype=np.int64)
-    at = np.arange(len(zero)) + less_one + less_two
+    at = np.searchsorted(np.sort(key_one(one)), mine).astype(np.int32)
+    del mine, order
+    both = ranked(np.concatenate([pairs(zero), pairs(two)])).astype(np.uint64)
+    key_two = np.sort(both[len(zero):] * big + rank[two + 2].astype(np.uint64))
+    at += np.searchsorted(key_two, both[:len(zero)] * big + rank[zero + 2].astype(np.uint64)).astype(np.int32)
+    del both, key_two
+    at += np.arange(len(zero), dtype=np.int32)
+    out = np.empty(n, dtype=np.int32)
     taken = np.zeros(n, dtype=bool)
     taken[at] = True
     out[at] = zero
@@ -195,26 +212,35 @@ def repeated_windows(contexts: list[bytes], docs: np.ndarray, starts: np.ndarray
     sizes = np.array([len(c) for c in contexts], dtype=np.int64)
     text = np.frombuffer(b"\0".join(contexts) + b"\0", dtype=np.uint8)
     begins = np.cumsum(sizes + 1) - sizes - 1
-    symbols = text.astype(np.int64) + 2
+    symbols = text.astype(np.int32) + 2
     symbols[begins + sizes] = 1  # between contexts
+    whole = np.repeat(sizes >= length, sizes + 1)
+    ends = np.repeat(begins + sizes, sizes + 1)
+    whole &= np.arange(len(text)) + length <= ends
+    del ends
     order = suffix_array(symbols)
-    owner = np.repeat(np.arange(len(contexts)), sizes + 1)
-    offset = np.arange(len(text)) - begins[owner]
-    order = order[(sizes[owner] - offset)[order] >= length]
+    order = order[whole[order]]
     if len(order) < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     same = np.zeros(len(order), dtype=bool)
-    span = np.arange(length)
-    for a in range(1, len(order), 50_000):
-        i = order[a - 1:a + 50_000]
-        rows = text[i[:, None] + span]
-        same[a:a + len(i) - 1] = (rows[1:] == rows[:-1]).all(axis=1)
+    windows = np.lib.stride_tricks.sliding_window_view(text, length)
+    for a in range(1, len(order), 8192):
+        rows = windows[order[a - 1:a + 8192]]
+        same[a:a + len(rows) - 1] = (rows[1:] == rows[:-1]).all(axis=1)
+    # Only windows that stand twice or more need their places.
+    twin = same.copy()
+    twin[:-1] |= same[1:]
+    order, same = order[twin], same[twin]
+    if not len(order):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    owner = np.searchsorted(begins, order, side="right") - 1
+    offset = order - begins[owner]
     group = np.cumsum(~same) - 1
-    doc, start = docs[owner[order]], starts[owner[order]] + offset[order]
+    doc, start = docs[owner], starts[owner] + offset
     by = np.lexsort((start, doc, group))
     lead = by[np.searchsorted(group[by], np.arange(group[-1] + 1))]
     later = (doc != doc[lead][group]) | (start != start[lead][group])
-    return owner[order[later]], offset[order[later]]
+    return owner[later], offset[later]
 
 
 # ---- the distributed steps ----------------------------------------------
@@ -223,6 +249,11 @@ def batch_of(names: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names.split())
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about SLICE_BYTES of text (their second column), a row at least."""
+    return (part for batch in batches for part in byte_slices(batch, SLICE_BYTES, column=1))
+
+
 def texts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes]]:
     """(order of the document, version of its text, UTF-8 bytes)."""
     for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -235,7 +266,7 @@ def repeated_grams(docs: DataFrame, length: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
-        for batch in batches:
+        for batch in slices(batches):
             found = [anchors.of(raw)[0] for _, _, raw in texts_of(batch)]
             h, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
             yield batch_of("h n", h, n.astype(np.int64))
@@ -246,14 +277,14 @@ def repeated_grams(docs: DataFrame, length: int) -> np.ndarray:
 
 def context_occurrences(docs: DataFrame, grams, length: int) -> DataFrame:
     """``h, c, doc, ver, start, windows, gone``: the contexts (digest ``c``) of
-    repeated anchors, the earliest of each in a batch; the others' windows as
+    repeated anchors, the earliest of each in a slice; the others' windows as
     merged intervals with ``gone`` set (these have a ``c`` of their own, which
     deals them evenly)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
         names = "h c doc ver start windows gone"
-        for batch in batches:
+        for batch in slices(batches):
             cols: list[list[np.ndarray]] = [[] for _ in range(6)]
             for doc, ver, raw in texts_of(batch):
                 h, place, first, last = anchors.of(raw)
@@ -292,7 +323,7 @@ def contested_contexts(docs: DataFrame, places, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[] for _ in range(5)]
             for doc, ver, raw in texts_of(batch):
                 h, _, first, last = anchors.of(raw)
@@ -305,9 +336,9 @@ def contested_contexts(docs: DataFrame, places, length: int) -> DataFrame:
     return docs.mapInArrow(run, "h long, doc long, ver long, start long, context binary")
 
 
-def sorted_matches(contexts: DataFrame, length: int) -> DataFrame:
-    """``doc, ver, start, windows``: windows that equal an earlier one, by the
-    difference-cover algorithm over the contexts of whole anchors."""
+def sorted_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """``doc, ver, start, windows`` by pieces of whole anchors' contexts: a
+    piece is at most PIECE_BYTES, or one anchor's."""
 
     def matches(piece: pa.RecordBatch) -> pa.RecordBatch:
         doc, ver, start = (piece.column(k).to_numpy() for k in (1, 2, 3))
@@ -318,28 +349,32 @@ def sorted_matches(contexts: DataFrame, length: int) -> DataFrame:
         size = np.diff(np.concatenate([cut, [len(owner)]]))
         return batch_of("doc ver start windows", doc[owner[cut]], ver[owner[cut]], start[owner[cut]] + offset[cut], size.astype(np.int64))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for group in sorted_groups(batches, 1):
-            held.append(group)
-            size += group.column(4).nbytes
-            if size > PIECE_BYTES:
-                yield matches(pa.concat_batches(held))
-                held, size = [], 0
-        if held:
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for group in sorted_groups(batches, 1):
+        more = group.column(4).nbytes
+        if held and size + more > PIECE_BYTES:
             yield matches(pa.concat_batches(held))
+            held, size = [], 0
+        held.append(group)
+        size += more
+    if held:
+        yield matches(pa.concat_batches(held))
 
+
+def sorted_matches(contexts: DataFrame, length: int) -> DataFrame:
+    """``doc, ver, start, windows``: windows that equal an earlier one, by the
+    difference-cover algorithm over the contexts of whole anchors."""
     dealt = contexts.repartition("h").sortWithinPartitions("h")
-    return dealt.mapInArrow(run, "doc long, ver long, start long, windows long")
+    return dealt.mapInArrow(lambda batches: sorted_pieces(batches, length), "doc long, ver long, start long, windows long")
 
 
 def digested_matches(contexts: DataFrame, length: int) -> DataFrame:
     """The same for anchors with too many contexts to sort at once: windows by
-    128-bit digest, earliest place first; a batch sends each digest once."""
+    128-bit digest, earliest place first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE_CONTEXTS) for whole in batches for at in range(0, whole.num_rows, SLICE_CONTEXTS)):
             out: list[list] = [[] for _ in range(4)]
             for doc, ver, start, text in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True):
                 for o in range(len(text) - length + 1):
@@ -362,7 +397,7 @@ def removed_spans(docs: DataFrame, length: int) -> DataFrame:
     spark = docs.sparkSession
     grams = spark.sparkContext.broadcast(repeated_grams(docs, length))  # BITMAP_WORDS words
     found = context_occurrences(docs, grams, length)
-    # At most one row of a batch for each context: a group is bounded by the batches.
+    # At most one row of a slice for each context: a group is bounded by the slices.
     place = F.dense_rank().over(Window.partitionBy("h", "c").orderBy("doc", "start"))
     rows = written(found.withColumn("gone", F.col("gone") | (place > 1)).drop("c"), "suffix-contexts")
     leads = rows.where("NOT gone").select("h", "doc", "start")
@@ -391,18 +426,24 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     spans = removed_spans(narrow, length)
     bitmap = spark.sparkContext.broadcast(bitmap_of(spans.select("doc"), "doc"))  # BITMAP_WORDS words
 
-    def split(touched: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows = list(texts_of(batch))
-                hit = in_bitmap(bitmap.value, np.array([d for d, _, _ in rows], dtype=np.int64)) if rows else np.zeros(0, bool)
-                own = [(i, d, v, r) for i, (d, v, r) in enumerate(rows) if hit[i] == touched]
-                yield batch_of("doc_id doc ver raw", batch.column(0).take(pa.array([x[0] for x in own], pa.int64())), pa.array([x[1] for x in own], pa.int64()),
-                               pa.array([x[2] for x in own], pa.int64()), pa.array([x[3] for x in own], pa.binary()))
-        return narrow.mapInArrow(run, "doc_id long, doc long, ver long, raw binary")
+    def dealt(batches: Iterator[pa.RecordBatch], touched: bool) -> Iterator[tuple[pa.Array, list]]:
+        """Ids and (order, version, bytes) of the documents that lose bytes, or of the others."""
+        for batch in slices(batches):
+            rows = list(texts_of(batch))
+            hit = in_bitmap(bitmap.value, np.array([d for d, _, _ in rows], dtype=np.int64)) == touched
+            yield batch.column(0).filter(pa.array(hit)), [r for r, own in zip(rows, hit.tolist(), strict=True) if own]
+
+    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, own in dealt(batches, True):
+            yield batch_of("doc_id doc ver raw", ids, *(pa.array([x[k] for x in own], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, own in dealt(batches, False):
+            yield batch_of("doc_id kept n_bytes spans", ids, pa.array([x[2] for x in own], pa.binary()), pa.array([len(x[2]) for x in own], pa.int64()),
+                           pa.array([[]] * len(own), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kept, sizes, runs = [], [], []
             for raw, own in zip(batch.column(1), batch.column(2), strict=True):
                 raw = raw.as_py()
@@ -418,7 +459,6 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
             yield batch_of("doc_id kept n_bytes spans", batch.column(0), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()),
                            pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
 
-    kind = "array<struct<start:bigint,end:bigint>>"
-    touched = split(True).join(spans, ["doc", "ver"], "left").select("doc_id", "raw", "spans")
-    whole = split(False).select("doc_id", "raw", F.lit(None).cast(kind).alias("spans"))
-    return touched.unionByName(whole).mapInArrow(cut, f"doc_id long, kept binary, n_bytes long, spans {kind}")
+    out = "doc_id long, kept binary, n_bytes long, spans array<struct<start:bigint,end:bigint>>"
+    cuts = narrow.mapInArrow(touched, "doc_id long, doc long, ver long, raw binary").join(spans, ["doc", "ver"], "left").select("doc_id", "raw", "spans")
+    return cuts.mapInArrow(cut, out).unionByName(narrow.mapInArrow(whole, out))

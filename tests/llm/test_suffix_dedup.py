@@ -1,8 +1,10 @@
 """Suffix-array dedup against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from llm_fixtures import documents, empty, prose, ugly  # noqa: F401
 
 from barforge.llm import suffix_dedup
@@ -73,3 +75,37 @@ def test_long_texts_are_read_in_pieces(spark, monkeypatch):
     texts = [prose(1, 300), prose(2, 100) + prose(1, 300)[150:900]]
     df = documents(spark, texts)
     assert result(df) == brute(list(enumerate(texts, 1)))
+
+
+def near_copies(n):
+    rng, base = random.Random(5), prose(3, 60)[:168].encode()
+    return [base[:k] + bytes([rng.randrange(97, 123)]) + base[k + 1:] for k in (rng.randrange(len(base)) for _ in range(n))]
+
+
+def test_sorting_takes_few_bytes_a_symbol():
+    contexts = near_copies(4000)
+    places = np.arange(len(contexts))
+    tracemalloc.start()
+    owner, _ = suffix_dedup.repeated_windows(contexts, places, places * 0, 100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(owner) and peak < 80 * sum(map(len, contexts))
+
+
+def test_pieces_stay_under_their_bound(monkeypatch):
+    """Whole anchors are sorted together up to PIECE_BYTES; only one anchor's contexts may be more."""
+    sizes = []
+    contexts = near_copies(30)
+    rows = [(h, d, 0, 0, bytearray(c)) for h in (1, 2, 3, 4) for d, c in enumerate(contexts)]
+    table = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int64(),) * 4 + (pa.binary(),), strict=True)], names=["h", "doc", "ver", "start", "context"])
+    two = 2 * sum(map(len, contexts))
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", two * 11 // 10)  # Arrow's offsets count, too
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", lambda held, *rest: (sizes.append(sum(map(len, held))), (np.zeros(0, np.int64),) * 2)[1])
+    list(suffix_dedup.sorted_pieces(iter([table]), 100))
+    assert sizes == [two, two]
+
+
+def test_documents_are_taken_in_slices(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 100)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4, 5], "text": ["x" * 60, "é" * 20, None, "y" * 500, "z"]})
+    assert [part.column(0).to_pylist() for part in suffix_dedup.slices(iter([batch]))] == [[1, 2, 3], [4], [5]]
