@@ -40,7 +40,7 @@ MAX_HOT_BYTES = 32
 #: Longest word that is merged in a list.
 LONG_BYTES = 128
 #: Words looked up at once (a document's at least), to bound a worker's memory.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -167,19 +167,22 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         ranks = vocabulary.value
         for batch in (part for whole in batches for part in word_slices(whole)):
             lists = batch.column(1)
-            every = lists.flatten()
-            place = pc.index_in(every, value_set=hot).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
-            missing = np.flatnonzero(place < 0)
-            # Other words stand behind the hot ones, each once a slice.
-            seen: dict[str, int] = {}
-            place[missing] = [seen.setdefault(w, len(hot) + len(seen)) for w in every.take(pa.array(missing)).to_pylist()]
-            own = [merge_word(w.encode(), ranks) for w in seen]
-            all_flat = np.concatenate([flat, np.fromiter(chain.from_iterable(own), dtype=flat.dtype)])
-            all_ends = np.concatenate([ends, ends[-1] + np.cumsum(np.fromiter(map(len, own), dtype=np.int64, count=len(own)))])
-            start = all_ends[place]
-            size = all_ends[place + 1] - start
-            stop = np.concatenate([[0], np.cumsum(size)])
-            index = np.repeat(start - stop[:-1], size)
+            words = lists.flatten().dictionary_encode()
+            # The slice's distinct words among the hot ones: the smaller side is the one hashed.
+            found = pc.index_in(hot, value_set=words.dictionary)
+            own = found.drop_null().to_numpy()
+            start, size = np.full(len(words.dictionary), -1), np.zeros(len(words.dictionary), np.int64)
+            place = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+            start[own], size[own] = ends[place], ends[place + 1] - ends[place]
+            # The others stand behind them, each once a slice.
+            missing = np.flatnonzero(start < 0)
+            merged = [merge_word(w.encode(), ranks) for w in words.dictionary.take(pa.array(missing)).to_pylist()]
+            size[missing] = np.fromiter(map(len, merged), dtype=np.int64, count=len(merged))
+            start[missing] = len(flat) + np.cumsum(size[missing]) - size[missing]
+            all_flat = np.concatenate([flat, np.fromiter(chain.from_iterable(merged), dtype=flat.dtype)])
+            code = words.indices.to_numpy()
+            stop = np.concatenate([[0], np.cumsum(size[code])])
+            index = np.repeat(start[code] - stop[:-1], size[code])
             index += np.arange(len(index))
             bounds = stop[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])]
             values = pa.array(all_flat[index].astype(np.int32), pa.int32())
