@@ -28,6 +28,15 @@ RESULT = "decimal(38,18)"
 UNITS = 10 ** 18
 
 
+def negated(x: Column) -> Column:
+    """``-x`` of a decimal(38,18).  Spark's minus rounds to 34 digits, so values
+    of more than 16 whole digits go by their text."""
+    text = x.cast("string")
+    by_text = F.when(x < 0, F.substr(text, F.lit(2))).otherwise(F.concat(F.lit("-"), text))
+    bound = F.lit("1" + "0" * 16).cast(RESULT)
+    return F.when((x < bound) & (x > -bound), -x).otherwise(by_text.cast(RESULT))
+
+
 def _whole(n: int, precision: int) -> Column:
     return F.lit(str(n)).cast(f"decimal({precision},0)")
 
@@ -94,7 +103,8 @@ def limb_total(sign: Column | None = None) -> Column:
     base = _whole(UNITS, 19)
     low = (F.col("_units") % base).cast("decimal(18,0)")
     high = ((F.col("_units") - F.col("_units") % base) / base).cast("decimal(20,0)")
-    exact = F.try_sum(times(F.col("_exact")))
+    product = F.col("_exact")
+    exact = F.try_sum(product if sign is None else F.when(sign < 0, negated(product)).otherwise(product))
     known = F.count("_exact") + F.count("_units") == F.count(F.lit(1))
     whole = F.try_multiply(F.try_sum(times(high)).try_cast("decimal(38,0)"), base)
     units = F.try_add(whole, F.try_sum(times(low)).cast("decimal(38,0)"))

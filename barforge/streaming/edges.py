@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barforge.functions.decimal import negated
 from barforge.functions.timefn import epoch_ms_to_ntz, ntz_epoch_micros
 
 #: Values a stored list and a batch's list of changes hold at most.
@@ -35,13 +36,16 @@ EDGES_DDL = "struct<" + ",".join(f"{name}:{EDGE_DDL}" for name in EXTREMES) + ">
 def _encode(name: str) -> Column:
     src, largest = EXTREMES[name]
     v = F.col(src) if src == "price" else F.floor(ntz_epoch_micros(F.col(src)) / 1000)
-    return (-v if largest else v).cast("decimal(38,18)")
+    if largest:
+        v = negated(v) if src == "price" else -v
+    return v.cast("decimal(38,18)")
 
 
 def _decode(name: str, v: Column) -> Column:
     src, largest = EXTREMES[name]
-    v = -v if largest else v
-    return v.cast("decimal(38,18)") if src == "price" else epoch_ms_to_ntz(v.cast("bigint"))
+    if src == "price":
+        return (negated(v) if largest else v).cast("decimal(38,18)")
+    return epoch_ms_to_ntz((-v if largest else v).cast("bigint"))
 
 
 def edge_lists(rows: DataFrame, keep: int) -> DataFrame:

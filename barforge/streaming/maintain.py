@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barforge.functions.decimal import limb_total, with_limbs
+from barforge.functions.decimal import limb_total, negated, with_limbs
 from barforge.functions.timefn import minute_bucket, ntz_literal
 from barforge.operators.checks import bronze_trade_time
 from barforge.operators.silver import (KEY, dedup_latest, parse_trades, silver_projection,
@@ -226,13 +226,14 @@ def bar_changes(staged: DataFrame) -> DataFrame:
         "quantity", "trade_time", "ingested_at"))
 
     def signed(x):
-        return F.when(win, x).otherwise(-x)
+        return F.when(win, x).otherwise(negated(x))
 
-    ends = eg.edge_lists(c.select(*TOUCHED, "price", "trade_time", signed(F.lit(1)).alias("sign")), eg.CHANGES)
+    sign = F.when(win, 1).otherwise(-1)
+    ends = eg.edge_lists(c.select(*TOUCHED, "price", "trade_time", sign.alias("sign")), eg.CHANGES)
     sums = c.groupBy(*TOUCHED).agg(
-        F.sum(F.when(win, 1).otherwise(-1)).cast("bigint").alias("trade_count"),
+        F.sum(sign).cast("bigint").alias("trade_count"),
         F.try_sum(signed(F.col("quantity"))).alias("total_quantity"),
-        limb_total(signed(F.lit(1))).alias("total_notional"),
+        limb_total(sign).alias("total_notional"),
         F.try_sum(signed(F.col("price"))).alias("sum_price"),
         F.max(F.when(win, F.col("ingested_at"))).alias("last_ingested"),
         *[fn(F.when(win, F.col(src))).alias(name)

@@ -6,7 +6,7 @@ from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from barforge.functions.decimal import limb_total, with_limbs
+from barforge.functions.decimal import limb_total, negated, with_limbs
 from barforge.functions import (epoch_ms_to_ntz, exact_product, json_bigint, json_string,
                                 json_time_ntz, minute_bucket, ntz_epoch_micros, seconds_between,
                                 try_to_decimal, try_to_number)
@@ -121,6 +121,14 @@ def test_limb_sums_equal_sums_of_rounded_products(spark, short, long):
         assert got[k] == (want, -want)
 
 
+def test_negation_keeps_every_digit(spark):
+    values = [Decimal(v) for v in ("99999999999999999999.999999999999999999", "12345678901234567890.123456789012345678", "10000000000000000",
+                                   "9999999999999999.999999999999999999", "0.000000000000000001", "0")]
+    values += [v.copy_negate() for v in values] + [None]
+    rows = spark.createDataFrame([(v,) for v in values], "v decimal(38,18)").repartition(3).select("v", negated(F.col("v")).alias("n")).collect()
+    assert len(rows) == len(values) and all(r.n == (r.v if r.v is None else r.v.copy_negate()) for r in rows)
+
+
 def test_limb_sums_out_of_range_are_null(spark):
     big, tiny = "99999999999999999999.000000000000000001", "0.000000000000000001"
     rows = [("row", big, "2"), ("row", "1", "1"),              # one product does not fit
