@@ -10,8 +10,9 @@ preceding id beside it, a rectifier and a softmax over classes of ids; an id's
 share of its class is its count over all learning documents.
 
 The model is trained in numpy: learners (tasks) each take gradient steps over
-their share of the documents, and after every pass Spark averages their
-weights, sixteen at a time.  The last pass goes over every learning document;
+their share of the documents, some runs of RUN consecutive blocks at a time in
+random order, and after every pass Spark averages their weights, sixteen at a
+time.  The last pass goes over every learning document;
 those before it, which bring the weights near where learners may part, over
 ``share`` of them, at least ``least_words`` words.  Word and subword counts,
 and the neighbours that classes are made of, cover all.
@@ -56,6 +57,8 @@ HEAD, CLUSTERS = 64, 47
 CLASSES = 1 + HEAD + CLUSTERS
 #: Training: passes, blocks of a gradient step, rate, words of a learner.
 PASSES, BATCH, RATE, LEARNER_WORDS = 3, 48, 0.3, 1_000_000
+#: Consecutive blocks that a gradient step takes together.
+RUN = 8
 SHARE, LEAST_WORDS = 1 / 128, 1_000_000
 #: Words of the broadcast table and their length; of a word's pieces; of a segment.
 HOT_WORDS, HOT_BYTES, LONG, SEGMENT = 1 << 18, 32, 64, 1 << 20
@@ -99,11 +102,18 @@ class Pieces:
     def __setstate__(self, state: tuple) -> None:
         self.__init__(*state)
 
+    def begin(self) -> None:
+        if self.encoder is None:
+            self.encoder = tiktoken.Encoding("pieces", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
+            # Of words joined by spaces: each with the space before it.
+            self.joined = tiktoken.Encoding("words", pat_str=" [^ ]+", mergeable_ranks=self.ranks, special_tokens={})
+            self.first = np.zeros(max(self.ranks.values()) + 1, bool)
+            self.first[[i for piece, i in self.ranks.items() if piece.startswith(b" ")]] = True
+
     def __call__(self, word: bytes) -> list[int]:
         out = self.known.get(word)
         if out is None:
-            if self.encoder is None:
-                self.encoder = tiktoken.Encoding("pieces", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
+            self.begin()
             spaced = b" " + word
             parts = [spaced] if len(spaced) <= LONG else [spaced[at:at + LONG] for at in range(0, len(spaced), LONG)]
             out = list(chain.from_iterable(map(self.encoder._encode_single_piece, parts)))
@@ -113,13 +123,27 @@ class Pieces:
                 self.known[word] = out
         return out
 
+    def flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of words that are not cut, and where each word's begin: its
+        first id alone holds a space."""
+        self.begin()
+        text = b" ".join([b"", *words]).decode("utf-8", "surrogatepass")
+        ids = np.array(self.joined.encode_ordinary(text), dtype=np.int32)
+        return ids, np.flatnonzero(self.first[ids])
+
 
 def flat_pieces(words: list[bytes], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """All subword ids of the words, and where each word's begin (one more)."""
-    lists = [pieces(w) for w in words]
-    starts = np.zeros(len(words) + 1, dtype=np.int64)
-    np.cumsum(np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)), out=starts[1:])
-    return np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(starts[-1])), starts
+    long = [i for i, w in enumerate(words) if len(w) >= LONG]
+    ids, starts = pieces.flat([w for w in words if len(w) < LONG] if long else words)
+    if not long:
+        return ids, np.append(starts, len(ids))
+    # Those that are cut go in at their places.
+    cut = [pieces(words[i]) for i in long]
+    before = np.append(starts, len(ids))[np.array(long) - np.arange(len(long))]
+    sizes = np.insert(np.diff(starts, append=len(ids)), np.array(long) - np.arange(len(long)), [len(c) for c in cut])
+    ids = np.insert(ids, np.repeat(before, [len(c) for c in cut]), list(chain.from_iterable(cut)))
+    return ids.astype(np.int32), np.concatenate([[0], np.cumsum(sizes)])
 
 
 class Layout:
@@ -145,6 +169,16 @@ class Layout:
                 self.targets[body - 1] = END
             before = line[-STEP - 1:]
 
+    def runs(self, of_symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The blocks as runs of RUN, each behind the block before it, and the
+        classes at their targets (-1: none); an empty run more at the end."""
+        n = -(-len(self.inputs) // (STEP * RUN)) + 1
+        x, y = np.full((n * RUN + 1) * STEP, PAD, "<u2"), np.full(n * RUN * STEP, -1, np.int32)
+        x[STEP:STEP + len(self.inputs)] = self.inputs
+        y[:len(self.targets)] = np.where(self.targets == PAD, -1, of_symbol[self.targets])
+        pairs = np.lib.stride_tricks.as_strided(x, (n, (RUN + 1) * STEP), (RUN * STEP * x.itemsize, x.itemsize))
+        return pairs, y.reshape(n, -1)
+
     @classmethod
     def of(cls, rows: list[list[bytes]]) -> Layout:
         """Of the ``symbols`` of rows that :func:`read` wrote."""
@@ -237,79 +271,181 @@ class Weights:
 
     def mask(self) -> np.ndarray:
         """What is added to the scores of a block: its distances; the future is masked."""
-        apart = np.arange(STEP)[:, None] + STEP - np.arange(2 * STEP)[None, :]
-        return np.where(apart >= 0, self.distance[np.clip(apart, 0, None)], np.float32(MASKED)).astype(np.float32)
+        return np.where(APART >= 0, self.distance[np.clip(APART, 0, None)], np.float32(MASKED)).astype(np.float32)
 
 
 SCALE = np.float32(WIDTH**-0.5)
+ONES = np.ones(max(CLASSES, BLOCKS * STEP), np.float32)
+#: How far a place of a block stands behind each of its pair of blocks; where
+#: that is not negative (flat), and how far there.
+APART = np.arange(STEP)[:, None] + STEP - np.arange(2 * STEP)[None, :]
+SEEN = np.flatnonzero(APART >= 0)
+BACK = APART.ravel()[SEEN]
+DISTANCE = np.where(APART >= 0, APART, 2 * STEP)
 
 
 def summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ids and the sums of their rows."""
+    """Distinct ids and the sums of their rows (a multiple of STEP).  In order
+    of id, STEP rows at a time are summed by a small product; the few ids that
+    then have several sums get the rest added, columns in pairs (as complex
+    numbers), since reduceat's time goes by ids and columns."""
     order = np.argsort(ids, kind="stable")
     some = ids[order]
-    first = np.concatenate([[0], np.flatnonzero(some[1:] != some[:-1]) + 1])
-    return some[first], np.add.reduceat(rows[order], first, axis=0)
-
-
-APART = np.arange(STEP)[:, None] + STEP - np.arange(2 * STEP)[None, :]
+    new = np.ones(len(ids), bool)
+    np.not_equal(some[1:], some[:-1], out=new[1:])
+    new[::STEP] = True
+    start, place = np.flatnonzero(new), np.cumsum(new).reshape(-1, STEP)
+    place += np.arange(0, len(ids), STEP)[:, None] - place[:, :1]
+    which = np.zeros((len(place), STEP, STEP), np.float32)
+    which.reshape(-1)[place * STEP + np.arange(STEP)] = 1
+    sums = np.matmul(which, rows.take(order, axis=0).reshape(len(place), STEP, -1)).reshape(rows.shape)
+    place, some = place.reshape(-1)[start], some[start]
+    new = np.ones(len(some), bool)
+    np.not_equal(some[1:], some[:-1], out=new[1:])
+    first, rest = np.flatnonzero(new), np.flatnonzero(~new)
+    out = sums.take(place[first], axis=0)
+    if len(rest):
+        of = np.cumsum(new)[rest] - 1
+        cut = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        out[of[cut]] += np.add.reduceat(sums.take(place[rest], axis=0).view(np.complex64), cut, axis=0).view(np.float32)
+    return some[first], out
+
+
+class Learner:
+    """Gradient steps of some runs of consecutive blocks each, over buffers
+    that are made once.  A run's rows are read once, after those of the block
+    before it; attention's pairs of blocks are views of them.  What lies by
+    query and key (weights, their gradients) keeps STEP places between blocks:
+    so the queries that see a block's keys, its own and the next block's, are
+    a view as well.  While it steps, ``w`` holds its queries scaled."""
+
+    def __init__(self, w: Weights, runs: int, length: int):
+        self.w, self.runs, self.length = w, runs, length
+        self.scale(SCALE)
+        view, n = np.lib.stride_tricks.as_strided, runs * length * STEP
+        # A block more: the last run's last keys are seen by nothing behind it.
+        room = np.zeros((runs * (length + 1) + 1, STEP, 5 * WIDTH), np.float32)
+        self.near = room[:-1].reshape(runs, (length + 1) * STEP, 5 * WIDTH)
+        self.steps = np.zeros_like(self.near)
+        line, row, one = self.near.strides
+        pairs = lambda part, count, first: view(room[first, :, part], (runs, count, 2 * STEP, WIDTH), (line, STEP * row, row, one))
+        self.q, self.k, self.v = pairs(Q, length, 1)[:, :, :STEP], pairs(K, length, 0), pairs(V, length, 0)
+        self.q_seeing, self.by_block = pairs(Q, length + 1, 0), self.steps.reshape(runs, length + 1, STEP, 5 * WIDTH)
+        # Zeros before and after each run's own.
+        dz = np.zeros((runs, length + 2, STEP, WIDTH), np.float32)
+        line, block, row, one = dz.strides
+        self.dz, self.dz_seeing = dz[:, 1:-1], view(dz, (runs, length + 1, 2 * STEP, WIDTH), (line, block, row, one))
+        by_pair = np.zeros((2, runs, length + 2, STEP * 2 * STEP + STEP), np.float32)
+        line, block, one = by_pair.strides[1:]
+        self.a, self.ds = (view(x[:, 1:], (runs, length, STEP, 2 * STEP), (line, block, 2 * STEP * one, one)) for x in by_pair)
+        self.a_seen, self.ds_seen = (view(x[:, :, STEP:], (runs, length + 1, STEP, 2 * STEP), (line, block, one, 2 * STEP * one)) for x in by_pair)
+        self.z, self.h, self.seen = np.empty((3, runs, length, STEP, WIDTH), np.float32)
+        self.p, self.begin = np.empty((n, CLASSES), np.float32), np.arange(n) * CLASSES
+        self.mask = np.full(2 * STEP + 1, MASKED, np.float32)
+        # The distances, the layer and the bias in one piece, and so their squares.
+        self.small = np.concatenate([x.ravel() for x in w.arrays()[1:]])
+        self.squares = np.concatenate([x.ravel() for x in w.squares[1:]])
+        self.d_small = np.zeros_like(self.small)
+        cuts = np.cumsum([2 * STEP, WIDTH * CLASSES])
+        parts = lambda x: [y.reshape(z.shape) for y, z in zip(np.split(x, cuts), w.arrays()[1:], strict=True)]
+        (w.distance, w.layer, w.bias), self.d_parts = parts(self.small), parts(self.d_small)
+        w.squares[1:] = parts(self.squares)
+        self.last = None
+
+    def scale(self, by: float) -> None:
+        self.w.rows[:, Q.start:Q.stop - 1] *= by
+
+    def done(self) -> Weights:
+        self.scale(1 / SCALE)
+        return self.w
+
+    def loss(self) -> float:
+        """The mean loss of the last step, before it."""
+        if self.last is None:
+            return 0.0
+        told, right, total = self.last
+        return float(-np.log(np.maximum((right / total)[told], 1e-30)).mean())
+
+    def __call__(self, x: np.ndarray, y: np.ndarray, rate: float = RATE) -> None:
+        """One step on all runs' symbols ``x`` (the block before them first)
+        and classes ``y`` (-1: none)."""
+        w, z, a, ds, h, dz, near, steps = self.w, self.z, self.a, self.ds, self.h, self.dz, self.near, self.steps
+        x, y = x.ravel(), y.ravel()
+        told = y >= 0
+        n = np.count_nonzero(told)
+        if not n:
+            return
+        np.take(w.rows, x, axis=0, out=near.reshape(-1, 5 * WIDTH), mode="clip")
+        np.matmul(self.q, self.k.swapaxes(2, 3), out=a)
+        self.mask[:-1] = w.distance
+        a += self.mask[DISTANCE]
+        if a.max() > 60.0:
+            np.minimum(a, 60.0, out=a)
+        np.exp(a, out=a)
+        # The weights stay unscaled; what they give and get is scaled.
+        part_a = 1 / np.maximum(np.matmul(a, ONES[:2 * STEP, None]), 1e-30)
+        np.matmul(a, self.v, out=z)
+        z *= part_a
+        flat_h = h.reshape(self.runs, -1, WIDTH)
+        np.add(z.reshape(flat_h.shape), near[:, STEP:, OWN], out=flat_h)
+        flat_h += near[:, STEP - 1:-1, PREVIOUS]
+        np.maximum(h, 0, out=h)
+        p = np.matmul(h.reshape(-1, WIDTH), w.layer, out=self.p)
+        if p.max() > 80.0:
+            np.minimum(p, 80.0, out=p)
+        np.exp(p, out=p)
+        # The bias is a factor of a class; it goes into the small arrays.
+        factor = np.exp(w.bias)
+        total = p @ factor
+        flat, places = p.reshape(-1), self.begin + np.maximum(y, 0)
+        right, times = flat.take(places), factor.take(y, mode="wrap")
+        self.last = told, right * times, total
+        # From here a class's share, less the one that stands there, is p * factor * part.
+        flat[places] = right - total / times
+        part = told * np.float32(1 / n) / total
+        by_place = part.reshape(self.runs, self.length, STEP, 1)
+        np.matmul(p, (w.layer * factor).T, out=self.seen.reshape(-1, WIDTH))
+        own = steps[:, STEP:, OWN]
+        np.multiply(self.seen, by_place, out=self.seen)
+        self.seen *= h > 0
+        own[...] = self.seen.reshape(own.shape)
+        steps[:, STEP - 1:-1, PREVIOUS] = own
+        np.multiply(self.seen, part_a, out=dz)
+        h *= by_place
+        d_distance, d_layer, d_bias = self.d_parts
+        # In pieces: a product of few rows and columns over many places is slow.
+        np.matmul(h.reshape(self.runs, -1, WIDTH).swapaxes(1, 2), p.reshape(self.runs, -1, CLASSES)).sum(axis=0, out=d_layer)
+        d_layer *= factor
+        np.multiply(part @ p, factor, out=d_bias)
+        np.matmul(dz, self.v.swapaxes(2, 3), out=ds)
+        np.multiply(dz, z, out=z)
+        ds -= (z.reshape(-1, WIDTH) @ ONES[:WIDTH]).reshape(by_place.shape)
+        ds *= a
+        np.matmul(ds, self.k, out=self.by_block[:, 1:, :, Q])
+        np.matmul(self.ds_seen, self.q_seeing, out=self.by_block[..., K])
+        np.matmul(self.a_seen, self.dz_seeing, out=self.by_block[..., V])
+        d_distance[:] = np.bincount(BACK, weights=ds.sum(axis=(0, 1)).ravel()[SEEN], minlength=2 * STEP)
+        ids, d_rows = summed(x, steps.reshape(-1, 5 * WIDTH))
+        d_rows[:, Q] *= SCALE
+        d_rows[:, Q.stop - 1] = d_rows[:, K.stop - 1] = 0
+        squares = w.squares[0].take(ids, axis=0)
+        squares += d_rows * d_rows
+        w.squares[0][ids] = squares
+        d_rows *= rate
+        d_rows /= np.sqrt(squares, out=squares)
+        d_rows[:, Q] *= SCALE
+        w.rows[ids] = np.subtract(w.rows.take(ids, axis=0), d_rows, out=d_rows)
+        self.squares += self.d_small * self.d_small
+        self.small -= rate * self.d_small / np.sqrt(self.squares)
 
 
 def gradient_step(w: Weights, inputs: np.ndarray, targets: np.ndarray, blocks: np.ndarray, rate: float = RATE) -> float:
-    """One step on some blocks (rows of ``inputs`` symbols, ``targets``
+    """One step on single blocks (rows of ``inputs`` symbols, ``targets``
     classes, -1 for none); returns the mean loss."""
-    x = np.concatenate([inputs[blocks - 1], inputs[blocks]], axis=1)
-    y = targets[blocks].ravel()
-    told = np.flatnonzero(y >= 0)
-    if not len(told):
-        return 0.0
-    rows = w.rows.take(x.ravel(), axis=0).reshape(*x.shape, -1)
-    q, k, v = rows[:, STEP:, Q] * SCALE, np.ascontiguousarray(rows[:, :, K]), np.ascontiguousarray(rows[:, :, V])
-    q[:, :, -1] = 1.0
-    a = np.matmul(q, k.transpose(0, 2, 1))
-    a += w.mask()
-    a -= a.max(axis=2, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True)
-    z = np.matmul(a, v)
-    z += rows[:, STEP:, OWN]
-    z += rows[:, STEP - 1:-1, PREVIOUS]
-    h = np.maximum(z, 0).reshape(-1, WIDTH)
-    p = h @ w.layer
-    p += w.bias
-    p -= p.max(axis=1, keepdims=True)
-    np.exp(p, out=p)
-    p /= p.sum(axis=1, keepdims=True)
-    loss = -np.log(np.maximum(p[told, y[told]], 1e-30)).mean()
-    p[told, y[told]] -= 1
-    if len(told) < len(y):
-        p[y < 0] = 0
-    p /= len(told)
-    dz = p @ w.layer.T
-    dz *= h > 0
-    dz = dz.reshape(z.shape)
-    ds = np.matmul(dz, v.transpose(0, 2, 1))
-    ds -= (ds * a).sum(axis=2, keepdims=True)
-    ds *= a
-    dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
-    dq *= SCALE
-    dq[:, :, -1], dk[:, :, -1] = 0, 0
-    steps = np.zeros(rows.shape, np.float32)
-    steps[:, :, K], steps[:, :, V] = dk, np.matmul(a.transpose(0, 2, 1), dz)
-    steps[:, STEP:, Q], steps[:, STEP:, OWN] = dq, dz
-    steps[:, STEP - 1:-1, PREVIOUS] = dz
-    ids, d_rows = summed(x.ravel(), steps.reshape(-1, 5 * WIDTH))
-    squares = w.squares[0].take(ids, axis=0)
-    squares += d_rows * d_rows
-    w.squares[0][ids] = squares
-    d_rows *= rate
-    d_rows /= np.sqrt(squares, out=squares)
-    w.rows[ids] -= d_rows
-    d_distance = np.bincount(np.clip(APART, 0, None).ravel(), weights=np.where(APART >= 0, ds.sum(axis=0), 0).ravel(), minlength=2 * STEP).astype(np.float32)[:2 * STEP]
-    for value, square, d in zip(w.arrays()[1:], w.squares[1:], (d_distance, h.T @ p, p.sum(axis=0)), strict=True):
-        square += d**2
-        value -= rate * d / np.sqrt(square)
-    return float(loss)
+    step = Learner(w, len(blocks), 1)
+    step(np.concatenate([inputs[blocks - 1], inputs[blocks]], axis=1), targets[blocks], rate)
+    step.done()
+    return step.loss()
 
 
 class Scorer:
@@ -320,6 +456,7 @@ class Scorer:
         self.rows, self.mask, self.layer, self.bias = w.rows.copy(), w.mask(), w.layer, w.bias
         self.rows[:, Q] *= SCALE
         self.rows[:, Q.stop - 1] = 1.0
+        self.factor = np.exp(w.bias)
         self.near = np.empty(((BLOCKS + 1) * STEP, 5 * WIDTH), np.float32)
         self.s = np.empty((BLOCKS, STEP, 2 * STEP), np.float32)
         self.a = np.empty((BLOCKS, STEP, WIDTH), np.float32)
@@ -328,26 +465,31 @@ class Scorer:
     def __call__(self, symbols: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """``symbols`` and ``classes`` by place; the first block is context."""
         out = np.zeros(len(symbols), np.float64)
+        begin, strided = np.arange(BLOCKS * STEP) * CLASSES, np.lib.stride_tricks.as_strided
+        row, step = self.near.strides[1], self.near.strides[0]
+        keys, values = (strided(self.near[:, part], (BLOCKS, 2 * STEP, WIDTH), (STEP * step, step, row)) for part in (K, V))
         for at in range(STEP, len(symbols), BLOCKS * STEP):
             n = min(BLOCKS * STEP, len(symbols) - at) // STEP
             near = np.take(self.rows, symbols[at - STEP:at + n * STEP], axis=0, out=self.near[:(n + 1) * STEP], mode="clip")
-            row, step = near.strides[1], near.strides[0]
-            pairs = lambda part: np.lib.stride_tricks.as_strided(near[:, part], (n, 2 * STEP, WIDTH), (STEP * step, step, row))  # noqa: E731, B023
-            s = np.matmul(near[STEP:, Q].reshape(n, STEP, WIDTH), pairs(K).transpose(0, 2, 1), out=self.s[:n])
+            s = np.matmul(near[STEP:, Q].reshape(n, STEP, WIDTH), keys[:n].transpose(0, 2, 1), out=self.s[:n])
             s += self.mask
-            np.exp(np.minimum(s, 60.0, out=s), out=s)
-            a = np.matmul(s, pairs(V), out=self.a[:n])
-            a /= np.maximum(s.sum(axis=2, keepdims=True), 1e-30)
+            if s.max() > 60.0:
+                np.minimum(s, 60.0, out=s)
+            np.exp(s, out=s)
+            a = np.matmul(s, values[:n], out=self.a[:n])
             h = a.reshape(-1, WIDTH)
+            h /= np.maximum(s.reshape(-1, 2 * STEP) @ ONES[:2 * STEP, None], 1e-30)
             h += near[STEP:, OWN]
             h += near[STEP - 1:-1, PREVIOUS]
             np.maximum(h, 0, out=h)
             p = np.matmul(h, self.layer, out=self.p[:n * STEP])
-            p += self.bias
-            np.minimum(p, 80.0, out=p)
-            told = p[np.arange(n * STEP), classes[at:at + n * STEP]].astype(np.float64)
+            if p.max() > 80.0:
+                np.minimum(p, 80.0, out=p)
+            own = classes[at:at + n * STEP]
+            told = p.reshape(-1).take(begin[:n * STEP] + own) + self.bias.take(own)
             np.exp(p, out=p)
-            out[at:at + n * STEP] = told - np.log(p.sum(axis=1, dtype=np.float64))
+            # The bias is a factor of a class.
+            out[at:at + n * STEP] = told - np.log(p @ self.factor)
         return out
 
 
@@ -397,6 +539,8 @@ class Counts:
                 break
             self.enough = row["least"]
         self.hot = [] if self.enough is None else [(bytes(r["word"]), int(r["c"])) for r in short.where(F.col("c") >= self.enough).toLocalIterator()]
+        # Words that are looked up often lie together in memory.
+        self.hot.sort(key=lambda pair: -pair[1])
 
     def log_share(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
@@ -430,13 +574,35 @@ def learned(sample: DataFrame, work, learners: int) -> tuple[int, list[np.ndarra
         weight, data = work(texts)
         yield pa.RecordBatch.from_arrays([pa.array([weight], pa.float64()), pa.array([data], pa.binary())], names=["weight", "data"])
 
+    return averaged(sample.mapInArrow(run, "weight double, data binary"), learners)
+
+
+def near(rows: DataFrame, alphabet: Alphabet) -> np.ndarray:
+    """How often symbols stand beside those of the head (see
+    :meth:`Alphabet.neighbours`), a document's mean over all ``symbols``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, n = np.zeros((SYMBOLS, 2 * (HEAD + 2))), 0
+        for batch in batches:
+            for part in symbol_slices(batch):
+                seen += alphabet.neighbours(Layout.of(part.column(0).to_pylist()))
+                n += part.num_rows
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([float(n)]), pa.array([(seen / n).astype("<f4").tobytes()], pa.binary())], names=["weight", "data"])
+
+    return averaged(rows.mapInArrow(run, "weight double, data binary"), rows.rdd.getNumPartitions())[1].reshape(SYMBOLS, -1)
+
+
+def averaged(parts: DataFrame, learners: int) -> tuple[int, np.ndarray]:
+    """The weighted mean of the ``weight, data`` of so many tasks."""
+
     def mean(rows: pa.Table) -> pa.Table:
         weight = rows.column("weight").to_numpy()
         share = weight / max(weight.sum(), 1e-30)
         data = sum((np.frombuffer(d.as_py(), "<f4").astype(np.float64) * s for d, s in zip(rows.column("data"), share, strict=True) if s > 0), np.zeros(len(rows.column("data")[0].as_py()) // 4))
         return pa.table({"at": [rows.column("at")[0].as_py() // 16], "weight": [weight.sum()], "data": pa.array([data.astype("<f4").tobytes()], pa.binary())})
 
-    now = sample.mapInArrow(run, "weight double, data binary").withColumn("at", F.spark_partition_id().cast("long"))
+    now = parts.withColumn("at", F.spark_partition_id().cast("long"))
     while True:
         now = now.groupBy(F.floor(F.col("at") / 16).alias("of")).applyInArrow(mean, "at long, weight double, data binary")
         if learners <= 16:
@@ -459,6 +625,45 @@ def untrained(counts: Counts, ranks: dict[bytes, int], pattern: str) -> Model:
     return Model(pieces, Alphabet(count_pieces(counts.table, pieces), counts.ends), Weights())
 
 
+class Reader:
+    """What a table of frequent words says of texts."""
+
+    def __init__(self, hot: list[bytes], flat: np.ndarray, starts: np.ndarray, word_logs: np.ndarray, shares: np.ndarray, pieces: Pieces, symbol: np.ndarray, logs: np.ndarray):
+        self.get = dict(zip(hot, range(len(hot)), strict=True)).get
+        self.flat, self.starts, self.word_logs, self.shares, self.pieces, self.symbol, self.logs = flat, starts, word_logs, shares, pieces, symbol, logs
+
+    def __call__(self, texts: list[str | None]) -> tuple[list, ...]:
+        """By text: its tokens, how many of them are frequent words, the sums
+        of those words' log shares and of all ids' logs, the other words, and
+        the symbols by segment; the end is counted as a token alone."""
+        flat, starts = self.flat, self.starts
+        n = len(texts)
+        parts = [(i, words) for i, text in enumerate(texts) for words in segments(text)]
+        owner = np.array([i for i, _ in parts], dtype=np.int64)
+        sizes = np.fromiter((len(w) for _, w in parts), dtype=np.int64, count=len(parts))
+        words = list(chain.from_iterable(w for _, w in parts))
+        at = np.fromiter(map(self.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        miss, hit, document = np.flatnonzero(at < 0), at >= 0, np.repeat(owner, sizes)
+        tokens = np.bincount(document, minlength=n) + 1
+        known = np.bincount(document[hit], minlength=n)
+        base = np.bincount(document[hit], weights=self.shares[at[hit]], minlength=n)
+        more = [words[m] for m in miss.tolist()]
+        cuts = np.searchsorted(document[miss], np.arange(n + 1)).tolist()
+        rare = [more[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        # Subword ids of all words in order: hot ones from the table, others behind it.
+        own, own_starts = flat_pieces(more, self.pieces)
+        begin, length = starts[at], np.diff(starts, append=0)[at]
+        begin[miss], length[miss] = own_starts[:-1] + len(flat), np.diff(own_starts)
+        told = np.bincount(document[hit], weights=self.word_logs[at[hit]], minlength=n) + np.bincount(np.repeat(document[miss], length[miss]), weights=self.logs[own], minlength=n)
+        stop = np.cumsum(length)
+        whole = np.concatenate([flat, self.symbol[own]])[np.repeat(begin - (stop - length), length) + np.arange(int(stop[-1]) if len(stop) else 0)]
+        bounds = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        symbols: list[list[bytes]] = [[] for _ in texts]
+        for i, a, b in zip(owner.tolist(), bounds[:-1], bounds[1:], strict=True):
+            symbols[i].append(whole[a:b].tobytes())
+        return tokens, known, base, told, rare, symbols
+
+
 def read(docs: DataFrame, counts: Counts, model: Model, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row as training and scoring need it, written: its tokens and the
     base score of the hot ones, the ``rare`` others, the ``symbols`` of its
@@ -473,41 +678,11 @@ def read(docs: DataFrame, counts: Counts, model: Model, held_out: Column, id_col
     ends = counts.ends
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, flat, starts, word_logs, shares, pieces, symbol, logs = given.value
-        get = dict(zip(hot, range(len(hot)), strict=True)).get
-
-        def answer(texts: list[str | None]) -> tuple[list, ...]:
-            n = len(texts)
-            parts = [(i, words) for i, text in enumerate(texts) for words in segments(text)]
-            owner = np.array([i for i, _ in parts], dtype=np.int64)
-            sizes = np.fromiter((len(w) for _, w in parts), dtype=np.int64, count=len(parts))
-            words = list(chain.from_iterable(w for _, w in parts))
-            at = np.fromiter(map(get, words, repeat(-1)), dtype=np.int64, count=len(words))
-            miss, hit, document = np.flatnonzero(at < 0), at >= 0, np.repeat(owner, sizes)
-            tokens = np.bincount(document, minlength=n) + 1
-            known = np.bincount(document[hit], minlength=n) + int(ends > 0)
-            base = np.bincount(document[hit], weights=shares[at[hit]], minlength=n) + end_share
-            more = [words[m] for m in miss.tolist()]
-            cuts = np.searchsorted(document[miss], np.arange(n + 1)).tolist()
-            rare = [more[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            # Subword ids of all words in order: hot ones from the table, others behind it.
-            own, own_starts = flat_pieces(more, pieces)
-            begin, length = starts[at], np.diff(starts, append=0)[at]
-            begin[miss], length[miss] = own_starts[:-1] + len(flat), np.diff(own_starts)
-            told = np.bincount(document[hit], weights=word_logs[at[hit]], minlength=n) + end_log
-            told += np.bincount(np.repeat(document[miss], length[miss]), weights=logs[own], minlength=n)
-            stop = np.cumsum(length)
-            whole = np.concatenate([flat, symbol[own]])[np.repeat(begin - (stop - length), length) + np.arange(int(stop[-1]) if len(stop) else 0)]
-            bounds = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
-            symbols: list[list[bytes]] = [[] for _ in texts]
-            for i, a, b in zip(owner.tolist(), bounds[:-1], bounds[1:], strict=True):
-                symbols[i].append(whole[a:b].tobytes())
-            return tokens, known, base, told, rare, symbols
-
+        read = Reader(*given.value)
         for batch in batches:
             for part in byte_slices(batch, SEGMENT):
-                tokens, known, base, told, rare, symbols = answer(part.column(0).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(tokens), pa.array(known), pa.array(base), pa.array(told), pa.array(rare, pa.list_(pa.binary())), pa.array(symbols, pa.list_(pa.binary()))],
+                tokens, known, base, told, rare, symbols = read(part.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(tokens), pa.array(known + int(ends > 0)), pa.array(base + end_share), pa.array(told + end_log), pa.array(rare, pa.list_(pa.binary())), pa.array(symbols, pa.list_(pa.binary()))],
                                                  names=[*part.schema.names[1:], "n_tokens", "n_known", "base_score", "logs", "rare", "symbols"])
 
     narrow = docs.select(docs[text_col].cast("string").alias("text"), docs[id_col].alias("doc_id"), held_out.alias("held_out"), F.monotonically_increasing_id().alias("row"))
@@ -528,21 +703,20 @@ def learn(rows: DataFrame, counts: Counts, model: Model, share: float = SHARE, l
         drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "symbols"), F.lit(1 << 30)) < int(share * (1 << 30))
         return rows.where(drawn).select("symbols").repartition(learners), learners
 
-    everything, learners = dealt(1.0)
-    near = learned(everything, lambda part: (float(len(part)), (alphabet.neighbours(Layout.of(part)) / max(1, len(part))).astype("<f4").tobytes()), learners)
-    alphabet.classes(near[1].reshape(SYMBOLS, -1))
+    alphabet.classes(near(rows.select("symbols"), alphabet))
     of_symbol = alphabet.of_symbol
     for turn in range(passes):
         now = weights.packed()
 
         def work(part: list[list[bytes]], now: bytes = now, turn: int = turn) -> tuple[float, bytes]:
-            w, layout = Weights.unpacked(now), Layout.of(part)
-            x = layout.inputs.reshape(-1, STEP)
-            y = np.where(layout.targets == PAD, -1, of_symbol[layout.targets]).reshape(-1, STEP)
+            layout, step = Layout.of(part), Learner(Weights.unpacked(now), BATCH // RUN, RUN)
+            x, y = layout.runs(of_symbol)
             some = np.random.default_rng(turn).permutation(np.flatnonzero((y >= 0).any(axis=1)))
-            for at in range(0, len(some), BATCH):
-                gradient_step(w, x, y, some[at:at + BATCH])
-            return float((y >= 0).sum()), w.packed()
+            # The last step is filled up with the empty run behind all.
+            some = np.concatenate([some, np.full(-len(some) % step.runs, len(y) - 1)])
+            for at in range(0, len(some), step.runs):
+                step(x[some[at:at + step.runs]], y[some[at:at + step.runs]])
+            return float((y >= 0).sum()), step.done().packed()
 
         some, learners = dealt(1.0 if turn == passes - 1 else min(1.0, max(share, least_words / words)))
         weight, mean = learned(some, work, learners)

@@ -154,3 +154,65 @@ def test_every_learning_document_trains(spark):
     seen = model.weights.squares[0][np.unique(model.alphabet.symbol[sorted(ids)])]
     assert len(ids) > 100 and (seen != np.float32(1e-3)).any(axis=1).all()
     assert (model.alphabet.target[sorted(ids)] < lm.CLASSES - 1).all()
+
+
+def test_runs_step_like_single_blocks():
+    """A step on runs, whose rows are read once, changes the weights as one on
+    each of their blocks beside the block before it does."""
+    rng = np.random.default_rng(5)
+    x = np.minimum(rng.zipf(1.3, (3 * 8 + 1, lm.STEP)), 90).astype("<u2")
+    x[11, 4:] = lm.PAD
+    y = rng.integers(-1, lm.CLASSES, (3 * 8, lm.STEP))
+    one, other = lm.Weights(seed=2), lm.Weights(seed=2)
+    for w in (one, other):
+        w.distance[:], w.bias[:] = np.linspace(0.5, -0.5, 2 * lm.STEP), np.linspace(-1, 1, lm.CLASSES)
+        w.rows *= 4
+        w.rows[:, lm.Q.stop - 1], w.rows[:, lm.K.stop - 1] = 1.0, 0.0
+        w.rows[lm.PAD, lm.K.stop - 1] = lm.MASKED
+    step = lm.Learner(one, 3, 8)
+    for _ in range(2):
+        step(np.stack([x[at:at + 9].ravel() for at in (0, 8, 16)]), y.reshape(3, -1))
+        loss = lm.gradient_step(other, x, np.concatenate([y[:1], y]), np.arange(1, 25))
+        assert step.loss() == pytest.approx(loss, rel=1e-5)
+    for a, b in zip([*step.done().arrays(), *one.squares], [*other.arrays(), *other.squares], strict=True):
+        assert np.allclose(a, b, rtol=1e-3, atol=1e-4)
+    assert not np.array_equal(one.rows, lm.Weights(seed=2).rows)
+
+
+def test_runs_hold_every_target():
+    rng = np.random.default_rng(1)
+    layout = lm.Layout.of([[rng.integers(2, 90, n).astype("<u2").tobytes()] for n in (0, 1, 15, 16, 17, 200, 900)])
+    x, y = layout.runs(np.arange(lm.SYMBOLS, dtype=np.int32))
+    assert np.array_equal(y[y >= 0], layout.targets[layout.targets != lm.PAD]) and (y[-1] < 0).all()
+    assert np.array_equal(x[:, lm.STEP:].ravel()[:len(layout.inputs)], layout.inputs)
+    assert np.array_equal(x[1:, :lm.STEP], x[:-1, -lm.STEP:])
+    assert [a.size for a in lm.Layout.of([]).runs(np.arange(lm.SYMBOLS))[:1]] == [(lm.RUN + 1) * lm.STEP]
+
+
+def test_sums_of_rows():
+    rng = np.random.default_rng(2)
+    for ids in (np.minimum(rng.zipf(1.2, 864), 4000), np.arange(64), np.zeros(48, int), np.repeat([3, 9], [17, 15])):
+        rows, want = rng.standard_normal((len(ids), 80)).astype(np.float32), np.zeros((4001, 80))
+        np.add.at(want, ids, rows)
+        some, sums = lm.summed(ids.astype("<u2"), rows)
+        assert np.array_equal(some, np.unique(ids)) and np.allclose(sums, want[some], atol=1e-4)
+
+
+def test_joined_words_have_the_ids_of_single_ones():
+    pieces = lm.Pieces(RANKS, public_tokenizers.PATTERN)
+    parts = ["a", "ing", "é", "漢", "\U0001f600", "\x00", "7", ".", "'s", "\xa0", "\u2003", "\x85"]
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        words = ["".join(parts[i] for i in rng.integers(0, len(parts), rng.choice([1, 2, 5, 20, 31, 63, 64, 65, 300]))).encode() for _ in range(rng.integers(0, 9))]
+        ids, starts = lm.flat_pieces(words, pieces)
+        assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == [pieces(w) for w in words]
+
+
+def test_neighbours_of_all_parts(spark):
+    docs = documents(spark, [prose(i, 30) for i in range(40)]).repartition(3)
+    counts = lm.Counts(lm.count_words(docs))
+    model = lm.untrained(counts, RANKS, public_tokenizers.PATTERN)
+    rows = lm.read(docs, counts, model, F.lit(False)).select("symbols")
+    want = model.alphabet.neighbours(lm.Layout.of([r.symbols for r in rows.collect()])) / 40
+    got = lm.near(rows, model.alphabet)
+    assert np.allclose(got[2:], want[2:], atol=1e-5) and got.sum() > 0
