@@ -34,12 +34,12 @@ stands for itself in counts and in the model.  Other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,8 +62,9 @@ RUN = 8
 SHARE, LEAST_WORDS = 1 / 128, 1_000_000
 #: Words of the broadcast table and their length; of a word's pieces; of a segment.
 HOT_WORDS, HOT_BYTES, LONG, SEGMENT = 1 << 18, 32, 64, 1 << 20
-#: Distinct words counted before they are passed on; blocks scored together.
-FLUSH, BLOCKS = 1 << 17, 64
+#: Words whose pieces are remembered; blocks scored together; bytes of texts
+#: counted together and read together (a text at least).
+FLUSH, BLOCKS, COUNTED, READ = 1 << 17, 64, 1 << 23, 1 << 22
 #: The key under which ends are counted; no word holds a space.
 END_WORD = b" "
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -88,13 +89,24 @@ def segments(text: str | None) -> Iterator[list[bytes]]:
     yield data[at:].split()
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, as :func:`words_of` has them, and where each
+    text's begin (one more)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, starts = lists.values.cast(pa.binary()), lists.offsets.to_numpy().astype(np.int64)
+    real = np.diff(np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, words.offset * 4)) > 0 if len(words) else np.zeros(0, bool)
+    if not real.all():  # white space at a text's ends leaves empty ones
+        words, starts = words.filter(pa.array(real)), np.concatenate([[0], np.cumsum(real)])[starts]
+    return words, starts
+
+
 class Pieces:
     """Subword ids of words, by the byte-level merges of a rank table; what it
     remembers is bounded."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, pattern
-        self.encoder, self.known = None, {}
+        self.encoder, self.joined, self.known = None, None, {}
 
     def __getstate__(self) -> tuple:
         return self.ranks, self.pattern
@@ -102,18 +114,11 @@ class Pieces:
     def __setstate__(self, state: tuple) -> None:
         self.__init__(*state)
 
-    def begin(self) -> None:
-        if self.encoder is None:
-            self.encoder = tiktoken.Encoding("pieces", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
-            # Of words joined by spaces: each with the space before it.
-            self.joined = tiktoken.Encoding("words", pat_str=" [^ ]+", mergeable_ranks=self.ranks, special_tokens={})
-            self.first = np.zeros(max(self.ranks.values()) + 1, bool)
-            self.first[[i for piece, i in self.ranks.items() if piece.startswith(b" ")]] = True
-
     def __call__(self, word: bytes) -> list[int]:
         out = self.known.get(word)
         if out is None:
-            self.begin()
+            if self.encoder is None:
+                self.encoder = tiktoken.Encoding("pieces", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
             spaced = b" " + word
             parts = [spaced] if len(spaced) <= LONG else [spaced[at:at + LONG] for at in range(0, len(spaced), LONG)]
             out = list(chain.from_iterable(map(self.encoder._encode_single_piece, parts)))
@@ -126,7 +131,11 @@ class Pieces:
     def flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of words that are not cut, and where each word's begin: its
         first id alone holds a space."""
-        self.begin()
+        if self.joined is None:
+            # Of words joined by spaces: each with the space before it.
+            self.joined = tiktoken.Encoding("words", pat_str=" [^ ]+", mergeable_ranks=self.ranks, special_tokens={})
+            self.first = np.zeros(max(self.ranks.values()) + 1, bool)
+            self.first[[i for piece, i in self.ranks.items() if piece.startswith(b" ")]] = True
         text = b" ".join([b"", *words]).decode("utf-8", "surrogatepass")
         ids = np.array(self.joined.encode_ordinary(text), dtype=np.int32)
         return ids, np.flatnonzero(self.first[ids])
@@ -311,6 +320,31 @@ def summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return some[first], out
 
 
+def attended(q: np.ndarray, k: np.ndarray, mask: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Unscaled attention of queries to keys, into ``out``."""
+    np.matmul(q, k.swapaxes(-1, -2), out=out)
+    out += mask
+    if out.max() > 60.0:
+        np.minimum(out, 60.0, out=out)
+    return np.exp(out, out=out)
+
+
+def weighed(h: np.ndarray, layer: np.ndarray, factor: np.ndarray, places: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unscaled weights of the classes, their factors apart, into ``out``;
+    returns the exponents at some (flat) places and the sums with factors.  A
+    row's largest exponent is taken off only where sums would leave the range."""
+    np.matmul(h, layer, out=out)
+    if out.max() <= 80.0:
+        told = out.reshape(-1).take(places)
+        total = np.exp(out, out=out) @ factor
+        if total.min() > 1e-30:
+            return told, total
+        np.matmul(h, layer, out=out)
+    out -= out.max(axis=1, keepdims=True)
+    told = out.reshape(-1).take(places)
+    return told, np.exp(out, out=out) @ factor
+
+
 class Learner:
     """Gradient steps of some runs of consecutive blocks each, over buffers
     that are made once.  A run's rows are read once, after those of the block
@@ -376,32 +410,22 @@ class Learner:
         if not n:
             return
         np.take(w.rows, x, axis=0, out=near.reshape(-1, 5 * WIDTH), mode="clip")
-        np.matmul(self.q, self.k.swapaxes(2, 3), out=a)
         self.mask[:-1] = w.distance
-        a += self.mask[DISTANCE]
-        if a.max() > 60.0:
-            np.minimum(a, 60.0, out=a)
-        np.exp(a, out=a)
         # The weights stay unscaled; what they give and get is scaled.
-        part_a = 1 / np.maximum(np.matmul(a, ONES[:2 * STEP, None]), 1e-30)
+        part_a = 1 / np.maximum(np.matmul(attended(self.q, self.k, self.mask[DISTANCE], a), ONES[:2 * STEP, None]), 1e-30)
         np.matmul(a, self.v, out=z)
         z *= part_a
         flat_h = h.reshape(self.runs, -1, WIDTH)
         np.add(z.reshape(flat_h.shape), near[:, STEP:, OWN], out=flat_h)
         flat_h += near[:, STEP - 1:-1, PREVIOUS]
         np.maximum(h, 0, out=h)
-        p = np.matmul(h.reshape(-1, WIDTH), w.layer, out=self.p)
-        if p.max() > 80.0:
-            np.minimum(p, 80.0, out=p)
-        np.exp(p, out=p)
         # The bias is a factor of a class; it goes into the small arrays.
-        factor = np.exp(w.bias)
-        total = p @ factor
-        flat, places = p.reshape(-1), self.begin + np.maximum(y, 0)
-        right, times = flat.take(places), factor.take(y, mode="wrap")
+        p, factor, places = self.p, np.exp(w.bias), self.begin + np.maximum(y, 0)
+        right, total = weighed(h.reshape(-1, WIDTH), w.layer, factor, places, p)
+        right, times = np.exp(right), factor.take(y, mode="wrap")
         self.last = told, right * times, total
         # From here a class's share, less the one that stands there, is p * factor * part.
-        flat[places] = right - total / times
+        p.reshape(-1)[places] = right - total / times
         part = told * np.float32(1 / n) / total
         by_place = part.reshape(self.runs, self.length, STEP, 1)
         np.matmul(p, (w.layer * factor).T, out=self.seen.reshape(-1, WIDTH))
@@ -471,48 +495,28 @@ class Scorer:
         for at in range(STEP, len(symbols), BLOCKS * STEP):
             n = min(BLOCKS * STEP, len(symbols) - at) // STEP
             near = np.take(self.rows, symbols[at - STEP:at + n * STEP], axis=0, out=self.near[:(n + 1) * STEP], mode="clip")
-            s = np.matmul(near[STEP:, Q].reshape(n, STEP, WIDTH), keys[:n].transpose(0, 2, 1), out=self.s[:n])
-            s += self.mask
-            if s.max() > 60.0:
-                np.minimum(s, 60.0, out=s)
-            np.exp(s, out=s)
-            a = np.matmul(s, values[:n], out=self.a[:n])
-            h = a.reshape(-1, WIDTH)
+            s = attended(near[STEP:, Q].reshape(n, STEP, WIDTH), keys[:n], self.mask, self.s[:n])
+            h = np.matmul(s, values[:n], out=self.a[:n]).reshape(-1, WIDTH)
             h /= np.maximum(s.reshape(-1, 2 * STEP) @ ONES[:2 * STEP, None], 1e-30)
             h += near[STEP:, OWN]
             h += near[STEP - 1:-1, PREVIOUS]
             np.maximum(h, 0, out=h)
-            p = np.matmul(h, self.layer, out=self.p[:n * STEP])
-            if p.max() > 80.0:
-                np.minimum(p, 80.0, out=p)
             own = classes[at:at + n * STEP]
-            told = p.reshape(-1).take(begin[:n * STEP] + own) + self.bias.take(own)
-            np.exp(p, out=p)
-            # The bias is a factor of a class.
-            out[at:at + n * STEP] = told - np.log(p @ self.factor)
+            told, total = weighed(h, self.layer, self.factor, begin[:n * STEP] + own, self.p[:n * STEP])
+            out[at:at + n * STEP] = told + self.bias.take(own) - np.log(total)
         return out
 
 
 def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``word, c`` over all rows, written; ends are counted as END_WORD.  Each
-    task counts what it reads and passes sums on."""
+    task counts COUNTED bytes of texts at a time and passes sums on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def told() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
-
         for batch in batches:
-            seen[END_WORD] += batch.num_rows
-            for cell in batch.column(0):
-                for part in segments(cell.as_py()):
-                    seen.update(part)
-                    if len(seen) >= FLUSH:
-                        yield told()
-                        seen.clear()
-        if seen:
-            yield told()
+            for part in byte_slices(batch, COUNTED):
+                seen = pc.value_counts(split_words(part.column(0))[0])
+                yield pa.RecordBatch.from_arrays([seen.field(0), seen.field(1)], names=["word", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array([END_WORD]), pa.array([part.num_rows])], names=["word", "c"])
 
     partial = docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(run, "word binary, c long")
     return written(partial.groupBy("word").agg(F.sum("c").alias("c")), "lm-words")
@@ -628,40 +632,43 @@ def untrained(counts: Counts, ranks: dict[bytes, int], pattern: str) -> Model:
 class Reader:
     """What a table of frequent words says of texts."""
 
-    def __init__(self, hot: list[bytes], flat: np.ndarray, starts: np.ndarray, word_logs: np.ndarray, shares: np.ndarray, pieces: Pieces, symbol: np.ndarray, logs: np.ndarray):
-        self.get = dict(zip(hot, range(len(hot)), strict=True)).get
-        self.flat, self.starts, self.word_logs, self.shares, self.pieces, self.symbol, self.logs = flat, starts, word_logs, shares, pieces, symbol, logs
+    def __init__(self, hot: pa.Array, flat: np.ndarray, starts: np.ndarray, word_logs: np.ndarray, shares: np.ndarray, pieces: Pieces, symbol: np.ndarray, logs: np.ndarray):
+        self.hot, self.flat, self.starts, self.word_logs, self.shares, self.pieces, self.symbol, self.logs = hot, flat, starts, word_logs, shares, pieces, symbol, logs
 
-    def __call__(self, texts: list[str | None]) -> tuple[list, ...]:
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray | pa.Array, ...]:
         """By text: its tokens, how many of them are frequent words, the sums
         of those words' log shares and of all ids' logs, the other words, and
         the symbols by segment; the end is counted as a token alone."""
         flat, starts = self.flat, self.starts
         n = len(texts)
-        parts = [(i, words) for i, text in enumerate(texts) for words in segments(text)]
-        owner = np.array([i for i, _ in parts], dtype=np.int64)
-        sizes = np.fromiter((len(w) for _, w in parts), dtype=np.int64, count=len(parts))
-        words = list(chain.from_iterable(w for _, w in parts))
-        at = np.fromiter(map(self.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        miss, hit, document = np.flatnonzero(at < 0), at >= 0, np.repeat(owner, sizes)
-        tokens = np.bincount(document, minlength=n) + 1
+        words, first = split_words(texts)
+        count = np.diff(first)
+        # Words of each segment; only texts over SEGMENT bytes have several.
+        long = np.flatnonzero(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False) > SEGMENT).tolist()
+        sizes, by_text, done = [], np.ones(n, dtype=np.int64), 0
+        for i in long:
+            cut = [len(part) for part in segments(texts[i].as_py())]
+            sizes += [count[done:i], cut]
+            by_text[i], done = len(cut), i + 1
+        sizes = np.concatenate([*sizes, count[done:]]).astype(np.int64)
+        at = pc.index_in(words, value_set=self.hot).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        hit, document = at >= 0, np.repeat(np.arange(n), count)
+        miss, place = np.flatnonzero(~hit), at[hit]
         known = np.bincount(document[hit], minlength=n)
-        base = np.bincount(document[hit], weights=self.shares[at[hit]], minlength=n)
-        more = [words[m] for m in miss.tolist()]
-        cuts = np.searchsorted(document[miss], np.arange(n + 1)).tolist()
-        rare = [more[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        base = np.bincount(document[hit], weights=self.shares[place], minlength=n)
+        more = words.take(pa.array(miss))
+        rare = pa.ListArray.from_arrays(np.searchsorted(document[miss], np.arange(n + 1)).astype(np.int32), more)
         # Subword ids of all words in order: hot ones from the table, others behind it.
-        own, own_starts = flat_pieces(more, self.pieces)
+        own, own_starts = flat_pieces(more.to_pylist(), self.pieces)
         begin, length = starts[at], np.diff(starts, append=0)[at]
         begin[miss], length[miss] = own_starts[:-1] + len(flat), np.diff(own_starts)
-        told = np.bincount(document[hit], weights=self.word_logs[at[hit]], minlength=n) + np.bincount(np.repeat(document[miss], length[miss]), weights=self.logs[own], minlength=n)
+        told = np.bincount(document[hit], weights=self.word_logs[place], minlength=n) + np.bincount(np.repeat(document[miss], length[miss]), weights=self.logs[own], minlength=n)
         stop = np.cumsum(length)
         whole = np.concatenate([flat, self.symbol[own]])[np.repeat(begin - (stop - length), length) + np.arange(int(stop[-1]) if len(stop) else 0)]
-        bounds = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
-        symbols: list[list[bytes]] = [[] for _ in texts]
-        for i, a, b in zip(owner.tolist(), bounds[:-1], bounds[1:], strict=True):
-            symbols[i].append(whole[a:b].tobytes())
-        return tokens, known, base, told, rare, symbols
+        bounds = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(sizes)])] * whole.itemsize
+        parts = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(whole)])
+        symbols = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(by_text)]).astype(np.int32), parts)
+        return count + 1, known, base, told, rare, symbols
 
 
 def read(docs: DataFrame, counts: Counts, model: Model, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -673,16 +680,16 @@ def read(docs: DataFrame, counts: Counts, model: Model, held_out: Column, id_col
     flat, starts = flat_pieces(hot, model.pieces)
     sums = np.concatenate([[0.0], np.cumsum(alphabet.logs[flat])])
     shares = counts.log_share(np.array([c for _, c in counts.hot], dtype=float))
-    given = docs.sparkSession.sparkContext.broadcast((hot, alphabet.symbol[flat], starts, np.diff(sums[starts]), shares, model.pieces, alphabet.symbol, alphabet.logs))
+    given = docs.sparkSession.sparkContext.broadcast((pa.array(hot, pa.binary()), alphabet.symbol[flat], starts, np.diff(sums[starts]), shares, model.pieces, alphabet.symbol, alphabet.logs))
     end_share, end_log = float(counts.log_share(np.array([counts.ends]))[0]), float(alphabet.logs[-2])
     ends = counts.ends
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = Reader(*given.value)
         for batch in batches:
-            for part in byte_slices(batch, SEGMENT):
-                tokens, known, base, told, rare, symbols = read(part.column(0).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(tokens), pa.array(known + int(ends > 0)), pa.array(base + end_share), pa.array(told + end_log), pa.array(rare, pa.list_(pa.binary())), pa.array(symbols, pa.list_(pa.binary()))],
+            for part in byte_slices(batch, READ):
+                tokens, known, base, told, rare, symbols = read(part.column(0))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(tokens), pa.array(known + int(ends > 0)), pa.array(base + end_share), pa.array(told + end_log), rare, symbols],
                                                  names=[*part.schema.names[1:], "n_tokens", "n_known", "base_score", "logs", "rare", "symbols"])
 
     narrow = docs.select(docs[text_col].cast("string").alias("text"), docs[id_col].alias("doc_id"), held_out.alias("held_out"), F.monotonically_increasing_id().alias("row"))

@@ -216,3 +216,31 @@ def test_neighbours_of_all_parts(spark):
     want = model.alphabet.neighbours(lm.Layout.of([r.symbols for r in rows.collect()])) / 40
     got = lm.near(rows, model.alphabet)
     assert np.allclose(got[2:], want[2:], atol=1e-5) and got.sum() > 0
+
+
+def test_large_weights_stay_finite():
+    rng = np.random.default_rng(6)
+    x, y = rng.integers(1, 40, (9, lm.STEP)).astype("<u2"), rng.integers(0, lm.CLASSES, (8, lm.STEP))
+    w = lm.Weights(seed=1)
+    w.rows[2:] *= 300
+    w.layer *= 300
+    assert np.isfinite(lm.Scorer(w)(x.ravel(), np.concatenate([y[:1], y]).ravel())).all()
+    step = lm.Learner(w, 1, 8)
+    step(x.reshape(1, -1), y.reshape(1, -1))
+    assert np.isfinite(step.loss()) and all(np.isfinite(a).all() for a in step.done().arrays())
+
+
+def test_words_of_columns():
+    import pyarrow as pa
+
+    texts = [None, "", " ", "One two\tTWO\n", "\x0b\x0ca\x1cb\x85c ÄÖ\u2003x  ", "x" * 50, "\U0001f600 \x00 é"]
+    for column in (pa.array(texts), pa.array(["pad", *texts])[1:], pa.array([], pa.string()), pa.array([None], pa.string())):
+        words, starts = lm.split_words(column)
+        assert [words[int(a):int(b)].to_pylist() if b > a else [] for a, b in zip(starts[:-1], starts[1:], strict=True)] == [lm.words_of(t) for t in column.to_pylist()]
+
+
+def test_counts_of_parts(spark, monkeypatch):
+    monkeypatch.setattr(lm, "COUNTED", 60)
+    texts = [prose(i, 30) for i in range(20)] + [None, "", "  A b\tB "]
+    want = Counter(w for t in texts for w in [*lm.words_of(t), lm.END_WORD])
+    assert {bytes(r.word): r.c for r in lm.count_words(documents(spark, texts)).collect()} == want
