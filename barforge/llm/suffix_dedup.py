@@ -9,6 +9,8 @@ window of ``length`` bytes has an anchor, the gram of least hash inside it;
 equal windows have equal anchors at the same place, so only texts around equal
 anchors need be sorted together:
 
+0. Of documents with equal texts only the first is looked at: every window of
+   the others starts earlier in it.
 1. Anchors whose gram occurs once in the corpus are dropped, with all windows
    they stand for: none of these occurs again.
 2. The text around an anchor that covers all its windows is its context.  Equal
@@ -16,13 +18,15 @@ anchors need be sorted together:
    are removed), so thousands of copies reach the sort as one text.
 3. Contexts that differ but share an anchor are sorted by the difference-cover
    algorithm, together with as many other anchors' as fit a bounded piece of
-   work.  An anchor with more than ``GROUP`` different contexts goes another
-   exact way: its windows, pre-aggregated by a 128-bit digest and their place.
+   work.  An anchor with more than ``GROUP`` different contexts is dealt by more
+   than its gram: windows are told apart by their place around the anchor, in
+   ever smaller cells, and the bytes that all windows of a cell cover (their
+   core) are the anchor of what is sorted together.
 
 Tables between the steps are narrow; texts are shuffled only where contexts
 differ, and for the documents that lose bytes.  What is broadcast are bitmaps
-of fixed size, which only spare work: a wrong hit adds rows that the exact
-steps then settle.
+of a few bits a value, which only spare work (a wrong hit adds rows that the
+exact steps then settle), and eight bytes for each copy of a whole document.
 
 Defined results: a null text counts as empty; texts shorter than ``length``
 keep every byte; documents are ordered by id, null ids last; rows that share
@@ -32,7 +36,8 @@ an empty table gives an empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
+import functools
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,19 +47,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_slices, written
-from .vectors import sorted_groups
+from .vectors import joined, sorted_groups
 
 #: Bytes of an anchor's gram.
 GRAM = 32
 #: Most contexts of one anchor, and bytes of text, that are sorted at once.
 GROUP = 8192
-PIECE_BYTES = 1 << 18
-#: Bytes of documents, and contexts, that a task takes in hand at once.
-SLICE_BYTES, SLICE_CONTEXTS = 1 << 22, 1 << 10
-#: Words of 64 bits in a bitmap.
-BITMAP_WORDS = 1 << 20
+PIECE_BYTES = 1 << 16
+#: Bytes of documents that a task takes in hand at once.
+SLICE_BYTES = 1 << 22
+#: Words of 64 bits in a bitmap, at least and at most; in between, a word for
+#: four values at most.
+LEAST_WORDS, MOST_WORDS = 1 << 14, 1 << 22
 #: Positions hashed at once, to bound memory on long texts.
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 LAST_ID = (1 << 63) - 1
 BASE = 0x9E3779B97F4A7C15
 
@@ -68,25 +74,29 @@ def powers(base: int, n: int) -> np.ndarray:
 def gram_hashes(raw: np.ndarray, up: np.ndarray, down: np.ndarray) -> np.ndarray:
     """64-bit polynomial hash of every gram, by prefix sums modulo 2^64."""
     n = len(raw)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * down[:n], dtype=np.uint64)])
-    h = (sums[GRAM:] - sums[:-GRAM]) * up[GRAM - 1:n]
+    sums = np.zeros(n + 1, np.uint64)
+    terms = sums[1:]
+    np.add(raw, np.uint64(1), out=terms)
+    terms *= down[:n]
+    np.cumsum(terms, out=terms)
+    h = sums[GRAM:] - sums[:-GRAM]
+    h *= up[GRAM - 1:n]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
-    n = len(a)
-    padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, dtype=np.uint64)
-    padded[:n] = a
-    rows = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(rows, axis=1).ravel()
-    behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
+    n, of = len(a), 1
+    while 2 * of <= width:
+        a = np.minimum(a[:-of], a[of:])
+        of *= 2
+    return np.minimum(a[:n - width + 1], a[width - of:])
 
 
 class Anchors:
-    """Anchors of a text: ``(gram hash, gram start, first and last window start)``
+    """Anchors of texts: ``(gram hash, gram start, first and last window start)``
     arrays; the windows of a text are dealt among its anchors without a gap."""
 
     def __init__(self, length: int):
@@ -95,37 +105,62 @@ class Anchors:
         self.down = powers(pow(BASE, -1, 1 << 64), CHUNK + length)
 
     def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        raw = np.frombuffer(text, dtype=np.uint8)
+        return self.of_all([text])[1:]
+
+    def of_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same of several texts at once, behind the place of the text."""
+        ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+        begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)[:len(ends)]
+        raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
         windows = len(raw) - self.length + 1
-        hashes, places = [], []
+        firsts, places, hashes = [], [], []
+        low = np.uint64((1 << 24) - 1)
         for at in range(0, max(0, windows), CHUNK):
             h = gram_hashes(raw[at:at + CHUNK + self.length - 1], self.up, self.down)
             # Least 40 bits of hash, then leftmost: the place rides in the low bits.
-            key = (h >> np.uint64(24) << np.uint64(24)) | np.arange(len(h), dtype=np.uint64)
-            place = (sliding_min(key, self.length - GRAM + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
-            hashes.append(h[place])
+            key = h & ~low
+            key |= np.arange(len(h), dtype=np.uint64)
+            least = sliding_min(key, self.length - GRAM + 1) & low
+            first = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
+            place = least[first].astype(np.int64)
+            firsts.append(first + at)
             places.append(place + at)
+            hashes.append(h[place])
         if not places:
-            none = np.zeros(0, np.int64)
-            return none, none, none, none
-        place, h = np.concatenate(places), np.concatenate(hashes)
-        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        last = np.concatenate([first[1:], [len(place)]]) - 1
-        return h[first].view(np.int64), place[first], first, last
+            return (np.zeros(0, np.int64),) * 5
+        first, place, h = np.concatenate(firsts), np.concatenate(places), np.concatenate(hashes)
+        new = np.concatenate([[True], place[1:] != place[:-1]])  # false where a chunk goes on
+        first, place, h = first[new], place[new], h[new]
+        # Windows end with their text: cut there, and drop those over its end.
+        cuts = np.concatenate([begins, np.maximum(ends - self.length + 1, begins)])
+        starts = np.union1d(first, cuts[cuts < windows])
+        last = np.concatenate([starts[1:], [windows]]) - 1
+        run, owner = np.searchsorted(first, starts, side="right") - 1, np.searchsorted(ends, starts, side="right")
+        whole = starts + self.length <= ends[owner]
+        owner, run, starts, last = owner[whole], run[whole], starts[whole], last[whole]
+        begin = begins[owner]
+        return owner, h[run].view(np.int64), place[run] - begin, starts - begin, last - begin
+
+
+def words_for(values: int) -> int:
+    """Words of a bitmap over so many values, a power of two: 16 bits a value or more."""
+    return min(MOST_WORDS, max(LEAST_WORDS, 1 << max(0, values // 4).bit_length()))
 
 
 def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     v = values.view(np.uint64)
-    return (bitmap[v % np.uint64(BITMAP_WORDS)] >> ((v >> np.uint64(40)) & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return (bitmap[v % np.uint64(len(bitmap))] >> ((v >> np.uint64(40)) & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def bitmap_of(values: DataFrame, name: str) -> np.ndarray:
-    """Bitmap over the long column ``name``: BITMAP_WORDS words, whatever the rows."""
-    word = F.pmod(F.col(name), F.lit(BITMAP_WORDS)).cast("int")  # 2^20 divides 2^64: the sign does not matter
+def bitmap_of(values: DataFrame, name: str, n: int) -> np.ndarray:
+    """Bitmap over the long column ``name`` of about ``n`` rows."""
+    words = words_for(n)
+    word = F.pmod(F.col(name), F.lit(words)).cast("int")  # a power of two divides 2^64: the sign does not matter
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(name, 40).bitwiseAND(63).cast("int"))
     rows = values.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = np.zeros(BITMAP_WORDS, dtype=np.uint64)
-    out[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    out = np.zeros(words, dtype=np.uint64)
+    for batch in rows.to_batches():
+        out[batch["word"].to_numpy()] = batch["bits"].to_numpy().view(np.uint64)
     return out
 
 
@@ -146,16 +181,27 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 # ---- the difference-cover algorithm -------------------------------------
 
-def ranked(keys: np.ndarray) -> np.ndarray:
-    """Rank of each key among the distinct ones, in 32 bits."""
-    order = np.argsort(keys).astype(np.int32)
-    new = np.zeros(len(keys), dtype=np.int32)
-    some = keys[order]
+def ranked(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each key (at most ``most``) among the distinct ones, and the
+    order of the keys, in 32 bits."""
+    n = len(keys)
+    if most * (n + 1) + n < 1 << 64:  # the place rides behind the key: sorting values is faster
+        some = keys * np.uint64(n + 1)
+        some += np.arange(n, dtype=np.uint64)
+        some.sort()
+        whole = some // np.uint64(n + 1)
+        order = (some - whole * np.uint64(n + 1)).astype(np.int32)
+        some = whole
+        del whole
+    else:
+        order = np.argsort(keys).astype(np.int32)
+        some = keys[order]
+    new = np.zeros(n, dtype=np.int32)
     new[1:] = some[1:] != some[:-1]
     del some
-    out = np.empty(len(keys), dtype=np.int32)
+    out = np.empty(n, dtype=np.int32)
     out[order] = np.cumsum(new, dtype=np.int32)
-    return out
+    return out, order
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -165,44 +211,57 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), dtype=np.int32)
     s = np.concatenate([s, np.zeros(3, s.dtype)]).astype(np.int32)
-    one, two, zero = (np.arange(a, b, 3, dtype=np.int32) for a, b in ((1, n + (n % 3 == 1)), (2, n), (0, n)))
+    one, two = (np.arange(a, b, 3, dtype=np.int32) for a, b in ((1, n + (n % 3 == 1)), (2, n)))
     sample = np.concatenate([one, two])
+    del one, two
     top = int(s.max()) + 1
     wide = lambda at: s[at].astype(np.uint64)
     pairs = lambda at: wide(at) * np.uint64(top) + wide(at + 1)
     # Sort the sampled triples and name them by rank.
-    names = ranked((pairs(sample) if top**3 < 1 << 64 else ranked(pairs(sample)).astype(np.uint64)) * np.uint64(top) + wide(sample + 2))
-    rank = np.zeros(n + 3, dtype=np.int32)
-    if len(names) and names.max() + 1 < len(names):
+    if top**3 < 1 << 64:
+        names, order = ranked(pairs(sample) * np.uint64(top) + wide(sample + 2), top**3 - 1)
+    else:
+        names, order = ranked(ranked(pairs(sample), top**2 - 1)[0].astype(np.uint64) * np.uint64(top) + wide(sample + 2), len(sample) * top)
+    if len(names) and names[order[-1]] + 1 < len(names):
         # Names repeat: sort the string of names; its suffixes are the sample's.
         names += 1
-        order = suffix_array(names)
-        rank[sample[order]] = np.arange(1, len(order) + 1, dtype=np.int32)
         del order
-    else:
-        rank[sample] = names + 1
-    del names, sample
-    # Merge: a remaining suffix is its first symbol and a ranked suffix.  It
-    # comes after its own like, and after the sampled ones that are less.
+        order = suffix_array(names)
+    del names
+    # The sample in order, and the rank of each of it.
+    sample = sample[order]
+    del order
+    rank = np.zeros(n + 3, dtype=np.int32)
+    rank[sample] = np.arange(1, len(sample) + 1, dtype=np.int32)
+    # Merge: a remaining suffix is its first symbol and a ranked suffix, and so
+    # are the sampled ones at one of three; each kind is in order already, but
+    # for the first symbol of the remaining ones.
+    one, two = sample[sample % 3 == 1], sample[sample % 3 == 2]
+    sample, one_in = sample[sample < n], one[one < n]
+    zero = one - 1
+    first = s[zero]
+    zero = zero[np.argsort(first.astype(np.uint16) if top <= 1 << 16 else first, kind="stable")]
+    del first, one
+    # It comes after its own like, and after the sampled ones that are less.
     big = np.uint64(n + 3)
     key_one = lambda at: wide(at) * big + rank[at + 1].astype(np.uint64)
-    mine = key_one(zero)
-    order = np.argsort(mine, kind="stable")
-    zero, mine = zero[order], mine[order]
-    one, two = one[one < n], two[two < n]
-    at = np.searchsorted(np.sort(key_one(one)), mine).astype(np.int32)
-    del mine, order
-    both = ranked(np.concatenate([pairs(zero), pairs(two)])).astype(np.uint64)
-    key_two = np.sort(both[len(zero):] * big + rank[two + 2].astype(np.uint64))
-    at += np.searchsorted(key_two, both[:len(zero)] * big + rank[zero + 2].astype(np.uint64)).astype(np.int32)
-    del both, key_two
+    at = np.searchsorted(key_one(one_in), key_one(zero)).astype(np.int32)
+    del one_in
+    if top**2 * (n + 3) < 1 << 64:
+        key_two = lambda at: pairs(at) * big + rank[at + 2].astype(np.uint64)
+        at += np.searchsorted(key_two(two), key_two(zero)).astype(np.int32)
+    else:
+        both = ranked(np.concatenate([pairs(zero), pairs(two)]), top**2 - 1)[0].astype(np.uint64)
+        key_two = both[len(zero):] * big + rank[two + 2].astype(np.uint64)
+        at += np.searchsorted(key_two, both[:len(zero)] * big + rank[zero + 2].astype(np.uint64)).astype(np.int32)
+        del both
+    del key_two, two
     at += np.arange(len(zero), dtype=np.int32)
     out = np.empty(n, dtype=np.int32)
     taken = np.zeros(n, dtype=bool)
     taken[at] = True
     out[at] = zero
-    rest = np.concatenate([one, two])
-    out[~taken] = rest[np.argsort(rank[rest], kind="stable")]
+    out[~taken] = sample
     return out
 
 
@@ -255,55 +314,98 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def texts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes]]:
-    """(order of the document, version of its text, UTF-8 bytes)."""
+    """(order of the document, version of its text, UTF-8 bytes); the version is Spark's xxhash64."""
     for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
         raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-        yield LAST_ID if doc is None else doc, xxhash.xxh64_intdigest(raw) - (1 << 63), raw
+        ver = xxhash.xxh64_intdigest(raw, 42)
+        yield LAST_ID if doc is None else doc, ver - (ver >> 63 << 64), raw
+
+
+def whole_copies(docs: DataFrame, length: int) -> DataFrame:
+    """``doc, ver, size`` of the documents whose whole text stands in an earlier
+    document, where a window fits in."""
+    raw = docs["text"].cast("binary")
+    keyed = docs.select(doc_key(docs["doc_id"]).alias("doc"), F.xxhash64("text").alias("ver"), F.md5(raw).alias("digest"), F.octet_length("text").cast("long").alias("size")).where(F.col("size") >= length)
+    least = keyed.groupBy("digest").agg(F.min("doc").alias("lead"), F.count("*").alias("n")).where("n > 1")
+    return written(keyed.join(least, "digest").where("doc > lead").select("doc", "ver", "size").distinct(), "suffix-copies")
+
+
+def places_of(rows: DataFrame, first: str, second: str) -> DataFrame:
+    """``p``: one long per place, see :func:`place_hash`."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch_of("p", place_hash(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
 
+    return rows.select(first, second).mapInArrow(hashed, "p long")
 
-def repeated_grams(docs: DataFrame, length: int) -> np.ndarray:
-    """Bitmap of the grams of anchors that occur twice or more."""
+
+class Reader:
+    """Reads slices of documents for the steps: their texts and anchors, without
+    the copies of whole documents (``copies`` has their places, sorted)."""
+
+    def __init__(self, copies: np.ndarray, length: int):
+        self.copies, self.anchors = copies, Anchors(length)
+
+    def read(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Order, version and bytes of the documents."""
+        rows = list(texts_of(batch))
+        doc, ver = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1))
+        if len(self.copies):
+            p = place_hash(doc, ver)
+            fresh = self.copies[np.minimum(np.searchsorted(self.copies, p), len(self.copies) - 1)] != p
+            rows, doc, ver = [r for r, own in zip(rows, fresh.tolist(), strict=True) if own], doc[fresh], ver[fresh]
+        return doc, ver, [r[2] for r in rows]
+
+
+def repeated_grams(docs: DataFrame, copies, length: int) -> DataFrame:
+    """``h``: the grams of anchors that occur twice or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors = Anchors(length)
+        reader = Reader(copies.value, length)
         for batch in slices(batches):
-            found = [anchors.of(raw)[0] for _, _, raw in texts_of(batch)]
-            h, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
+            h, n = np.unique(reader.anchors.of_all(reader.read(batch)[2])[1], return_counts=True)
             yield batch_of("h n", h, n.astype(np.int64))
 
     seen = docs.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return bitmap_of(seen.where("n > 1"), "h")
+    return written(seen.where("n > 1").select("h"), "suffix-grams")
 
 
-def context_occurrences(docs: DataFrame, grams, length: int) -> DataFrame:
+def first_in_order(doc: np.ndarray, start: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows by keys and place, and (in it) whether a row is later
+    than the first of its keys."""
+    order = np.lexsort((start, doc, *keys[::-1]))
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    lead = np.flatnonzero(new)
+    group = np.repeat(lead, np.diff(np.concatenate([lead, [len(order)]])))
+    doc, start = doc[order], start[order]
+    return order, (doc != doc[group]) | (start != start[group])
+
+
+def context_occurrences(docs: DataFrame, copies, grams, length: int) -> DataFrame:
     """``h, c, doc, ver, start, windows, gone``: the contexts (digest ``c``) of
     repeated anchors, the earliest of each in a slice; the others' windows as
     merged intervals with ``gone`` set (these have a ``c`` of their own, which
     deals them evenly)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors = Anchors(length)
+        reader = Reader(copies.value, length)
         names = "h c doc ver start windows gone"
+        digest = xxhash.xxh64_intdigest
         for batch in slices(batches):
-            cols: list[list[np.ndarray]] = [[] for _ in range(6)]
-            for doc, ver, raw in texts_of(batch):
-                h, place, first, last = anchors.of(raw)
-                some = in_bitmap(grams.value, h)
-                if not some.any():
-                    continue
-                h, place, first, last = h[some], place[some], first[some], last[some]
-                digest = xxhash.xxh64_intdigest
-                c = np.array([digest(raw[a:b + length], p - a) for a, b, p in zip(first.tolist(), last.tolist(), place.tolist(), strict=True)], dtype=np.uint64).view(np.int64)
-                for col, x in zip(cols, (h, c, np.full(len(h), doc), np.full(len(h), ver), first, last - first + 1), strict=True):
-                    col.append(x)
-            if not cols[0]:
+            doc, ver, raws = reader.read(batch)
+            owner, h, place, first, last = reader.anchors.of_all(raws)
+            some = in_bitmap(grams.value, h)
+            owner, h, place, first, last = (x[some] for x in (owner, h, place, first, last))
+            if not len(h):
                 continue
-            h, c, doc, ver, start, windows = (np.concatenate(x) for x in cols)
-            order = np.lexsort((start, doc, c, h))
+            c = np.array([digest(raws[k][a:b], p) for k, a, b, p in zip(owner.tolist(), first.tolist(), (last + length).tolist(), (place - first).tolist(), strict=True)], dtype=np.uint64).view(np.int64)
+            doc, ver, start, windows = doc[owner], ver[owner], first, last - first + 1
+            order, gone = first_in_order(doc, start, h, c)
             h, c, doc, ver, start, windows = (x[order] for x in (h, c, doc, ver, start, windows))
-            lead = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])]))
-            group = np.repeat(lead, np.diff(np.concatenate([lead, [len(h)]])))
-            gone = (doc != doc[group]) | (start != start[group])
             yield batch_of(names, *(x[~gone] for x in (h, c, doc, ver, start, windows)), np.zeros((~gone).sum(), dtype=bool))
             d, v, a, w = (x[gone] for x in (doc, ver, start, windows))
             by = np.lexsort((a, v, d))
@@ -318,22 +420,71 @@ def context_occurrences(docs: DataFrame, grams, length: int) -> DataFrame:
     return docs.mapInArrow(run, "h long, c long, doc long, ver long, start long, windows long, gone boolean")
 
 
-def contested_contexts(docs: DataFrame, places, length: int) -> DataFrame:
-    """``h, doc, ver, start, context`` of the anchors at the given places."""
+#: A text to be sorted with the others of its ``h``: ``at`` is the place of its
+#: first window among those around the anchor (0: the gram ends the window).
+CONTEXT = "h long, doc long, ver long, start long, context binary, at long"
+
+
+def contested_contexts(docs: DataFrame, copies, contests, places, length: int) -> DataFrame:
+    """The contexts (see CONTEXT) of the contested anchors at the given places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors = Anchors(length)
+        reader = Reader(copies.value, length)
         for batch in slices(batches):
-            out: list[list] = [[] for _ in range(5)]
-            for doc, ver, raw in texts_of(batch):
-                h, _, first, last = anchors.of(raw)
-                some = in_bitmap(places.value, place_hash(np.full(len(first), doc), first))
-                for x, a, b in zip(h[some].tolist(), first[some].tolist(), last[some].tolist(), strict=True):
-                    for col, v in zip(out, (x, doc, ver, a, raw[a:b + length]), strict=True):
-                        col.append(v)
-            yield batch_of("h doc ver start context", *(pa.array(x, pa.int64()) for x in out[:4]), pa.array(out[4], pa.binary()))
-
-    return docs.mapInArrow(run, "h long, doc long, ver long, start long, context binary")
+            doc, ver, raws = reader.read(batch)
+            owner, h, place, first, last = reader.anchors.of_all(raws)
+            some = in_bitmap(contests.value, h)
+            owner, h, place, first, last = (x[some] for x in (owner, h, place, first, last))
+            some = in_bitmap(places.value, place_hash(doc[owner], first))
+            owner, h, place, first, last = (x[some] for x in (owner, h, place, first, last))
+            texts = [raws[k][a:b] for k, a, b in zip(owner.tolist(), first.tolist(), (last + length).tolist(), strict=True)]
+            yield batch_of("h doc ver start context at", h, doc[owner], ver[owner], first, pa.array(texts, pa.binary()), length - GRAM - (place - first))
+
+    return docs.mapInArrow(run, CONTEXT)
+
+
+def cells(text: bytes, at: int, width: int, length: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """The windows of a context by cells of ``width`` places around the anchor:
+    (cell, first window, behind the last one, core).  Equal windows of one
+    anchor are in the same cell and have the same core: the bytes that all
+    windows of a cell cover."""
+    for cell in range(at // width, (at + len(text) - length) // width + 1):
+        low = cell * width - at
+        yield cell, max(0, low), min(low + width, len(text) - length + 1), text[low + width - 1:low + length]
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, sorted by the first column, in batches that end with a group."""
+    held: list[pa.RecordBatch] = []
+    for batch in (b for b in batches if b.num_rows):
+        keys = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut:
+            yield joined([*held, batch.slice(0, cut)])
+            held = []
+        elif held and held[-1].column(0)[-1] != batch.column(0)[0]:
+            yield joined(held)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield joined(held)
+
+
+def likely(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The contexts that may share a window with another of their anchor, cut to
+    the half of their windows that may: a core stands there twice."""
+    width = (length - GRAM + 2) // 2
+    for group in whole_groups(batches):
+        h, texts = group.column(0).to_pylist(), group.column(4).to_pylist()
+        halves = [[(hash((key, cell, core)), a, b) for cell, a, b, core in cells(text, at, width, length)]
+                  for key, text, at in zip(h, texts, group.column(5).to_pylist(), strict=True)]
+        seen = Counter(core for own in halves for core, _, _ in own)
+        kept = [[(a, b) for core, a, b in own if seen[core] > 1] for own in halves]
+        some = np.array([bool(own) for own in kept])
+        spans = [(own[0][0], own[-1][1]) for own in kept if own]
+        cut = pa.array([text[a:b + length - 1] for text, (a, b) in zip((t for t, own in zip(texts, kept, strict=True) if own), spans, strict=True)], pa.binary())
+        h, doc, ver, start = (group.column(k).to_numpy()[some] for k in range(4))
+        yield batch_of("h doc ver start context", h, doc, ver, start + np.array([a for a, _ in spans], dtype=np.int64), cut)
 
 
 def sorted_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -365,27 +516,64 @@ def sorted_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
 def sorted_matches(contexts: DataFrame, length: int) -> DataFrame:
     """``doc, ver, start, windows``: windows that equal an earlier one, by the
     difference-cover algorithm over the contexts of whole anchors."""
-    dealt = contexts.repartition("h").sortWithinPartitions("h")
-    return dealt.mapInArrow(lambda batches: sorted_pieces(batches, length), "doc long, ver long, start long, windows long")
+    # By a hash of ``h``: Spark drops a repartition that a join below has made
+    # already, and then reads that join's partitions in any order and by parts.
+    dealt = contexts.repartition(F.xxhash64("h")).sortWithinPartitions("h")
+    return dealt.mapInArrow(lambda batches: sorted_pieces(likely(batches, length), length), "doc long, ver long, start long, windows long")
 
 
-def digested_matches(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with too many contexts to sort at once: windows by
-    128-bit digest, earliest place first."""
+def finer(contexts: DataFrame, width: int, length: int) -> DataFrame:
+    """The contexts (see CONTEXT) by cells of ``width`` places, with the core in
+    their ``h``; ``c, windows, gone`` as in :func:`context_occurrences`, by batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (whole.slice(at, SLICE_CONTEXTS) for whole in batches for at in range(0, whole.num_rows, SLICE_CONTEXTS)):
-            out: list[list] = [[] for _ in range(4)]
-            for doc, ver, start, text in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True):
-                for o in range(len(text) - length + 1):
-                    for col, v in zip(out, (hashlib.blake2b(text[o:o + length], digest_size=16).digest(), doc, ver, start + o), strict=True):
-                        col.append(v)
-            yield batch_of("w doc ver start", pa.array(out[0], pa.binary()), *(pa.array(x, pa.int64()) for x in out[1:]))
-
-    windows = written(contexts.mapInArrow(run, "w binary, doc long, ver long, start long"), "suffix-windows")
-    least = windows.groupBy("w").agg(F.min(F.struct("doc", "start")).alias("lead"))
-    later = (F.col("doc") != F.col("lead.doc")) | (F.col("start") != F.col("lead.start"))
-    return windows.join(least, "w").where(later).select("doc", "ver", "start", F.lit(1).cast("long").alias("windows"))
+        digest = xxhash.xxh64_intdigest
+        for batch in batches:
+            rows = [(digest(core, (h + cell) % (1 << 64)), doc, ver, start + a, text[a:b + length - 1], at + a)
+                    for h, doc, ver, start, text, at in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True)
+                    for cell, a, b, core in cells(text, at, width, length)]
+            if not rows:
+                continue
+            h = np.array([r[0] for r in rows], dtype=np.uint64).view(np.int64)
+            c = np.array([digest(r[4], r[5]) for r in rows], dtype=np.uint64).view(np.int64)
+            doc, ver, start, at = (np.array([r[k] for r in rows], dtype=np.int64) for k in (1, 2, 3, 5))
+            windows = np.array([len(r[4]) for r in rows], dtype=np.int64) - length + 1
+            order, gone = first_in_order(doc, start, h, c)
+            twin = np.zeros(len(order), dtype=bool)  # a repeated row
+            twin[1:] = np.all([x[order][1:] == x[order][:-1] for x in (h, c, doc, ver, start)], axis=0)
+            text = [None if out else rows[k][4] for k, out in zip(order.tolist(), gone.tolist(), strict=True)]
+            h, c, doc, ver, start, at, windows = (x[order] for x in (h, c, doc, ver, start, at, windows))
+            h, c = np.where(gone, place_hash(doc, start), h), np.where(gone, ver, c)
+            out = batch_of("h doc ver start context at c windows gone", h, doc, ver, start, pa.array(text, pa.binary()), at, c, windows, gone)
+            yield out.filter(pa.array(~twin))
+
+    return contexts.mapInArrow(run, CONTEXT + ", c long, windows long, gone boolean")
+
+
+def hot_matches(contexts: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
+    """For anchors with too many contexts to sort at once: contexts of finer
+    anchors to sort instead, and windows that equal an earlier one as ``doc,
+    ver, start, windows``.  A cell of one place has nothing left to sort: its
+    core is the window."""
+    names, found, cold = [x.split()[0] for x in CONTEXT.split(", ")], [], []
+    width = length - GRAM + 1
+    while contexts is not None:
+        width = (width + 1) // 2
+        place = F.dense_rank().over(Window.partitionBy("h", "c").orderBy("doc", "start"))
+        rows = written(finer(contexts, width, length).withColumn("gone", F.col("gone") | (place > 1)), "suffix-finer")
+        found.append(rows.where("gone").select("doc", "ver", "start", "windows"))
+        leads = rows.where("NOT gone")
+        counts = leads.groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+        counts = written(counts.select("h", "n"), "suffix-contests")
+        hot = counts.where(F.col("n") > GROUP).select("h")  # few: each has so many contexts
+        leads = leads.join(counts, "h", "left_semi")
+        if width == 1 or hot.isEmpty():
+            contexts = None
+        else:
+            contexts = leads.join(F.broadcast(hot), "h", "left_semi").select(names)
+            leads = leads.join(F.broadcast(hot), "h", "left_anti")
+        cold.append(leads.select(names))
+    return functools.reduce(DataFrame.unionByName, cold), found
 
 
 def doc_key(doc_id: Column) -> Column:
@@ -395,25 +583,29 @@ def doc_key(doc_id: Column) -> Column:
 def removed_spans(docs: DataFrame, length: int) -> DataFrame:
     """``doc, ver, spans``: per document (and text) the bytes to remove."""
     spark = docs.sparkSession
-    grams = spark.sparkContext.broadcast(repeated_grams(docs, length))  # BITMAP_WORDS words
-    found = context_occurrences(docs, grams, length)
+    whole = whole_copies(docs, length)
+    copies = spark.sparkContext.broadcast(np.unique(places_of(whole, "doc", "ver").toArrow()["p"].to_numpy()))
+    grams = repeated_grams(docs, copies, length)
+    grams = spark.sparkContext.broadcast(bitmap_of(grams, "h", grams.count()))
+    found = context_occurrences(docs, copies, grams, length)
     # At most one row of a slice for each context: a group is bounded by the slices.
     place = F.dense_rank().over(Window.partitionBy("h", "c").orderBy("doc", "start"))
     rows = written(found.withColumn("gone", F.col("gone") | (place > 1)).drop("c"), "suffix-contexts")
     leads = rows.where("NOT gone").select("h", "doc", "start")
     contests = written(leads.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "suffix-contests")
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch_of("p", place_hash(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-
-    contested = leads.join(contests, "h", "left_semi").select("doc", "start").mapInArrow(hashed, "p long")
-    places = spark.sparkContext.broadcast(bitmap_of(contested, "p"))  # BITMAP_WORDS words
-    contexts = written(contested_contexts(docs, places, length), "suffix-texts")
-    hot = contests.where(F.col("n") > GROUP).select("h")
-    removed = (rows.where("gone").select("doc", "ver", "start", "windows")
-               .unionByName(sorted_matches(contexts.join(hot, "h", "left_anti"), length))
-               .unionByName(digested_matches(contexts.join(hot, "h", "left_semi"), length)))
+    n, total, most = contests.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    places = places_of(leads.join(contests, "h", "left_semi"), "doc", "start")
+    places = spark.sparkContext.broadcast(bitmap_of(places, "p", total))
+    contexts = contested_contexts(docs, copies, spark.sparkContext.broadcast(bitmap_of(contests, "h", n)), places, length)
+    removed = [rows.where("gone").select("doc", "ver", "start", "windows"),
+               whole.select("doc", "ver", F.lit(0).cast("long").alias("start"), (F.col("size") - length + 1).alias("windows"))]
+    if most > GROUP:
+        contexts = written(contexts, "suffix-texts")
+        hot = F.broadcast(contests.where(F.col("n") > GROUP).select("h"))  # few: each has so many contexts
+        cold, settled = hot_matches(contexts.join(hot, "h", "left_semi"), length)
+        contexts = contexts.join(hot, "h", "left_anti").unionByName(cold)
+        removed += settled
+    removed = functools.reduce(DataFrame.unionByName, [*removed, sorted_matches(contexts, length)])
     span = F.struct("start", (F.col("start") + F.col("windows") + length - 1).alias("end"))
     return written(removed.groupBy("doc", "ver").agg(F.collect_set(span).alias("spans")), "suffix-spans")
 
@@ -424,13 +616,14 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     spark = docs.sparkSession
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     spans = removed_spans(narrow, length)
-    bitmap = spark.sparkContext.broadcast(bitmap_of(spans.select("doc"), "doc"))  # BITMAP_WORDS words
+    bitmap = spark.sparkContext.broadcast(bitmap_of(places_of(spans, "doc", "ver"), "p", spans.count()))
 
     def dealt(batches: Iterator[pa.RecordBatch], touched: bool) -> Iterator[tuple[pa.Array, list]]:
         """Ids and (order, version, bytes) of the documents that lose bytes, or of the others."""
         for batch in slices(batches):
             rows = list(texts_of(batch))
-            hit = in_bitmap(bitmap.value, np.array([d for d, _, _ in rows], dtype=np.int64)) == touched
+            doc, ver = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1))
+            hit = in_bitmap(bitmap.value, place_hash(doc, ver)) == touched
             yield batch.column(0).filter(pa.array(hit)), [r for r, own in zip(rows, hit.tolist(), strict=True) if own]
 
     def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

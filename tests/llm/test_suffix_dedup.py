@@ -109,3 +109,77 @@ def test_documents_are_taken_in_slices(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 100)
     batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4, 5], "text": ["x" * 60, "é" * 20, None, "y" * 500, "z"]})
     assert [part.column(0).to_pylist() for part in suffix_dedup.slices(iter([batch]))] == [[1, 2, 3], [4], [5]]
+
+
+def test_anchors_of_several_texts_are_those_of_each(monkeypatch):
+    texts = [b"", prose(1, 60).encode(), b"x" * 99, b"y" * 100, prose(1, 60).encode()[40:], b"z" * 7, prose(2, 300).encode()]
+    anchors = suffix_dedup.Anchors(100)
+    owner, *found = anchors.of_all(texts)
+    for k, text in enumerate(texts):
+        for many, one in zip(found, anchors.of(text), strict=True):
+            assert many[owner == k].tolist() == one.tolist()
+    assert [len(x) for x in anchors.of_all([])] == [0] * 5
+
+
+def test_anchors_stay_in_one_task_behind_a_join(spark, tmp_path):
+    """A join below the sort, which Spark changes into a broadcast while it
+    runs, must not leave the contexts of an anchor in several tasks."""
+    rows = [(h, doc, 0, 0, bytearray(prose(h, 40)[:120].encode() + b"%d" % doc), 0) for doc in (1, 2, 3, 4) for h in range(100)]
+    spark.createDataFrame(rows, suffix_dedup.CONTEXT).repartition(4, "doc").write.option("maxRecordsPerFile", 25).parquet(str(tmp_path / "contexts"))
+    spark.range(400).selectExpr("id AS h").write.parquet(str(tmp_path / "some"))
+    contexts, some = (spark.read.parquet(str(tmp_path / name)) for name in ("contexts", "some"))
+    settings = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "1", "spark.sql.autoBroadcastJoinThreshold": "100", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = suffix_dedup.sorted_matches(contexts.join(some.where("h = 399"), "h", "left_anti"), 100).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, found)) == sorted((doc, 0, 0, 21) for doc in (2, 3, 4) for _ in range(100))
+
+
+def test_hot_anchors_are_dealt_until_their_groups_are_small(spark, monkeypatch):
+    """A line that all have is in more contexts than may be sorted at once, and
+    so are its halves; no sort gets more than GROUP contexts of an anchor."""
+    line, rng = prose(5, 40)[:130], random.Random(1)
+    texts = [prose(i, 3) + line + prose(100 + i, 3) for i in range(30)] + [line[:60] + rng.choice("xyz") + line[60:] + prose(200 + i, 2) for i in range(20)]
+    df = documents(spark, [*texts, texts[3], None], ids=[*range(50, 0, -1), 51, None])
+    want = brute([(r.doc_id, r.text) for r in df.collect()])
+    monkeypatch.setattr(suffix_dedup, "GROUP", 4)
+    sizes = []
+    monkeypatch.setattr(suffix_dedup, "sorted_matches", lambda contexts, *rest, was=suffix_dedup.sorted_matches: (sizes.extend(r["count"] for r in contexts.groupBy("h").count().collect()), was(contexts, *rest))[1])
+    assert result(df) == want
+    assert sizes and max(sizes) <= 4
+
+
+def test_copies_of_whole_documents_are_left_out(spark):
+    text = prose(1, 60)
+    df = documents(spark, [text, text, text, "short", "short", None, text + "x", text], ids=[5, 3, 9, 1, 2, 4, 6, 3])
+    copies = suffix_dedup.whole_copies(df.select("doc_id", "text"), 100)
+    (_, ver, raw), = suffix_dedup.texts_of(pa.RecordBatch.from_pydict({"doc_id": [5], "text": [text]}))
+    assert sorted(map(tuple, copies.collect())) == [(5, ver, len(raw)), (9, ver, len(raw))]
+    reader = suffix_dedup.Reader(np.sort(suffix_dedup.place_hash(np.array([5, 9]), np.array([ver, ver]))), 100)
+    doc, _, raws = reader.read(pa.RecordBatch.from_pydict({"doc_id": [5, 3, 9, 5], "text": [text, text, text, text + "x"]}))
+    assert doc.tolist() == [3, 5] and raws == [raw, raw + b"x"]
+    assert result(df) == brute([(r.doc_id, r.text) for r in df.collect()])
+
+
+def test_bitmaps_grow_with_their_values(spark):
+    """Few wrong hits, whatever the number of values, for ids that follow one another, too."""
+    assert [suffix_dedup.words_for(n) for n in (0, 10**6, 10**12)] == [1 << 14, 1 << 18, 1 << 22]
+    n = 200_000
+    rows = spark.range(0, 2 * n, 2).selectExpr("id AS doc", "id % 7 AS ver")
+    bitmap = suffix_dedup.bitmap_of(suffix_dedup.places_of(rows, "doc", "ver"), "p", n)
+    doc = np.arange(2 * n)
+    hit = suffix_dedup.in_bitmap(bitmap, suffix_dedup.place_hash(doc, doc % 7))
+    assert hit[::2].all() and hit[1::2].mean() < 0.08
+
+
+def test_suffix_array_of_wide_and_long_strings():
+    rng = np.random.default_rng(3)
+    for top in (70_000, 3_000_000, (1 << 31) - 1):  # past 16 bits, triples past 64 bits
+        s = rng.choice(rng.integers(1, top + 1, 40), 400)
+        s[0] = top
+        assert suffix_dedup.suffix_array(s).tolist() == sorted(range(400), key=lambda i: s[i:].tolist())
