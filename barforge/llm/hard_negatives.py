@@ -7,13 +7,14 @@ the scores are put together by Chinese remaindering in mixed radix.  As many
 primes are taken as the largest components of the two blocks ask for, so the
 scores are exact at any magnitude (they saturate beyond 64 bits).
 
-First the anchors meet the candidates of their own label, for their best
-positives; every pair of blocks answers with at most ``positives`` rows an
-anchor, and a window keeps the best.  Each positive gives a range of scores;
-then the anchors meet the candidates of other labels, pairs of blocks answer
-with the first rows inside each range, and a window selects among them.
-Blocks are dealt over a grid of cells, so a hot label is many blocks in many
-cells; anchors travel once per cell group, candidates once.
+Candidates are dealt over cells; every anchor travels to every cell, a row at
+a time, behind the cell's candidates, and blocks are made where they meet: no
+row or batch grows with the input.  First the anchors meet the candidates of
+their own label, for their best positives; every cell answers with at most
+``positives`` rows an anchor, and a window keeps the best.  Each positive gives
+a range of scores; then the anchors meet the candidates of other labels, cells
+answer with the first rows inside each range, and a window selects among them.
+A hot label is in all cells.
 
 Defined results: rows with a null id, a null label, a null vector or a null or
 non-finite component take no part; vectors of different lengths are not
@@ -34,25 +35,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .vectors import sorted_groups
 
-#: Candidates and anchors of a block; candidate blocks of a group of cells.
+#: Candidates and anchors of a block; components of a cell's candidates, at most
+#: (about), candidates of a cell, at least, and cells for each core.
 BLOCK = 1024
 ANCHORS = 256
-GROUP = 16
+CELL, LEAST_CELL, CELLS_A_CORE = 1 << 22, 64, 4
 #: Whole numbers below this are exact in float32.
 EXACT = 1 << 24
 #: Primes below SMALL are used first; the others serve extreme components.
 SMALL, LARGE = 256, 2048
 LONGEST = (1 << 63) - 1
+#: Below any score.
+NONE = -1 << 63
+
+
+def primes() -> list[int]:
+    sieve = [n for n in range(3, LARGE) if all(n % f for f in range(2, int(n**0.5) + 1))]
+    return [p for p in reversed(sieve) if p < SMALL] + [p for p in sieve if p > SMALL]
+
+
+PRIMES = primes()
 
 
 def primes_for(bound: int) -> list[int]:
     """The largest primes below SMALL, then those up to LARGE, until their
     product is over four times ``bound``."""
-    sieve = [n for n in range(3, LARGE) if all(n % f for f in range(2, int(n**0.5) + 1))]
     out, product = [], 1
-    for p in [p for p in reversed(sieve) if p < SMALL] + [p for p in sieve if p > SMALL]:
+    for p in PRIMES:
         if product > 4 * bound + 4:
             break
         out.append(p)
@@ -81,26 +91,40 @@ def product_residues(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
     return total
 
 
-def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+class Vectors:
+    """Rows of whole components, with their residues once they are asked for."""
+
+    def __init__(self, x: np.ndarray):
+        self.x, self.most, self.of = x, int(np.abs(x).max()) if x.size else 0, {}
+
+    def residues(self, p: int) -> np.ndarray:
+        if p not in self.of:
+            self.of[p] = residues(self.x, p)
+        return self.of[p]
+
+
+def scores(a: np.ndarray | Vectors, b: np.ndarray | Vectors) -> np.ndarray:
     """Exact integer products of the rows of ``a`` and ``b`` as int64."""
-    if not a.size or not b.size:
-        return np.zeros((len(a), len(b)), dtype=np.int64)
-    primes = primes_for(a.shape[1] * int(np.abs(a).max()) * int(np.abs(b).max()))
+    a, b = (v if isinstance(v, Vectors) else Vectors(v) for v in (a, b))
+    if not a.x.size or not b.x.size:
+        return np.zeros((len(a.x), len(b.x)), dtype=np.int64)
+    primes = primes_for(a.x.shape[1] * a.most * b.most)
     weights = [1]
     for p in primes:
         weights.append(weights[-1] * p)
     digits: list[np.ndarray] = []
     for i, p in enumerate(primes):
         # Mixed radix: take the lower digits off, divide by their primes.
-        d = product_residues(residues(a, p), residues(b, p), p)
+        d = product_residues(a.residues(p), b.residues(p), p)
         for q, lower in zip(primes[:i], digits, strict=True):
             inverse = np.float32((pow(q, -1, p) + p // 2) % p - p // 2)
-            d = balanced(balanced(d - balanced(lower, p), p) * inverse, p)
+            d = balanced((d - lower) * inverse, p)  # exact: less than LARGE * LARGE / 2
         digits.append(d)
     if weights[-1] < 1 << 53:
-        whole = digits[0].astype(np.float64)
-        for w, d in zip(weights[1:], digits[1:], strict=False):
-            whole += w * d.astype(np.float64)
+        whole = digits.pop().astype(np.float32 if weights[-1] < EXACT else np.float64, copy=False)
+        for p, d in zip(reversed(primes[:-1]), reversed(digits), strict=True):
+            whole *= whole.dtype.type(p)
+            whole += d
         return whole.astype(np.int64)
     if weights[-1] < 1 << 62:
         return sum((w * d.astype(np.int64) for w, d in zip(weights, digits, strict=False)), np.zeros(digits[0].shape, np.int64))
@@ -131,45 +155,89 @@ def whole_rows(vectors: DataFrame, label: Column, scale: float, id_col: str, vec
     return named.where("vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL").mapInArrow(run, "vec_id long, label string, dim int, x binary")
 
 
-def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows, one at a time: a row holds blocks of vectors."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield tuple(batch.slice(i, 1).to_pylist()[0].values())
-
-
-def pack(batches: Iterator[pa.RecordBatch], n_keys: int, size: int) -> Iterator[pa.RecordBatch]:
-    """Runs of equal keys of the sorted rows, ``size`` at a time, as one row:
-    the keys, then every other column as a list."""
-    for group in sorted_groups(batches, n_keys):
-        for at in range(0, group.num_rows, size):
-            rows = group.slice(at, size)
-            lists = [pa.ListArray.from_arrays([0, rows.num_rows], pa.concat_arrays([c])) for c in rows.columns[n_keys:]]
-            yield pa.RecordBatch.from_arrays([*(c.slice(0, 1) for c in rows.columns[:n_keys]), *lists], names=rows.schema.names)
-
-
-def in_blocks(rows: DataFrame, keys: list[str], order: list[str], size: int, name: str) -> DataFrame:
-    """``rows`` as written blocks; a hot key is dealt over partitions."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rest = [c for c in rows.columns if c not in keys]
-    dealt = rows.select(*keys, *rest).repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
-    schema = ", ".join([f"{k} {dict(rows.dtypes)[k]}" for k in keys] + [f"{c} array<{dict(rows.dtypes)[c]}>" for c in rest])
-    return written(dealt.mapInArrow(lambda b: pack(b, len(keys), size), schema), name)
-
-
-def best_first(row: np.ndarray, ids: np.ndarray, own: int) -> np.ndarray:
-    """Places of a row of scores, best first, ties to the smaller id."""
-    order = np.lexsort((ids, -row))
-    return order[ids[order] != own]
+def matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist())).reshape(len(column), dim)
 
 
-def longs(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
-
-
-def matrix(cells: list[bytes], dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(cells)).reshape(len(cells), dim)
+def runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """The sorted rows by runs of equal keys, a batch at a time: a long run comes in parts."""
+    for batch in batches:
+        change = np.zeros(max(0, batch.num_rows - 1), dtype=bool)
+        for k in range(n_keys):
+            c = batch.column(k).to_numpy(zero_copy_only=False)
+            change |= c[1:] != c[:-1]
+        edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if b > a:
+                yield tuple(batch.column(k)[a].as_py() for k in range(n_keys)), batch.slice(a, b - a)
+
+
+class Candidates:
+    """A block of candidates of a cell, in the order of their labels."""
+
+    def __init__(self, rows: pa.RecordBatch, dim: int):
+        self.ids, self.labels = rows["vec_id"].to_numpy(), rows["label"].to_numpy(zero_copy_only=False)
+        self.vectors = Vectors(matrix(rows["x"], dim))
+        self.label = self.labels[0] if self.labels[0] == self.labels[-1] else None  # of all
+
+
+def meetings(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[int, list[Candidates], pa.RecordBatch]]:
+    """(length, blocks of candidates, up to ANCHORS anchors) from rows sorted by
+    ``n_keys`` columns (the second is the length) and ``kind``: candidates (0)
+    first, then the anchors (1) that meet them."""
+    now, blocks = None, []
+    for (*key, kind), rows in runs(batches, n_keys + 1):
+        if key != now:
+            now, blocks = key, []
+        for at in range(0, rows.num_rows, size := ANCHORS if kind else BLOCK):
+            part = rows.slice(at, size)
+            if not kind:
+                blocks.append(Candidates(part, key[1]))
+            elif blocks:
+                yield key[1], blocks, part
+
+
+class Best:
+    """The ``k`` best of the scores shown for each row that are at least ``low``
+    and at most ``high``, ties to the smaller id."""
+
+    def __init__(self, k: int, low: np.ndarray, high: np.ndarray):
+        self.k, self.low, self.high = k, low.copy(), high
+        self.row, self.score, self.id = (np.zeros(0, np.int64) for _ in range(3))
+        self.full = False
+
+    def show(self, rows: np.ndarray, found: np.ndarray, ids: np.ndarray) -> None:
+        """Scores of ``rows`` (numbers of rows, rising) with the candidates ``ids``."""
+        high = self.high[rows, None]
+        if not self.full and found.shape[1] > self.k:
+            # Only what is among the k best of this block can be so in all.
+            at = found.shape[1] - self.k
+            self.low[rows] = np.maximum(self.low[rows], np.partition(np.where(found <= high, found, NONE), at, axis=1)[:, at])
+            self.full = len(rows) == len(self.low)
+        fit = found >= self.low[rows, None]
+        fit &= found <= high
+        r, c = np.divmod(np.flatnonzero(fit), found.shape[1])
+        if not len(r):
+            return
+        row, score, id_ = (np.concatenate(x) for x in ((self.row, rows[r]), (self.score, found[r, c]), (self.id, ids[c])))
+        order = np.lexsort((id_, ~score, row))  # ~ turns the order, without overflow
+        row, score, id_ = row[order], score[order], id_[order]
+        first = np.searchsorted(row, row)
+        place = np.arange(len(row)) - first
+        last = place == self.k - 1
+        self.low[row[last]] = np.maximum(self.low[row[last]], score[last])
+        self.row, self.score, self.id = (x[place < self.k] for x in (row, score, id_))
+
+
+def longs(names: str, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names.split())
+
+
+def without_own(found: np.ndarray, own: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The scores, none where a candidate has the anchor's id."""
+    if np.isin(own, ids).any():
+        found[own[:, None] == ids] = NONE
+    return found
 
 
 def mine(vectors: DataFrame, label: Column, is_anchor: Column, positives: int = 5, negatives: int = 3, scale: float = 256.0,
@@ -180,50 +248,62 @@ def mine(vectors: DataFrame, label: Column, is_anchor: Column, positives: int =
     first rows of another label with ``least`` to ``most`` percent of the
     positive's score."""
     spark = vectors.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = written(whole_rows(vectors, label, scale, id_col, vec_col).withColumn("row", F.monotonically_increasing_id()), "negatives-rows")
-    n_groups = max(parts, rows.count() // (BLOCK * GROUP))
-    deal = lambda key: F.pmod(F.xxhash64(key), F.lit(n_groups)).cast("int").alias("cell")
-    groups = F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))).alias("cell")
-    candidates = in_blocks(rows, ["dim", "label"], ["vec_id", "row"], BLOCK, "negatives-candidates").select("dim", "label", F.col("vec_id").alias("ids"), F.col("x").alias("data"), deal("row"))
-
-    anchors = rows.where(is_anchor).groupBy("vec_id", "dim", "label", "x").agg(F.min("row").alias("no"))
-    asked = in_blocks(anchors.select("dim", "label", "no", "vec_id", "x"), ["dim", "label"], ["no"], ANCHORS, "negatives-anchors")
-    near = asked.select("dim", "label", "no", "vec_id", "x", groups).join(candidates, ["dim", "label", "cell"]).select("dim", "no", "vec_id", "x", "ids", "data")
+    n, components = rows.agg(F.count("*"), F.coalesce(F.sum("dim"), F.lit(0))).first()
+    n_cells = max(1, components // CELL, min(n // LEAST_CELL, CELLS_A_CORE * spark.sparkContext.defaultParallelism))
+    nothing = F.lit(None).cast("array<long>")
+    candidates = rows.select(F.pmod(F.xxhash64("row"), F.lit(n_cells)).cast("int").alias("cell"), "dim", "label", F.lit(0).alias("kind"), F.col("row").alias("no"), "vec_id", "x", nothing.alias("places"), nothing.alias("tops"))
+    anchors = written(rows.where(is_anchor).groupBy("vec_id", "dim", "label", "x").agg(F.min("row").alias("no")), "negatives-anchors")
+    cells = F.explode(F.sequence(F.lit(0), F.lit(n_cells - 1))).alias("cell")
+
+    def met(asking: DataFrame, order: list[str]) -> DataFrame:
+        """All candidates and, in every cell, all of ``asking`` behind them."""
+        all_rows = candidates.unionByName(asking.select(cells, "dim", "label", F.lit(1).alias("kind"), "no", "vec_id", "x", "places", "tops"))
+        # By a hash of the cell: never dropped for what a plan below has dealt.
+        return all_rows.select(*order, *[c for c in all_rows.columns if c not in order]).repartition(n_cells, F.xxhash64("cell")).sortWithinPartitions(*order)
 
     def closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for dim, no, own, x, ids, data in cells_of(batches):
-            ids = np.array(ids)
-            found = scores(matrix(x, dim), matrix(data, dim))
-            out = [(n, o, int(ids[k]), int(row[k])) for n, o, row in zip(no, own, found, strict=True) for k in best_first(row, ids, o)[:positives]]
-            yield longs(out, ["no", "anchor_id", "positive_id", "positive_score"])
+        for dim, blocks, asked in meetings(batches, 3):
+            own, x = asked["vec_id"].to_numpy(), Vectors(matrix(asked["x"], dim))
+            best = Best(positives, np.full(len(own), NONE + 1), np.full(len(own), LONGEST))
+            for block in blocks:
+                best.show(np.arange(len(own)), without_own(scores(x, block.vectors), own, block.ids), block.ids)
+            yield longs("no anchor_id positive_id positive_score", asked["no"].to_numpy()[best.row], own[best.row], best.id, best.score)
 
     place = F.row_number().over(Window.partitionBy("no").orderBy(F.col("positive_score").desc(), "positive_id"))
+    near = met(anchors.select("*", nothing.alias("places"), nothing.alias("tops")), ["cell", "dim", "label", "kind", "vec_id"])
     best = near.mapInArrow(closest, "no long, anchor_id long, positive_id long, positive_score long").withColumn("place", place).where(F.col("place") <= positives)
     best = written(best, "negatives-positives")
 
     wanted = best.groupBy("no").agg(F.sort_array(F.collect_list(F.struct("place", "positive_score"))).alias("want"))  # at most ``positives`` each
-    looking = anchors.join(wanted, "no").select("dim", "no", "vec_id", "label", "x", F.col("want.place").alias("places"), F.col("want.positive_score").alias("tops"))
-    looking = in_blocks(looking, ["dim"], ["no"], ANCHORS, "negatives-looking")
-    cells = looking.select("dim", "no", "vec_id", F.col("label").alias("labels"), "x", "places", "tops", groups)
-    far = cells.join(candidates, ["dim", "cell"]).where(F.size(F.array_remove("labels", F.col("label"))) > 0).select("dim", "no", "vec_id", "labels", "x", "places", "tops", "label", "ids", "data")
+    looking = written(anchors.join(wanted, "no").select("dim", "no", "vec_id", "label", "x", F.col("want.place").cast("array<long>").alias("places"), F.col("want.positive_score").alias("tops")), "negatives-looking")
+
+    def ends(top: int) -> tuple[int, int]:
+        """least/100 * top and most/100 * top, in whole numbers; nothing is in 1 to 0."""
+        low, high = -(-least * top // 100), most * top // 100
+        return (max(low, -LONGEST), min(high, LONGEST)) if low <= LONGEST and high >= -LONGEST else (1, 0)
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for dim, no, own, labels, x, places, tops, theirs, ids, data in cells_of(batches):
-            ids, other = np.array(ids), [i for i, mine_ in enumerate(labels) if mine_ != theirs]
-            found = scores(matrix([x[i] for i in other], dim), matrix(data, dim))
-            out = []
-            for i, row in zip(other, found, strict=True):
-                order = best_first(row, ids, own[i])
-                down = -row[order]
-                for at, top in zip(places[i], tops[i], strict=True):
-                    # least/100 * top <= score <= most/100 * top, in whole numbers
-                    low, high = -(-least * top // 100), most * top // 100
-                    first = int(np.searchsorted(down, -high, side="left"))
-                    out += [(no[i], at, int(ids[k]), int(row[k])) for k in order[first:first + negatives].tolist() if row[k] >= low]
-            yield longs(out, ["no", "place", "negative_id", "negative_score"])
+        for dim, blocks, asked in meetings(batches, 2):
+            own, labels, x = asked["vec_id"].to_numpy(), asked["label"].to_numpy(zero_copy_only=False), matrix(asked["x"], dim)
+            all_x, no = Vectors(x), asked["no"].to_numpy()
+            ranges = np.array([[ends(t) for t in tops] + [(1, 0)] * (positives - len(tops)) for tops in asked["tops"].to_pylist()], dtype=np.int64)
+            places = np.array([p + [0] * (positives - len(p)) for p in asked["places"].to_pylist()], dtype=np.int64)
+            best = [Best(negatives, ranges[:, k, 0], ranges[:, k, 1]) for k in range(positives)]
+            for block in blocks:
+                other = np.arange(len(own)) if block.label is None else np.flatnonzero(labels != block.label)
+                if not len(other):
+                    continue
+                found = without_own(scores(all_x if len(other) == len(own) else x[other], block.vectors), own[other], block.ids)
+                if block.label is None:
+                    found[labels[:, None] == block.labels] = NONE
+                for b in best:
+                    b.show(other, found, block.ids)
+            for k, b in enumerate(best):
+                yield longs("no place negative_id negative_score", no[b.row], places[b.row, k], b.id, b.score)
 
     rank = F.row_number().over(Window.partitionBy("no", "place").orderBy(F.col("negative_score").desc(), "negative_id"))
+    far = met(looking, ["cell", "dim", "kind", "label", "vec_id"])
     hard = far.mapInArrow(between, "no long, place long, negative_id long, negative_score long").withColumn("rank", rank).where(F.col("rank") <= negatives)
     return hard.join(best, ["no", "place"]).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 

@@ -1,6 +1,7 @@
 """Hard negatives and their exact scores against plain Python."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,47 @@ def test_residue_products_stay_below_the_exact_bound():
     for p in hard_negatives.primes_for(10**600):
         step = max(1, hard_negatives.EXACT // (p // 2 + 2) ** 2)
         assert step * (p // 2 + 1) ** 2 <= hard_negatives.EXACT
+
+
+def rows_of(keys, kind, ids, dim=2):
+    n = len(ids)
+    return pa.RecordBatch.from_arrays([pa.array([keys[0]] * n, pa.int32()), pa.array([keys[1]] * n, pa.int32()), pa.array([kind] * n, pa.int32()), pa.array(["a"] * n),
+                                       pa.array(ids, pa.int64()), pa.array([np.ones(dim).tobytes()] * n, pa.binary())], names=["cell", "dim", "kind", "label", "vec_id", "x"])
+
+
+def test_anchors_and_candidates_meet_in_bounded_blocks(monkeypatch):
+    """Whatever comes to a cell, rows hold one vector each and blocks are made
+    where they meet; candidates without anchors, and the reverse, meet nothing."""
+    monkeypatch.setattr(hard_negatives, "BLOCK", 4)
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 3)
+    batches = [rows_of((0, 2), 0, range(7)), rows_of((0, 2), 0, range(7, 9)), rows_of((0, 2), 1, range(5)), rows_of((0, 2), 1, [5]),
+               rows_of((0, 3), 1, [1], 3), rows_of((1, 2), 0, [1]), rows_of((2, 2), 0, [2, 3]), rows_of((2, 2), 1, [9])]
+    met = [(dim, [b.ids.tolist() for b in blocks], rows["vec_id"].to_pylist()) for dim, blocks, rows in hard_negatives.meetings(iter(batches), 2)]
+    first = [[0, 1, 2, 3], [4, 5, 6], [7, 8]]
+    assert met == [(2, first, [0, 1, 2]), (2, first, [3, 4]), (2, first, [5]), (2, [[2, 3]], [9])]
+
+
+def test_what_spark_hands_on_is_one_vector_a_row(spark, tmp_path, monkeypatch):
+    """Batches count rows, so a row must not hold blocks of vectors."""
+    rows = cloud(600, 8)
+    seen = []
+    monkeypatch.setattr(hard_negatives, "written", lambda df, name, was=hard_negatives.written: (seen.append((name, dict(df.dtypes))), was(df, name))[1])
+    assert answer(spark, rows, tmp_path) == brute(rows)
+    assert [name for name, _ in seen] and all(kinds.get("x", "binary") == "binary" for _, kinds in seen)
+
+
+def test_best_keeps_the_first_rows_of_a_range():
+    rng = np.random.default_rng(6)
+    for k in (1, 3, 7):
+        low, high = rng.integers(-40, 5, 20), rng.integers(-5, 40, 20)
+        best, shown = hard_negatives.Best(k, low, high), [[] for _ in range(20)]
+        for width in (2, 30, 5, 64):
+            rows = np.flatnonzero(rng.random(20) < 0.7)
+            found, ids = rng.integers(-50, 50, (len(rows), width)), rng.integers(0, 30, width)
+            best.show(rows, found, ids)
+            for r, line in zip(rows.tolist(), found.tolist(), strict=True):
+                shown[r] += [(-x, int(i)) for x, i in zip(line, ids, strict=True) if low[r] <= x <= high[r]]
+        got = [[] for _ in range(20)]
+        for r, x, i in zip(best.row.tolist(), best.score.tolist(), best.id.tolist(), strict=True):
+            got[r].append((-x, i))
+        assert got == [sorted(line)[:k] for line in shown]
