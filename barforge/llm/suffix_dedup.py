@@ -52,7 +52,7 @@ from .vectors import joined, sorted_groups
 #: Bytes of an anchor's gram.
 GRAM = 32
 #: Most contexts of one anchor, and bytes of text, that are sorted at once.
-GROUP = 8192
+GROUP = 2048
 PIECE_BYTES = 1 << 16
 #: Bytes of documents that a task takes in hand at once.
 SLICE_BYTES = 1 << 22
